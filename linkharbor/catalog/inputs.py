@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkharbor.config import CompanySet, ReleaseSettings, Settings
+from linkharbor.functions.hosts import reverse_labels
 from linkharbor.functions.ranks import rank_bucket
 from linkharbor.functions.suffixes import SuffixRules, rules_from_list
 from linkharbor.operators import load
@@ -170,6 +171,10 @@ class Inputs:
         )
         return sites.unionByName(brands)
 
+    @property
+    def named_vertices(self) -> DataFrame:
+        return self.vertices.withColumn("domain", reverse_labels(F.col("reversed_domain")))
+
     @property
     def edges(self) -> DataFrame:
         return self.table("lineitem").select(
@@ -204,6 +209,10 @@ class Inputs:
             F.lit(3).alias("num_hosts"),
         )
 
+    @property
+    def named_ranks(self) -> DataFrame:
+        return self.rank_lines.withColumn("domain", reverse_labels(F.col("reversed_domain")))
+
     @property
     def graph_edges(self) -> DataFrame:
         """Named links with release: mixed-case names, missing weights, bucket '' when unranked."""

@@ -392,6 +392,8 @@ def oracle(sql: str) -> str:
                 needed[name] = None
 
     visit(sql)
+    body = sql.strip()
     if not needed:
-        return sql.strip()
-    return "with " + ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in needed) + "\n" + sql.strip()
+        return body
+    views = "with " + ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in needed)
+    return f"{views},\n{body.removeprefix('with ')}" if body.startswith("with ") else f"{views}\n{body}"

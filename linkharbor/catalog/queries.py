@@ -183,7 +183,7 @@ def _(i: Inputs) -> DataFrame:
     "scan_wat_csv",
     """
 select 'crawl-x' as crawl_id, wat_file_path, warc_record_id, source_url, source_domain, source_host, target_url, target_domain,
-       target_company, anchor_text, rel, is_nofollow, page_title, page_language, http_status, content_type
+       target_company, anchor_text, rel, is_nofollow, nullif(trim(page_title), '') as page_title, page_language, http_status, content_type
 from fx_wat""",
 )
 def _(i: Inputs) -> DataFrame:
@@ -220,14 +220,10 @@ def _(i: Inputs) -> DataFrame:
 
 def _extraction(i: Inputs, root: str):
     return extract_release(
-        i.spark, "rel-x", i.vertices, i.edges, _ranks(i), i.companies, root=root
+        i.spark, "rel-x", i.named_vertices, i.edges, i.named_ranks, i.companies, root=root
     )
 
 
-def _ranks(i: Inputs) -> DataFrame:
-    return i.rank_lines.withColumn("domain", hosts.reverse_labels(F.col("reversed_domain")))
-
-
 @query("sink_checkpoint", "select * from named_edges")
 def _(i: Inputs) -> DataFrame:
     return _extraction(i, new_run_folder(i.spark, "extract")).frame("graph_edges")
@@ -325,8 +321,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _targets(i: Inputs) -> DataFrame:
-    vertices = i.vertices.withColumn("domain", hosts.reverse_labels(F.col("reversed_domain")))
-    return extract.target_vertices(vertices, i.company_frame)
+    return extract.target_vertices(i.named_vertices, i.company_frame)
 
 
 def _small_targets(i: Inputs) -> DataFrame:
@@ -335,8 +330,7 @@ def _small_targets(i: Inputs) -> DataFrame:
 
 
 def _sources(i: Inputs, kept: DataFrame) -> DataFrame:
-    vertices = i.vertices.withColumn("domain", hosts.reverse_labels(F.col("reversed_domain")))
-    return extract.source_vertices(vertices, kept)
+    return extract.source_vertices(i.named_vertices, kept)
 
 
 @query("target_vertices", "select node_id, reversed_domain, domain, num_hosts from targets")
@@ -349,9 +343,8 @@ def _(i: Inputs) -> DataFrame:
     "select domain from fx_wanted where domain not in (select domain from fx_vertices)",
 )
 def _(i: Inputs) -> DataFrame:
-    vertices = i.vertices.withColumn("domain", hosts.reverse_labels(F.col("reversed_domain")))
     wanted = i.wanted_domains
-    return extract.missing_targets(extract.target_vertices(vertices, wanted), wanted)
+    return extract.missing_targets(extract.target_vertices(i.named_vertices, wanted), wanted)
 
 
 @query("edges_to_targets", "select source_node_id, target_node_id, target_domain from kept_edges")
@@ -367,7 +360,7 @@ def _(i: Inputs) -> DataFrame:
 @query("source_ranks", "select * from linking_ranks")
 def _(i: Inputs) -> DataFrame:
     kept = extract.edges_to_targets(i.edges, _small_targets(i))
-    return extract.source_ranks(_ranks(i), _sources(i, kept))
+    return extract.source_ranks(i.named_ranks, _sources(i, kept))
 
 
 @query("assemble_graph_edges", "select * from named_edges")
@@ -375,7 +368,7 @@ def _(i: Inputs) -> DataFrame:
     targets = _small_targets(i)
     kept = extract.edges_to_targets(i.edges, targets)
     sources = _sources(i, kept)
-    return extract.graph_edges(kept, sources, targets, extract.source_ranks(_ranks(i), sources))
+    return extract.graph_edges(kept, sources, targets, extract.source_ranks(i.named_ranks, sources))
 
 
 @query("edges_to_inputs", "select source_domain, target_domain, edge_weight from named_edges")

@@ -133,7 +133,7 @@ def competitor_overlap(links: DataFrame, companies: CompanySet) -> DataFrame:
     )
     counts = pairs.groupBy("graph_release_id", "target_company").agg(
         F.count(F.lit(1)).alias("domains"),
-        F.count(F.when("with_target", 1)).alias("shared"),
+        F.count(F.when(F.col("with_target"), 1)).alias("shared"),
     )
     known = F.col("target_company").isin(*[c.company for c in companies.competitors])
     releases = counts.groupBy("graph_release_id").agg(
