@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkharbor.config import CompanySet, ReleaseSettings, Settings
+from linkharbor.config import CompanySet, ReleaseSettings, Settings, sql_list
 from linkharbor.functions.hosts import reverse_labels
 from linkharbor.functions.ranks import rank_bucket
 from linkharbor.functions.suffixes import SuffixRules, rules_from_list
@@ -72,6 +72,16 @@ ANCHORS = (
     None,
 )
 
+# Columns of the given tables that are read; naming them saves a look into the files first.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 class Inputs:
     """The inputs of one data folder, each a lazy DataFrame."""
@@ -84,7 +94,7 @@ class Inputs:
         self.score = self.settings.score
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def rules(self) -> SuffixRules:
@@ -92,226 +102,174 @@ class Inputs:
 
     @property
     def loaded_at(self) -> Column:
-        return F.lit(LOADED_AT).cast("timestamp")
+        return F.expr(f"timestamp '{LOADED_AT}'")
 
     # --- companies --------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def company_frame(self) -> DataFrame:
         return self.companies.frame(self.spark)
 
     @property
     def company_rows(self) -> DataFrame:
         """A long company list from the suppliers, with a second domain for some."""
-        key = F.col("s_suppkey").cast("string")
-        return self.table("supplier").select(
-            F.col("s_name").alias("company"),
-            F.when(F.col("s_suppkey") == 0, "target").otherwise("competitor").alias("role"),
-            F.concat(F.lit("segment-"), F.col("s_nationkey").cast("string")).alias("segment"),
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        F.concat(F.lit("supp"), key, F.lit(".com")),
-                        F.when(F.col("s_acctbal") > 5000, F.concat(F.lit("shop-"), key, F.lit(".net"))),
-                    )
-                )
-            ).alias("domain"),
+        own = "concat('supp', s_suppkey, '.com')"
+        shop = "if(s_acctbal > 5000, concat('shop-', s_suppkey, '.net'), null)"
+        return self.table("supplier").selectExpr(
+            "s_name as company",
+            "if(s_suppkey = 0, 'target', 'competitor') as role",
+            "concat('segment-', s_nationkey) as segment",
+            f"explode(array_compact(array({own}, {shop}))) as domain",
         )
 
     @property
     def company_rows_raw(self) -> DataFrame:
         """The list as delivered: unknown roles, shared, repeated, missing and unusable domains."""
-        key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
-        own = F.concat(F.lit("https://www.SUPP"), key, F.lit(".com/about"))
-        balance = F.col("s_acctbal")
-        names = (
-            F.when(balance < 500, F.array(F.concat(F.lit("nation"), nation, F.lit(".com"))))
-            .when(balance < 1000, F.array(own, F.concat(F.lit("supp"), key, F.lit(".com"))))
-            .when(balance < 1500, F.array(F.lit("localhost")))
-            .when(balance < 2000, F.array(F.lit(None).cast("string")))
-            .otherwise(F.array(own))
-        )
-        role = F.when(balance > 9000, "partner").when(balance > 8500, "target").otherwise("competitor")
-        return self.table("supplier").select(
-            F.col("s_name").alias("company"),
-            role.alias("role"),
-            F.concat(F.lit("segment-"), nation).alias("segment"),
-            F.explode(names).alias("domain"),
+        own = "concat('https://www.SUPP', s_suppkey, '.com/about')"
+        return self.table("supplier").selectExpr(
+            "s_name as company",
+            "case when s_acctbal > 9000 then 'partner' when s_acctbal > 8500 then 'target' "
+            "else 'competitor' end as role",
+            "concat('segment-', s_nationkey) as segment",
+            f"""explode(case when s_acctbal < 500 then array(concat('nation', s_nationkey, '.com'))
+                             when s_acctbal < 1000 then array({own}, concat('supp', s_suppkey, '.com'))
+                             when s_acctbal < 1500 then array('localhost')
+                             when s_acctbal < 2000 then array(string(null))
+                             else array({own}) end) as domain""",
         )
 
     @property
     def wanted_domains(self) -> DataFrame:
         """Names to look up among the vertices: the parts' brands, and nations nobody has."""
-        brands = self.table("part").select(
-            F.concat(F.lower(F.translate("p_brand", "#", "")), F.lit(".com")).alias("domain")
+        brands = self.table("part").selectExpr(
+            "concat(lower(translate(p_brand, '#', '')), '.com') as domain"
         )
-        nations = self.table("nation").select(
-            F.concat(F.lower(F.translate("n_name", " ", "-")), F.lit(".com")).alias("domain")
+        nations = self.table("nation").selectExpr(
+            "concat(lower(translate(n_name, ' ', '-')), '.com') as domain"
         )
-        return brands.unionByName(nations).distinct()
+        return brands.distinct().unionByName(nations).distinct()
 
     # --- graph ------------------------------------------------------------------------------
 
     @property
     def vertices(self) -> DataFrame:
-        sites = self.table("part").select(
-            (F.col("p_partkey") + SITE_NODE_BASE).alias("node_id"),
-            F.concat(F.lit("com.site"), F.col("p_partkey").cast("string")).alias("reversed_domain"),
-            (1 + F.col("p_size") % 5).cast("int").alias("num_hosts"),
+        sites = self.table("part").selectExpr(
+            f"p_partkey + {SITE_NODE_BASE} as node_id",
+            "concat('com.site', p_partkey) as reversed_domain",
+            "int(1 + p_size % 5) as num_hosts",
         )
         brands = (
             self.table("supplier")
-            .select((1 + F.col("s_suppkey") % BRANDS).alias("node_id"))
+            .selectExpr(f"1 + s_suppkey % {BRANDS} as node_id")
             .distinct()
-            .select(
-                "node_id",
-                F.concat(F.lit("com.brand"), F.col("node_id").cast("string")).alias("reversed_domain"),
-                F.lit(9).alias("num_hosts"),
-            )
+            .selectExpr("node_id", "concat('com.brand', node_id) as reversed_domain", "9 as num_hosts")
         )
         return sites.unionByName(brands)
 
     @property
     def named_vertices(self) -> DataFrame:
-        return self.vertices.withColumn("domain", reverse_labels(F.col("reversed_domain")))
+        return self.vertices.selectExpr("*", f"{reverse_labels('reversed_domain')} as domain")
 
     @property
     def edges(self) -> DataFrame:
-        return self.table("lineitem").select(
-            (F.col("l_partkey") + SITE_NODE_BASE).alias("source_node_id"),
-            (1 + F.col("l_suppkey") % BRANDS).alias("target_node_id"),
+        return self.table("lineitem").selectExpr(
+            f"l_partkey + {SITE_NODE_BASE} as source_node_id",
+            f"1 + l_suppkey % {BRANDS} as target_node_id",
         )
 
-    @staticmethod
-    def rank_position() -> Column:
-        """1 to 1.5 million, skewed to the front, from size and price of the part."""
-        x = (F.col("p_size") - 1) * 1000 + F.round(F.col("p_retailprice") * 10 - 9000).cast("long")
-        return (1 + F.floor(x * x * 6 / 10000)).cast("int")
-
     @property
     def site_ranks(self) -> DataFrame:
-        """Rank of every ranked site; small parts have none."""
+        """Rank of every ranked site, 1 to 1.5 million and skewed to the front.
+
+        It comes from size and price of the part; small parts have no rank.
+        """
         return (
             self.table("part")
-            .filter(F.col("p_type") != "SMALL")
-            .select("p_partkey", "p_type", self.rank_position().alias("rank_position"))
+            .filter("p_type <> 'SMALL'")
+            .selectExpr(
+                "p_partkey",
+                "p_type",
+                "(p_size - 1) * 1000 + bigint(round(p_retailprice * 10 - 9000)) as x",
+            )
+            .selectExpr("p_partkey", "p_type", "int(1 + (x * x * 6) div 10000) as rank_position")
         )
 
     @property
     def rank_lines(self) -> DataFrame:
-        position = F.col("rank_position")
-        return self.site_ranks.select(
-            position.alias("harmonic_position"),
-            (F.lit(1000000.0) / position).alias("harmonic_value"),
-            position.alias("pagerank_position"),
-            (F.lit(1.0) / position).alias("pagerank"),
-            F.concat(F.lit("com.site"), F.col("p_partkey").cast("string")).alias("reversed_domain"),
-            F.lit(3).alias("num_hosts"),
+        return self.site_ranks.selectExpr(
+            "rank_position as harmonic_position",
+            "1000000D / rank_position as harmonic_value",
+            "rank_position as pagerank_position",
+            "1D / rank_position as pagerank",
+            "concat('com.site', p_partkey) as reversed_domain",
+            "3 as num_hosts",
         )
 
     @property
     def named_ranks(self) -> DataFrame:
-        return self.rank_lines.withColumn("domain", reverse_labels(F.col("reversed_domain")))
+        return self.rank_lines.selectExpr("*", f"{reverse_labels('reversed_domain')} as domain")
 
     @property
     def graph_edges(self) -> DataFrame:
         """Named links with release: mixed-case names, missing weights, bucket '' when unranked."""
-        ranks = self.site_ranks.select(
-            F.col("p_partkey").alias("l_partkey"), rank_bucket(F.col("rank_position")).alias("bucket")
+        ranks = self.site_ranks.selectExpr(
+            "p_partkey as l_partkey", f"{rank_bucket('rank_position')} as bucket"
         )
-        lines = self.table("lineitem").select("l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
-        first = F.col("l_linenumber") == 1
-        site = F.col("l_partkey").cast("string")
-        return lines.join(ranks, "l_partkey", "left").select(
-            F.when(F.col("l_shipdate") < F.lit(SECOND_RELEASE_FROM).cast("timestamp"), RELEASES[0])
-            .otherwise(RELEASES[1])
-            .alias("graph_release_id"),
-            F.concat(F.when(first, "SITE").otherwise("site"), site, F.lit(".com")).alias("source_domain"),
-            F.concat(
-                F.lit("brand"), (1 + F.col("l_suppkey") % BRANDS).cast("string"), F.lit(".com")
-            ).alias("target_domain"),
-            F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")).alias("edge_weight"),
-            F.coalesce("bucket", F.lit("")).alias("source_domain_rank_bucket"),
+        return self.table("lineitem").join(ranks, "l_partkey", "left").selectExpr(
+            f"if(l_shipdate < timestamp_ntz '{SECOND_RELEASE_FROM}', '{RELEASES[0]}', '{RELEASES[1]}') as graph_release_id",
+            "concat(if(l_linenumber = 1, 'SITE', 'site'), l_partkey, '.com') as source_domain",
+            f"concat('brand', 1 + l_suppkey % {BRANDS}, '.com') as target_domain",
+            "nullif(l_linenumber, 7) as edge_weight",
+            "coalesce(bucket, '') as source_domain_rank_bucket",
         )
 
     @property
     def delivered_edges(self) -> DataFrame:
-        """The same links as page URLs, with names that cannot be resolved for 'R' lines of tax 0."""
-        url = F.concat(F.lit("https://www."), F.col("source_domain"), F.lit("/post?id=1"))
-        return self.graph_edges.select(
+        """The same links as URLs, with names nobody can resolve and weights out of range."""
+        return self.graph_edges.selectExpr(
             "graph_release_id",
-            F.when(F.col("edge_weight").isNull(), F.lit("localhost")).otherwise(url).alias("source_domain"),
-            F.concat(F.lit(" WWW."), F.col("target_domain"), F.lit(":443/ ")).alias("target_domain"),
-            F.when(F.col("edge_weight") == 6, -1)
-            .when(F.col("edge_weight") != 5, F.col("edge_weight"))
-            .alias("edge_weight"),
-            F.when(F.col("source_domain_rank_bucket") == "", F.lit("unlisted"))
-            .otherwise(F.col("source_domain_rank_bucket"))
-            .alias("source_domain_rank_bucket"),
+            "if(edge_weight is null, 'localhost', concat('https://www.', source_domain, '/post?id=1')) as source_domain",
+            "concat(' WWW.', target_domain, ':443/ ') as target_domain",
+            "case edge_weight when 6 then -1 when 5 then null else edge_weight end as edge_weight",
+            "if(source_domain_rank_bucket = '', 'unlisted', source_domain_rank_bucket) as source_domain_rank_bucket",
         )
 
     @property
     def ranks(self) -> DataFrame:
         """Rank records of both releases, with copies in other case, empty ones and hosts."""
-        position = F.col("rank_position")
-        key = F.col("p_partkey").cast("string")
-        name = F.concat(F.lit("site"), key, F.lit(".com"))
-
-        def record(release, kind, entity, rank, centrality, pagerank, bucket, loaded) -> Column:
-            return F.struct(
-                F.lit(release).alias("graph_release_id"),
-                F.lit(kind).alias("rank_entity_type"),
-                entity.alias("domain_or_host"),
-                rank.cast("int").alias("rank_position"),
-                centrality.cast("double").alias("harmonic_centrality"),
-                pagerank.cast("double").alias("pagerank"),
-                bucket.cast("string").alias("rank_bucket"),
-                F.lit(loaded).cast("timestamp").alias("loaded_at"),
+        bucket, name = rank_bucket("rank_position"), "concat('site', p_partkey, '.com')"
+
+        def record(release, kind, entity, position, centrality, pagerank, bucket, loaded) -> str:
+            return (
+                f"named_struct('graph_release_id', '{release}', 'rank_entity_type', '{kind}', "
+                f"'domain_or_host', {entity}, 'rank_position', int({position}), "
+                f"'harmonic_centrality', double({centrality}), 'pagerank', double({pagerank}), "
+                f"'rank_bucket', string({bucket}), 'loaded_at', timestamp '{loaded}')"
             )
 
-        centrality, pagerank = F.lit(1000000.0) / position, F.lit(1.0) / position
-        bucket, none = rank_bucket(position), F.lit(None)
-        kind = F.col("p_type")
-        records = [
-            record(r, "domain", name, position, centrality, pagerank, bucket, LOADED_AT) for r in RELEASES
-        ]
-        records += [
-            F.when(
-                kind == "PROMO",
-                record(
-                    "rel-a", "domain", F.upper(name), position + 5, F.lit(1.0), F.lit(0.5),
-                    F.lit("long_tail"), "2026-01-02 00:00:00",
-                ),
-            ),
-            F.when(
-                kind == "ECONOMY",
-                record("rel-a", "domain", name, none, none, none, none, "2026-01-03 00:00:00"),
-            ),
-            F.when(
-                kind == "LARGE",
-                record(
-                    "rel-a", "host", F.concat(F.lit("blog."), name), position, F.lit(2.0),
-                    F.lit(0.25), bucket, LOADED_AT,
-                ),
-            ),
-        ]
-        return self.site_ranks.select(F.inline(F.array_compact(F.array(*records))))
+        def only(kind: str, record: str) -> str:
+            return f"if(p_type = '{kind}', {record}, null)"
+
+        values = ("rank_position", "1000000D / rank_position", "1D / rank_position", bucket)
+        records = [record(r, "domain", name, *values, LOADED_AT) for r in RELEASES]
+        copy = ("rank_position + 5", "1", "0.5", "'long_tail'", "2026-01-02 00:00:00")
+        records.append(only("PROMO", record("rel-a", "domain", f"upper({name})", *copy)))
+        empty = ("null", "null", "null", "null", "2026-01-03 00:00:00")
+        records.append(only("ECONOMY", record("rel-a", "domain", name, *empty)))
+        of_host = ("rank_position", "2", "0.25", bucket, LOADED_AT)
+        records.append(only("LARGE", record("rel-a", "host", f"concat('blog.', {name})", *of_host)))
+        return self.site_ranks.selectExpr(f"inline(array_compact(array({', '.join(records)})))")
 
     @property
     def delivered_ranks(self) -> DataFrame:
         """Rank records with names as URLs and values out of range for some."""
-        position = F.col("rank_position")
-        broken = position.between(1000, 20000)
-        return self.ranks.select(
+        broken = "rank_position between 1000 and 20000"
+        return self.ranks.selectExpr(
             "graph_release_id",
-            F.when(position.between(200000, 300000), "page").otherwise(F.col("rank_entity_type")).alias(
-                "rank_entity_type"
-            ),
-            F.concat(F.lit("HTTPS://user@"), F.col("domain_or_host"), F.lit(":8080/x#y")).alias(
-                "domain_or_host"
-            ),
-            F.when(broken, 0).otherwise(position).alias("rank_position"),
-            F.when(broken, -1.0).otherwise(F.col("harmonic_centrality")).alias("harmonic_centrality"),
+            "if(rank_position between 200000 and 300000, 'page', rank_entity_type) as rank_entity_type",
+            "concat('HTTPS://user@', domain_or_host, ':8080/x#y') as domain_or_host",
+            f"if({broken}, 0, rank_position) as rank_position",
+            f"if({broken}, -1D, harmonic_centrality) as harmonic_centrality",
             "pagerank",
             "rank_bucket",
         )
@@ -321,62 +279,55 @@ class Inputs:
     @property
     def evidence(self) -> DataFrame:
         """One row per `<a>` of a page; two pages belong to one site."""
-        page = self.table("pages").select(
+        page = self.table("pages").selectExpr(
             "page_id",
-            F.floor(F.col("page_id") / 2).cast("string").alias("site"),
-            F.regexp_extract("url", "^[a-z]+://[^/]*(.*)$", 1).alias("path"),
-            F.regexp_extract("html", 'lang="([a-z]+)"', 1).alias("lang"),
-            F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
-            F.posexplode(
-                F.regexp_extract_all("html", F.lit('<a href="([^"]*)">[^<]*</a>'), F.lit(1))
-            ).alias("i", "href"),
+            "page_id div 2 as site",
+            "regexp_extract(url, '^[a-z]+://[^/]*(.*)$', 1) as path",
+            "regexp_extract(html, 'lang=\"([a-z]+)\"', 1) as lang",
+            "regexp_extract(html, '<title>([^<]*)</title>', 1) as title",
+            "posexplode(regexp_extract_all(html, '<a href=\"([^\"]*)\">[^<]*</a>', 1)) as (i, href)",
+        )
+        row = page.selectExpr(
+            "*",
+            "page_id + i as number",
+            "concat(if(page_id % 2 = 0, 'www', 'blog'), '.site', site, '.com') as host",
+            "1 + (page_id + i) % 12 as brand",
         )
-        number = F.col("page_id") + F.col("i")
-        brand = (1 + number % 12).cast("string")
-        sub = F.when(F.col("page_id") % 2 == 0, "www").otherwise("blog")
-        host = F.concat(sub, F.lit(".site"), F.col("site"), F.lit(".com"))
-        phrase = F.get(F.array(*[F.lit(a) for a in ANCHORS]), (number % len(ANCHORS)).cast("int"))
-        status = F.when(number % 10 == 9, 404).otherwise(200)
-        return page.select(
-            F.lit("crawl-a").alias("crawl_id"),
-            F.concat(F.lit("crawl-data/part-"), (F.col("page_id") % 16).cast("string"), F.lit(".wat.gz")).alias(
-                "wat_file_path"
-            ),
-            F.when(F.col("lang") != "es", F.concat(F.lit("record-"), F.col("page_id").cast("string"))).alias(
-                "warc_record_id"
-            ),
-            F.concat(F.lit("https://"), host, F.col("path")).alias("source_url"),
-            F.concat(F.lit("SITE"), F.col("site"), F.lit(".com")).alias("source_domain"),
-            host.alias("source_host"),
-            F.concat(F.lit("https://brand"), brand, F.lit(".com"), F.col("href")).alias("target_url"),
-            F.concat(F.lit("brand"), brand, F.lit(".com")).alias("target_domain"),
-            F.concat(F.lit("B"), brand).alias("target_company"),
-            F.when(F.col("lang") == "en", F.concat(phrase, F.lit(" "), F.substring_index("href", "/", -1)))
-            .when(F.col("lang") != "de", "more words")
-            .alias("anchor_text"),
-            F.when(number % 5 == 0, "noopener NoFollow").when(number % 5 == 1, "noopener").alias("rel"),
-            F.lit(False).alias("is_nofollow"),
-            F.when(F.col("lang") != "fr", F.col("title")).alias("page_title"),
-            F.col("lang").alias("page_language"),
-            status.cast("int").alias("http_status"),
-            F.lit("text/html").alias("content_type"),
-            F.lit(LOADED_AT).cast("timestamp").alias("extracted_at"),
+        phrase = f"get(array({sql_list(ANCHORS)}), int(number % {len(ANCHORS)}))"
+        return row.selectExpr(
+            "'crawl-a' as crawl_id",
+            "concat('crawl-data/part-', page_id % 16, '.wat.gz') as wat_file_path",
+            "if(lang <> 'es', concat('record-', page_id), null) as warc_record_id",
+            "concat('https://', host, path) as source_url",
+            "concat('SITE', site, '.com') as source_domain",
+            "host as source_host",
+            "concat('https://brand', brand, '.com', href) as target_url",
+            "concat('brand', brand, '.com') as target_domain",
+            "concat('B', brand) as target_company",
+            f"case when lang = 'en' then concat({phrase}, ' ', substring_index(href, '/', -1)) "
+            "when lang <> 'de' then 'more words' end as anchor_text",
+            "case number % 5 when 0 then 'noopener NoFollow' when 1 then 'noopener' end as rel",
+            "false as is_nofollow",
+            "if(lang <> 'fr', title, null) as page_title",
+            "lang as page_language",
+            "if(number % 10 = 9, 404, 200) as http_status",
+            "'text/html' as content_type",
+            f"timestamp '{LOADED_AT}' as extracted_at",
         )
 
     @property
     def delivered_evidence(self) -> DataFrame:
         """Evidence as delivered: some rows disagree with their URLs or are out of range."""
-        lang, status = F.col("page_language"), F.col("http_status")
         changed = {
-            "source_url": F.when(lang == "es", F.concat(F.lit("/"), F.col("source_host"))).otherwise(
-                F.concat(F.lit("  "), F.col("source_url"), F.lit("\n"))
-            ),
-            "source_host": F.upper("source_host"),
-            "target_domain": F.when(lang == "de", "other.com").otherwise(F.col("target_domain")),
-            "http_status": F.when(status == 404, 99).otherwise(status),
-            "anchor_text": F.concat(F.lit(" "), F.col("anchor_text"), F.lit("\t")),
+            "source_url": "if(page_language = 'es', concat('/', source_host), concat('  ', source_url, '\n'))",
+            "source_host": "upper(source_host)",
+            "target_domain": "if(page_language = 'de', 'other.com', target_domain)",
+            "http_status": "if(http_status = 404, 99, http_status)",
+            "anchor_text": "concat(' ', anchor_text, '\t')",
         }
-        return self.evidence.withColumns(changed).select("crawl_id", *EVIDENCE_COLUMNS)
+        return self.evidence.selectExpr(
+            "crawl_id", *[f"{changed.get(c, c)} as {c}" for c in EVIDENCE_COLUMNS]
+        )
 
     # --- loaded and staged ------------------------------------------------------------------
 
@@ -396,15 +347,14 @@ class Inputs:
     @property
     def rank_text(self) -> DataFrame:
         """Rank records as text, with marks instead of numbers for some and '' for no bucket."""
-        position = F.col("rank_position")
-        return self.ranks.select(
+        return self.ranks.selectExpr(
             "graph_release_id",
             "rank_entity_type",
             "domain_or_host",
-            F.when(position < 1000, "n/a").otherwise(position.cast("string")).alias("rank_position"),
-            F.col("harmonic_centrality").cast("string").alias("harmonic_centrality"),
-            F.when(position > 1000000, "-").otherwise(F.col("pagerank").cast("string")).alias("pagerank"),
-            F.coalesce("rank_bucket", F.lit("")).alias("rank_bucket"),
+            "if(rank_position < 1000, 'n/a', string(rank_position)) as rank_position",
+            "string(harmonic_centrality) as harmonic_centrality",
+            "if(rank_position > 1000000, '-', string(pagerank)) as pagerank",
+            "coalesce(rank_bucket, '') as rank_bucket",
         )
 
     # --- names ------------------------------------------------------------------------------
@@ -412,27 +362,26 @@ class Inputs:
     @property
     def names(self) -> DataFrame:
         """Every page URL in several spellings, some of which have no host or no owner."""
-        url = F.col("url")
-        host = F.regexp_extract("url", "^[a-z]+://([^/]*)", 1)
-
-        def swap(old: str, new: str) -> Column:
-            return F.regexp_replace(host, old, new)
-
-        spellings = F.array(
-            url,
-            F.concat(F.lit(" \t"), F.upper(host), F.lit("\n")),
-            F.concat(F.lit("ftp://user:pw@"), host, F.lit(":8080?q=http://x.org")),
-            F.concat(host, F.lit("/see?next=https://brand1.com")),
-            swap(r"example\.com$", "co.uk"),
-            swap(r"example\.net$", "kawasaki.jp"),
-            swap(r"example\.org$", "city.kawasaki.jp"),
-            swap(r"example\.[a-z]+$", "internal"),
-            F.concat(F.lit("https://"), F.substring_index(host, ".", -2), F.lit(".")),
-            F.substring_index(host, ".", -1),
-            F.concat(F.lit("/pages/"), F.col("page_id").cast("string")),
-            F.concat(F.lit("10.0.0."), (F.col("page_id") % 256).cast("string")),
-            F.concat(F.lit("www.brand"), (1 + F.col("page_id") % 20).cast("string"), F.lit(".com")),
-            F.concat(F.lit("my_shop."), host),
-            F.lit("  "),
+        spellings = (
+            "url",
+            "concat(' \t', upper(host), '\n')",
+            "concat('ftp://user:pw@', host, ':8080?q=http://x.org')",
+            "concat(host, '/see?next=https://brand1.com')",
+            r"regexp_replace(host, r'example\.com$', 'co.uk')",
+            r"regexp_replace(host, r'example\.net$', 'kawasaki.jp')",
+            r"regexp_replace(host, r'example\.org$', 'city.kawasaki.jp')",
+            r"regexp_replace(host, r'example\.[a-z]+$', 'internal')",
+            "concat('https://', substring_index(host, '.', -2), '.')",
+            "substring_index(host, '.', -1)",
+            "concat('/pages/', page_id)",
+            "concat('10.0.0.', page_id % 256)",
+            "concat('www.brand', 1 + page_id % 20, '.com')",
+            "concat('my_shop.', host)",
+            "'  '",
+        )
+        hosts = self.table("pages").selectExpr(
+            "page_id", "url", "regexp_extract(url, '^[a-z]+://([^/]*)', 1) as host"
+        )
+        return hosts.selectExpr(
+            "page_id", f"posexplode(array({', '.join(spellings)})) as (spelling, name)"
         )
-        return self.table("pages").select("page_id", F.posexplode(spellings).alias("spelling", "name"))

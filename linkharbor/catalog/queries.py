@@ -10,6 +10,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkharbor.catalog.inputs import COMPANIES, Inputs
 from linkharbor.catalog.oracle import (
@@ -24,7 +25,7 @@ from linkharbor.catalog.oracle import (
     _url,
     oracle,
 )
-from linkharbor.config import RANK_BUCKETS, ReleaseSettings, slug
+from linkharbor.config import RANK_BUCKETS, ReleaseSettings, literal_rows, slug, sql_list
 from linkharbor.functions import hosts, ranks, suffixes, text
 from linkharbor.operators import (
     extract,
@@ -71,8 +72,8 @@ def query(key: str, sql: str | None = None):
 def _write_lines(df: DataFrame, name: str, header: str | None = None) -> str:
     """Tab-separated gzip files of a frame, in the format of the web-graph downloads."""
     path = new_run_folder(df.sparkSession, name)
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
-    df.select(F.concat_ws("\t", *cells).alias("value")).write.option("compression", "gzip").text(path)
+    cells = ", ".join(f"coalesce(string({c}), '')" for c in df.columns)
+    df.selectExpr(f"concat_ws('\t', {cells}) as value").write.option("compression", "gzip").text(path)
     if header:
         first = df.sparkSession.range(1).select(F.lit(header).alias("value"))
         first.write.mode("append").option("compression", "gzip").text(path)
@@ -92,8 +93,8 @@ def _write_csv(df: DataFrame, name: str) -> str:
 
 
 def _named_rows(spark: SparkSession, items: Mapping[str, int], key: str, value: str) -> DataFrame:
-    rows = [F.struct(F.lit(k).alias(key), F.lit(v).cast("bigint").alias(value)) for k, v in items.items()]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(value, T.LongType())])
+    return literal_rows(spark, list(items.items()), schema)
 
 
 # --- A. scans ------------------------------------------------------------------------------------
@@ -134,14 +135,12 @@ select case p_type when 'SMALL' then (p_partkey || chr(9) || 'com.site')
 from part where p_type in ('SMALL', 'LARGE', 'PROMO') or (p_type = 'MEDIUM' and p_partkey > 0)""",
 )
 def _(i: Inputs) -> DataFrame:
-    key, kind = F.col("p_partkey").cast("string"), F.col("p_type")
-    lines = i.table("part").select(
-        F.when(kind == "SMALL", F.concat_ws("\t", key, F.lit("com.site")))
-        .when(kind == "LARGE", F.concat_ws("\t", key, F.lit("com.site"), F.lit("1"), F.lit("more")))
-        .when(kind == "PROMO", F.concat_ws("\t", F.concat(F.lit("x"), key), F.lit("com.site"), F.lit("1")))
-        .when(kind == "MEDIUM", F.concat_ws("\t", (-F.col("p_partkey")).cast("string"), F.lit("com.site"), F.lit("1")))
-        .otherwise(F.concat_ws("\t", key, F.lit("com.site"), F.lit("1")))
-        .alias("value")
+    lines = i.table("part").selectExpr(
+        """case p_type when 'SMALL' then concat_ws('\t', p_partkey, 'com.site')
+                        when 'LARGE' then concat_ws('\t', p_partkey, 'com.site', '1', 'more')
+                        when 'PROMO' then concat_ws('\t', concat('x', p_partkey), 'com.site', '1')
+                        when 'MEDIUM' then concat_ws('\t', -p_partkey, 'com.site', '1')
+                        else concat_ws('\t', p_partkey, 'com.site', '1') end as value"""
     )
     path = new_run_folder(i.spark, "malformed")
     lines.write.option("compression", "gzip").text(path)
@@ -200,7 +199,7 @@ select lower(source_domain) as source_domain, target_domain,
 from fx_graph_edges""",
 )
 def _(i: Inputs) -> DataFrame:
-    weight = F.when(F.col("edge_weight") == 6, "many").otherwise(F.col("edge_weight").cast("string"))
+    weight = F.expr("if(edge_weight = 6, 'many', string(edge_weight))")
     edges = i.graph_edges.select(*records.EDGE_COLUMNS).withColumn("edge_weight", weight)
     return records.read_loose_edges(i.spark, _write_csv(edges, "loose-edges"))
 
@@ -242,15 +241,15 @@ def _(i: Inputs) -> DataFrame:
     root = new_run_folder(i.spark, "extract")
     _extraction(i, root)
     again = _extraction(i, root)
-    rows = [
-        F.struct(
-            F.lit(name).alias("stage"),
-            F.lit(again.stages[name].rows).cast("bigint").alias("rows"),
-            F.lit(again.stages[name].reused).alias("reused"),
-        )
-        for name in STAGES
-    ]
-    return i.spark.range(1).select(F.inline(F.array(*rows)))
+    schema = T.StructType(
+        [
+            T.StructField("stage", T.StringType()),
+            T.StructField("rows", T.LongType()),
+            T.StructField("reused", T.BooleanType()),
+        ]
+    )
+    rows = [(name, again.stages[name].rows, again.stages[name].reused) for name in STAGES]
+    return literal_rows(i.spark, rows, schema)
 
 
 @query("sink_raw_append", "select * from raw_edges")
@@ -386,8 +385,8 @@ def _(i: Inputs) -> DataFrame:
     f"select p_partkey, rank_position, {BUCKET_OF.format('rank_position')} as rank_bucket from fx_site_ranks",
 )
 def _(i: Inputs) -> DataFrame:
-    return i.site_ranks.select(
-        "p_partkey", "rank_position", ranks.rank_bucket(F.col("rank_position")).alias("rank_bucket")
+    return i.site_ranks.selectExpr(
+        "p_partkey", "rank_position", f"{ranks.rank_bucket('rank_position')} as rank_bucket"
     )
 
 
@@ -397,12 +396,12 @@ def _(i: Inputs) -> DataFrame:
 select page_id, spelling, array_to_string(list_reverse(string_split(name, '.')), '.') as reversed from fx_names""",
 )
 def _(i: Inputs) -> DataFrame:
-    return i.names.select("page_id", "spelling", hosts.reverse_labels(F.col("name")).alias("reversed"))
+    return i.names.selectExpr("page_id", "spelling", f"{hosts.reverse_labels('name')} as reversed")
 
 
 @query("normalize_host", f"select page_id, spelling, {_host('name')} as host from fx_names")
 def _(i: Inputs) -> DataFrame:
-    return i.names.select("page_id", "spelling", hosts.normalize_host(F.col("name")).alias("host"))
+    return i.names.selectExpr("page_id", "spelling", f"{hosts.normalize_host('name')} as host")
 
 
 @query(
@@ -416,7 +415,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("absolute_url", f"select page_id, spelling, {_url('name')} as url from fx_names")
 def _(i: Inputs) -> DataFrame:
-    return i.names.select("page_id", "spelling", hosts.absolute_url(F.col("name")).alias("url"))
+    return i.names.selectExpr("page_id", "spelling", f"{hosts.absolute_url('name')} as url")
 
 
 @query(
@@ -426,10 +425,10 @@ select conv_id, turn, nullif(trim(chr(9) || ' ' || if(role = 'system', ' ', text
 from conversations""",
 )
 def _(i: Inputs) -> DataFrame:
-    padded = F.concat(
-        F.lit("\t "), F.when(F.col("role") == "system", " ").otherwise(F.col("text")), F.lit("\xa0\n")
+    padded = "concat('\t ', if(role = 'system', ' ', text), '\xa0\n')"
+    return i.table("conversations").selectExpr(
+        "conv_id", "turn", f"{text.clean_text(padded)} as text"
     )
-    return i.table("conversations").select("conv_id", "turn", text.clean_text(padded).alias("text"))
 
 
 @query(
@@ -440,8 +439,8 @@ select source_url, target_url, list_contains(string_split(translate(lower(ifnull
 from fx_wat""",
 )
 def _(i: Inputs) -> DataFrame:
-    flag = text.infer_nofollow(F.col("http_status") == 404, F.col("rel"))
-    return i.evidence.select("source_url", "target_url", flag.alias("is_nofollow"))
+    flag = text.infer_nofollow("http_status = 404", "rel")
+    return i.evidence.selectExpr("source_url", "target_url", f"{flag} as is_nofollow")
 
 
 FLAG_WORDS = ("TRUE", " yes ", "t", "", "0", "Y\n")
@@ -454,9 +453,9 @@ select l_orderkey, l_partkey, l_linenumber, ifnull(lower(trim(w, {WS})) in ({TRU
 from (select *, ['TRUE', ' yes ', 't', '', '0', 'Y' || chr(10)][l_linenumber] as w from lineitem)""",
 )
 def _(i: Inputs) -> DataFrame:
-    word = F.get(F.array(*[F.lit(w) for w in FLAG_WORDS]), F.col("l_linenumber") - 1)
-    return i.table("lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", text.parse_bool(word).alias("flag")
+    word = f"get(array({sql_list(FLAG_WORDS)}), l_linenumber - 1)"
+    return i.table("lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "l_linenumber", f"{text.parse_bool(word)} as flag"
     )
 
 
@@ -469,15 +468,14 @@ select graph_release_id, rank_entity_type, domain_or_host, try_cast(rank_positio
 from fx_rank_text""",
 )
 def _(i: Inputs) -> DataFrame:
-    position, pagerank = F.col("rank_position"), F.col("pagerank")
-    return i.rank_text.select(
+    return i.rank_text.selectExpr(
         "graph_release_id",
         "rank_entity_type",
         "domain_or_host",
-        text.optional_number(position, "int").alias("rank_position"),
-        text.optional_number(pagerank, "double").alias("pagerank"),
-        text.is_bad_number(position, "int").alias("bad_position"),
-        text.is_bad_number(pagerank, "double").alias("bad_pagerank"),
+        f"{text.optional_number('rank_position', 'int')} as rank_position",
+        f"{text.optional_number('pagerank', 'double')} as pagerank",
+        f"{text.is_bad_number('rank_position', 'int')} as bad_position",
+        f"{text.is_bad_number('pagerank', 'double')} as bad_pagerank",
     )
 
 
@@ -503,12 +501,11 @@ def _with_rules(checked: validate.Checked) -> DataFrame:
 
 def _edge_records(i: Inputs) -> DataFrame:
     """Delivered edges with a company name for the brands 1 to 12 and none for the others."""
-    number = F.regexp_extract("target_domain", "brand([0-9]+)", 1).cast("int")
-    return i.delivered_edges.withColumns(
-        {
-            "target_company": F.when(number <= 12, F.concat(F.lit("B"), number.cast("string"))).otherwise(""),
-            "target_segment": F.when(number <= 30, "known"),
-        }
+    number = "int(regexp_extract(target_domain, 'brand([0-9]+)', 1))"
+    return i.delivered_edges.selectExpr(
+        "*",
+        f"if({number} <= 12, concat('B', {number}), '') as target_company",
+        f"if({number} <= 30, 'known', null) as target_segment",
     )
 
 
@@ -798,10 +795,10 @@ def _(i: Inputs) -> DataFrame:
     return _enriched(i).select(*[c.strip() for c in ENRICHED.split(",")])
 
 
-def _signal(key: str, column: str, value: Callable[[Inputs], F.Column]) -> None:
+def _signal(key: str, column: str, value: Callable[[Inputs], str]) -> None:
     @query(key, f"select graph_release_id, source_domain, {column} from signals")
     def _(i: Inputs) -> DataFrame:
-        return _enriched(i).select("graph_release_id", "source_domain", value(i).alias(column))
+        return _enriched(i).selectExpr("graph_release_id", "source_domain", f"{value(i)} as {column}")
 
 
 _signal("sig_coverage", "competitor_coverage_signal", lambda i: marts.coverage_signal(i.score))
@@ -826,21 +823,18 @@ select url, name, if(list_contains(['bit.ly', 't.co', 'tinyurl.com', 'goo.gl', '
 from n""",
 )
 def _(i: Inputs) -> DataFrame:
-    host = F.regexp_extract("url", "^[a-z]+://([^/]*)", 1)
-    kind = F.col("page_id") % 3
-    changed = F.concat(
-        host, F.when(kind == 0, "").when(kind == 1, "-crack").otherwise(F.repeat(F.lit(".long"), 15))
-    )
-    short = F.get(F.array(*[F.lit(s) for s in i.score.shorteners]), (F.col("page_id") % 5).cast("int"))
-    names = i.table("pages").select("url", F.explode(F.array(changed, short)).alias("name"))
-    return names.withColumn("clean_domain_signal", marts.clean_signal(i.score, "name"))
+    host = "regexp_extract(url, '^[a-z]+://([^/]*)', 1)"
+    end = "case page_id % 3 when 0 then '' when 1 then '-crack' else repeat('.long', 15) end"
+    short = f"get(array({sql_list(i.score.shorteners)}), int(page_id % 5))"
+    names = i.table("pages").selectExpr("url", f"explode(array(concat({host}, {end}), {short})) as name")
+    return names.selectExpr("*", f"{marts.clean_signal(i.score, 'name')} as clean_domain_signal")
 
 
 @query("opp_score", "select graph_release_id, source_domain, opportunity_score from scored")
 def _(i: Inputs) -> DataFrame:
     signals = marts.add_signals(_enriched(i), i.companies, i.score)
-    return signals.select(
-        "graph_release_id", "source_domain", marts.opportunity_score(i.score).alias("opportunity_score")
+    return signals.selectExpr(
+        "graph_release_id", "source_domain", f"{marts.opportunity_score(i.score)} as opportunity_score"
     )
 
 
@@ -902,7 +896,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("dq_expression", "select * from fx_graph_edges where edge_weight > 4")
 def _(i: Inputs) -> DataFrame:
-    return quality.failing_expression(i.graph_edges, F.col("edge_weight") <= 4)
+    return quality.failing_expression(i.graph_edges, "edge_weight <= 4")
 
 
 @query("dq_not_null", "select * from fx_ranks where rank_position is null")
@@ -1090,7 +1084,7 @@ def _(i: Inputs) -> DataFrame:
     )
     companies = measures.measure(
         marts.company_dimension(i.company_rows), "dim_companies", "company_count"
-    ).select(F.lit("companies").alias("target_company"), F.col("company_count").alias("referring_domains"))
+    ).selectExpr("'companies' as target_company", "company_count as referring_domains")
     return domains.unionByName(companies)
 
 

@@ -10,9 +10,8 @@ import json
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -226,23 +225,35 @@ def slug(company: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", company.lower()).strip("_")
 
 
-def any_word(column: Column, words: Iterable[str]) -> Column:
+def sql_text(value: object) -> str:
+    """A value as a SQL literal."""
+    if value is None:
+        return "null"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower() if isinstance(value, bool) else repr(value)
+
+
+def sql_list(values: Iterable[object]) -> str:
+    return ", ".join(sql_text(v) for v in values)
+
+
+def any_word(text: str, words: Iterable[str]) -> str:
     """True when one of the words occurs anywhere in the text.
 
-    `contains` is a plain byte search inside codegen; no regular expression is run per row.
+    `contains` is a plain byte search inside generated code; no regular expression runs per row.
     """
-    return reduce(lambda a, b: a | b, (column.contains(w) for w in words))
+    return "(" + " or ".join(f"contains({text}, {sql_text(w)})" for w in words) + ")"
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A small configured table that needs no file and no Python worker."""
+    """A small configured table as a local relation: no file, no task, and a size Spark knows."""
     if not rows:
         return spark.createDataFrame([], schema)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    cells = ", ".join(f"({sql_list(row)})" for row in rows)
+    names = ", ".join(schema.names)
+    typed = ", ".join(f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema.fields)
+    return spark.sql(f"select {typed} from values {cells} as t({names})")
 
 
 def _load_mapping(path: str) -> Mapping:

@@ -2,37 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from linkharbor.functions.text import strip
 
-_AUTHORITY = r"^[a-z][a-z0-9+.-]*://([^/?#]*)"
-_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"
-
 
-def reverse_labels(name: Column) -> Column:
+def reverse_labels(name: str) -> str:
     """`com.example.blog` <-> `blog.example.com`."""
-    return F.array_join(F.reverse(F.split(name, r"\.")), ".")
+    return rf"array_join(reverse(split({name}, r'\.')), '.')"
 
 
-def normalize_host(value: Column) -> Column:
+def normalize_host(value: str) -> str:
     """Lower-case host of a URL or bare name, without user, port and path; null when there is none.
 
     Underscores and other characters a strict URI parser refuses are kept, as link data has them.
     """
-    lowered = F.lower(strip(value))
-    url = F.when(lowered.contains("://"), lowered).otherwise(F.concat(F.lit("https://"), lowered))
-    authority = F.regexp_extract(F.translate(url, "\t\n\r", ""), _AUTHORITY, 1)
-    server = F.regexp_replace(authority, r"^.*@", "")
-    bracketed = server.startswith("[")
-    host = F.when(bracketed, F.regexp_extract(server, r"^\[([^\]]*)\]", 1)).otherwise(
-        F.regexp_extract(server, r"^([^:\[\]]*)(:|$)", 1)
-    )
-    return F.nullif(host, F.lit(""))
-
-
-def absolute_url(value: Column) -> Column:
+    lowered = f"lower({strip(value)})"
+    url = f"translate(if(contains({lowered}, '://'), {lowered}, concat('https://', {lowered})), '\t\n\r', '')"
+    server = rf"regexp_replace(regexp_extract({url}, r'^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), r'^.*@', '')"
+    bracketed = rf"regexp_extract({server}, r'^\[([^\]]*)\]', 1)"
+    plain = rf"regexp_extract({server}, r'^([^:\[\]]*)(:|$)', 1)"
+    return f"nullif(if(startswith({server}, '['), {bracketed}, {plain}), '')"
+
+
+def absolute_url(value: str) -> str:
     """The trimmed URL when it has a scheme and an authority, else null."""
-    trimmed = strip(value)
-    return F.when(trimmed.rlike(_ABSOLUTE), trimmed)
+    return f"if(rlike({strip(value)}, r'^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]'), {strip(value)}, null)"

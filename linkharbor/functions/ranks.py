@@ -2,34 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from linkharbor.config import RANK_BUCKET_LIMITS, RANK_BUCKETS, sql_list, sql_text
 
-from linkharbor.config import RANK_BUCKET_LIMITS, RANK_BUCKETS
+def rank_bucket(position: str) -> str:
+    """The bucket of a position; null without one."""
+    bounds = zip(RANK_BUCKET_LIMITS, RANK_BUCKETS)
+    steps = " ".join(f"when {position} <= {limit} then {sql_text(name)}" for limit, name in bounds)
+    return f"case {steps} when {position} is not null then {sql_text(RANK_BUCKETS[-1])} end"
 
 
-def rank_bucket(position: Column) -> Column:
-    rule = F.when(position.isNull(), None)
-    for limit, name in zip(RANK_BUCKET_LIMITS, RANK_BUCKETS):
-        rule = rule.when(position <= limit, name)
-    return rule.otherwise(RANK_BUCKETS[-1])
+def bucket_order(bucket: str) -> str:
+    """1 for the best bucket; null for unknown names. A number aggregates inside the hash map."""
+    return f"nullif(array_position(array({sql_list(RANK_BUCKETS)}), {bucket}), 0L)"
 
 
-def bucket_order(bucket: Column) -> Column:
-    """1 for the best bucket; null for unknown names. An int aggregates inside the hash map."""
-    rule = F.when(bucket == RANK_BUCKETS[0], F.lit(1))
-    for order, name in enumerate(RANK_BUCKETS[1:], start=2):
-        rule = rule.when(bucket == name, F.lit(order))
-    return rule
+def bucket_name(order: str) -> str:
+    steps = " ".join(f"when {i} then {sql_text(name)}" for i, name in enumerate(RANK_BUCKETS, start=1))
+    return f"case {order} {steps} end"
 
 
-def bucket_name(order: Column) -> Column:
-    rule = F.when(order == 1, RANK_BUCKETS[0])
-    for position, name in enumerate(RANK_BUCKETS[1:], start=2):
-        rule = rule.when(order == position, name)
-    return rule
-
-
-def best_bucket(bucket: Column) -> Column:
+def best_bucket(bucket: str) -> str:
     """Aggregate: the best known bucket of the group, null without one."""
-    return bucket_name(F.min(bucket_order(bucket)))
+    return bucket_name(f"min({bucket_order(bucket)})")

@@ -1,7 +1,8 @@
 """Registered domains under public-suffix rules, by map-side joins with a small rule table.
 
 One left broadcast join per suffix length looks the last 1, 2, ... labels of a host up; the longest
-rule wins and an exception rule beats a wildcard. No row is exploded and nothing is shuffled.
+rule wins and an exception rule beats a wildcard. No row is exploded, no host is sent anywhere, and
+the broadcast table is the same for every lookup, so Spark builds it once and reuses it.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,32 +42,30 @@ class SuffixRules:
 
 
 def rules_from_list(spark: SparkSession, rules: Iterable[str] = DEFAULT_RULES) -> SuffixRules:
-    rules = tuple(rules)
-    frame = literal_rows(
-        spark, [(r,) for r in rules], T.StructType([T.StructField("rule", T.StringType())])
+    kinds: dict[str, int] = {}
+    for rule in rules:
+        bit = 4 if rule.startswith("!") else 2 if rule.startswith("*.") else 1
+        suffix = rule.removeprefix("!").removeprefix("*.")
+        kinds[suffix] = kinds.get(suffix, 0) | bit
+    schema = T.StructType(
+        [T.StructField("suffix", T.StringType()), T.StructField("kinds", T.IntegerType())]
     )
-    longest = max(len(r.lstrip("!").removeprefix("*.").split(".")) for r in rules)
-    return SuffixRules(_as_table(frame), len(rules), longest)
+    longest = max(len(suffix.split(".")) for suffix in kinds)
+    return SuffixRules(literal_rows(spark, list(kinds.items()), schema), len(kinds), longest)
 
 
 def rules_from_file(spark: SparkSession, path: str) -> SuffixRules:
     """Read a list in the public suffix list's text format; only its ICANN section counts."""
-    text = spark.read.text(path, wholetext=True).select(
-        F.substring_index(
-            F.substring_index("value", "===END ICANN DOMAINS===", 1),
-            "===BEGIN ICANN DOMAINS===",
-            -1,
-        ).alias("value")
+    begin, end = "===BEGIN ICANN DOMAINS===", "===END ICANN DOMAINS==="
+    text = spark.read.text(path, wholetext=True)
+    lines = text.selectExpr(
+        f"explode(split(substring_index(substring_index(value, '{end}', 1), '{begin}', -1), r'\r?\n')) as line"
     )
-    lines = text.select(F.explode(F.split("value", r"\r?\n")).alias("line"))
-    rules = lines.select(F.split(F.trim("line"), r"\s+")[0].alias("rule")).filter(
-        (F.col("rule") != "") & ~F.col("rule").startswith("//") & ~F.col("rule").startswith("=")
+    rules = lines.selectExpr(r"split(trim(line), r'\s+')[0] as rule").filter(
+        "rule <> '' and not startswith(rule, '//') and not startswith(rule, '=')"
     )
-    both = rules.mapInPandas(_with_ascii_form, rules.schema)
-    table = _as_table(both)
-    facts = table.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("suffix", r"\."))).alias("longest")
-    ).first()
+    table = _as_table(rules.mapInPandas(_with_ascii_form, rules.schema))
+    facts = table.selectExpr("count(*) as n", r"max(size(split(suffix, r'\.'))) as longest").first()
     return SuffixRules(table, facts["n"], facts["longest"])
 
 
@@ -75,46 +74,38 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
 
     Addresses and names under no known suffix get null, and so do the suffixes themselves.
     """
-    host, labels, found = f"__{output}_host", f"__{output}_labels", f"__{output}_len"
-    out = df.withColumn(host, F.regexp_replace(normalize_host(F.col(value)), r"[.\u3002\uff0e\uff61]+$", ""))
-    out = out.withColumn(labels, F.split(F.regexp_replace(host, r"[\u3002\uff0e\uff61]", "."), r"\."))
-
-    def tail(n: int) -> Column:
-        return F.when(
-            F.size(labels) >= n,
-            F.array_join(F.slice(F.col(labels), F.size(labels) - n + 1, n), "."),
-        )
-
-    lengths, exceptions = [], []
-    for n in range(1, rules.longest + 1):
-        kind = f"__{output}_kind{n}"
-        side = rules.side().select(F.col("suffix").alias(f"__s{n}"), F.col("kinds").alias(kind))
-        out = out.join(side, tail(n) == F.col(f"__s{n}"), "left").drop(f"__s{n}")
-        kinds = F.coalesce(F.col(kind), F.lit(0))
-        exceptions.append(F.when(kinds.bitwiseAND(4) != 0, F.lit(n - 1)))
-        lengths.append(F.when(kinds.bitwiseAND(1) != 0, F.lit(n)).otherwise(0))
-        lengths.append(
-            F.when((kinds.bitwiseAND(2) != 0) & (F.size(labels) > n), F.lit(n + 1)).otherwise(0)
-        )
-    out = out.withColumn(found, F.coalesce(*exceptions, F.greatest(*lengths, F.lit(0))))
-    name = F.array_join(
-        F.slice(F.col(labels), F.size(labels) - F.col(found), F.col(found) + 1), "."
+    labels, kinds = f"__{output}_labels", [f"__{output}_kind{n}" for n in range(1, rules.longest + 1)]
+    tails = [f"__{output}_tail{n}" for n in range(1, rules.longest + 1)]
+    # Ideographic full stops separate labels too; trailing dots mean nothing.
+    host = f"trim(trailing '.' from translate({normalize_host(value)}, '。．｡', '...'))"
+    out = df.withColumn(labels, F.expr(rf"split({host}, r'\.')"))
+    out = out.selectExpr(
+        "*",
+        *[
+            f"if(size({labels}) >= {n}, array_join(slice({labels}, size({labels}) - {n - 1}, {n}), '.'), null) as {tail}"
+            for n, tail in enumerate(tails, start=1)
+        ],
     )
-    known = (F.col(found) > 0) & (F.size(labels) > F.col(found))
-    out = out.withColumn(output, F.when(known & ~name.startswith("."), name))
-    helpers = [c for c in out.columns if c.startswith(f"__{output}_")]
-    return out.drop(*helpers)
+    for tail, kind in zip(tails, kinds):
+        side = rules.side().selectExpr(f"suffix as {tail}", f"kinds as {kind}")
+        out = out.join(side, tail, "left")
+    matched = [f"if({k} & 1 <> 0, {n}, 0)" for n, k in enumerate(kinds, start=1)]
+    matched += [
+        f"if({k} & 2 <> 0 and size({labels}) > {n}, {n + 1}, 0)" for n, k in enumerate(kinds, start=1)
+    ]
+    exceptions = [f"if({k} & 4 <> 0, {n - 1}, null)" for n, k in enumerate(kinds, start=1)]
+    length = f"coalesce({', '.join(exceptions)}, greatest({', '.join(matched)}))"
+    start = f"size({labels}) - {length}"
+    name = f"array_join(slice({labels}, {start}, {length} + 1), '.')"
+    resolved = f"if({length} > 0 and {start} > 0 and element_at({labels}, greatest({start}, 1)) <> '', {name}, null)"
+    return out.select(*df.columns, F.expr(resolved).alias(output))
 
 
 def _as_table(rules: DataFrame) -> DataFrame:
     """suffix -> kinds, a bit set of 1 rule, 2 wildcard below it, 4 exception."""
-    kind = (
-        F.when(F.col("rule").startswith("!"), 4).when(F.col("rule").startswith("*."), 2).otherwise(1)
-    )
-    return (
-        rules.select(F.regexp_replace("rule", r"^(!|\*\.)", "").alias("suffix"), kind.alias("kind"))
-        .groupBy("suffix")
-        .agg(F.bit_or("kind").alias("kinds"))
+    kind = "case when startswith(rule, '!') then 4 when startswith(rule, '*.') then 2 else 1 end"
+    return rules.groupBy(F.expr(r"regexp_replace(rule, r'^(!|\*\.)', '')").alias("suffix")).agg(
+        F.expr(f"bit_or({kind})").alias("kinds")
     )
 
 

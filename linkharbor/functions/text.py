@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from linkharbor.config import sql_list
 
 # The characters that count as white space when a field is trimmed.
 WHITESPACE = (
@@ -14,35 +13,35 @@ WHITESPACE = (
 TRUE_WORDS = ("1", "true", "t", "yes", "y")
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def strip(text: str) -> str:
+    return f"btrim({text}, '{WHITESPACE}')"
 
 
-def clean_text(text: Column) -> Column:
+def clean_text(text: str) -> str:
     """Trimmed text, null when nothing is left."""
-    return F.nullif(strip(text), F.lit(""))
+    return f"nullif({strip(text)}, '')"
 
 
-def parse_bool(text: Column) -> Column:
-    return F.coalesce(F.lower(strip(text)).isin(*TRUE_WORDS), F.lit(False))
+def parse_bool(text: str) -> str:
+    return f"coalesce(lower({strip(text)}) in ({sql_list(TRUE_WORDS)}), false)"
 
 
-def has_token(text: Column, token: str) -> Column:
+def has_token(text: str, token: str) -> str:
     """True when the token is one of the white-space separated words, in any case."""
-    one_space = F.translate(F.lower(text), WHITESPACE, " " * len(WHITESPACE))
-    return F.coalesce(F.concat(F.lit(" "), one_space, F.lit(" ")).contains(f" {token} "), F.lit(False))
+    spaces = " " * len(WHITESPACE)
+    words = f"concat(' ', translate(lower({text}), '{WHITESPACE}', '{spaces}'), ' ')"
+    return f"coalesce(contains({words}, ' {token} '), false)"
 
 
-def infer_nofollow(is_nofollow: Column, rel: Column) -> Column:
+def infer_nofollow(is_nofollow: str, rel: str) -> str:
     """A nofollow token in rel sets the flag; nothing resets it."""
-    return F.coalesce(is_nofollow, F.lit(False)) | has_token(rel, "nofollow")
+    return f"(coalesce({is_nofollow}, false) or {has_token(rel, 'nofollow')})"
 
 
-def optional_number(text: Column, to_type: str, strict: bool = False) -> Column:
+def optional_number(text: str, to_type: str, strict: bool = False) -> str:
     """Blank becomes null. Other text that is no number raises when strict, else becomes null."""
-    cleaned = clean_text(text)
-    return cleaned.cast(to_type) if strict else cleaned.try_cast(to_type)
+    return f"{'cast' if strict else 'try_cast'}({clean_text(text)} as {to_type})"
 
 
-def is_bad_number(text: Column, to_type: str) -> Column:
-    return clean_text(text).isNotNull() & clean_text(text).try_cast(to_type).isNull()
+def is_bad_number(text: str, to_type: str) -> str:
+    return f"({clean_text(text)} is not null and {optional_number(text, to_type)} is null)"

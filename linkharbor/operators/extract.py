@@ -15,7 +15,7 @@ from linkharbor.functions.ranks import rank_bucket
 
 def target_vertices(vertices: DataFrame, domains: DataFrame) -> DataFrame:
     """Vertices of the tracked domains. `domains` has one column `domain`, already normalized."""
-    wanted = domains.select(reverse_labels(F.col("domain")).alias("reversed_domain"))
+    wanted = domains.selectExpr(f"{reverse_labels('domain')} as reversed_domain")
     return vertices.join(wanted, "reversed_domain", "left_semi").select(
         "node_id", "reversed_domain", "domain", "num_hosts"
     )
@@ -41,9 +41,7 @@ def edges_to_targets(
     """Edges that end at a tracked node. The two limits are trial-run options, off by default."""
     if max_edges is not None:
         edges = edges.limit(max_edges)
-    names = targets.select(
-        F.col("node_id").alias("target_node_id"), F.col("domain").alias("target_domain")
-    )
+    names = targets.selectExpr("node_id as target_node_id", "domain as target_domain")
     kept = edges.join(names, "target_node_id").select(
         "source_node_id", "target_node_id", "target_domain"
     )
@@ -51,7 +49,7 @@ def edges_to_targets(
 
 
 def source_vertices(vertices: DataFrame, kept_edges: DataFrame) -> DataFrame:
-    ids = kept_edges.select(F.col("source_node_id").alias("node_id")).distinct()
+    ids = kept_edges.selectExpr("source_node_id as node_id").distinct()
     return vertices.join(ids, "node_id", "left_semi").select(
         "node_id", "reversed_domain", "domain", "num_hosts"
     )
@@ -59,29 +57,25 @@ def source_vertices(vertices: DataFrame, kept_edges: DataFrame) -> DataFrame:
 
 def source_ranks(ranks: DataFrame, sources: DataFrame) -> DataFrame:
     """Rank records of the linking domains, in the shape the rank loader takes."""
-    return ranks.join(sources.select("reversed_domain"), "reversed_domain", "left_semi").select(
-        F.lit("domain").alias("rank_entity_type"),
-        F.col("domain").alias("domain_or_host"),
-        F.col("harmonic_position").alias("rank_position"),
-        F.col("harmonic_value").alias("harmonic_centrality"),
+    return ranks.join(sources.select("reversed_domain"), "reversed_domain", "left_semi").selectExpr(
+        "'domain' as rank_entity_type",
+        "domain as domain_or_host",
+        "harmonic_position as rank_position",
+        "harmonic_value as harmonic_centrality",
         "pagerank",
-        rank_bucket(F.col("harmonic_position")).alias("rank_bucket"),
+        f"{rank_bucket('harmonic_position')} as rank_bucket",
     )
 
 
 def edge_inputs(kept_edges: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
     """Named edges of weight 1; an edge with an unknown end is dropped."""
-    named_sources = sources.select(
-        F.col("node_id").alias("source_node_id"), F.col("domain").alias("source_domain")
-    )
-    named_targets = targets.select(
-        F.col("node_id").alias("target_node_id"), F.col("domain").alias("target_domain")
-    )
+    named_sources = sources.selectExpr("node_id as source_node_id", "domain as source_domain")
+    named_targets = targets.selectExpr("node_id as target_node_id", "domain as target_domain")
     return (
         kept_edges.select("source_node_id", "target_node_id")
         .join(named_targets, "target_node_id")
         .join(named_sources, "source_node_id")
-        .select("source_domain", "target_domain", F.lit(1).alias("edge_weight"))
+        .selectExpr("source_domain", "target_domain", "1 as edge_weight")
     )
 
 
@@ -93,7 +87,7 @@ def graph_edges(
     A name listed twice in the ranks counts once, so no edge is doubled.
     """
     buckets = ranks.groupBy(F.col("domain_or_host").alias("source_domain")).agg(
-        rank_bucket(F.min("rank_position")).alias("source_domain_rank_bucket")
+        F.expr(f"{rank_bucket('min(rank_position)')} as source_domain_rank_bucket")
     )
     return edge_inputs(kept_edges, sources, targets).join(buckets, "source_domain", "left").select(
         "source_domain", "target_domain", "edge_weight", "source_domain_rank_bucket"

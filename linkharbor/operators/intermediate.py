@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.config import CompanySet, ScoreSettings, any_word, slug
+from linkharbor.config import CompanySet, ScoreSettings, any_word, slug, sql_list, sql_text
 from linkharbor.functions.ranks import best_bucket, bucket_name, bucket_order
+from linkharbor.operators.staging import sorted_names
 
 LINK_GRAIN = ("graph_release_id", "source_domain")
 
@@ -19,26 +20,26 @@ def domain_rank_rollup(
     Staged ranks hold one row per name already; with `one_row_per_name` the grouping, and its
     shuffle, is left out.
     """
-    domains = staged_ranks.filter(F.col("rank_entity_type") == "domain").withColumnRenamed(
+    domains = staged_ranks.filter("rank_entity_type = 'domain'").withColumnRenamed(
         "domain_or_host", "source_domain"
     )
     if one_row_per_name:
-        best = domains.select(
+        best = domains.selectExpr(
             *LINK_GRAIN,
-            F.col("rank_position").alias("best_rank_position"),
+            "rank_position as best_rank_position",
             "harmonic_centrality",
             "pagerank",
-            bucket_name(bucket_order(F.col("rank_bucket"))).alias("best_rank_bucket"),
+            f"{bucket_name(bucket_order('rank_bucket'))} as best_rank_bucket",
         )
     else:
         best = domains.groupBy(*LINK_GRAIN).agg(
             F.min("rank_position").alias("best_rank_position"),
             F.max("harmonic_centrality").alias("harmonic_centrality"),
             F.max("pagerank").alias("pagerank"),
-            best_bucket(F.col("rank_bucket")).alias("best_rank_bucket"),
+            F.expr(f"{best_bucket('rank_bucket')} as best_rank_bucket"),
         )
     return best.withColumn(
-        "high_authority_rank_flag", F.col("best_rank_position") <= score.high_authority_position
+        "high_authority_rank_flag", F.expr(f"best_rank_position <= {score.high_authority_position}")
     )
 
 
@@ -50,26 +51,26 @@ def referring_domain_company(
     The bucket falls back to the rank's bucket. The flag does so only with `flag_from_rank`: as
     staged it is never null, so a plain fallback would never apply.
     """
-    ranks = rollup.select(
+    ranks = rollup.selectExpr(
         *LINK_GRAIN,
-        F.col("best_rank_position").alias("source_domain_rank_position"),
-        F.col("harmonic_centrality").alias("source_domain_harmonic_centrality"),
-        F.col("pagerank").alias("source_domain_pagerank"),
+        "best_rank_position as source_domain_rank_position",
+        "harmonic_centrality as source_domain_harmonic_centrality",
+        "pagerank as source_domain_pagerank",
         "best_rank_bucket",
         "high_authority_rank_flag",
     )
-    flag = F.col("source_high_authority_flag")
+    flag = "source_high_authority_flag"
     if flag_from_rank:
-        flag = flag | F.coalesce("high_authority_rank_flag", F.lit(False))
-    return staged_edges.join(ranks, list(LINK_GRAIN), "left").select(
+        flag = f"({flag} or coalesce(high_authority_rank_flag, false))"
+    return staged_edges.join(ranks, list(LINK_GRAIN), "left").selectExpr(
         *LINK_GRAIN,
         "target_company",
         "target_segment",
         "target_domains",
         "raw_edge_rows",
         "total_edge_weight",
-        F.coalesce("source_domain_rank_bucket", "best_rank_bucket").alias("source_domain_rank_bucket"),
-        F.coalesce(flag, "high_authority_rank_flag", F.lit(False)).alias("source_high_authority_flag"),
+        "coalesce(source_domain_rank_bucket, best_rank_bucket) as source_domain_rank_bucket",
+        f"coalesce({flag}, high_authority_rank_flag, false) as source_high_authority_flag",
         "source_domain_rank_position",
         "source_domain_harmonic_centrality",
         "source_domain_pagerank",
@@ -82,90 +83,77 @@ def company_matrix(links: DataFrame, companies: CompanySet, score: ScoreSettings
 
     The link columns come from the configured companies, so the schema is known before the data.
     """
-    company, segment = F.col("target_company"), F.col("target_segment")
-    rival = company != companies.target.company
-    link_flags = [
-        (F.count(F.when(company == c.company, 1)) > 0).alias(companies.link_column(c.company))
+    rival = f"target_company <> {sql_text(companies.target.company)}"
+    columns = [
+        f"count_if(target_company = {sql_text(c.company)}) > 0 as {companies.link_column(c.company)}"
         for c in companies.companies
     ]
-    segment_counts = [
-        F.count(
-            F.when((segment == name) & rival if name == score.direct_segment else segment == name, 1)
-        ).alias(column)
-        for name, column in score.segment_columns
+    columns.append(f"count_if({rival}) as competitor_count")
+    for segment, name in score.segment_columns:
+        only_rivals = f"{rival} and " if segment == score.direct_segment else ""
+        columns.append(f"count_if({only_rivals}target_segment = {sql_text(segment)}) as {name}")
+    columns += [
+        f"{sorted_names(f'if({rival}, target_company, null)')} as linked_competitors",
+        f"nullif(array_join(sort_array(collect_set(if({rival}, target_segment, null))), ', '), '') as competitor_segments",
+        "sum(total_edge_weight) as total_edge_weight",
+        f"{best_bucket('source_domain_rank_bucket')} as best_rank_bucket",
+        "bool_or(source_high_authority_flag) as source_high_authority_flag",
+        "min(source_domain_rank_position) as source_domain_rank_position",
+        "max(source_domain_harmonic_centrality) as source_domain_harmonic_centrality",
+        "max(source_domain_pagerank) as source_domain_pagerank",
     ]
-    return links.groupBy(*LINK_GRAIN).agg(
-        *link_flags,
-        F.count(F.when(rival, 1)).alias("competitor_count"),
-        *segment_counts,
-        F.sort_array(F.collect_list(F.when(rival, company))).alias("linked_competitors"),
-        F.sort_array(F.collect_set(F.when(rival, segment))).alias("competitor_segments"),
-        F.sum("total_edge_weight").alias("total_edge_weight"),
-        best_bucket(F.col("source_domain_rank_bucket")).alias("best_rank_bucket"),
-        (F.max(F.col("source_high_authority_flag").cast("int")) == 1).alias("source_high_authority_flag"),
-        F.min("source_domain_rank_position").alias("source_domain_rank_position"),
-        F.max("source_domain_harmonic_centrality").alias("source_domain_harmonic_centrality"),
-        F.max("source_domain_pagerank").alias("source_domain_pagerank"),
-    ).withColumns(
-        {
-            name: F.nullif(F.array_join(name, ", "), F.lit(""))
-            for name in ("linked_competitors", "competitor_segments")
-        }
-    )
+    return links.groupBy(*LINK_GRAIN).agg(*[F.expr(c) for c in columns])
 
 
 def competitor_overlap(links: DataFrame, companies: CompanySet) -> DataFrame:
     """Shared and exclusive linking domains of each competitor and the target, per release.
 
-    Whether a domain also links to the target is read off a window over its own rows, one per
-    company, instead of a self-join. The per-company counts of a release then meet in one small
-    row, from which every configured competitor is filled in, with zeros where it has no link.
+    A linking domain is folded to the set of companies it links to, one small row that also tells
+    whether the target is among them, so no self-join is needed. The per-company counts of a
+    release then meet in one row, from which every configured competitor is filled in, with zeros
+    where it has no link.
     """
-    target = companies.target.company
-    pairs = (
-        links.select(*LINK_GRAIN, "target_company")
-        .repartition(*LINK_GRAIN)
-        .distinct()
-        .withColumn(
-            "with_target",
-            F.max(F.col("target_company") == target).over(Window.partitionBy(*LINK_GRAIN)),
-        )
+    target, name = sql_text(companies.target.company), slug(companies.target.company)
+    domains = links.groupBy(*LINK_GRAIN).agg(
+        F.expr("collect_set(target_company) as companies"),
+        F.expr(f"bool_or(target_company = {target}) as with_target"),
     )
-    counts = pairs.groupBy("graph_release_id", "target_company").agg(
-        F.count(F.lit(1)).alias("domains"),
-        F.count(F.when(F.col("with_target"), 1)).alias("shared"),
+    counts = (
+        domains.selectExpr("graph_release_id", "with_target", "explode(companies) as target_company")
+        .groupBy("graph_release_id", "target_company")
+        .agg(F.expr("count(*) as domains"), F.expr("count_if(with_target) as shared"))
     )
-    known = F.col("target_company").isin(*[c.company for c in companies.competitors])
+    rivals = sql_list(c.company for c in companies.competitors)
+    found = f"if(target_company in ({rivals}), struct(target_company, struct(domains, shared)), null)"
     releases = counts.groupBy("graph_release_id").agg(
-        F.coalesce(F.max(F.when(F.col("target_company") == target, F.col("domains"))), F.lit(0)).alias("own"),
-        F.map_from_entries(
-            F.collect_list(F.when(known, F.struct("target_company", F.struct("domains", "shared"))))
-        ).alias("by_company"),
+        F.expr(f"coalesce(max(if(target_company = {target}, domains, null)), 0) as own"),
+        F.expr(f"map_from_entries(collect_list({found})) as by_company"),
     )
-    listed = F.array(
-        *[F.struct(F.lit(c.company).alias("company"), F.lit(c.segment).alias("segment")) for c in companies.competitors]
+    listed = ", ".join(
+        f"struct({sql_text(c.company)} as company, {sql_text(c.segment)} as segment)"
+        for c in companies.competitors
     )
-    dense = releases.withColumn("competitor", F.explode(listed)).select(
+    dense = releases.selectExpr(
+        "graph_release_id", "own", "by_company", f"inline(array({listed}))"
+    ).selectExpr(
         "graph_release_id",
-        F.col("competitor.company").alias("competitor_company"),
-        F.col("competitor.segment").alias("competitor_segment"),
+        "company",
+        "segment",
         "own",
-        F.col("by_company")[F.col("competitor.company")].alias("found"),
+        "coalesce(by_company[company].domains, 0) as domains",
+        "coalesce(by_company[company].shared, 0) as shared",
     )
-    domains, shared = (F.coalesce(F.col(f"found.{c}"), F.lit(0)) for c in ("domains", "shared"))
-    union = domains + F.col("own") - shared
-    name = slug(target)
-    return dense.select(
+    return dense.selectExpr(
         "graph_release_id",
-        "competitor_company",
-        "competitor_segment",
-        domains.alias("competitor_referring_domain_count"),
-        F.col("own").alias(f"{name}_referring_domain_count"),
-        shared.alias("overlap_domain_count"),
-        (domains - shared).alias("competitor_only_domain_count"),
-        (F.col("own") - shared).alias(f"{name}_only_domain_count"),
-        union.alias("union_domain_count"),
-        F.coalesce(shared.cast("double") / F.nullif(union, F.lit(0)), F.lit(0.0)).alias("jaccard_overlap"),
+        "company as competitor_company",
+        "segment as competitor_segment",
+        "domains as competitor_referring_domain_count",
+        f"own as {name}_referring_domain_count",
+        "shared as overlap_domain_count",
+        "domains - shared as competitor_only_domain_count",
+        f"own - shared as {name}_only_domain_count",
+        "domains + own - shared as union_domain_count",
+        "coalesce(double(shared) / nullif(domains + own - shared, 0), 0D) as jaccard_overlap",
     )
 
 
@@ -177,36 +165,27 @@ def evidence_examples(staged_evidence: DataFrame, score: ScoreSettings) -> DataF
     the shuffle, so a domain with a large part of all evidence costs no more than any other.
     """
     example = ("source_url", "target_url", "target_company", "page_title", "anchor_text", "evidence_text")
-    term = any_word(F.col("evidence_text"), score.category_words).cast("int")
-    rows = staged_evidence.select("source_domain", *example, F.coalesce(term, F.lit(0)).alias("term"))
-    rank = F.struct(
-        (1 - F.col("term")).alias("no_term"),
-        F.col("page_title").isNull().alias("no_title"),
-        F.col("anchor_text").isNull().alias("no_anchor"),
-        *[F.col(c) for c in example],
-    )
+    term = f"int(coalesce({any_word('evidence_text', score.category_words)}, false))"
+    rows = staged_evidence.selectExpr("source_domain", *example, f"{term} as term")
+    rank = f"struct(1 - term, page_title is null, anchor_text is null, {', '.join(example)})"
     return (
         rows.groupBy("source_domain")
         .agg(
-            F.count(F.lit(1)).alias("evidence_record_count"),
-            F.sum("term").alias("category_match_count"),
-            (F.count("page_title") > 0).alias("has_page_title"),
-            (F.count("anchor_text") > 0).alias("has_anchor_text"),
-            (F.count("source_url") > 0).alias("has_example_url"),
-            F.min(rank).alias("best"),
+            F.expr("count(*) as evidence_record_count"),
+            F.expr("sum(term) as category_match_count"),
+            F.expr("count(page_title) > 0 as has_page_title"),
+            F.expr("count(anchor_text) > 0 as has_anchor_text"),
+            F.expr("count(source_url) > 0 as has_example_url"),
+            F.expr(f"min({rank}) as best"),
         )
-        .select(
+        .selectExpr(
             "source_domain",
             "evidence_record_count",
             "category_match_count",
             "has_page_title",
             "has_anchor_text",
             "has_example_url",
-            F.col("best.source_url").alias("example_url"),
-            F.col("best.target_url").alias("example_target_url"),
-            F.col("best.target_company").alias("example_target_company"),
-            F.col("best.page_title").alias("example_page_title"),
-            F.col("best.anchor_text").alias("example_anchor_text"),
-            F.col("best.evidence_text").alias("example_evidence_text"),
+            "best.source_url as example_url",
+            *[f"best.{c} as example_{c}" for c in example[1:]],
         )
     )

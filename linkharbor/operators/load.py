@@ -5,29 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.functions.ranks import best_bucket, bucket_order
+from linkharbor.config import sql_list
+from linkharbor.functions.ranks import best_bucket, bucket_name, bucket_order
 from linkharbor.functions.suffixes import SuffixRules, registered_domain
 
-RAW_EDGE_COLUMNS = (
+LINK_KEY = (
     "graph_release_id",
     "source_domain",
     "target_domain",
     "target_company",
     "target_segment",
-    "edge_weight",
-    "source_domain_rank_bucket",
-    "source_high_authority_flag",
-    "loaded_at",
-)
-RAW_RANK_COLUMNS = (
-    "graph_release_id",
-    "rank_entity_type",
-    "domain_or_host",
-    "rank_position",
-    "harmonic_centrality",
-    "pagerank",
-    "rank_bucket",
-    "loaded_at",
 )
 
 
@@ -42,25 +29,29 @@ def load_graph_edges(
     Takes `graph_release_id` and the four edge columns. Untracked targets leave in the map-side
     join; copies of a link merge in the partial aggregate before anything is shuffled.
     """
-    cleaned = edges.select(
+    cleaned = edges.selectExpr(
         "graph_release_id",
-        F.lower("source_domain").alias("source_domain"),
-        F.lower("target_domain").alias("target_domain"),
-        F.coalesce("edge_weight", F.lit(1)).cast("long").alias("edge_weight"),
+        "lower(source_domain) as source_domain",
+        "lower(target_domain) as target_domain",
+        "bigint(coalesce(edge_weight, 1)) as edge_weight",
         "source_domain_rank_bucket",
     )
     merged = (
         cleaned.join(_owners(companies), "target_domain")
-        .groupBy("graph_release_id", "source_domain", "target_domain", "target_company", "target_segment")
+        .groupBy(*LINK_KEY)
         .agg(
             F.sum("edge_weight").alias("edge_weight"),
-            best_bucket(F.col("source_domain_rank_bucket")).alias("source_domain_rank_bucket"),
+            F.expr(f"{best_bucket('source_domain_rank_bucket')} as source_domain_rank_bucket"),
         )
     )
-    high = F.coalesce(F.col("source_domain_rank_bucket").isin(*high_authority_buckets), F.lit(False))
-    return merged.withColumn("source_high_authority_flag", high).withColumn(
-        "loaded_at", loaded_at
-    ).select(*RAW_EDGE_COLUMNS)
+    high = f"coalesce(source_domain_rank_bucket in ({sql_list(high_authority_buckets)}), false)"
+    return merged.select(
+        *LINK_KEY,
+        "edge_weight",
+        "source_domain_rank_bucket",
+        F.expr(f"{high} as source_high_authority_flag"),
+        loaded_at.alias("loaded_at"),
+    )
 
 
 def build_domain_edges(
@@ -79,35 +70,19 @@ def build_domain_edges(
     """
     # The target side first: links to untracked names are gone before the source is looked at.
     tracked = _registered(edges, "target_domain", rules).join(_owners(companies), "target_domain")
-    named = _registered(tracked, "source_domain", rules).select(
-        "graph_release_id",
-        "source_domain",
-        "target_domain",
-        "target_company",
-        "target_segment",
-        F.col("edge_weight").cast("long").alias("edge_weight"),
-        F.col("source_domain_rank_bucket").alias("bucket"),
-    )
-    known = bucket_order(F.col("bucket"))
-    merged = named.groupBy(
-        "graph_release_id", "source_domain", "target_domain", "target_company", "target_segment"
-    ).agg(
-        F.sum("edge_weight").alias("edge_weight"),
-        best_bucket(F.col("bucket")).alias("known_bucket"),
-        F.min(F.when(known.isNull(), F.col("bucket"))).alias("other_bucket"),
-        F.max(
-            F.coalesce(F.col("bucket").isin(*high_authority_buckets), F.lit(False)).cast("int")
-        ).alias("high"),
+    named = _registered(tracked, "source_domain", rules)
+    order, high = bucket_order("source_domain_rank_bucket"), sql_list(high_authority_buckets)
+    merged = named.groupBy(*LINK_KEY).agg(
+        F.expr("sum(bigint(edge_weight)) as edge_weight"),
+        F.expr(f"min({order}) as best"),
+        F.expr(f"min(if({order} is null, source_domain_rank_bucket, null)) as other_bucket"),
+        F.expr(f"bool_or(coalesce(source_domain_rank_bucket in ({high}), false)) as high"),
     )
     out = merged.select(
-        "graph_release_id",
-        "source_domain",
-        "target_domain",
-        "target_company",
-        "target_segment",
+        *LINK_KEY,
         "edge_weight",
-        F.coalesce("known_bucket", "other_bucket").alias("source_domain_rank_bucket"),
-        (F.col("high") == 1).alias("source_high_authority_flag"),
+        F.expr(f"coalesce({bucket_name('best')}, other_bucket) as source_domain_rank_bucket"),
+        F.col("high").alias("source_high_authority_flag"),
         loaded_at.alias("loaded_at"),
     )
     return out.orderBy("source_domain", "target_company") if ordered else out
@@ -115,16 +90,15 @@ def build_domain_edges(
 
 def load_domain_ranks(ranks: DataFrame, loaded_at: Column) -> DataFrame:
     """Loader for rank records: lower-case names, numbers or null, empty bucket as null."""
-    return ranks.select(
+    return ranks.selectExpr(
         "graph_release_id",
         "rank_entity_type",
-        F.lower("domain_or_host").alias("domain_or_host"),
-        F.col("rank_position").try_cast("int").alias("rank_position"),
-        F.col("harmonic_centrality").try_cast("double").alias("harmonic_centrality"),
-        F.col("pagerank").try_cast("double").alias("pagerank"),
-        F.nullif(F.col("rank_bucket"), F.lit("")).alias("rank_bucket"),
-        loaded_at.alias("loaded_at"),
-    )
+        "lower(domain_or_host) as domain_or_host",
+        "try_cast(rank_position as int) as rank_position",
+        "try_cast(harmonic_centrality as double) as harmonic_centrality",
+        "try_cast(pagerank as double) as pagerank",
+        "nullif(rank_bucket, '') as rank_bucket",
+    ).withColumn("loaded_at", loaded_at)
 
 
 def _registered(df: DataFrame, column: str, rules: SuffixRules | None) -> DataFrame:
@@ -136,8 +110,6 @@ def _registered(df: DataFrame, column: str, rules: SuffixRules | None) -> DataFr
 
 def _owners(companies: DataFrame) -> DataFrame:
     """Domain -> company. `companies` is the configured list, broadcast while it is short."""
-    return companies.select(
-        F.col("domain").alias("target_domain"),
-        F.col("company").alias("target_company"),
-        F.col("segment").alias("target_segment"),
+    return companies.selectExpr(
+        "domain as target_domain", "company as target_company", "segment as target_segment"
     )

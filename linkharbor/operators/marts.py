@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.config import CompanySet, ScoreSettings, any_word
+from linkharbor.config import CompanySet, ScoreSettings, any_word, sql_list, sql_text
 from linkharbor.operators.intermediate import competitor_overlap
+from linkharbor.operators.staging import sorted_names
 
 SIGNALS = (
     "competitor_coverage_signal",
@@ -20,7 +21,7 @@ SIGNALS = (
 
 def company_dimension(staged_companies: DataFrame) -> DataFrame:
     return staged_companies.groupBy("company", "role", "segment").agg(
-        F.nullif(F.array_join(F.sort_array(F.collect_list("domain")), ", "), F.lit("")).alias("domains")
+        F.expr(f"{sorted_names('domain')} as domains")
     )
 
 
@@ -30,76 +31,72 @@ def backlink_facts(links: DataFrame) -> DataFrame:
 
 def select_opportunities(matrix: DataFrame, companies: CompanySet) -> DataFrame:
     """Domains that link to a competitor and not to the target."""
-    return matrix.filter((F.col("competitor_count") > 0) & ~F.col(companies.target_link_column))
+    return matrix.filter(f"competitor_count > 0 and not {companies.target_link_column}")
 
 
 def enrich_opportunities(opportunities: DataFrame, examples: DataFrame) -> DataFrame:
     """Add page evidence where a domain has some. Evidence has no release: it counts for each."""
-    joined = opportunities.join(examples, "source_domain", "left")
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("evidence_record_count", "category_match_count")}
-    false = {
-        c: F.coalesce(c, F.lit(False)) for c in ("has_page_title", "has_anchor_text", "has_example_url")
-    }
-    return joined.withColumns(zero | false)
+    kept = [c for c in examples.columns if c.startswith("example_")]
+    return opportunities.join(examples, "source_domain", "left").selectExpr(
+        *opportunities.columns,
+        "coalesce(evidence_record_count, 0) as evidence_record_count",
+        "coalesce(category_match_count, 0) as category_match_count",
+        "coalesce(has_page_title, false) as has_page_title",
+        "coalesce(has_anchor_text, false) as has_anchor_text",
+        "coalesce(has_example_url, false) as has_example_url",
+        *kept,
+    )
 
 
-def coverage_signal(score: ScoreSettings) -> Column:
-    return F.least(F.col("competitor_count").cast("double") / score.full_coverage, F.lit(1.0))
+def coverage_signal(score: ScoreSettings) -> str:
+    return f"least(double(competitor_count) / {score.full_coverage}D, 1D)"
 
 
-def authority_signal(score: ScoreSettings, bucket: str = "best_rank_bucket") -> Column:
-    (first, value), *others = score.authority
-    rule = F.when(F.col(bucket) == first, value)
-    for name, weight in others:
-        rule = rule.when(F.col(bucket) == name, weight)
-    return rule.otherwise(0.0)
+def authority_signal(score: ScoreSettings, bucket: str = "best_rank_bucket") -> str:
+    """The weight of the best bucket, 0 without one."""
+    steps = " ".join(f"when {sql_text(name)} then {weight}D" for name, weight in score.authority)
+    return f"case {bucket} {steps} else 0D end"
 
 
-def segment_signal(companies: CompanySet, score: ScoreSettings) -> Column:
-    def any_link(priority: str) -> Column:
-        names = companies.prioritized(priority)
-        return F.greatest(F.lit(False), F.lit(False), *[F.col(companies.link_column(n)) for n in names])
+def segment_signal(companies: CompanySet, score: ScoreSettings) -> str:
+    """How close the linked competitors are to the target's own market."""
 
-    def any_segment(*segments: str) -> Column:
-        counts = [F.col(score.segment_column(s)) for s in segments]
-        return F.greatest(F.lit(0), *counts) > 0
+    def any_link(priority: str) -> str:
+        columns = [companies.link_column(name) for name in companies.prioritized(priority)]
+        return f"({' or '.join(columns)})" if columns else "false"
 
-    return (
-        F.when(any_link("strong"), 1.0)
-        .when(any_link("secondary") & any_segment(score.direct_segment), 0.85)
-        .when(any_segment(score.direct_segment, *score.near_segments), 0.75)
-        .when(any_segment(*score.side_segments), 0.5)
-        .when(any_segment(*score.far_segments), 0.25)
-        .otherwise(0.0)
+    def any_segment(*segments: str) -> str:
+        return f"({' + '.join(score.segment_column(s) for s in segments)} > 0)"
+
+    steps = (
+        (any_link("strong"), 1.0),
+        (f"{any_link('secondary')} and {any_segment(score.direct_segment)}", 0.85),
+        (any_segment(score.direct_segment, *score.near_segments), 0.75),
+        (any_segment(*score.side_segments), 0.5),
+        (any_segment(*score.far_segments), 0.25),
     )
+    return "coalesce(" + ", ".join(f"if({test}, {value}D, null)" for test, value in steps) + ", 0D)"
 
 
-def category_signal(score: ScoreSettings) -> Column:
-    return F.least(F.col("category_match_count").cast("double") / score.full_category, F.lit(1.0))
+def category_signal(score: ScoreSettings) -> str:
+    return f"least(double(category_match_count) / {score.full_category}D, 1D)"
 
 
-def evidence_signal() -> Column:
+def evidence_signal() -> str:
     """0 without evidence, else .4 and .2 more for each of URL, title and anchor.
 
     Counted in tenths: sums of binary fractions would miss the exact decimal by a hair.
     """
-    parts = [F.col(c).cast("int") for c in ("has_example_url", "has_page_title", "has_anchor_text")]
-    tenths = 4 + 2 * (parts[0] + parts[1] + parts[2])
-    return F.when(F.col("evidence_record_count") == 0, 0.0).otherwise(
-        F.least(tenths, F.lit(10)).cast("double") / 10.0
-    )
+    parts = "int(has_example_url) + int(has_page_title) + int(has_anchor_text)"
+    return f"if(evidence_record_count = 0, 0D, double(4 + 2 * ({parts})) / 10D)"
 
 
-def clean_signal(score: ScoreSettings, name: str = "source_domain") -> Column:
-    domain = F.col(name)
-    return (
-        F.when(domain.isin(*score.shorteners) | any_word(domain, score.spam_words), 0.0)
-        .when(F.length(domain) > score.longest_clean_name, 0.4)
-        .otherwise(1.0)
-    )
+def clean_signal(score: ScoreSettings, name: str = "source_domain") -> str:
+    unwanted = f"({name} in ({sql_list(score.shorteners)}) or {any_word(name, score.spam_words)})"
+    return f"if({unwanted}, 0D, if(length({name}) > {score.longest_clean_name}, 0.4D, 1D))"
 
 
-def add_signals(enriched: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+def signal_values(companies: CompanySet, score: ScoreSettings) -> dict[str, str]:
     values = (
         coverage_signal(score),
         authority_signal(score),
@@ -108,10 +105,15 @@ def add_signals(enriched: DataFrame, companies: CompanySet, score: ScoreSettings
         evidence_signal(),
         clean_signal(score),
     )
-    return enriched.withColumns(dict(zip(SIGNALS, values)))
+    return dict(zip(SIGNALS, values))
+
+
+def add_signals(enriched: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+    signals = signal_values(companies, score)
+    return enriched.selectExpr("*", *[f"{value} as {name}" for name, value in signals.items()])
 
 
-def opportunity_score(score: ScoreSettings) -> Column:
+def opportunity_score(score: ScoreSettings) -> str:
     """Weighted sum of the signals, added left to right, to two decimals.
 
     Tier bounds are hit exactly, so the order of the terms and the rounding are part of the result.
@@ -124,56 +126,48 @@ def opportunity_score(score: ScoreSettings) -> Column:
         score.evidence_points,
         score.clean_points,
     )
-    total = F.lit(points[0]) * F.col(SIGNALS[0])
-    for weight, signal in zip(points[1:], SIGNALS[1:]):
-        total = total + F.lit(weight) * F.col(signal)
-    return F.round(total, 2)
+    return f"round({' + '.join(f'{p} * {signal}' for p, signal in zip(points, SIGNALS))}, 2)"
 
 
-def opportunity_tier(score: ScoreSettings, value: str = "opportunity_score") -> Column:
-    (first, lowest), *others = score.tiers
-    rule = F.when(F.col(value) >= lowest, first)
-    for name, bound in others:
-        rule = rule.when(F.col(value) >= bound, name)
-    return rule.otherwise(score.lowest_tier)
+def opportunity_tier(score: ScoreSettings, value: str = "opportunity_score") -> str:
+    steps = [f"if({value} >= {lowest}D, {sql_text(name)}, null)" for name, lowest in score.tiers]
+    return f"coalesce({', '.join(steps)}, {sql_text(score.lowest_tier)})"
 
 
-def recommended_action(score: ScoreSettings) -> Column:
-    text = F.col("example_evidence_text")
-    unproven = F.col("source_high_authority_flag") & (F.col("evidence_record_count") == 0)
-    return (
-        F.when(any_word(text, score.comparison_words), "Create comparison content")
-        .when(any_word(text, score.partner_words), "Partner/integration outreach")
-        .when(any_word(text, score.community_words), "Community/content outreach")
-        .when(unproven, "Validate with SEO tool")
-        .otherwise("Review manually")
+def recommended_action(score: ScoreSettings) -> str:
+    """What to do about a domain, by the first kind of page its example text points at."""
+    text = "example_evidence_text"
+    steps = (
+        (any_word(text, score.comparison_words), "Create comparison content"),
+        (any_word(text, score.partner_words), "Partner/integration outreach"),
+        (any_word(text, score.community_words), "Community/content outreach"),
+        ("(source_high_authority_flag and evidence_record_count = 0)", "Validate with SEO tool"),
     )
+    return "coalesce(" + ", ".join(f"if({t}, {sql_text(a)}, null)" for t, a in steps) + ", 'Review manually')"
 
 
-def score_explanation() -> Column:
-    return F.format_string(
-        "Links to %d competitor(s): %s. Rank bucket: %s. WAT evidence rows: %d.",
-        F.col("competitor_count"),
-        F.coalesce("linked_competitors", F.lit("none")),
-        F.coalesce("best_rank_bucket", F.lit("unknown")),
-        F.col("evidence_record_count"),
+def score_explanation() -> str:
+    return (
+        "format_string('Links to %d competitor(s): %s. Rank bucket: %s. WAT evidence rows: %d.', "
+        "competitor_count, coalesce(linked_competitors, 'none'), coalesce(best_rank_bucket, 'unknown'), "
+        "evidence_record_count)"
     )
 
 
 def score_opportunities(enriched: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
     """The opportunity mart from enriched opportunities: signals, score, tier, action and reason."""
-    scored = add_signals(enriched, companies, score).withColumn(
-        "opportunity_score", opportunity_score(score)
+    scored = add_signals(enriched, companies, score).selectExpr(
+        "*", f"{opportunity_score(score)} as opportunity_score"
     )
-    return scored.select(
+    return scored.selectExpr(
         "graph_release_id",
-        F.col("source_domain").alias("opportunity_domain"),
-        F.lit(False).alias(companies.target_link_column),
+        "source_domain as opportunity_domain",
+        f"false as {companies.target_link_column}",
         "linked_competitors",
         "competitor_segments",
         "competitor_count",
         *[column for _, column in score.segment_columns],
-        F.col("best_rank_bucket").alias("source_domain_rank_bucket"),
+        "best_rank_bucket as source_domain_rank_bucket",
         "source_high_authority_flag",
         "source_domain_rank_position",
         "source_domain_harmonic_centrality",
@@ -181,14 +175,14 @@ def score_opportunities(enriched: DataFrame, companies: CompanySet, score: Score
         "total_edge_weight",
         *SIGNALS,
         "opportunity_score",
-        opportunity_tier(score).alias("opportunity_tier"),
+        f"{opportunity_tier(score)} as opportunity_tier",
         "example_url",
         "example_target_url",
         "example_target_company",
         "example_page_title",
         "example_anchor_text",
-        recommended_action(score).alias("recommended_action"),
-        score_explanation().alias("score_explanation"),
+        f"{recommended_action(score)} as recommended_action",
+        f"{score_explanation()} as score_explanation",
     )
 
 
@@ -207,52 +201,44 @@ def company_summary(links: DataFrame, companies: CompanySet, score: ScoreSetting
     largest value of each measure and a lookup by company, from which the dense result is read.
     """
     per_domain = links.groupBy("graph_release_id", "target_company", "source_domain").agg(
-        F.max(F.col("source_high_authority_flag").cast("int")).alias("high"),
-        F.sum("total_edge_weight").alias("weight"),
+        F.expr("bool_or(source_high_authority_flag) as high"),
+        F.expr("sum(total_edge_weight) as weight"),
     )
     counts = per_domain.groupBy("graph_release_id", "target_company").agg(
-        F.count("source_domain").alias("domains"),
-        F.count(F.when((F.col("high") == 1) & F.col("source_domain").isNotNull(), 1)).alias("high"),
-        F.coalesce(F.sum("weight"), F.lit(0)).alias("weight"),
+        F.expr("count(source_domain) as domains"),
+        F.expr("count(if(high, source_domain, null)) as high"),
+        F.expr("coalesce(sum(weight), 0) as weight"),
     )
-    known = F.col("target_company").isin(*[c.company for c in companies.companies])
+    known = f"target_company in ({sql_list(c.company for c in companies.companies)})"
     measures = ("domains", "high", "weight")
+    found = f"if({known}, struct(target_company, struct({', '.join(measures)})), null)"
     releases = counts.groupBy("graph_release_id").agg(
-        *[F.max(F.when(known, F.col(m))).alias(f"most_{m}") for m in measures],
-        F.map_from_entries(
-            F.collect_list(F.when(known, F.struct("target_company", F.struct(*measures))))
-        ).alias("by_company"),
+        *[F.expr(f"max(if({known}, {m}, null)) as most_{m}") for m in measures],
+        F.expr(f"map_from_entries(collect_list({found})) as by_company"),
     )
-    listed = F.array(
-        *[
-            F.struct(F.lit(c.company).alias("company"), F.lit(c.role).alias("role"), F.lit(c.segment).alias("segment"))
-            for c in companies.companies
-        ]
+    listed = ", ".join(
+        f"struct({sql_text(c.company)} as company, {sql_text(c.role)} as role, {sql_text(c.segment)} as segment)"
+        for c in companies.companies
     )
-    dense = releases.withColumn("c", F.explode(listed)).withColumn(
-        "found", F.col("by_company")[F.col("c.company")]
+    dense = releases.selectExpr("*", f"inline(array({listed}))").selectExpr(
+        "*", *[f"coalesce(by_company[company].{m}, 0) as {m}" for m in measures]
     )
-    values = {m: F.coalesce(F.col(f"found.{m}"), F.lit(0)) for m in measures}
-    shares = {
-        m: F.coalesce(values[m].cast("double") / F.nullif(F.col(f"most_{m}"), F.lit(0)), F.lit(0.0))
-        for m in measures
-    }
-    strength = sum(
-        (F.lit(p) * shares[m] for p, m in list(zip(score.strength_points, measures))[1:]),
-        F.lit(score.strength_points[0]) * shares[measures[0]],
+    shares = dense.selectExpr(
+        "*", *[f"coalesce(double({m}) / nullif(most_{m}, 0), 0D) as share_{m}" for m in measures]
     )
-    return dense.select(
+    strength = " + ".join(f"{p} * share_{m}" for p, m in zip(score.strength_points, measures))
+    return shares.selectExpr(
         "graph_release_id",
-        F.col("c.company").alias("target_company"),
-        F.col("c.role").alias("role"),
-        F.col("c.segment").alias("target_segment"),
-        values["domains"].alias("referring_domain_count"),
-        values["high"].alias("high_authority_referring_domain_count"),
-        values["weight"].alias("total_edge_weight"),
-        shares["domains"].alias("normalized_referring_domain_count"),
-        shares["high"].alias("normalized_high_authority_referring_domain_count"),
-        shares["weight"].alias("normalized_edge_depth"),
-        F.round(strength, 2).alias("backlink_strength_proxy"),
+        "company as target_company",
+        "role",
+        "segment as target_segment",
+        "domains as referring_domain_count",
+        "high as high_authority_referring_domain_count",
+        "weight as total_edge_weight",
+        "share_domains as normalized_referring_domain_count",
+        "share_high as normalized_high_authority_referring_domain_count",
+        "share_weight as normalized_edge_depth",
+        f"round({strength}, 2) as backlink_strength_proxy",
     )
 
 

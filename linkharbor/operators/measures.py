@@ -8,13 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkharbor.config import sql_text
+
 COUNT, COUNT_DISTINCT, SUM, AVERAGE, MAX = "count", "count_distinct", "sum", "average", "max"
 
+_AGGREGATES = {
+    COUNT: "count({})",
+    COUNT_DISTINCT: "count(distinct {})",
+    SUM: "sum({})",
+    AVERAGE: "avg({})",
+    MAX: "max({})",
+}
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -24,23 +33,12 @@ class Measure:
     filters: tuple[tuple[str, object], ...] = ()
 
     def aggregate(self) -> Column:
-        value = F.lit(1) if self.column is None else F.col(self.column)
+        value = self.column or "1"
         if self.filters:
-            value = F.when(equal_to(self.filters), value)
-        match self.kind:
-            case "count":
-                out = F.count(value)
-            case "count_distinct":
-                out = F.countDistinct(value)
-            case "sum":
-                out = F.sum(value)
-            case "average":
-                out = F.avg(value)
-            case "max":
-                out = F.max(value)
-            case _:
-                raise ValueError(f"unknown aggregate {self.kind!r}")
-        return out.alias(self.name)
+            value = f"if({equal_to(self.filters)}, {value}, null)"
+        if self.kind not in _AGGREGATES:
+            raise ValueError(f"unknown aggregate {self.kind!r}")
+        return F.expr(f"{_AGGREGATES[self.kind].format(value)} as {self.name}")
 
 
 @dataclass(frozen=True)
@@ -136,8 +134,8 @@ TOPICS: dict[str, Topic] = {
 }
 
 
-def equal_to(filters: Sequence[tuple[str, object]]) -> Column:
-    return reduce(lambda a, b: a & b, (F.col(name) == value for name, value in filters))
+def equal_to(filters: Sequence[tuple[str, object]]) -> str:
+    return " and ".join(f"{name} = {sql_text(value)}" for name, value in filters)
 
 
 def measure(df: DataFrame, table: str, *names: str, by: Sequence[str] = ()) -> DataFrame:
@@ -183,8 +181,10 @@ def topic_query(tables: Mapping[str, DataFrame], query: Query) -> DataFrame:
 
 def _join(df: DataFrame, join: Join, other: DataFrame, prefix: str) -> DataFrame:
     left, key = join.on
-    side = other.select(F.col(key).alias("__key"), *[F.col(c).alias(prefix + c) for c in other.columns if c != key])
-    return df.join(side, F.col(left) == F.col("__key"), "left").drop("__key")
+    added = [f"{c} as `{prefix}{c}`" for c in other.columns if c != key]
+    return df.join(other.selectExpr(f"{key} as {left}", *added), left, "left").select(
+        *df.columns, *[f"`{prefix}{c}`" for c in other.columns if c != key]
+    )
 
 
 def _order(column: str, descending: bool) -> Column:

@@ -6,53 +6,47 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkharbor.config import sql_list, sql_text
+
 
 def failing_unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Column combinations that occur more than once (nulls are values here)."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    return df.groupBy(*columns).agg(F.expr("count(*) as n_records")).filter("n_records > 1").drop("n_records")
 
 
-def failing_expression(df: DataFrame, expression: Column) -> DataFrame:
+def failing_expression(df: DataFrame, expression: str) -> DataFrame:
     """Rows for which the expression is false; a null passes."""
-    return df.filter(~expression)
+    return df.filter(f"not ({expression})")
 
 
 def failing_not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
+    return df.filter(f"{column} is null")
 
 
 def failing_unique(df: DataFrame, column: str) -> DataFrame:
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .filter("n_records > 1")
-    )
+    counts = df.filter(f"{column} is not null").groupBy(column).agg(F.expr("count(*) as n_records"))
+    return counts.filter("n_records > 1")
 
 
 def failing_accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Values outside the list with their number of rows; a null passes."""
-    return (
-        df.filter(~F.col(column).isin(*values))
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n_records"))
-    )
+    outside = df.filter(f"{column} not in ({sql_list(values)})")
+    return outside.groupBy(F.col(column).alias("value")).agg(F.expr("count(*) as n_records"))
 
 
 def failing_relationships(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
-    """Child rows whose value no parent row has.
+    """Child values that no parent row has.
 
     The distinct child values are looked up, not the child rows: a value that holds a large part
     of the table crosses the network once per task.
     """
-    values = child.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    known = parent.select(F.col(parent_column).alias("value"))
-    return values.join(known, "value", "left_anti")
+    values = child.filter(f"{column} is not null").selectExpr(f"{column} as value").distinct()
+    return values.join(parent.selectExpr(f"{parent_column} as value"), "value", "left_anti")
 
 
 @dataclass(frozen=True)
@@ -63,8 +57,8 @@ class NotNull:
     def name(self) -> str:
         return f"not_null({self.column})"
 
-    def is_failing(self) -> Column:
-        return F.col(self.column).isNull()
+    def failing(self) -> str:
+        return f"{self.column} is null"
 
 
 @dataclass(frozen=True)
@@ -76,8 +70,8 @@ class AcceptedValues:
     def name(self) -> str:
         return f"accepted_values({self.column})"
 
-    def is_failing(self) -> Column:
-        return ~F.col(self.column).isin(*self.values)
+    def failing(self) -> str:
+        return f"{self.column} not in ({sql_list(self.values)})"
 
 
 @dataclass(frozen=True)
@@ -92,10 +86,10 @@ class Between:
     def name(self) -> str:
         return f"between({self.column})"
 
-    def is_failing(self) -> Column:
-        low = F.lit(False) if self.lowest is None else F.col(self.column) < self.lowest
-        high = F.lit(False) if self.highest is None else F.col(self.column) > self.highest
-        return low | high
+    def failing(self) -> str:
+        low = [] if self.lowest is None else [f"{self.column} < {self.lowest}"]
+        high = [] if self.highest is None else [f"{self.column} > {self.highest}"]
+        return " or ".join(low + high)
 
 
 @dataclass(frozen=True)
@@ -106,8 +100,8 @@ class IsFalse:
     def name(self) -> str:
         return f"is_false({self.column})"
 
-    def is_failing(self) -> Column:
-        return F.col(self.column)
+    def failing(self) -> str:
+        return self.column
 
 
 @dataclass(frozen=True)
@@ -118,11 +112,10 @@ class Unique:
     def name(self) -> str:
         return f"unique({', '.join(self.columns)})"
 
-    def failing(self, df: DataFrame) -> DataFrame:
-        keyed = df
+    def failing_rows(self, df: DataFrame) -> DataFrame:
         if len(self.columns) == 1:
-            keyed = df.filter(F.col(self.columns[0]).isNotNull())
-        return failing_unique_combination(keyed, self.columns)
+            return failing_unique(df, self.columns[0])
+        return failing_unique_combination(df, self.columns)
 
 
 @dataclass(frozen=True)
@@ -156,7 +149,7 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Che
             reports.append(_row_report(df, table, by_row))
         for check in table_checks:
             if isinstance(check, Unique):
-                reports.append(_counted(check.failing(df), table, check.name))
+                reports.append(_counted(check.failing_rows(df), table, check.name))
             elif isinstance(check, References):
                 failing = failing_relationships(
                     df, check.column, tables[check.parent], check.parent_column
@@ -166,21 +159,16 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Che
 
 
 def _row_report(df: DataFrame, table: str, checks: Sequence[RowCheck]) -> DataFrame:
-    counted = df.agg(
-        *[F.count(F.when(c.is_failing(), 1)).alias(f"c{i}") for i, c in enumerate(checks)]
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(checks)
-        ]
+    counted = df.agg(*[F.expr(f"count_if({c.failing()}) as c{i}") for i, c in enumerate(checks)])
+    rows = ", ".join(f"struct({sql_text(c.name)} as check_name, c{i} as failures)" for i, c in enumerate(checks))
+    return counted.selectExpr(
+        f"{sql_text(table)} as table_name", f"inline(array({rows}))"
     )
-    return counted.select(F.lit(table).alias("table_name"), F.inline(rows))
 
 
 def _counted(failing: DataFrame, table: str, name: str) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(table).alias("table_name"), F.lit(name).alias("check_name"), "failures"
+    return failing.agg(F.expr("count(*) as failures")).selectExpr(
+        f"{sql_text(table)} as table_name", f"{sql_text(name)} as check_name", "failures"
     )
 
 

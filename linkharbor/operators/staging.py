@@ -28,25 +28,29 @@ def stage_domain_edges(raw_edges: DataFrame) -> DataFrame:
         "target_segment",
         F.lower("target_domain").alias("target_domain"),
     ).agg(
-        F.count(F.lit(1)).alias("raw_edge_rows"),
-        F.sum(F.coalesce(F.col("edge_weight"), F.lit(1)).cast("long")).alias("total_edge_weight"),
-        F.min(bucket_order(F.col("source_domain_rank_bucket"))).alias("bucket"),
-        F.max(F.coalesce("source_high_authority_flag", F.lit(False)).cast("int")).alias("high"),
-        F.max("loaded_at").alias("loaded_at"),
+        F.expr("count(*) as raw_edge_rows"),
+        F.expr("sum(bigint(coalesce(edge_weight, 1))) as total_edge_weight"),
+        F.expr(f"min({bucket_order('source_domain_rank_bucket')}) as bucket"),
+        F.expr("bool_or(coalesce(source_high_authority_flag, false)) as high"),
+        F.expr("max(loaded_at) as loaded_at"),
     )
-    gathered = (
+    return (
         per_target.repartition("source_domain")
         .groupBy("graph_release_id", "source_domain", "target_company", "target_segment")
         .agg(
-            F.array_join(F.sort_array(F.collect_list("target_domain")), ", ").alias("target_domains"),
-            F.sum("raw_edge_rows").alias("raw_edge_rows"),
-            F.sum("total_edge_weight").alias("total_edge_weight"),
-            bucket_name(F.min("bucket")).alias("source_domain_rank_bucket"),
-            (F.max("high") == 1).alias("source_high_authority_flag"),
-            F.max("loaded_at").alias("loaded_at"),
+            F.expr(f"{sorted_names('target_domain')} as target_domains"),
+            F.expr("sum(raw_edge_rows) as raw_edge_rows"),
+            F.expr("sum(total_edge_weight) as total_edge_weight"),
+            F.expr(f"{bucket_name('min(bucket)')} as source_domain_rank_bucket"),
+            F.expr("bool_or(high) as source_high_authority_flag"),
+            F.expr("max(loaded_at) as loaded_at"),
         )
     )
-    return gathered.withColumn("target_domains", F.nullif("target_domains", F.lit("")))
+
+
+def sorted_names(name: str) -> str:
+    """Aggregate: the values of a bounded group, sorted and joined; null when there is none."""
+    return f"nullif(array_join(sort_array(collect_list({name})), ', '), '')"
 
 
 def stage_domain_ranks(raw_ranks: DataFrame) -> DataFrame:
@@ -73,15 +77,9 @@ def stage_domain_ranks(raw_ranks: DataFrame) -> DataFrame:
 
 def stage_link_evidence(raw_evidence: DataFrame) -> DataFrame:
     """Lower-case names plus one lower-case text to search: URLs, title and anchor."""
-    parts = [
-        F.coalesce(F.col(c), F.lit(""))
-        for c in ("source_url", "target_url", "page_title", "anchor_text")
-    ]
+    columns = ("source_url", "target_url", "page_title", "anchor_text")
+    words = ", ".join(f"coalesce({c}, '')" for c in columns)
+    lowered = {c: F.lower(c) for c in ("source_domain", "source_host", "target_domain")}
     return raw_evidence.withColumns(
-        {
-            "source_domain": F.lower("source_domain"),
-            "source_host": F.lower("source_host"),
-            "target_domain": F.lower("target_domain"),
-            "evidence_text": F.lower(F.concat_ws(" ", *parts)),
-        }
+        lowered | {"evidence_text": F.expr(f"lower(concat_ws(' ', {words}))")}
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.config import ROLES
+from linkharbor.config import ROLES, sql_list, sql_text
 from linkharbor.functions.hosts import absolute_url, normalize_host
 from linkharbor.functions.suffixes import SuffixRules, registered_domain
 from linkharbor.functions.text import clean_text, infer_nofollow
@@ -24,79 +24,75 @@ class Checked:
 
     @property
     def valid(self) -> DataFrame:
-        return self.rows.filter(F.size(FAILED) == 0).drop(FAILED)
+        return self.rows.filter(f"size({FAILED}) = 0").drop(FAILED)
 
     @property
     def rejected(self) -> DataFrame:
-        return self.rows.filter(F.size(FAILED) > 0)
+        return self.rows.filter(f"size({FAILED}) > 0")
 
     def strict(self) -> DataFrame:
         """All rows, or an error at the first row that breaks a rule."""
-        ok = F.when(F.size(FAILED) == 0, True).otherwise(
-            F.raise_error(F.concat(F.lit("record breaks: "), F.array_join(FAILED, ", ")))
-        )
-        return self.rows.filter(ok).drop(FAILED)
+        problem = f"raise_error(concat('record breaks: ', array_join({FAILED}, ', ')))"
+        return self.rows.filter(f"if(size({FAILED}) = 0, true, {problem})").drop(FAILED)
 
 
 def validate_edge_inputs(edges: DataFrame, rules: SuffixRules) -> Checked:
     """Delivered edges before they are mapped to companies."""
-    out = registered_domain(edges, "source_domain", "__source", rules)
-    out = registered_domain(out, "target_domain", "__target", rules)
     return _checked(
-        out,
+        _both_registered(edges, rules),
         {
-            "source_domain": F.col("__source").isNotNull(),
-            "target_domain": F.col("__target").isNotNull(),
-            "edge_weight": F.col("edge_weight").isNull() | (F.col("edge_weight") >= 0),
+            "source_domain": "__source is not null",
+            "target_domain": "__target is not null",
+            "edge_weight": "edge_weight is null or edge_weight >= 0",
         },
-        {"source_domain": F.col("__source"), "target_domain": F.col("__target")},
+        {"source_domain": "__source", "target_domain": "__target"},
         edges.columns,
     )
 
 
 def validate_edges(edges: DataFrame, rules: SuffixRules) -> Checked:
     """Raw edges; both domains become registered domains."""
-    out = registered_domain(edges, "source_domain", "__source", rules)
-    out = registered_domain(out, "target_domain", "__target", rules)
-    weight = F.col("edge_weight")
     return _checked(
-        out,
+        _both_registered(edges, rules),
         {
-            "graph_release_id": _filled("graph_release_id"),
-            "source_domain": F.col("__source").isNotNull(),
-            "target_domain": F.col("__target").isNotNull(),
-            "target_company": _filled("target_company"),
-            "target_segment": _filled("target_segment"),
-            "edge_weight": weight.isNull() | (weight >= 0),
+            "graph_release_id": "length(graph_release_id) > 0",
+            "source_domain": "__source is not null",
+            "target_domain": "__target is not null",
+            "target_company": "length(target_company) > 0",
+            "target_segment": "length(target_segment) > 0",
+            "edge_weight": "edge_weight is null or edge_weight >= 0",
         },
-        {"source_domain": F.col("__source"), "target_domain": F.col("__target")},
+        {"source_domain": "__source", "target_domain": "__target"},
         edges.columns,
     )
 
 
+def _both_registered(edges: DataFrame, rules: SuffixRules) -> DataFrame:
+    out = registered_domain(edges, "source_domain", "__source", rules)
+    return registered_domain(out, "target_domain", "__target", rules)
+
+
 def validate_ranks(ranks: DataFrame, rules: SuffixRules) -> Checked:
     """Raw ranks; the name becomes a host for host rows and a registered domain for others."""
-    out = rank_entity(ranks, rules, "__entity")
     return _checked(
-        out,
+        rank_entity(ranks, rules, "__entity"),
         {
-            "graph_release_id": _filled("graph_release_id"),
-            "rank_entity_type": F.coalesce(F.col("rank_entity_type").isin(*ENTITY_TYPES), F.lit(False)),
-            "domain_or_host": F.col("__entity").isNotNull(),
-            "rank_position": F.col("rank_position").isNull() | (F.col("rank_position") >= 1),
-            "harmonic_centrality": _null_or_not_negative("harmonic_centrality"),
-            "pagerank": _null_or_not_negative("pagerank"),
+            "graph_release_id": "length(graph_release_id) > 0",
+            "rank_entity_type": f"rank_entity_type in ({sql_list(ENTITY_TYPES)})",
+            "domain_or_host": "__entity is not null",
+            "rank_position": "rank_position is null or rank_position >= 1",
+            "harmonic_centrality": "harmonic_centrality is null or harmonic_centrality >= 0",
+            "pagerank": "pagerank is null or pagerank >= 0",
         },
-        {"domain_or_host": F.col("__entity")},
+        {"domain_or_host": "__entity"},
         ranks.columns,
     )
 
 
 def rank_entity(ranks: DataFrame, rules: SuffixRules, output: str) -> DataFrame:
     out = registered_domain(ranks, "domain_or_host", "__registered", rules)
-    name = F.when(
-        F.col("rank_entity_type") == "host", normalize_host(F.col("domain_or_host"))
-    ).otherwise(F.col("__registered"))
+    host = normalize_host("domain_or_host")
+    name = F.expr(f"if(rank_entity_type = 'host', {host}, __registered)")
     return out.withColumn(output, name).drop("__registered")
 
 
@@ -105,32 +101,31 @@ def validate_evidence(evidence: DataFrame, rules: SuffixRules) -> Checked:
     out = evidence
     for value in ("source_domain", "target_domain", "source_url", "target_url"):
         out = registered_domain(out, value, f"__{value}", rules)
-    host = normalize_host(F.col("source_host"))
-    status = F.col("http_status")
+    host = normalize_host("source_host")
     values = {
-        "source_url": absolute_url(F.col("source_url")),
-        "target_url": absolute_url(F.col("target_url")),
-        "source_domain": F.col("__source_domain"),
-        "target_domain": F.col("__target_domain"),
+        "source_url": absolute_url("source_url"),
+        "target_url": absolute_url("target_url"),
+        "source_domain": "__source_domain",
+        "target_domain": "__target_domain",
         "source_host": host,
-        "is_nofollow": infer_nofollow(F.col("is_nofollow"), F.col("rel")),
+        "is_nofollow": infer_nofollow("is_nofollow", "rel"),
     }
-    values |= {name: clean_text(F.col(name)) for name in OPTIONAL_EVIDENCE_TEXT}
     return _checked(
         out,
         {
-            "crawl_id": _filled("crawl_id"),
-            "wat_file_path": _filled("wat_file_path"),
-            "source_url": absolute_url(F.col("source_url")).isNotNull(),
-            "target_url": absolute_url(F.col("target_url")).isNotNull(),
-            "source_host": _equal(host, normalize_host(F.col("source_url"))),
-            "source_domain": _equal(F.col("__source_domain"), F.col("__source_url")),
-            "target_domain": _equal(F.col("__target_domain"), F.col("__target_url")),
-            "target_company": _filled("target_company"),
-            "http_status": status.isNull() | status.between(100, 599),
+            "crawl_id": "length(crawl_id) > 0",
+            "wat_file_path": "length(wat_file_path) > 0",
+            "source_url": f"{absolute_url('source_url')} is not null",
+            "target_url": f"{absolute_url('target_url')} is not null",
+            "source_host": f"{host} = {normalize_host('source_url')}",
+            "source_domain": "__source_domain = __source_url",
+            "target_domain": "__target_domain = __target_url",
+            "target_company": "length(target_company) > 0",
+            "http_status": "http_status is null or http_status between 100 and 599",
         },
         values,
         evidence.columns,
+        OPTIONAL_EVIDENCE_TEXT,
     )
 
 
@@ -140,48 +135,39 @@ def validate_companies(companies: DataFrame, rules: SuffixRules) -> DataFrame:
     Takes one row per company and domain, with a null domain for a company without any.
     """
     out = registered_domain(companies, "domain", "__name", rules)
-    per_company = out.groupBy("company").agg(
-        F.max(F.when(F.col("role").isin(*ROLES), 0).otherwise(1)).alias("bad_role"),
-        F.count("domain").alias("domains"),
-        F.count(F.when(F.col("domain").isNotNull() & F.col("__name").isNull(), 1)).alias("bad_domains"),
+    broken = ", ".join(
+        f"if({test}, {sql_text(rule)}, null)"
+        for rule, test in (
+            ("role_valid", f"bool_or(coalesce(role not in ({sql_list(ROLES)}), true))"),
+            ("has_domain", "count(domain) = 0"),
+            ("domain_resolves", "count_if(domain is not null and __name is null) > 0"),
+        )
+    )
+    per_company = out.groupBy("company").agg(F.expr(f"array_compact(array({broken})) as rules"))
+    company_rules = per_company.selectExpr(
+        "explode(rules) as rule", "company", "string(null) as detail"
     )
-    company_rules = per_company.select(
-        "company",
-        F.explode(
-            F.filter(
-                F.array(
-                    F.when(F.col("bad_role") == 1, F.lit("role_valid")),
-                    F.when(F.col("domains") == 0, F.lit("has_domain")),
-                    F.when(F.col("bad_domains") > 0, F.lit("domain_resolves")),
-                ),
-                lambda rule: rule.isNotNull(),
-            )
-        ).alias("rule"),
-    ).select("rule", "company", F.lit(None).cast("string").alias("detail"))
     # One row per (domain, company) first: a domain held by many companies then counts cheaply.
-    holders = out.filter(F.col("__name").isNotNull()).groupBy("__name", "company").agg(
-        F.count(F.lit(1)).alias("times")
+    holders = out.filter("__name is not null").groupBy("__name", "company").agg(
+        F.expr("count(*) as times")
     )
-    within = holders.filter(F.col("times") > 1).select(
-        F.lit("unique_in_company").alias("rule"), "company", F.col("__name").alias("detail")
+    within = holders.filter("times > 1").selectExpr(
+        "'unique_in_company' as rule", "company", "__name as detail"
     )
     across = (
         holders.groupBy("__name")
-        .agg(F.count(F.lit(1)).alias("holders"))
-        .filter(F.col("holders") > 1)
-        .select(
-            F.lit("unique_across_companies").alias("rule"),
-            F.lit(None).cast("string").alias("company"),
-            F.col("__name").alias("detail"),
+        .agg(F.expr("count(*) as holders"))
+        .filter("holders > 1")
+        .selectExpr(
+            "'unique_across_companies' as rule", "string(null) as company", "__name as detail"
         )
     )
     targets = (
-        companies.agg(F.countDistinct(F.when(F.col("role") == "target", F.col("company"))).alias("n"))
-        .filter(F.col("n") != 1)
-        .select(
-            F.lit("exactly_one_target").alias("rule"),
-            F.lit(None).cast("string").alias("company"),
-            F.col("n").cast("string").alias("detail"),
+        companies.filter("role = 'target'")
+        .agg(F.expr("count(distinct company) as n"))
+        .filter("n <> 1")
+        .selectExpr(
+            "'exactly_one_target' as rule", "string(null) as company", "string(n) as detail"
         )
     )
     return company_rules.unionByName(within).unionByName(across).unionByName(targets)
@@ -191,35 +177,30 @@ def company_for_domain(
     names: DataFrame, value: str, companies: DataFrame, rules: SuffixRules
 ) -> DataFrame:
     """Add company and segment of a name's registered domain; null where nobody owns it."""
-    owners = companies.select(
-        F.col("domain").alias("__owned"),
-        F.col("company").alias("target_company"),
-        F.col("segment").alias("target_segment"),
+    owners = companies.selectExpr(
+        "domain as registered_domain", "company as target_company", "segment as target_segment"
     )
     out = registered_domain(names, value, "registered_domain", rules)
-    return out.join(owners, F.col("registered_domain") == F.col("__owned"), "left").drop("__owned")
+    joined = out.join(owners, "registered_domain", "left")
+    return joined.select(*out.columns, "target_company", "target_segment")
 
 
 def _checked(
-    df: DataFrame, rules: dict[str, Column], values: dict[str, Column], columns: list[str]
+    df: DataFrame,
+    rules: dict[str, str],
+    values: dict[str, str],
+    columns: list[str],
+    cleaned: tuple[str, ...] = (),
 ) -> Checked:
-    failed = F.filter(
-        F.array(*[F.when(F.coalesce(ok, F.lit(False)), None).otherwise(F.lit(name)) for name, ok in rules.items()]),
-        lambda rule: rule.isNotNull(),
+    """Normalized values, raw where that failed, and the names of the rules that do not hold."""
+    broken = ", ".join(
+        f"if(coalesce({test}, false), null, {sql_text(name)})" for name, test in rules.items()
+    )
+    out = {c: f"coalesce({values[c]}, {c})" if c in values else c for c in columns}
+    out |= {c: clean_text(c) for c in cleaned}
+    return Checked(
+        df.selectExpr(
+            *[f"{value} as {c}" for c, value in out.items()],
+            f"array_compact(array({broken})) as {FAILED}",
+        )
     )
-    # A value that could not be normalized keeps its raw text in the rejected rows.
-    kept = [F.coalesce(values[c], F.col(c)).alias(c) if c in values and c not in OPTIONAL_EVIDENCE_TEXT
-            else values.get(c, F.col(c)).alias(c) for c in columns]
-    return Checked(df.select(*kept, failed.alias(FAILED)))
-
-
-def _filled(name: str) -> Column:
-    return F.length(F.col(name)) > 0
-
-
-def _null_or_not_negative(name: str) -> Column:
-    return F.col(name).isNull() | (F.col(name) >= 0)
-
-
-def _equal(left: Column, right: Column) -> Column:
-    return F.coalesce(left == right, F.lit(False))

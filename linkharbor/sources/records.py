@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkharbor.config import sql_list, sql_text
 from linkharbor.functions.text import clean_text, optional_number, parse_bool
 
 EDGE_COLUMNS = ("source_domain", "target_domain", "edge_weight", "source_domain_rank_bucket")
@@ -79,11 +80,11 @@ def read_graph_edges(spark: SparkSession, path: str, strict: bool = True) -> Dat
 
 
 def typed_graph_edges(text: DataFrame, strict: bool = True) -> DataFrame:
-    return text.select(
+    return text.selectExpr(
         "source_domain",
         "target_domain",
-        optional_number(F.col("edge_weight"), "int", strict).alias("edge_weight"),
-        clean_text(F.col("source_domain_rank_bucket")).alias("source_domain_rank_bucket"),
+        f"{optional_number('edge_weight', 'int', strict)} as edge_weight",
+        f"{clean_text('source_domain_rank_bucket')} as source_domain_rank_bucket",
     )
 
 
@@ -94,19 +95,23 @@ def read_domain_ranks(
 
 
 def typed_domain_ranks(text: DataFrame, graph_release_id: str, strict: bool = True) -> DataFrame:
-    kind = F.col("rank_entity_type")
+    kind = "rank_entity_type"
     if strict:
-        kind = F.when(kind.isin(*ENTITY_TYPES), kind).otherwise(
-            F.raise_error(F.concat(F.lit("rank_entity_type must be domain or host, got "), kind))
-        )
-    return text.select(
-        F.lit(graph_release_id).alias("graph_release_id"),
-        kind.alias("rank_entity_type"),
+        problem = f"concat('rank_entity_type must be domain or host, got ', coalesce({kind}, 'null'))"
+        kind = f"if({kind} in ({sql_list(ENTITY_TYPES)}), {kind}, raise_error({problem}))"
+    return text.selectExpr(
+        f"{sql_text(graph_release_id)} as graph_release_id",
+        f"{kind} as rank_entity_type",
         "domain_or_host",
-        optional_number(F.col("rank_position"), "int", strict).alias("rank_position"),
-        optional_number(F.col("harmonic_centrality"), "double", strict).alias("harmonic_centrality"),
-        optional_number(F.col("pagerank"), "double", strict).alias("pagerank"),
-        clean_text(F.col("rank_bucket")).alias("rank_bucket"),
+        *[
+            f"{optional_number(name, to_type, strict)} as {name}"
+            for name, to_type in (
+                ("rank_position", "int"),
+                ("harmonic_centrality", "double"),
+                ("pagerank", "double"),
+            )
+        ],
+        f"{clean_text('rank_bucket')} as rank_bucket",
     )
 
 
@@ -115,17 +120,13 @@ def read_evidence(spark: SparkSession, path: str, crawl_id: str, strict: bool =
 
 
 def typed_evidence(text: DataFrame, crawl_id: str, strict: bool = True) -> DataFrame:
-    def typed(name: str):
-        if name in OPTIONAL_EVIDENCE_TEXT:
-            return clean_text(F.col(name))
-        if name == "is_nofollow":
-            return parse_bool(F.col(name))
-        if name == "http_status":
-            return optional_number(F.col(name), "int", strict)
-        return F.col(name)
-
-    return text.select(
-        F.lit(crawl_id).alias("crawl_id"), *[typed(c).alias(c) for c in EVIDENCE_COLUMNS]
+    typed = {name: clean_text(name) for name in OPTIONAL_EVIDENCE_TEXT} | {
+        "is_nofollow": parse_bool("is_nofollow"),
+        "http_status": optional_number("http_status", "int", strict),
+    }
+    return text.selectExpr(
+        f"{sql_text(crawl_id)} as crawl_id",
+        *[f"{typed.get(name, name)} as {name}" for name in EVIDENCE_COLUMNS],
     )
 
 
@@ -135,9 +136,9 @@ def read_loose_edges(spark: SparkSession, path: str) -> DataFrame:
 
 
 def loose_edges(text: DataFrame) -> DataFrame:
-    return text.select(
-        F.lower("source_domain").alias("source_domain"),
-        F.lower("target_domain").alias("target_domain"),
-        F.coalesce(F.col("edge_weight").try_cast("int"), F.lit(1)).alias("edge_weight"),
-        F.nullif(F.col("source_domain_rank_bucket"), F.lit("")).alias("source_domain_rank_bucket"),
+    return text.selectExpr(
+        "lower(source_domain) as source_domain",
+        "lower(target_domain) as target_domain",
+        "coalesce(try_cast(edge_weight as int), 1) as edge_weight",
+        "nullif(source_domain_rank_bucket, '') as source_domain_rank_bucket",
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,27 +50,20 @@ class Scan:
 
 
 def scan_vertices(spark: SparkSession, path: str, strict: bool = False) -> Scan:
-    valid = (F.col("node_id") >= 0) & (F.col("reversed_domain") != "") & (F.col("num_hosts") >= 0)
-    scan = _scan(spark, path, _VERTEX, valid, strict)
-    return Scan(scan.rows.withColumn("domain", reverse_labels(F.col("reversed_domain"))), scan.rejected)
+    valid = "node_id >= 0 and reversed_domain <> '' and num_hosts >= 0"
+    return _named(_scan(spark, path, _VERTEX, valid, strict))
 
 
 def scan_edges(spark: SparkSession, path: str, strict: bool = False) -> Scan:
-    valid = (F.col("source_node_id") >= 0) & (F.col("target_node_id") >= 0)
-    return _scan(spark, path, _EDGE, valid, strict)
+    return _scan(spark, path, _EDGE, "source_node_id >= 0 and target_node_id >= 0", strict)
 
 
 def scan_ranks(spark: SparkSession, path: str, strict: bool = False) -> Scan:
     valid = (
-        (F.col("harmonic_position") >= 1)
-        & (F.col("harmonic_value") >= 0)
-        & (F.col("pagerank_position") >= 1)
-        & (F.col("pagerank") >= 0)
-        & (F.col("reversed_domain") != "")
-        & F.col("num_hosts").isNotNull()
+        "harmonic_position >= 1 and harmonic_value >= 0 and pagerank_position >= 1 "
+        "and pagerank >= 0 and reversed_domain <> '' and num_hosts is not null"
     )
-    scan = _scan(spark, path, _RANK, valid, strict, comment="#")
-    return Scan(scan.rows.withColumn("domain", reverse_labels(F.col("reversed_domain"))), scan.rejected)
+    return _named(_scan(spark, path, _RANK, valid, strict, comment="#"))
 
 
 def sample_rows(rows: DataFrame, n: int, order_by: str) -> DataFrame:
@@ -95,7 +88,7 @@ def _scan(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    valid: Column,
+    valid: str,
     strict: bool,
     comment: str | None = None,
 ) -> Scan:
@@ -110,12 +103,19 @@ def _scan(
         .csv(path)
     )
     # `valid` reads every column, so column pruning cannot hide a broken field.
-    good = F.col(BAD_LINE).isNull() & F.coalesce(valid, F.lit(False))
-    as_line = F.concat_ws("\t", *[F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema.fields])
-    line = F.coalesce(F.col(BAD_LINE), as_line)
+    good = f"({BAD_LINE} is null and coalesce({valid}, false))"
+    cells = ", ".join(f"coalesce(string({name}), '')" for name in schema.names)
+    line = f"coalesce({BAD_LINE}, concat_ws('\t', {cells}))"
     if strict:
-        no_bad_line = F.when(good, True).otherwise(
-            F.raise_error(F.concat(F.lit("cannot read the web-graph line: "), line))
+        rows = rows.filter(
+            f"if({good}, true, raise_error(concat('cannot read the web-graph line: ', {line})))"
         )
-        rows = rows.filter(no_bad_line)
-    return Scan(rows.filter(good).select(*schema.names), rows.filter(~good).select(line.alias(BAD_LINE)))
+    return Scan(
+        rows.filter(good).select(*schema.names),
+        rows.filter(f"not {good}").selectExpr(f"{line} as {BAD_LINE}"),
+    )
+
+
+def _named(scan: Scan) -> Scan:
+    named = scan.rows.withColumn("domain", F.expr(reverse_labels("reversed_domain")))
+    return Scan(named, scan.rejected)
