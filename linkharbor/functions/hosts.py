@@ -10,17 +10,34 @@ def reverse_labels(name: str) -> str:
     return rf"array_join(reverse(split({name}, r'\.')), '.')"
 
 
-def normalize_host(value: str) -> str:
-    """Lower-case host of a URL or bare name, without user, port and path; null when there is none.
+# Scheme or, without any "://", none; user up to the last "@"; then a bracketed address or a name
+# that ends at the port, the path or the end. Possessive, so a user name is never taken for a host.
+_HOST = (
+    r"^(?:[a-z][a-z0-9+.-]*+://|(?!.*://))(?:[^/?#]*@)?+"
+    r"(\[[^\]/?#]*\]|[^:\[\]/?#]*(?=[:/?#]|$))"
+)
+
 
-    Underscores and other characters a strict URI parser refuses are kept, as link data has them.
+def host_or_empty(value: str) -> str:
+    """Lower-case host of a URL or bare name, without user, port and path; '' when there is none.
+
+    One pass of one expression. Underscores and other characters a strict URI parser refuses are
+    kept, as link data has them.
     """
     lowered = f"lower({strip(value)})"
-    url = f"translate(if(contains({lowered}, '://'), {lowered}, concat('https://', {lowered})), '\t\n\r', '')"
-    server = rf"regexp_replace(regexp_extract({url}, r'^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), r'^.*@', '')"
-    bracketed = rf"regexp_extract({server}, r'^\[([^\]]*)\]', 1)"
-    plain = rf"regexp_extract({server}, r'^([^:\[\]]*)(:|$)', 1)"
-    return f"nullif(if(startswith({server}, '['), {bracketed}, {plain}), '')"
+    return remove(f"regexp_extract({remove(lowered, '\t', '\n', '\r')}, r'{_HOST}', 1)", "[", "]")
+
+
+def normalize_host(value: str) -> str:
+    """As `host_or_empty`, with null for no host. The array keeps it to one evaluation."""
+    return f"get(array_remove(array({host_or_empty(value)}), ''), 0)"
+
+
+def remove(text: str, *characters: str) -> str:
+    """Without these characters; `replace` hands text back untouched when there is none."""
+    for character in characters:
+        text = f"replace({text}, '{character}')"
+    return text
 
 
 def absolute_url(value: str) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkharbor.config import literal_rows
-from linkharbor.functions.hosts import normalize_host
+from linkharbor.functions.hosts import host_or_empty
 from linkharbor.session import MAX_BROADCAST_ROWS
 
 # A short default rule list. Pass the published list by path for real runs.
@@ -29,29 +29,43 @@ DEFAULT_RULES = (
 )
 
 
+RULE, WILDCARD, EXCEPTION = 1, 2, 4
+
+
 @dataclass(frozen=True)
 class SuffixRules:
-    """Rule table plus the two facts a plan needs: rows (broadcast check) and longest rule."""
+    """Rule table (suffix, labels, kinds) with its size and the kinds found at each length.
+
+    `kinds` is a bit set per suffix: a rule itself, a wildcard below it, an exception.
+    """
 
     table: DataFrame
     rows: int
-    longest: int
+    kinds_of_length: dict[int, int]
 
-    def side(self) -> DataFrame:
-        return F.broadcast(self.table) if self.rows <= MAX_BROADCAST_ROWS else self.table
+    def of_length(self, labels: int) -> DataFrame:
+        rules = self.table.filter(f"labels = {labels}").select("suffix", "kinds")
+        return F.broadcast(rules) if self.rows <= MAX_BROADCAST_ROWS else rules
 
 
 def rules_from_list(spark: SparkSession, rules: Iterable[str] = DEFAULT_RULES) -> SuffixRules:
     kinds: dict[str, int] = {}
     for rule in rules:
-        bit = 4 if rule.startswith("!") else 2 if rule.startswith("*.") else 1
+        kind = EXCEPTION if rule.startswith("!") else WILDCARD if rule.startswith("*.") else RULE
         suffix = rule.removeprefix("!").removeprefix("*.")
-        kinds[suffix] = kinds.get(suffix, 0) | bit
+        kinds[suffix] = kinds.get(suffix, 0) | kind
+    rows = [(suffix, len(suffix.split(".")), kind) for suffix, kind in kinds.items()]
     schema = T.StructType(
-        [T.StructField("suffix", T.StringType()), T.StructField("kinds", T.IntegerType())]
+        [
+            T.StructField("suffix", T.StringType()),
+            T.StructField("labels", T.IntegerType()),
+            T.StructField("kinds", T.IntegerType()),
+        ]
     )
-    longest = max(len(suffix.split(".")) for suffix in kinds)
-    return SuffixRules(literal_rows(spark, list(kinds.items()), schema), len(kinds), longest)
+    of_length: dict[int, int] = {}
+    for _, labels, kind in rows:
+        of_length[labels] = of_length.get(labels, 0) | kind
+    return SuffixRules(literal_rows(spark, rows, schema), len(rows), of_length)
 
 
 def rules_from_file(spark: SparkSession, path: str) -> SuffixRules:
@@ -64,9 +78,20 @@ def rules_from_file(spark: SparkSession, path: str) -> SuffixRules:
     rules = lines.selectExpr(r"split(trim(line), r'\s+')[0] as rule").filter(
         "rule <> '' and not startswith(rule, '//') and not startswith(rule, '=')"
     )
-    table = _as_table(rules.mapInPandas(_with_ascii_form, rules.schema))
-    facts = table.selectExpr("count(*) as n", r"max(size(split(suffix, r'\.'))) as longest").first()
-    return SuffixRules(table, facts["n"], facts["longest"])
+    kind = (
+        f"case when startswith(rule, '!') then {EXCEPTION} "
+        f"when startswith(rule, '*.') then {WILDCARD} else {RULE} end"
+    )
+    table = (
+        rules.mapInPandas(_with_ascii_form, rules.schema)
+        .groupBy(F.expr(r"regexp_replace(rule, r'^(!|\*\.)', '')").alias("suffix"))
+        .agg(F.expr(f"bit_or({kind})").alias("kinds"))
+        .selectExpr("suffix", "length(suffix) - length(replace(suffix, '.')) + 1 as labels", "kinds")
+    )
+    # A handful of rows: one per rule length.
+    facts = table.groupBy("labels").agg(F.expr("bit_or(kinds) as kinds"), F.expr("count(*) as n"))
+    lengths = facts.collect()
+    return SuffixRules(table, sum(r["n"] for r in lengths), {r["labels"]: r["kinds"] for r in lengths})
 
 
 def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules) -> DataFrame:
@@ -74,39 +99,36 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
 
     Addresses and names under no known suffix get null, and so do the suffixes themselves.
     """
-    labels, kinds = f"__{output}_labels", [f"__{output}_kind{n}" for n in range(1, rules.longest + 1)]
-    tails = [f"__{output}_tail{n}" for n in range(1, rules.longest + 1)]
-    # Ideographic full stops separate labels too; trailing dots mean nothing.
-    host = f"trim(trailing '.' from translate({normalize_host(value)}, '。．｡', '...'))"
-    out = df.withColumn(labels, F.expr(rf"split({host}, r'\.')"))
-    out = out.selectExpr(
-        "*",
-        *[
-            f"if(size({labels}) >= {n}, array_join(slice({labels}, size({labels}) - {n - 1}, {n}), '.'), null) as {tail}"
-            for n, tail in enumerate(tails, start=1)
-        ],
+    host, length = f"__{output}_host", f"__{output}_length"
+    # Ideographic full stops separate labels too; trailing dots mean nothing. A name that is a
+    # plain lower-case host already, the usual case, needs no cleaning.
+    cleaned = host_or_empty(value)
+    for stop in "。．｡":
+        cleaned = f"replace({cleaned}, '{stop}', '.')"
+    plain = r"^[a-z0-9_-]+(\.[a-z0-9_-]+)*$"
+    out = df.withColumn(
+        host, F.expr(f"if(rlike({value}, r'{plain}'), {value}, trim(trailing '.' from {cleaned}))")
     )
-    for tail, kind in zip(tails, kinds):
-        side = rules.side().selectExpr(f"suffix as {tail}", f"kinds as {kind}")
-        out = out.join(side, tail, "left")
-    matched = [f"if({k} & 1 <> 0, {n}, 0)" for n, k in enumerate(kinds, start=1)]
-    matched += [
-        f"if({k} & 2 <> 0 and size({labels}) > {n}, {n + 1}, 0)" for n, k in enumerate(kinds, start=1)
-    ]
-    exceptions = [f"if({k} & 4 <> 0, {n - 1}, null)" for n, k in enumerate(kinds, start=1)]
-    length = f"coalesce({', '.join(exceptions)}, greatest({', '.join(matched)}))"
-    start = f"size({labels}) - {length}"
-    name = f"array_join(slice({labels}, {start}, {length} + 1), '.')"
-    resolved = f"if({length} > 0 and {start} > 0 and element_at({labels}, greatest({start}, 1)) <> '', {name}, null)"
-    return out.select(*df.columns, F.expr(resolved).alias(output))
-
-
-def _as_table(rules: DataFrame) -> DataFrame:
-    """suffix -> kinds, a bit set of 1 rule, 2 wildcard below it, 4 exception."""
-    kind = "case when startswith(rule, '!') then 4 when startswith(rule, '*.') then 2 else 1 end"
-    return rules.groupBy(F.expr(r"regexp_replace(rule, r'^(!|\*\.)', '')").alias("suffix")).agg(
-        F.expr(f"bit_or({kind})").alias("kinds")
+    lengths, exceptions = ["0", "0"], []
+    for n, found in sorted(rules.kinds_of_length.items()):
+        kinds, tail = f"__{output}_kinds{n}", f"substring_index({host}, '.', -{n})"
+        side = rules.of_length(n).selectExpr(f"suffix as __suffix", f"kinds as {kinds}")
+        out = out.join(side, F.expr(f"{tail} = __suffix"), "left").drop("__suffix")
+        if found & RULE:
+            lengths.append(f"if({kinds} & {RULE} <> 0, {n}, 0)")
+        if found & WILDCARD:
+            lengths.append(f"if({kinds} & {WILDCARD} <> 0 and {host} <> {tail}, {n + 1}, 0)")
+        if found & EXCEPTION:
+            exceptions.append(f"if({kinds} & {EXCEPTION} <> 0, {n - 1}, null)")
+    longest = f"coalesce({', '.join([*exceptions, f'greatest({", ".join(lengths)})'])})"
+    out = out.select(*df.columns, host, F.expr(longest).alias(length))
+    # One label more than the suffix; a host that is the suffix itself has no such label.
+    name = f"substring_index({host}, '.', -1 - {length})"
+    resolved = (
+        f"if({length} > 0 and {host} <> substring_index({host}, '.', -{length}) "
+        f"and not startswith({name}, '.'), {name}, null)"
     )
+    return out.select(*df.columns, F.expr(resolved).alias(output))
 
 
 def _with_ascii_form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

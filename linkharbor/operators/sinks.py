@@ -12,7 +12,6 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,12 +72,16 @@ def replace_release(df: DataFrame, path: str, release: str, partition: str = REL
 
 def read_raw(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A raw table with its full schema; a table nothing was written to yet reads as empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system the path names, be it local, HDFS or an object store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return folder.getFileSystem(conf).exists(folder)
 
 
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> int:
@@ -125,9 +128,6 @@ class StageFolder:
         return Stage(name, rows, self.spark.read.schema(built.schema).parquet(data), False)
 
     def _manifest(self, path: str):
-        try:
-            return self.spark.read.schema("rows bigint, schema string").parquet(path).first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, path):
             return None
+        return self.spark.read.schema("rows bigint, schema string").parquet(path).first()
