@@ -696,7 +696,9 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _staged(i: Inputs) -> dict[str, DataFrame]:
-    return staged_tables(i.company_frame, i.raw_edges, i.raw_ranks, i.evidence)
+    return staged_tables(
+        i.company_frame, i.raw_edges, i.raw_ranks, i.evidence, lower_edge_names=False
+    )
 
 
 @query("stg_domain_edges", "select * from staged_edges")

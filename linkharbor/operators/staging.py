@@ -12,21 +12,20 @@ def stage_companies(companies: DataFrame) -> DataFrame:
     return companies.select("company", "role", "segment", "domain")
 
 
-def stage_domain_edges(raw_edges: DataFrame) -> DataFrame:
+def stage_domain_edges(raw_edges: DataFrame, lower_names: bool = True) -> DataFrame:
     """One row per release, source domain, company and segment.
 
     Two steps. The first merges copies of a link, map-side before its shuffle, so a source or
     company that holds a large part of all rows shrinks to one row per target domain there. The
     second gathers what is left of a source, at most one row per tracked domain and segment, and
-    leaves the result partitioned by source domain: the later joins and groupings by release and
-    source need no shuffle of their own.
+    leaves the result partitioned by release and source: the later joins and groupings by these
+    need no shuffle of their own. With `lower_names` off, for edges straight from a loader
+    that has lowered them, the first step finds its grouping done and shuffles nothing.
     """
+    if lower_names:
+        raw_edges = raw_edges.withColumns({c: F.lower(c) for c in ("source_domain", "target_domain")})
     per_target = raw_edges.groupBy(
-        "graph_release_id",
-        F.lower("source_domain").alias("source_domain"),
-        "target_company",
-        "target_segment",
-        F.lower("target_domain").alias("target_domain"),
+        "graph_release_id", "source_domain", "target_domain", "target_company", "target_segment"
     ).agg(
         F.expr("count(*) as raw_edge_rows"),
         F.expr("sum(bigint(coalesce(edge_weight, 1))) as total_edge_weight"),
@@ -35,7 +34,7 @@ def stage_domain_edges(raw_edges: DataFrame) -> DataFrame:
         F.expr("max(loaded_at) as loaded_at"),
     )
     return (
-        per_target.repartition("source_domain")
+        per_target.repartition("graph_release_id", "source_domain")
         .groupBy("graph_release_id", "source_domain", "target_company", "target_segment")
         .agg(
             F.expr(f"{sorted_names('target_domain')} as target_domains"),
@@ -53,15 +52,21 @@ def sorted_names(name: str) -> str:
     return f"nullif(array_join(sort_array(collect_list({name})), ', '), '')"
 
 
-def stage_domain_ranks(raw_ranks: DataFrame) -> DataFrame:
+def stage_domain_ranks(raw_ranks: DataFrame, entity_type: str | None = None) -> DataFrame:
     """One row per release, entity type and name: the lowest position, then the latest load.
 
     Remaining ties are broken by the values themselves so that reruns agree. The filter on the
     row number becomes a group limit that runs before the shuffle, so copies of a name are
-    dropped where they are read.
+    dropped where they are read. With one entity type asked for, the rows come partitioned by
+    release and name, as the join with the links wants them.
     """
+    keys = ["graph_release_id", "domain_or_host"]
+    if entity_type is None:
+        keys.append("rank_entity_type")
+    else:
+        raw_ranks = raw_ranks.filter(F.col("rank_entity_type") == entity_type)
     named = raw_ranks.withColumn("domain_or_host", F.lower("domain_or_host"))
-    best_first = Window.partitionBy("graph_release_id", "rank_entity_type", "domain_or_host").orderBy(
+    best_first = Window.partitionBy(*keys).orderBy(
         F.asc_nulls_last("rank_position"),
         F.desc_nulls_last("loaded_at"),
         F.desc_nulls_last("harmonic_centrality"),

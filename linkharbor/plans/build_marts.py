@@ -25,21 +25,27 @@ WRITTEN = (
 
 
 def staged_tables(
-    companies: DataFrame, raw_edges: DataFrame, raw_ranks: DataFrame, raw_evidence: DataFrame
+    companies: DataFrame,
+    raw_edges: DataFrame,
+    raw_ranks: DataFrame,
+    raw_evidence: DataFrame,
+    lower_edge_names: bool = True,
 ) -> dict[str, DataFrame]:
     return {
         "stg_companies": staging.stage_companies(companies),
-        "stg_domain_edges": staging.stage_domain_edges(raw_edges),
+        "stg_domain_edges": staging.stage_domain_edges(raw_edges, lower_edge_names),
         "stg_domain_ranks": staging.stage_domain_ranks(raw_ranks),
+        "ranked_domains": staging.stage_domain_ranks(raw_ranks, "domain"),
         "stg_wat_link_evidence": staging.stage_link_evidence(raw_evidence),
     }
 
 
 def links_plan(staged: dict[str, DataFrame], settings: Settings) -> DataFrame:
+    """Staged edges and ranked domains come partitioned by release and name, so this join, the
+    matrix and the summary move no link again."""
     rollup = intermediate.domain_rank_rollup(
-        staged["stg_domain_ranks"], settings.score, one_row_per_name=True
+        staged["ranked_domains"], settings.score, one_row_per_name=True
     )
-    # Same partitioning as the staged edges, so the join adds no shuffle on the larger side.
     return intermediate.referring_domain_company(
         staged["stg_domain_edges"], rollup, settings.flag_from_rank
     )
@@ -72,7 +78,7 @@ def write_marts(
 
     rollup = table(
         "int_domain_rank_rollup",
-        intermediate.domain_rank_rollup(staged["stg_domain_ranks"], score, one_row_per_name=True),
+        intermediate.domain_rank_rollup(staged["ranked_domains"], score, one_row_per_name=True),
     )
     links = table(
         "int_referring_domain_company",
