@@ -100,15 +100,16 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
     Addresses and names under no known suffix get null, and so do the suffixes themselves.
     """
     host, length = f"__{output}_host", f"__{output}_length"
-    # Ideographic full stops separate labels too; trailing dots mean nothing. A name that is a
-    # plain lower-case host already, the usual case, needs no cleaning.
-    cleaned = host_or_empty(value)
+    # A name that is a plain lower-case host already, the usual case, needs no cleaning. The rest
+    # goes through a lambda: its long expression is then called from the generated code instead of
+    # being written out in it, which keeps the stage's loop short enough for the JVM to compile.
+    # Ideographic full stops separate labels too; trailing dots mean nothing.
+    cleaned = host_or_empty("v")
     for stop in "。．｡":
         cleaned = f"replace({cleaned}, '{stop}', '.')"
+    cleaned = f"get(transform(array({value}), v -> trim(trailing '.' from {cleaned})), 0)"
     plain = r"^[a-z0-9_-]+(\.[a-z0-9_-]+)*$"
-    out = df.withColumn(
-        host, F.expr(f"if(rlike({value}, r'{plain}'), {value}, trim(trailing '.' from {cleaned}))")
-    )
+    out = df.withColumn(host, F.expr(f"if(rlike({value}, r'{plain}'), {value}, {cleaned})"))
     lengths, exceptions = ["0", "0"], []
     for n, found in sorted(rules.kinds_of_length.items()):
         kinds, tail = f"__{output}_kinds{n}", f"substring_index({host}, '.', -{n})"
