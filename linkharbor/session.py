@@ -37,16 +37,18 @@ def shared_folder(spark: SparkSession) -> str:
 
     A machine-local folder is only made up in local mode, where driver and executor share a disk.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_DIR
+    context = spark.sparkContext
+    configured = (
+        spark.conf.get(CHECKPOINT_DIR, None)
+        or context.getConf().get(CHECKPOINT_DIR)
+        or context.getCheckpointDir()
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="linkharbor-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="linkharbor-"))
+    return context.getCheckpointDir()
 
 
 def new_run_folder(spark: SparkSession, name: str) -> str:
