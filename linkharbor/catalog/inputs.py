@@ -65,7 +65,7 @@ ANCHORS = (
     "looker alternative, compare",
     "partner integration",
     "community newsletter post",
-    "embedded analytics",
+    "embedded analytics partner",
     "semantic layer and dbt",
     "us vs them",
     "more words",

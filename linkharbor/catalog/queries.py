@@ -364,10 +364,9 @@ def _(i: Inputs) -> DataFrame:
 
 @query("assemble_graph_edges", "select * from named_edges")
 def _(i: Inputs) -> DataFrame:
-    targets = _small_targets(i)
-    kept = extract.edges_to_targets(i.edges, targets)
+    kept = extract.edges_to_targets(i.edges, _small_targets(i))
     sources = _sources(i, kept)
-    return extract.graph_edges(kept, sources, targets, extract.source_ranks(i.named_ranks, sources))
+    return extract.graph_edges(kept, sources, extract.source_ranks(i.named_ranks, sources))
 
 
 @query("edges_to_inputs", "select source_domain, target_domain, edge_weight from named_edges")
@@ -739,7 +738,8 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _matrix(i: Inputs) -> DataFrame:
-    return intermediate.company_matrix(_links(i), i.companies, i.score)
+    # The links are loaded with these very companies.
+    return intermediate.company_matrix(_links(i), i.companies, i.score, configured=True)
 
 
 @query("int_matrix", "select * from matrix")
@@ -841,7 +841,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _opportunities(i: Inputs) -> DataFrame:
-    return opportunities_plan(_staged(i), i.settings)
+    return opportunities_plan(_staged(i), i.settings, configured=True)
 
 
 def _opportunity_part(key: str, *columns: str) -> None:

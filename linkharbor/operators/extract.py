@@ -79,16 +79,19 @@ def edge_inputs(kept_edges: DataFrame, sources: DataFrame, targets: DataFrame) -
     )
 
 
-def graph_edges(
-    kept_edges: DataFrame, sources: DataFrame, targets: DataFrame, ranks: DataFrame
-) -> DataFrame:
+def graph_edges(kept_edges: DataFrame, sources: DataFrame, ranks: DataFrame) -> DataFrame:
     """Named edges with the rank bucket of their source, null where it has no rank.
 
-    A name listed twice in the ranks counts once, so no edge is doubled.
+    The bucket joins the sources first, so the kept edges, the larger side by far, are shuffled
+    once, by source id, and have their target's name already. A source with a large part of all
+    edges is split by AQE. A name listed twice in the ranks counts once, so no edge is doubled.
     """
-    buckets = ranks.groupBy(F.col("domain_or_host").alias("source_domain")).agg(
+    buckets = ranks.groupBy(F.col("domain_or_host").alias("domain")).agg(
         F.expr(f"{rank_bucket('min(rank_position)')} as source_domain_rank_bucket")
     )
-    return edge_inputs(kept_edges, sources, targets).join(buckets, "source_domain", "left").select(
-        "source_domain", "target_domain", "edge_weight", "source_domain_rank_bucket"
+    named = sources.join(buckets, "domain", "left").selectExpr(
+        "node_id as source_node_id", "domain as source_domain", "source_domain_rank_bucket"
+    )
+    return kept_edges.join(named, "source_node_id").selectExpr(
+        "source_domain", "target_domain", "1 as edge_weight", "source_domain_rank_bucket"
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.config import CompanySet, ScoreSettings, any_word, slug, sql_list, sql_text
+from linkharbor.config import Company, CompanySet, ScoreSettings, any_word, slug, sql_list, sql_text
 from linkharbor.functions.ranks import best_bucket, bucket_name, bucket_order
 from linkharbor.operators.staging import sorted_names
 
@@ -78,23 +80,41 @@ def referring_domain_company(
     )
 
 
-def company_matrix(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+def as_configured(links: DataFrame, companies: CompanySet) -> bool:
+    """True when every link belongs to a configured company in its configured segment.
+
+    Links loaded with the same configuration always do; older releases may not. Give it a written
+    table: two columns are read and at most one row comes back.
+    """
+    pairs = sql_list(f"{c.company}\n{c.segment}" for c in companies.companies)
+    unknown = f"coalesce(concat(target_company, '\n', target_segment) not in ({pairs}), true)"
+    return links.filter(unknown).select("target_company").limit(1).count() == 0
+
+
+def company_matrix(
+    links: DataFrame, companies: CompanySet, score: ScoreSettings, configured: bool = False
+) -> DataFrame:
     """One row per release and linking domain; a group holds at most one row per company.
 
     The link columns come from the configured companies, so the schema is known before the data.
+    With `configured` (see `as_configured`) the name lists are read off the counts per company:
+    all that is aggregated are numbers, which stay in the generated hash aggregate. Otherwise the
+    names are collected, so that companies no longer configured are listed too.
     """
     rival = f"target_company <> {sql_text(companies.target.company)}"
-    columns = [
-        f"count_if(target_company = {sql_text(c.company)}) > 0 as {companies.link_column(c.company)}"
-        for c in companies.companies
-    ]
-    columns.append(f"count_if({rival}) as competitor_count")
-    for segment, name in score.segment_columns:
-        only_rivals = f"{rival} and " if segment == score.direct_segment else ""
-        columns.append(f"count_if({only_rivals}target_segment = {sql_text(segment)}) as {name}")
-    columns += [
-        f"{sorted_names(f'if({rival}, target_company, null)')} as linked_competitors",
-        f"nullif(array_join(sort_array(collect_set(if({rival}, target_segment, null))), ', '), '') as competitor_segments",
+    counts = {c.company: f"n_{slug(c.company)}" for c in companies.companies}
+    aggregates = [f"count_if(target_company = {sql_text(c)}) as {n}" for c, n in counts.items()]
+    if not configured:
+        aggregates += [
+            f"count_if({rival}) as competitor_count",
+            f"{sorted_names(f'if({rival}, target_company, null)')} as linked_competitors",
+            f"nullif(array_join(sort_array(collect_set(if({rival}, target_segment, null))), ', '), '')"
+            " as competitor_segments",
+        ]
+        for segment, name in score.segment_columns:
+            only_rivals = f"{rival} and " if segment == score.direct_segment else ""
+            aggregates.append(f"count_if({only_rivals}target_segment = {sql_text(segment)}) as {name}")
+    aggregates += [
         "sum(total_edge_weight) as total_edge_weight",
         f"{best_bucket('source_domain_rank_bucket')} as best_rank_bucket",
         "bool_or(source_high_authority_flag) as source_high_authority_flag",
@@ -102,7 +122,42 @@ def company_matrix(links: DataFrame, companies: CompanySet, score: ScoreSettings
         "max(source_domain_harmonic_centrality) as source_domain_harmonic_centrality",
         "max(source_domain_pagerank) as source_domain_pagerank",
     ]
-    return links.groupBy(*LINK_GRAIN).agg(*[F.expr(c) for c in columns])
+    grouped = links.groupBy(*LINK_GRAIN).agg(*[F.expr(a) for a in aggregates])
+    derived = _from_counts(companies, score, counts) if configured else {}
+    names = ["competitor_count", *[n for _, n in score.segment_columns], "linked_competitors", "competitor_segments"]
+    return grouped.selectExpr(
+        *LINK_GRAIN,
+        *[f"{n} > 0 as {companies.link_column(c)}" for c, n in counts.items()],
+        *[f"{derived.get(n, n)} as {n}" for n in names],
+        "total_edge_weight",
+        "best_rank_bucket",
+        "source_high_authority_flag",
+        "source_domain_rank_position",
+        "source_domain_harmonic_centrality",
+        "source_domain_pagerank",
+    )
+
+
+def _from_counts(companies: CompanySet, score: ScoreSettings, counts: dict[str, str]) -> dict[str, str]:
+    """Counts and lists of linked companies and segments, as expressions over counts per company."""
+
+    def total(members: Iterable[Company]) -> str:
+        return " + ".join(["0L", *[counts[c.company] for c in members]])
+
+    rivals = sorted(companies.competitors, key=lambda c: c.company)
+    out = {"competitor_count": total(rivals)}
+    for segment, name in score.segment_columns:
+        members = rivals if segment == score.direct_segment else companies.companies
+        out[name] = total(c for c in members if c.segment == segment)
+    # A company is listed as often as it is linked; the last separator is cut off.
+    listed = ", ".join(f"repeat({sql_text(c.company + ', ')}, int({counts[c.company]}))" for c in rivals)
+    out["linked_competitors"] = f"nullif(regexp_replace(concat({listed}, ''), ', $', ''), '')"
+    segments = ", ".join(
+        f"if({total(c for c in rivals if c.segment == segment)} > 0, {sql_text(segment)}, null)"
+        for segment in sorted({c.segment for c in rivals})
+    )
+    out["competitor_segments"] = f"nullif(concat_ws(', ', array({segments})), '')" if segments else "string(null)"
+    return out
 
 
 def competitor_overlap(links: DataFrame, companies: CompanySet) -> DataFrame:

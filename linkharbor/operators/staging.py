@@ -37,7 +37,7 @@ def stage_domain_edges(raw_edges: DataFrame, lower_names: bool = True) -> DataFr
         per_target.repartition("graph_release_id", "source_domain")
         .groupBy("graph_release_id", "source_domain", "target_company", "target_segment")
         .agg(
-            F.expr(f"{sorted_names('target_domain')} as target_domains"),
+            F.expr("listagg(target_domain, ', ') within group (order by target_domain) as target_domains"),
             F.expr("sum(raw_edge_rows) as raw_edge_rows"),
             F.expr("sum(total_edge_weight) as total_edge_weight"),
             F.expr(f"{bucket_name('min(bucket)')} as source_domain_rank_bucket"),

@@ -51,10 +51,15 @@ def links_plan(staged: dict[str, DataFrame], settings: Settings) -> DataFrame:
     )
 
 
-def opportunities_plan(staged: dict[str, DataFrame], settings: Settings) -> DataFrame:
-    """The opportunity mart from staged tables, without writing anything in between."""
+def opportunities_plan(
+    staged: dict[str, DataFrame], settings: Settings, configured: bool = False
+) -> DataFrame:
+    """The opportunity mart from staged tables, without writing anything in between.
+
+    Say `configured` when the edges were loaded with the same companies.
+    """
     matrix = intermediate.company_matrix(
-        links_plan(staged, settings), settings.companies, settings.score
+        links_plan(staged, settings), settings.companies, settings.score, configured
     )
     examples = intermediate.evidence_examples(staged["stg_wat_link_evidence"], settings.score)
     return marts.backlink_opportunities(matrix, examples, settings.companies, settings.score)
@@ -88,7 +93,9 @@ def write_marts(
     )
     matrix = table(
         "int_referring_domain_company_matrix",
-        intermediate.company_matrix(links, companies, score),
+        intermediate.company_matrix(
+            links, companies, score, intermediate.as_configured(links, companies)
+        ),
     )
     overlap = table("int_competitor_overlap", intermediate.competitor_overlap(links, companies))
     examples = table(

@@ -63,8 +63,7 @@ def extract_release(
     sources = folder.stage("source_vertices", lambda: extract.source_vertices(vertices, kept.frame))
     found = folder.stage("domain_ranks", lambda: extract.source_ranks(ranks, sources.frame))
     named = folder.stage(
-        "graph_edges",
-        lambda: extract.graph_edges(kept.frame, sources.frame, small_targets, found.frame),
+        "graph_edges", lambda: extract.graph_edges(kept.frame, sources.frame, found.frame)
     )
     scanned = edges.count() if max_edges is None else edges.limit(max_edges).count()
     stages = {s.name: s for s in (targets, kept, sources, found, named)}

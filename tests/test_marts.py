@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from linkharbor.operators import intermediate, marts, quality, staging
@@ -177,6 +178,22 @@ def test_matrix(links, companies, settings):
         assert row["source_high_authority_flag"] == any(r["source_high_authority_flag"] for r in rs)
 
 
+def test_matrix_of_configured_companies_is_the_same(spark, links, companies, settings):
+    assert intermediate.as_configured(links, companies)
+    collected = intermediate.company_matrix(links, companies, settings.score)
+    counted = intermediate.company_matrix(links, companies, settings.score, configured=True)
+    assert counted.schema == collected.schema or counted.columns == collected.columns
+    assert rows(counted) == rows(collected)
+    twice = links.union(links)  # a list names a company as often as it is linked
+    assert rows(intermediate.company_matrix(twice, companies, settings.score, configured=True)) == rows(
+        intermediate.company_matrix(twice, companies, settings.score)
+    )
+    stranger = links.withColumn("target_company", F.lit("Gone"))
+    assert not intermediate.as_configured(links.unionByName(stranger.limit(1)), companies)
+    moved = links.withColumn("target_segment", F.lit(None).cast("string"))
+    assert not intermediate.as_configured(links.unionByName(moved.limit(1)), companies)
+
+
 def test_overlap_and_summary(spark, links, companies, settings):
     held = defaultdict(set)
     high, weight = defaultdict(set), Counter()
