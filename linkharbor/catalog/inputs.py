@@ -158,9 +158,11 @@ class Inputs:
             "concat('com.site', p_partkey) as reversed_domain",
             "int(1 + p_size % 5) as num_hosts",
         )
+        linked = self.table("supplier").selectExpr(f"1 + s_suppkey % {BRANDS} as node_id")
+        named = self.table("part").selectExpr("bigint(substring_index(p_brand, '#', -1)) as node_id")
         brands = (
-            self.table("supplier")
-            .selectExpr(f"1 + s_suppkey % {BRANDS} as node_id")
+            linked.distinct()
+            .unionByName(named.distinct())
             .distinct()
             .selectExpr("node_id", "concat('com.brand', node_id) as reversed_domain", "9 as num_hosts")
         )

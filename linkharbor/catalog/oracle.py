@@ -104,9 +104,8 @@ select p_partkey + 1000 as node_id, 'com.site' || p_partkey as reversed_domain,
        cast(1 + p_size % 5 as int) as num_hosts, 'site' || p_partkey || '.com' as domain
 from part
 union all
-select distinct 1 + s_suppkey % {BRANDS}, 'com.brand' || (1 + s_suppkey % {BRANDS}), 9,
-       'brand' || (1 + s_suppkey % {BRANDS}) || '.com'
-from supplier""",
+select k, 'com.brand' || k, 9, 'brand' || k || '.com'
+from (select 1 + s_suppkey % {BRANDS} as k from supplier union select cast(split_part(p_brand, '#', 2) as bigint) from part)""",
     "fx_edges": f"select l_partkey + 1000 as source_node_id, 1 + l_suppkey % {BRANDS} as target_node_id from lineitem",
     "fx_site_ranks": """
 select p_partkey, p_type, cast(1 + (x * x * 6) // 10000 as int) as rank_position

@@ -10,11 +10,11 @@ from linkharbor.sources import records, webgraph
 
 
 def test_vertices(spark, tmp_path):
-    path = write_lines(tmp_path / "v.txt", "1\tco.own\t7", '2\tcom."far\t120', "11\ttech.hex.blog\t1")
+    path = write_lines(tmp_path / "v.txt", "1\tco.own\t7", '2\tcom."far\t120', "11\ttech.acme.blog\t1")
     scan = webgraph.scan_vertices(spark, path)
     assert rows(scan.rows) == [
         (1, "co.own", 7, "own.co"),
-        (11, "tech.hex.blog", 1, "blog.hex.tech"),
+        (11, "tech.acme.blog", 1, "blog.acme.tech"),
         (2, 'com."far', 120, '"far.com'),
     ]
     assert rows(scan.rejected) == []
@@ -90,9 +90,9 @@ def test_graph_edges_csv(spark, tmp_path):
 
 def test_domain_ranks_csv(spark, tmp_path):
     header = ",".join(records.RANK_COLUMNS)
-    path = write_lines(tmp_path / "r.csv", header, "host,https://blog.hex.tech/post,10,0.5,0.2,top_10k")
+    path = write_lines(tmp_path / "r.csv", header, "host,https://blog.acme.tech/post,10,0.5,0.2,top_10k")
     assert rows(records.read_domain_ranks(spark, path, "rel")) == [
-        ("rel", "host", "https://blog.hex.tech/post", 10, 0.5, 0.2, "top_10k")
+        ("rel", "host", "https://blog.acme.tech/post", 10, 0.5, 0.2, "top_10k")
     ]
     bad = write_lines(tmp_path / "bad.csv", header, "page,a.com,10,0.5,0.2,top_10k")
     with pytest.raises(Exception, match="must be domain or host, got page"):
