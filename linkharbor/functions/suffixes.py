@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from linkharbor.config import literal_rows
 from linkharbor.functions.hosts import host_or_empty
-from linkharbor.session import MAX_BROADCAST_ROWS
+from linkharbor.session import MAX_BROADCAST_ROWS, materialize
 
 # A short default rule list. Pass the published list by path for real runs.
 DEFAULT_RULES = (
@@ -88,7 +88,8 @@ def rules_from_file(spark: SparkSession, path: str) -> SuffixRules:
         .agg(F.expr(f"bit_or({kind})").alias("kinds"))
         .selectExpr("suffix", "length(suffix) - length(replace(suffix, '.')) + 1 as labels", "kinds")
     )
-    # A handful of rows: one per rule length.
+    # Written once, since every lookup reads it. The facts are a handful of rows, one per length.
+    table = materialize(table.coalesce(1), "suffix-rules")
     facts = table.groupBy("labels").agg(F.expr("bit_or(kinds) as kinds"), F.expr("count(*) as n"))
     lengths = facts.collect()
     return SuffixRules(table, sum(r["n"] for r in lengths), {r["labels"]: r["kinds"] for r in lengths})
@@ -113,7 +114,7 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
     lengths, exceptions = ["0", "0"], []
     for n, found in sorted(rules.kinds_of_length.items()):
         kinds, tail = f"__{output}_kinds{n}", f"substring_index({host}, '.', -{n})"
-        side = rules.of_length(n).selectExpr(f"suffix as __suffix", f"kinds as {kinds}")
+        side = rules.of_length(n).selectExpr("suffix as __suffix", f"kinds as {kinds}")
         out = out.join(side, F.expr(f"{tail} = __suffix"), "left").drop("__suffix")
         if found & RULE:
             lengths.append(f"if({kinds} & {RULE} <> 0, {n}, 0)")
