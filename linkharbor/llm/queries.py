@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkharbor.llm import chat_format, content_dedup, packing, token_count, token_files
+from linkharbor.llm import (
+    chat_format,
+    content_dedup,
+    decontaminate,
+    language,
+    near_dedup,
+    packing,
+    token_count,
+    token_files,
+    toxicity,
+)
+from linkharbor.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +34,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     return content_dedup.mark_copies(documents).select(
@@ -48,14 +63,46 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(documents, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.learn(language.training_rows(documents))
+    return language.identify(documents, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     manifest = token_files.write_token_files(documents, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return token_files.read_token_files(manifest)
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_classes(_table(spark, folder, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").select("doc_id", "toxic")
+    lexicon = toxicity.learn(documents, toxicity.training_rows(labels))
+    return toxicity.score(documents, lexicon).select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_chat_formatting, op4_packing, op5_token_counts, op7_token_files)
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_exact_dedup,
+        op3_chat_formatting,
+        op4_packing,
+        op5_token_counts,
+        op6_language_id,
+        op7_token_files,
+        op9_near_dedup,
+        op10_toxicity,
+    )
 }
 
 _ESCAPED = "replace(replace({}, '\\', '\\s'), '<', '\\l')"
