@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkharbor.session import materialize
+
 # Rows an Arrow batch may hold: long texts come one batch at a time to a Python worker.
 BATCH_ROWS = 256
 
@@ -36,3 +38,17 @@ def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | Non
     """(ids, texts) of each batch made by id_and_text."""
     for batch in batches:
         yield batch.column(0).to_pylist(), batch.column(1).to_pylist()
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes a stage to the shared folder and reads on from there; its shuffle files go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(_CLEANUP, before)

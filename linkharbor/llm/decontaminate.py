@@ -23,9 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.llm.common import batch_of, id_and_text, small_batches, texts_of
+from linkharbor.llm.common import batch_of, id_and_text, small_batches, staged, texts_of
 from linkharbor.llm.shingles import SHINGLE, WordHashes, shingle_hashes
-from linkharbor.session import materialize
 
 SIMILARITY = 0.8
 RADIUS = 3
@@ -203,7 +202,7 @@ def find_leaks(
     for items in item_blocks(benchmark, item_col, text_col, block_words):
         part = rows.mapInArrow(_searcher(items), "doc_id long, item_id long, similarity double, start_word long")
         if found is not None or len(items.ids) >= block_words:
-            part = materialize(part, "leaks")  # many blocks: one is in flight at a time
+            part = staged(part, "leaks")  # many blocks: one is in flight at a time
         found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.selectExpr(

@@ -18,9 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from linkharbor.llm.common import batch_of, id_and_text, small_batches
+from linkharbor.llm.common import batch_of, id_and_text, small_batches, staged
 from linkharbor.llm.pieces import encoder
-from linkharbor.session import materialize
 
 LIMIT = 4096
 _RANKS = 1 << 44  # more than the pieces of any one length
@@ -109,7 +108,7 @@ def pack(
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A length can be that of a third of all pieces, so ranks are counted by length and bucket.
-    pieces = materialize(
+    pieces = staged(
         cut_pieces(df, path, end_id, limit, id_col, text_col).withColumn(
             "bucket", F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(partitions))
         ),

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from linkharbor.llm import (
     chat_format,
     content_dedup,
@@ -15,6 +16,7 @@ from linkharbor.llm import (
     language,
     near_dedup,
     packing,
+    parse_dedup,
     token_count,
     token_files,
     toxicity,
@@ -77,6 +79,10 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_dedup.find_repeats(_table(spark, folder, "documents")).drop("starts", "ends")
+
+
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_classes(_table(spark, folder, "documents"))
 
@@ -90,6 +96,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -100,8 +110,10 @@ QUERIES: dict[str, Query] = {
         op5_token_counts,
         op6_language_id,
         op7_token_files,
+        op8_substring_dedup,
         op9_near_dedup,
         op10_toxicity,
+        pipeline,
     )
 }
 

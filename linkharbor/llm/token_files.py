@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from linkharbor.llm.common import batch_of, id_and_text, small_batches
+from linkharbor.llm.common import batch_of, id_and_text, small_batches, staged
 from linkharbor.llm.pieces import encoder
-from linkharbor.session import materialize, new_run_folder
+from linkharbor.session import new_run_folder
 
 FRAME_IDS = 1 << 16
 LEVEL = 1
@@ -167,7 +167,7 @@ def write_token_files(
     rows = small_batches(id_and_text(df, id_col, text_col))
     ordered = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", "text")
     manifest = ordered.mapInArrow(run, "file string, part long, doc_id long, at long, n_tokens long")
-    return materialize(manifest, "token-manifest")
+    return staged(manifest, "token-manifest")
 
 
 def _make_folder(spark: SparkSession, folder: str) -> None:

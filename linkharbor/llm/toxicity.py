@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkharbor.llm.common import batch_of, id_and_text, remainder, small_batches, texts_of
-from linkharbor.session import materialize
+from linkharbor.llm.common import batch_of, id_and_text, remainder, small_batches, staged, texts_of
 
 # The lexicon is learned from at most this many labelled rows of each class, chosen by a hash of their id.
 SAMPLE_PER_CLASS = 10_000
@@ -114,7 +113,7 @@ def learn(
 ) -> Lexicon:
     """Lexicon from the labelled documents given. Without both classes it is empty and scores are 0.5 or less."""
     chosen = F.broadcast(_sample(labels, id_col, label_col, per_class))  # at most 2 x per_class rows
-    train = materialize(id_and_text(documents, id_col, text_col).join(chosen, "id"), "toxicity-sample")
+    train = staged(id_and_text(documents, id_col, text_col).join(chosen, "id"), "toxicity-sample")
     small_batches(train)
     sizes = {r["y"]: r["n"] for r in train.groupBy((F.col("toxic") >= 1).alias("y")).agg(F.count("*").alias("n")).collect()}
     toxic_rows, other_rows = sizes.get(True, 0), sizes.get(False, 0)
