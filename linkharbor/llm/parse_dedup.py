@@ -16,7 +16,7 @@ strings are sorted, and all but the first place of equal ones repeat. Work and m
 of distinct entries, not of their repetitions.
 
 Skew. Entries are merged within each task before they are shuffled, so a passage in a third of all
-texts sends one row per task. A gram with more than CROWD different surroundings, such as the last
+texts sends one row per task. A gram with more than CROWD different surroundings (what one task holds at a time), such as the last
 bytes of that passage, is spread by the hashes of its strings instead, with a merge in each task.
 """
 
@@ -36,7 +36,7 @@ from linkharbor.llm.shingles import mixed
 LENGTH = 100
 GRAM = 32
 REACH = LENGTH - GRAM  # bytes of a string before its trigger, at most
-CROWD = 2000
+CROWD = 1 << 15
 # Bytes that are hashed at a time.
 CHUNK = 1 << 19
 
