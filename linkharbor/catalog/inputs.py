@@ -1,8 +1,8 @@
 """Link-graph inputs read off the given tables.
 
-parts are linking sites (`site<n>.com`), suppliers stand for linked brands (`brand<n>.com`), every
-line item is a link, and every `<a>` of a page is one row of link evidence. All rows of the tables
-are used; nothing here shuffles, so an input costs one scan.
+parts are linking sites (`site<n>.com`), customers linking sites without a rank (`cust<n>.com`),
+suppliers stand for linked brands (`brand<n>.com`), every line item and every order is a link, and
+every `<a>` of a page is one row of link evidence. All rows of the tables are used.
 """
 
 from __future__ import annotations
@@ -19,11 +19,17 @@ from linkharbor.functions.suffixes import SuffixRules, rules_from_list
 from linkharbor.operators import load
 from linkharbor.sources.records import EVIDENCE_COLUMNS
 
+# Suffix rules that the names of the given tables need. A real run reads the published list.
+SUFFIX_RULES = (
+    "com", "net", "org", "io", "co", "uk", "co.uk", "jp", "co.jp", "*.kawasaki.jp", "!city.kawasaki.jp", "*.ck", "!www.ck",
+)
+
 RELEASES = ("rel-a", "rel-b")
 SECOND_RELEASE_FROM = "1999-01-01"
 LOADED_AT = "2026-01-01 00:00:00"
 BRANDS = 60
 SITE_NODE_BASE = 1000
+CUSTOMER_NODE_BASE = 10_000_000_000_000
 
 COMPANIES = CompanySet.from_items(
     [
@@ -76,6 +82,8 @@ ANCHORS = (
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "part": "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
     "pages": "page_id bigint, url string, html string",
@@ -98,7 +106,7 @@ class Inputs:
 
     @cached_property
     def rules(self) -> SuffixRules:
-        return rules_from_list(self.spark)
+        return rules_from_list(self.spark, SUFFIX_RULES)
 
     @property
     def loaded_at(self) -> Column:
@@ -158,6 +166,11 @@ class Inputs:
             "concat('com.site', p_partkey) as reversed_domain",
             "int(1 + p_size % 5) as num_hosts",
         )
+        unranked = self.table("customer").selectExpr(
+            f"c_custkey + {CUSTOMER_NODE_BASE} as node_id",
+            "concat('com.cust', c_custkey) as reversed_domain",
+            "int(1 + c_nationkey % 3) as num_hosts",
+        )
         linked = self.table("supplier").selectExpr(f"1 + s_suppkey % {BRANDS} as node_id")
         named = self.table("part").selectExpr("bigint(substring_index(p_brand, '#', -1)) as node_id")
         brands = (
@@ -166,7 +179,7 @@ class Inputs:
             .distinct()
             .selectExpr("node_id", "concat('com.brand', node_id) as reversed_domain", "9 as num_hosts")
         )
-        return sites.unionByName(brands)
+        return sites.unionByName(unranked).unionByName(brands)
 
     @property
     def named_vertices(self) -> DataFrame:
@@ -174,20 +187,21 @@ class Inputs:
 
     @property
     def edges(self) -> DataFrame:
-        return self.table("lineitem").selectExpr(
+        of_sites = self.table("lineitem").selectExpr(
             f"l_partkey + {SITE_NODE_BASE} as source_node_id",
             f"1 + l_suppkey % {BRANDS} as target_node_id",
         )
+        of_customers = self.table("orders").selectExpr(
+            f"o_custkey + {CUSTOMER_NODE_BASE} as source_node_id",
+            f"1 + o_orderkey % {BRANDS} as target_node_id",
+        )
+        return of_sites.unionByName(of_customers)
 
     @property
     def site_ranks(self) -> DataFrame:
-        """Rank of every ranked site, 1 to 1.5 million and skewed to the front.
-
-        It comes from size and price of the part; small parts have no rank.
-        """
+        """Rank of every part's site, 1 to 1.5 million and skewed to the front, from its size and price."""
         return (
             self.table("part")
-            .filter("p_type <> 'SMALL'")
             .selectExpr(
                 "p_partkey",
                 "p_type",
@@ -217,13 +231,22 @@ class Inputs:
         ranks = self.site_ranks.selectExpr(
             "p_partkey as l_partkey", f"{rank_bucket('rank_position')} as bucket"
         )
-        return self.table("lineitem").join(ranks, "l_partkey", "left").selectExpr(
-            f"if(l_shipdate < timestamp_ntz '{SECOND_RELEASE_FROM}', '{RELEASES[0]}', '{RELEASES[1]}') as graph_release_id",
+        release = "if({} < timestamp_ntz '" + SECOND_RELEASE_FROM + "', '{}', '{}') as graph_release_id"
+        of_sites = self.table("lineitem").join(ranks, "l_partkey", "left").selectExpr(
+            release.format("l_shipdate", *RELEASES),
             "concat(if(l_linenumber = 1, 'SITE', 'site'), l_partkey, '.com') as source_domain",
             f"concat('brand', 1 + l_suppkey % {BRANDS}, '.com') as target_domain",
             "nullif(l_linenumber, 7) as edge_weight",
-            "coalesce(bucket, '') as source_domain_rank_bucket",
+            "bucket as source_domain_rank_bucket",
+        )
+        of_customers = self.table("orders").selectExpr(
+            release.format("o_orderdate", *RELEASES),
+            "concat('cust', o_custkey, '.com') as source_domain",
+            f"concat('brand', 1 + o_orderkey % {BRANDS}, '.com') as target_domain",
+            "int(1 + o_orderkey % 4) as edge_weight",
+            "'' as source_domain_rank_bucket",
         )
+        return of_sites.unionByName(of_customers)
 
     @property
     def delivered_edges(self) -> DataFrame:

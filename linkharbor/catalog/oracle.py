@@ -7,9 +7,16 @@ from __future__ import annotations
 
 import re
 
-from linkharbor.catalog.inputs import ANCHORS, BRANDS, COMPANIES, LOADED_AT, SECOND_RELEASE_FROM
+from linkharbor.catalog.inputs import (
+    ANCHORS,
+    BRANDS,
+    COMPANIES,
+    CUSTOMER_NODE_BASE,
+    LOADED_AT,
+    SECOND_RELEASE_FROM,
+    SUFFIX_RULES,
+)
 from linkharbor.config import ScoreSettings
-from linkharbor.functions.suffixes import DEFAULT_RULES
 from linkharbor.functions.text import TRUE_WORDS, WHITESPACE
 
 SCORE = ScoreSettings()
@@ -78,7 +85,7 @@ VIEWS: dict[str, str] = {
     "fx_companies": "select * from (values "
     + _values([(c.company, c.role, c.segment, c.priority, d) for c in COMPANIES.companies for d in c.domains])
     + ") t(company, role, segment, priority, domain)",
-    "suffix_rules": f"select * from (values {_values([(r,) for r in DEFAULT_RULES])}) t(rule)",
+    "suffix_rules": f"select * from (values {_values([(r,) for r in SUFFIX_RULES])}) t(rule)",
     "fx_company_rows": """
 select s_name as company, if(s_suppkey = 0, 'target', 'competitor') as role,
        'segment-' || s_nationkey as segment,
@@ -104,20 +111,28 @@ select p_partkey + 1000 as node_id, 'com.site' || p_partkey as reversed_domain,
        cast(1 + p_size % 5 as int) as num_hosts, 'site' || p_partkey || '.com' as domain
 from part
 union all
+select c_custkey + {CUSTOMER_NODE_BASE}, 'com.cust' || c_custkey, cast(1 + c_nationkey % 3 as int), 'cust' || c_custkey || '.com' from customer
+union all
 select k, 'com.brand' || k, 9, 'brand' || k || '.com'
 from (select 1 + s_suppkey % {BRANDS} as k from supplier union select cast(split_part(p_brand, '#', 2) as bigint) from part)""",
-    "fx_edges": f"select l_partkey + 1000 as source_node_id, 1 + l_suppkey % {BRANDS} as target_node_id from lineitem",
+    "fx_edges": f"""
+select l_partkey + 1000 as source_node_id, 1 + l_suppkey % {BRANDS} as target_node_id from lineitem
+union all select o_custkey + {CUSTOMER_NODE_BASE}, 1 + o_orderkey % {BRANDS} from orders""",
     "fx_site_ranks": """
 select p_partkey, p_type, cast(1 + (x * x * 6) // 10000 as int) as rank_position
 from (select *, (p_size - 1) * 1000 + cast(round(p_retailprice * 10 - 9000) as bigint) as x
-      from part where p_type <> 'SMALL')""",
+      from part)""",
     "fx_graph_edges": f"""
 select if(l_shipdate < timestamp '{SECOND_RELEASE_FROM}', 'rel-a', 'rel-b') as graph_release_id,
        if(l_linenumber = 1, 'SITE', 'site') || l_partkey || '.com' as source_domain,
        'brand' || (1 + l_suppkey % {BRANDS}) || '.com' as target_domain,
        nullif(l_linenumber, 7) as edge_weight,
-       coalesce({BUCKET_OF.format('rank_position')}, '') as source_domain_rank_bucket
-from lineitem left join fx_site_ranks on p_partkey = l_partkey""",
+       {BUCKET_OF.format('rank_position')} as source_domain_rank_bucket
+from lineitem left join fx_site_ranks on p_partkey = l_partkey
+union all
+select if(o_orderdate < timestamp '{SECOND_RELEASE_FROM}', 'rel-a', 'rel-b'), 'cust' || o_custkey || '.com',
+       'brand' || (1 + o_orderkey % {BRANDS}) || '.com', cast(1 + o_orderkey % 4 as int), ''
+from orders""",
     "fx_delivered_edges": """
 select graph_release_id,
        if(edge_weight is null, 'localhost', 'https://www.' || source_domain || '/post?id=1') as source_domain,
@@ -380,6 +395,27 @@ from s""",
 }
 
 
+# Links after a change of the configuration: two companies are no longer listed, one has another segment.
+VIEWS["changed_links"] = """
+select * replace (if(target_company in ('B4', 'B12'), 'Old ' || target_company, target_company) as target_company,
+                  if(target_company = 'B9', 'direct_modern_bi', target_segment) as target_segment)
+from links"""
+VIEWS["changed_matrix"] = VIEWS["matrix"].replace("from links", "from changed_links")
+VIEWS["loaded_edges"] = f"""
+with n as (
+  select graph_release_id, s.registered as source_domain, t.registered as target_domain, edge_weight, source_domain_rank_bucket as b
+  from fx_delivered_edges e join {_registered('fx_delivered_edges', 'source_domain')} s on s.value = e.source_domain
+  join {_registered('fx_delivered_edges', 'target_domain')} t on t.value = e.target_domain
+  where s.registered is not null and ifnull(edge_weight, 0) >= 0
+), g as (
+  select graph_release_id, source_domain, target_domain, company as target_company, segment as target_segment,
+         cast(sum(edge_weight) as bigint) as edge_weight, min({BUCKET_POS.format('b')}) as pos,
+         min(b) filter ({BUCKET_POS.format('b')} is null) as other, bool_or(b in ('top_10k', 'top_100k')) as source_high_authority_flag
+  from n join fx_companies c on c.domain = target_domain group by all
+)
+select * exclude (pos, other), ifnull({BUCKET_AT.format('pos')}, other) as source_domain_rank_bucket, {LOADED} as loaded_at from g"""
+
+
 def oracle(sql: str) -> str:
     """The statement with every view it names, directly or through others, put in front."""
     needed: dict[str, None] = {}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkharbor.catalog.inputs import COMPANIES, Inputs
+from linkharbor.catalog.inputs import COMPANIES, RELEASES, Inputs
 from linkharbor.catalog.oracle import (
     BUCKET_AT,
     BUCKET_OF,
@@ -25,7 +25,7 @@ from linkharbor.catalog.oracle import (
     _url,
     oracle,
 )
-from linkharbor.config import RANK_BUCKETS, ReleaseSettings, literal_rows, slug, sql_list
+from linkharbor.config import RANK_BUCKETS, ReleaseSettings, literal_rows, slug, sql_list, sql_text
 from linkharbor.functions import hosts, ranks, suffixes, text
 from linkharbor.operators import (
     extract,
@@ -42,11 +42,12 @@ from linkharbor.plans.build_marts import (
     links_plan,
     opportunities_plan,
     quality_report,
+    read_mart,
     staged_tables,
     write_marts,
 )
 from linkharbor.plans.extract_release import STAGES, extract_release
-from linkharbor.plans.load_release import EDGES, RANKS, load_delivered, load_extracted
+from linkharbor.plans.load_release import EDGES, EVIDENCE, RANKS, load_delivered, load_extracted
 from linkharbor.session import broadcast_if_small, materialize, new_run_folder
 from linkharbor.sources import companies as company_sources
 from linkharbor.sources import records, webgraph
@@ -110,6 +111,7 @@ def _(i: Inputs) -> DataFrame:
     return webgraph.scan_edges(i.spark, _write_lines(i.edges, "edges")).rows
 
 
+# Fixed value: the first line of a rank file.
 RANK_HEADER = "#harmonicc_pos\t#harmonicc_val\t#pr_pos\t#pr_val\t#host_rev\t#n_hosts"
 
 
@@ -236,20 +238,17 @@ union all select 'domain_ranks', (select count(*) from linking_ranks)
 union all select 'graph_edges', (select count(*) from named_edges)"""
 
 
-@query("checkpoint_reuse", f"select stage, n as rows, true as reused from ({STAGE_COUNTS})")
+@query(
+    "checkpoint_reuse",
+    "select *, true as reused, (select count(*) from named_edges) as rows from named_edges",
+)
 def _(i: Inputs) -> DataFrame:
     root = new_run_folder(i.spark, "extract")
     _extraction(i, root)
     again = _extraction(i, root)
-    schema = T.StructType(
-        [
-            T.StructField("stage", T.StringType()),
-            T.StructField("rows", T.LongType()),
-            T.StructField("reused", T.BooleanType()),
-        ]
-    )
-    rows = [(name, again.stages[name].rows, again.stages[name].reused) for name in STAGES]
-    return literal_rows(i.spark, rows, schema)
+    stage = again.stages["graph_edges"]
+    reused = all(again.stages[name].reused for name in STAGES)
+    return stage.frame.selectExpr("*", f"{sql_text(reused)} as reused", f"{stage.rows}L as rows")
 
 
 @query("sink_raw_append", "select * from raw_edges")
@@ -269,27 +268,24 @@ def _(i: Inputs) -> DataFrame:
     path = new_run_folder(i.spark, "raw-replace")
     rows = materialize(i.raw_edges, "raw-edges")
     sinks.append_raw(rows, path)
-    sinks.replace_release(rows.withColumn("edge_weight", F.col("edge_weight") * 2), path, "rel-a")
+    of_release = rows.filter(F.col("graph_release_id") == "rel-a")
+    sinks.replace_release(of_release.withColumn("edge_weight", F.col("edge_weight") * 2), path, "rel-a")
     return sinks.read_raw(i.spark, path, sinks.RAW_EDGES)
 
 
-@query(
-    "sink_marts",
-    """
-select 'int_domain_rank_rollup' as table_name, (select count(*) from rollup) as rows
-union all select 'int_referring_domain_company', (select count(*) from links)
-union all select 'int_referring_domain_company_matrix', (select count(*) from matrix)
-union all select 'int_competitor_overlap', (select count(*) from overlap)
-union all select 'int_opportunity_evidence_examples', (select count(*) from examples)
-union all select 'dim_companies', (select count(*) from dim)
-union all select 'fct_backlinks', (select count(*) from facts)
-union all select 'fct_backlink_opportunities', (select count(*) from opportunities)
-union all select 'mart_company_backlink_summary', (select count(*) from summary)
-union all select 'mart_competitor_overlap', (select count(*) from overlap_mart)""",
-)
-def _(i: Inputs) -> DataFrame:
-    counts = write_marts(i.spark, _staged(i), i.settings, new_run_folder(i.spark, "marts"))
-    return _named_rows(i.spark, counts, "table_name", "rows")
+def _written_mart(key: str, table: str, sql: str) -> None:
+    """A mart as read back from the written tables."""
+
+    @query(key, sql)
+    def _(i: Inputs) -> DataFrame:
+        root = new_run_folder(i.spark, "marts")
+        write_marts(i.spark, _staged(i), i.settings, root)
+        return read_mart(i.spark, root, table)
+
+
+_written_mart("sink_marts", "fct_backlink_opportunities", "select * from opportunities")
+_written_mart("sink_marts_summary", "mart_company_backlink_summary", "select * from summary")
+_written_mart("sink_marts_overlap", "mart_competitor_overlap", "select * from overlap_mart")
 
 
 @query(
@@ -328,6 +324,11 @@ def _small_targets(i: Inputs) -> DataFrame:
     return broadcast_if_small(materialize(_targets(i), "targets"))
 
 
+def _kept(i: Inputs) -> DataFrame:
+    """The tracked edges as a written stage, since several steps read them."""
+    return materialize(extract.edges_to_targets(i.edges, _small_targets(i)), "kept-edges")
+
+
 def _sources(i: Inputs, kept: DataFrame) -> DataFrame:
     return extract.source_vertices(i.named_vertices, kept)
 
@@ -353,27 +354,25 @@ def _(i: Inputs) -> DataFrame:
 
 @query("source_vertices", "select node_id, reversed_domain, domain, num_hosts from linking")
 def _(i: Inputs) -> DataFrame:
-    return _sources(i, extract.edges_to_targets(i.edges, _small_targets(i)))
+    return _sources(i, _kept(i))
 
 
 @query("source_ranks", "select * from linking_ranks")
 def _(i: Inputs) -> DataFrame:
-    kept = extract.edges_to_targets(i.edges, _small_targets(i))
-    return extract.source_ranks(i.named_ranks, _sources(i, kept))
+    return extract.source_ranks(i.named_ranks, _sources(i, _kept(i)))
 
 
 @query("assemble_graph_edges", "select * from named_edges")
 def _(i: Inputs) -> DataFrame:
-    kept = extract.edges_to_targets(i.edges, _small_targets(i))
-    sources = _sources(i, kept)
+    kept = _kept(i)
+    sources = materialize(_sources(i, kept), "sources")
     return extract.graph_edges(kept, sources, extract.source_ranks(i.named_ranks, sources))
 
 
 @query("edges_to_inputs", "select source_domain, target_domain, edge_weight from named_edges")
 def _(i: Inputs) -> DataFrame:
-    targets = _small_targets(i)
-    kept = extract.edges_to_targets(i.edges, targets)
-    return extract.edge_inputs(kept, _sources(i, kept), targets)
+    kept = _kept(i)
+    return extract.edge_inputs(kept, _sources(i, kept), _small_targets(i))
 
 
 # --- D. scalar rules -----------------------------------------------------------------------------
@@ -381,12 +380,13 @@ def _(i: Inputs) -> DataFrame:
 
 @query(
     "rank_bucket",
-    f"select p_partkey, rank_position, {BUCKET_OF.format('rank_position')} as rank_bucket from fx_site_ranks",
+    f"""
+select p_partkey, rank_position, {BUCKET_OF.format('rank_position')} as rank_bucket
+from (select p_partkey, if(p_type = 'SMALL', null, rank_position) as rank_position from fx_site_ranks)""",
 )
 def _(i: Inputs) -> DataFrame:
-    return i.site_ranks.selectExpr(
-        "p_partkey", "rank_position", f"{ranks.rank_bucket('rank_position')} as rank_bucket"
-    )
+    known = i.site_ranks.selectExpr("p_partkey", "if(p_type = 'SMALL', null, rank_position) as rank_position")
+    return known.selectExpr("*", f"{ranks.rank_bucket('rank_position')} as rank_bucket")
 
 
 @query(
@@ -648,47 +648,55 @@ def _(i: Inputs) -> DataFrame:
     return load.load_domain_ranks(i.rank_text, i.loaded_at)
 
 
+def _delivered(i: Inputs) -> str:
+    """Both releases loaded one after the other, the evidence of the crawl with the first."""
+    root = new_run_folder(i.spark, "raw-delivered")
+    for release in RELEASES:
+        of_release = F.col("graph_release_id") == release
+        load_delivered(
+            i.spark,
+            i.delivered_edges.filter(of_release),
+            replace(i.settings, release=ReleaseSettings(release, "crawl-a")),
+            i.rules,
+            root,
+            i.loaded_at,
+            domain_ranks=i.delivered_ranks.filter(of_release),
+            link_evidence=i.delivered_evidence if release == RELEASES[0] else None,
+            strict=False,
+        )
+    return root
+
+
+@query("load_raw_inputs", "select * from loaded_edges")
+def _(i: Inputs) -> DataFrame:
+    return sinks.read_raw(i.spark, f"{_delivered(i)}/{EDGES}", sinks.RAW_EDGES)
+
+
 @query(
-    "load_raw_inputs",
+    "load_raw_ranks",
     f"""
-select 'domain_edges' as input, (
-  select count(*) from (
-    select distinct s.registered, t.registered, e.graph_release_id
-    from fx_delivered_edges e join {_registered('fx_delivered_edges', 'source_domain')} s on s.value = e.source_domain
-    join {_registered('fx_delivered_edges', 'target_domain')} t on t.value = e.target_domain
-    join fx_companies c on c.domain = t.registered
-    where s.registered is not null and ifnull(edge_weight, 0) >= 0 and e.graph_release_id = 'rel-a')) as rows
-union all
-select 'domain_ranks', (select count(*) from fx_delivered_ranks d
-  left join {_registered('fx_delivered_ranks', 'domain_or_host')} on value = domain_or_host
-  where rank_entity_type <> 'page' and ifnull(rank_position, 1) >= 1 and graph_release_id = 'rel-a'
-    and (rank_entity_type = 'host' or registered is not null))
-union all
-select 'link_evidence', (select count(*) from fx_delivered_wat where page_language not in ('es', 'de') and http_status <> 99)""",
+select rank_entity_type, if(rank_entity_type = 'host', {_host('domain_or_host')}, registered) as domain_or_host, rank_position,
+       harmonic_centrality, pagerank, rank_bucket, {LOADED} as loaded_at, graph_release_id
+from fx_delivered_ranks left join {_registered('fx_delivered_ranks', 'domain_or_host')} on value = domain_or_host
+where rank_entity_type <> 'page' and ifnull(rank_position, 1) >= 1 and (rank_entity_type = 'host' or registered is not null)""",
 )
 def _(i: Inputs) -> DataFrame:
-    release = F.col("graph_release_id") == "rel-a"
-    counts = load_delivered(
-        i.spark,
-        i.delivered_edges.filter(release),
-        i.settings,
-        i.rules,
-        new_run_folder(i.spark, "raw-delivered"),
-        i.loaded_at,
-        domain_ranks=i.delivered_ranks.filter(release),
-        link_evidence=i.delivered_evidence,
-        strict=False,
-    )
-    return _named_rows(
-        i.spark,
-        {
-            "domain_edges": counts.domain_edges,
-            "domain_ranks": counts.domain_ranks,
-            "link_evidence": counts.link_evidence,
-        },
-        "input",
-        "rows",
-    )
+    return sinks.read_raw(i.spark, f"{_delivered(i)}/{RANKS}", sinks.RAW_RANKS)
+
+
+@query(
+    "load_raw_evidence",
+    f"""
+select crawl_id, {_url('source_url')} as source_url, lower(source_host) as source_host, target_url, target_domain, target_company,
+       nullif(trim(anchor_text, {WS}), '') as anchor_text, http_status, {LOADED} as extracted_at
+from fx_delivered_wat where page_language not in ('es', 'de') and http_status <> 99""",
+)
+def _(i: Inputs) -> DataFrame:
+    rows = sinks.read_raw(i.spark, f"{_delivered(i)}/{EVIDENCE}", sinks.RAW_EVIDENCE)
+    return rows.select(
+        "crawl_id", "source_url", "source_host", "target_url", "target_domain", "target_company", "anchor_text",
+        "http_status", "extracted_at",
+    )
 
 
 # --- G. staging ----------------------------------------------------------------------------------
@@ -738,8 +746,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _matrix(i: Inputs) -> DataFrame:
-    # The links are loaded with these very companies.
-    return intermediate.company_matrix(_links(i), i.companies, i.score, configured=True)
+    return intermediate.company_matrix(materialize(_links(i), "links"), i.companies, i.score)
 
 
 @query("int_matrix", "select * from matrix")
@@ -747,6 +754,28 @@ def _(i: Inputs) -> DataFrame:
     return _matrix(i)
 
 
+@query("int_matrix_changed_companies", "select * from changed_matrix")
+def _(i: Inputs) -> DataFrame:
+    """Links to companies that the configuration does not list, or lists in another segment."""
+    links = _links(i).withColumns(
+        {
+            "target_company": F.expr("if(target_company in ('B4', 'B12'), concat('Old ', target_company), target_company)"),
+            "target_segment": F.expr("if(target_company = 'B9', 'direct_modern_bi', target_segment)"),
+        }
+    )
+    return intermediate.company_matrix(materialize(links, "changed-links"), i.companies, i.score)
+
+
+@query(
+    "int_referring_domain_company_by_rank",
+    """
+select l.* replace (l.source_high_authority_flag or ifnull(r.high_authority_rank_flag, false) as source_high_authority_flag)
+from links l left join rollup r using (graph_release_id, source_domain)""",
+)
+def _(i: Inputs) -> DataFrame:
+    return links_plan(_staged(i), replace(i.settings, flag_from_rank=True))
+
+
 @query("int_competitor_overlap", "select * from overlap")
 def _(i: Inputs) -> DataFrame:
     return intermediate.competitor_overlap(_links(i), i.companies)
@@ -841,7 +870,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _opportunities(i: Inputs) -> DataFrame:
-    return opportunities_plan(_staged(i), i.settings, configured=True)
+    return opportunities_plan(_staged(i), i.settings)
 
 
 def _opportunity_part(key: str, *columns: str) -> None:
@@ -876,7 +905,7 @@ def _(i: Inputs) -> DataFrame:
     "enrichment_candidates",
     """
 select graph_release_id, opportunity_domain, opportunity_score from opportunities
-order by opportunity_score desc, opportunity_domain, graph_release_id limit 500""",
+qualify row_number() over (partition by graph_release_id order by opportunity_score desc, opportunity_domain) <= 500""",
 )
 def _(i: Inputs) -> DataFrame:
     return marts.enrichment_candidates(_opportunities(i), i.settings.release.max_enrichment_domains)
@@ -995,7 +1024,7 @@ def _(i: Inputs) -> DataFrame:
     }
     root = new_run_folder(i.spark, "marts")
     counts = write_marts(i.spark, staged, i.settings, root)
-    written = {name: i.spark.read.parquet(f"{root}/{name}") for name in counts}
+    written = {name: read_mart(i.spark, root, name) for name in counts}
     tables = {"raw_domain_edges": raw_edges, "raw_domain_ranks": raw_ranks} | staged | written
     return quality_report(tables, i.settings)
 

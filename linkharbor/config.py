@@ -60,6 +60,8 @@ class CompanySet:
             found.append("exactly one target company is needed")
         domains = [d for c in self.companies for d in c.domains]
         found += [f"domain {d} is used twice" for d in sorted({d for d in domains if domains.count(d) > 1})]
+        plain = re.compile(r"[^\s/:?#@A-Z]+\.[^\s/:?#@A-Z]+")
+        found += [f"{d!r} is no plain domain; resolve the list first" for d in domains if not plain.fullmatch(d) or d.startswith("www.")]
         slugs = [slug(c.company) for c in self.companies]
         found += [f"companies share the column name {s}" for s in sorted({s for s in slugs if slugs.count(s) > 1})]
         return found
@@ -109,8 +111,11 @@ class CompanySet:
 
     @classmethod
     def load(cls, path: str) -> CompanySet:
-        """Read `{"companies": [...]}` from a JSON or YAML file."""
-        return cls.from_items(_load_mapping(path)["companies"])
+        """Read `{"companies": [...]}`, with registered domains, from a JSON or YAML file.
+
+        Where URLs or host names may be listed, use `sources.companies.load_companies`.
+        """
+        return cls.from_items(load_mapping(path)["companies"])
 
 
 @dataclass(frozen=True)
@@ -132,7 +137,7 @@ class ReleaseSettings:
 
     @classmethod
     def load(cls, path: str) -> ReleaseSettings:
-        raw = _load_mapping(path)
+        raw = load_mapping(path)
         return cls(
             graph_release_id=str(raw["graph_release_id"]),
             crawl_id=str(raw["crawl_id"]),
@@ -256,7 +261,7 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -
     return spark.sql(f"select {typed} from values {cells} as t({names})")
 
 
-def _load_mapping(path: str) -> Mapping:
+def load_mapping(path: str) -> Mapping:
     with open(path, encoding="utf-8") as handle:
         if path.endswith(".json"):
             return json.load(handle)

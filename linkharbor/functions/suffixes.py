@@ -7,7 +7,7 @@ the broadcast table is the same for every lookup, so Spark builds it once and re
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pandas as pd
@@ -15,20 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkharbor.config import literal_rows
+from linkharbor.config import CompanySet, literal_rows
 from linkharbor.functions.hosts import host_or_empty
 from linkharbor.session import MAX_BROADCAST_ROWS, materialize
 
-# A short default rule list. Pass the published list by path for real runs.
-DEFAULT_RULES = (
-    "com", "net", "org", "edu", "gov", "info", "biz", "io", "co", "ai", "app", "dev", "tech",
-    "me", "tv", "eu", "us", "de", "fr", "es", "it", "nl", "pl", "ch", "se", "ca", "in",
-    "uk", "co.uk", "org.uk", "ac.uk", "gov.uk", "au", "com.au", "net.au", "org.au",
-    "jp", "co.jp", "ne.jp", "or.jp", "*.kawasaki.jp", "!city.kawasaki.jp",
-    "br", "com.br", "cn", "com.cn", "*.ck", "!www.ck",
-)
-
-
 RULE, WILDCARD, EXCEPTION = 1, 2, 4
 
 
@@ -48,7 +38,7 @@ class SuffixRules:
         return F.broadcast(rules) if self.rows <= MAX_BROADCAST_ROWS else rules
 
 
-def rules_from_list(spark: SparkSession, rules: Iterable[str] = DEFAULT_RULES) -> SuffixRules:
+def rules_from_list(spark: SparkSession, rules: Iterable[str]) -> SuffixRules:
     kinds: dict[str, int] = {}
     for rule in rules:
         kind = EXCEPTION if rule.startswith("!") else WILDCARD if rule.startswith("*.") else RULE
@@ -149,3 +139,18 @@ def _to_ascii(rule: str) -> str | None:
         )
     except UnicodeError:
         return None
+
+
+def resolved_companies(spark: SparkSession, companies: Iterable[Mapping[str, object]], rules: SuffixRules) -> CompanySet:
+    """A configured list whose domains may be URLs or host names, as registered domains.
+
+    A domain that does not resolve, or two that resolve to the same, are errors.
+    """
+    items = [dict(c) for c in companies]
+    given = sorted({str(d) for c in items for d in c["domains"]})
+    named = registered_domain(spark.createDataFrame([(d,) for d in given], "given string"), "given", "name", rules)
+    names = {r["given"]: r["name"] for r in named.collect()}  # as long as the configured list
+    unknown = [d for d in given if names.get(d) is None]
+    if unknown:
+        raise ValueError(f"no registered domain in {unknown}")
+    return CompanySet.from_items([c | {"domains": [names[str(d)] for d in c["domains"]]} for c in items])

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from linkharbor.functions.hosts import reverse_labels
 from linkharbor.functions.ranks import rank_bucket
+from linkharbor.session import materialize
+
+BUCKET = "target_bucket"
+EDGE_BUCKETS = 256
+FILES_PER_BUCKET = 16
 
 
 def target_vertices(vertices: DataFrame, domains: DataFrame) -> DataFrame:
@@ -26,26 +31,42 @@ def missing_targets(found: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def require_all_targets(found: DataFrame, domains: DataFrame) -> None:
-    """Raise with some of the missing names; only those names reach the driver."""
-    missing = [r["domain"] for r in missing_targets(found, domains).orderBy("domain").take(20)]
-    if missing:
-        raise ValueError(f"target domains missing from the vertices: {missing}")
-
-
-def edges_to_targets(
-    edges: DataFrame,
-    targets: DataFrame,
-    max_edges: int | None = None,
-    max_matches: int | None = None,
-) -> DataFrame:
-    """Edges that end at a tracked node. The two limits are trial-run options, off by default."""
-    if max_edges is not None:
-        edges = edges.limit(max_edges)
+    """Raise with all missing names, sorted, and their number; the names come from the configuration."""
+    missing = materialize(missing_targets(found, domains), "missing-targets")
+    names = sorted(r["domain"] for r in missing.collect())
+    if names:
+        raise ValueError(f"{len(names)} target domains missing from the vertices: {names}")
+
+
+def bucket_of(node_id: str) -> str:
+    """Bucket of a node id: edges are stored by it, so that a few targets need a few buckets only."""
+    return f"pmod(xxhash64({node_id}), {EDGE_BUCKETS})"
+
+
+def store_edges(edges: DataFrame, path: str) -> None:
+    """One-off conversion of the edge list to Parquet, a folder for each bucket of target ids.
+
+    A hot target fills its bucket with many files: rows are spread by their source as well.
+    """
+    stored = edges.withColumn(BUCKET, F.expr(f"int({bucket_of('target_node_id')})"))
+    spread = F.expr(f"pmod(xxhash64(source_node_id), {FILES_PER_BUCKET})")
+    stored.repartition(BUCKET, spread).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def edges_to_targets(edges: DataFrame, targets: DataFrame) -> DataFrame:
+    """Edges that end at a tracked node.
+
+    Edges stored by `store_edges` are joined on their bucket as well: Spark then reads only the
+    buckets of the targets, found at run time by dynamic partition pruning.
+    """
     names = targets.selectExpr("node_id as target_node_id", "domain as target_domain")
-    kept = edges.join(names, "target_node_id").select(
-        "source_node_id", "target_node_id", "target_domain"
-    )
-    return kept if max_matches is None else kept.limit(max_matches)
+    keys = ["target_node_id"]
+    if BUCKET in edges.columns:
+        names = names.withColumn(BUCKET, F.expr(f"int({bucket_of('target_node_id')})"))
+        # Pruning needs a filter on the small side; every target has a name.
+        names = names.filter("target_domain > ''")
+        keys.append(BUCKET)
+    return edges.join(names, keys).select("source_node_id", "target_node_id", "target_domain")
 
 
 def source_vertices(vertices: DataFrame, kept_edges: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkharbor.config import Company, CompanySet, ScoreSettings, any_word, slug, sql_list, sql_text
 from linkharbor.functions.ranks import best_bucket, bucket_name, bucket_order
-from linkharbor.operators.staging import sorted_names
+from linkharbor.operators.staging import evidence_text
 
 LINK_GRAIN = ("graph_release_id", "source_domain")
 
@@ -80,40 +80,27 @@ def referring_domain_company(
     )
 
 
-def as_configured(links: DataFrame, companies: CompanySet) -> bool:
-    """True when every link belongs to a configured company in its configured segment.
-
-    Links loaded with the same configuration always do; older releases may not. Give it a written
-    table: two columns are read and at most one row comes back.
-    """
+def _configured(companies: CompanySet) -> str:
+    """True for a link to a configured company in its configured segment; never null."""
     pairs = sql_list(f"{c.company}\n{c.segment}" for c in companies.companies)
-    unknown = f"coalesce(concat(target_company, '\n', target_segment) not in ({pairs}), true)"
-    return links.filter(unknown).select("target_company").limit(1).count() == 0
+    return f"coalesce(concat(target_company, '\n', target_segment) in ({pairs}), false)"
 
 
-def company_matrix(
-    links: DataFrame, companies: CompanySet, score: ScoreSettings, configured: bool = False
-) -> DataFrame:
-    """One row per release and linking domain; a group holds at most one row per company.
+def source_rows(links: DataFrame, companies: CompanySet) -> DataFrame:
+    """One row per release and linking domain, with numbers only: matrix, overlap and summary read it.
 
-    The link columns come from the configured companies, so the schema is known before the data.
-    With `configured` (see `as_configured`) the name lists are read off the counts per company:
-    all that is aggregated are numbers, which stay in the generated hash aggregate. Otherwise the
-    names are collected, so that companies no longer configured are listed too.
+    Per configured company: links in its segment (n_), in any (a_), whether one has high authority (h_)
+    and their weight (w_). Numbers stay in the generated hash aggregate, and a group merges map-side.
     """
-    rival = f"target_company <> {sql_text(companies.target.company)}"
-    counts = {c.company: f"n_{slug(c.company)}" for c in companies.companies}
-    aggregates = [f"count_if(target_company = {sql_text(c)}) as {n}" for c, n in counts.items()]
-    if not configured:
+    aggregates = []
+    for c in companies.companies:
+        name, is_it = slug(c.company), f"target_company = {sql_text(c.company)}"
         aggregates += [
-            f"count_if({rival}) as competitor_count",
-            f"{sorted_names(f'if({rival}, target_company, null)')} as linked_competitors",
-            f"nullif(array_join(sort_array(collect_set(if({rival}, target_segment, null))), ', '), '')"
-            " as competitor_segments",
+            f"count_if({is_it} and target_segment = {sql_text(c.segment)}) as n_{name}",
+            f"count_if({is_it}) as a_{name}",
+            f"coalesce(bool_or({is_it} and source_high_authority_flag), false) as h_{name}",
+            f"sum(if({is_it}, total_edge_weight, null)) as w_{name}",
         ]
-        for segment, name in score.segment_columns:
-            only_rivals = f"{rival} and " if segment == score.direct_segment else ""
-            aggregates.append(f"count_if({only_rivals}target_segment = {sql_text(segment)}) as {name}")
     aggregates += [
         "sum(total_edge_weight) as total_edge_weight",
         f"{best_bucket('source_domain_rank_bucket')} as best_rank_bucket",
@@ -122,83 +109,94 @@ def company_matrix(
         "max(source_domain_harmonic_centrality) as source_domain_harmonic_centrality",
         "max(source_domain_pagerank) as source_domain_pagerank",
     ]
-    grouped = links.groupBy(*LINK_GRAIN).agg(*[F.expr(a) for a in aggregates])
-    derived = _from_counts(companies, score, counts) if configured else {}
-    names = ["competitor_count", *[n for _, n in score.segment_columns], "linked_competitors", "competitor_segments"]
-    return grouped.selectExpr(
-        *LINK_GRAIN,
-        *[f"{n} > 0 as {companies.link_column(c)}" for c, n in counts.items()],
-        *[f"{derived.get(n, n)} as {n}" for n in names],
-        "total_edge_weight",
-        "best_rank_bucket",
-        "source_high_authority_flag",
-        "source_domain_rank_position",
-        "source_domain_harmonic_centrality",
-        "source_domain_pagerank",
-    )
+    return links.groupBy(*LINK_GRAIN).agg(*[F.expr(a) for a in aggregates])
+
+
+def strangers(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+    """Per release and linking domain, its links to companies that are not, or no longer, configured.
+
+    None when edges were loaded with the same configuration. Only these links gather names.
+    """
+    rival = f"target_company <> {sql_text(companies.target.company)}"
+    aggregates = [
+        f"count_if({rival}) as x_count",
+        f"collect_list(if({rival}, target_company, null)) as x_names",
+        f"collect_set(if({rival}, target_segment, null)) as x_segments",
+    ]
+    for segment, name in score.segment_columns:
+        only_rivals = f"{rival} and " if segment == score.direct_segment else ""
+        aggregates.append(f"count_if({only_rivals}target_segment = {sql_text(segment)}) as x_{name}")
+    others = links.filter(f"not {_configured(companies)}")
+    return others.groupBy(*LINK_GRAIN).agg(*[F.expr(a) for a in aggregates])
+
 
+def matrix_from(sources: DataFrame, others: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+    """The matrix from `source_rows` and `strangers` of the same links.
 
-def _from_counts(companies: CompanySet, score: ScoreSettings, counts: dict[str, str]) -> dict[str, str]:
-    """Counts and lists of linked companies and segments, as expressions over counts per company."""
+    The link columns come from the configured companies, so the schema is known before the data. A
+    company is listed as often as it is linked, whether it is configured or not.
+    """
 
     def total(members: Iterable[Company]) -> str:
-        return " + ".join(["0L", *[counts[c.company] for c in members]])
+        return " + ".join(["0L", *[f"n_{slug(c.company)}" for c in members]])
 
     rivals = sorted(companies.competitors, key=lambda c: c.company)
-    out = {"competitor_count": total(rivals)}
+    values = {"competitor_count": f"{total(rivals)} + coalesce(x_count, 0)"}
     for segment, name in score.segment_columns:
         members = rivals if segment == score.direct_segment else companies.companies
-        out[name] = total(c for c in members if c.segment == segment)
-    # A company is listed as often as it is linked; the last separator is cut off.
-    listed = ", ".join(f"repeat({sql_text(c.company + ', ')}, int({counts[c.company]}))" for c in rivals)
-    out["linked_competitors"] = f"nullif(regexp_replace(concat({listed}, ''), ', $', ''), '')"
+        values[name] = f"{total(c for c in members if c.segment == segment)} + coalesce(x_{name}, 0)"
+    listed = ", ".join(f"array_repeat({sql_text(c.company)}, int(n_{slug(c.company)}))" for c in rivals)
+    names = f"flatten(array({', '.join(filter(None, [listed, 'coalesce(x_names, array())']))}))"
+    values["linked_competitors"] = f"nullif(array_join(array_sort({names}), ', '), '')"
     segments = ", ".join(
         f"if({total(c for c in rivals if c.segment == segment)} > 0, {sql_text(segment)}, null)"
         for segment in sorted({c.segment for c in rivals})
     )
-    out["competitor_segments"] = f"nullif(concat_ws(', ', array({segments})), '')" if segments else "string(null)"
-    return out
+    found = f"array_union(array_compact(array({segments})), coalesce(x_segments, array()))"
+    if not segments:
+        found = "coalesce(x_segments, array())"
+    values["competitor_segments"] = f"nullif(array_join(array_sort({found}), ', '), '')"
+    here, there = sources.alias("s"), others.alias("x")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"x.{c}")) for c in LINK_GRAIN]
+    return here.join(there, same, "left").selectExpr(
+        *[f"s.{c}" for c in LINK_GRAIN],
+        *[f"a_{slug(c.company)} > 0 as {companies.link_column(c.company)}" for c in companies.companies],
+        *[f"{value} as {name}" for name, value in values.items()],
+        "total_edge_weight",
+        "best_rank_bucket",
+        "source_high_authority_flag",
+        "source_domain_rank_position",
+        "source_domain_harmonic_centrality",
+        "source_domain_pagerank",
+    )
 
 
-def competitor_overlap(links: DataFrame, companies: CompanySet) -> DataFrame:
+def company_matrix(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+    """One row per release and linking domain. `links` is read twice: give it a written table."""
+    return matrix_from(source_rows(links, companies), strangers(links, companies, score), companies, score)
+
+
+def overlap_from(sources: DataFrame, companies: CompanySet) -> DataFrame:
     """Shared and exclusive linking domains of each competitor and the target, per release.
 
-    A linking domain is folded to the set of companies it links to, one small row that also tells
-    whether the target is among them, so no self-join is needed. The per-company counts of a
-    release then meet in one row, from which every configured competitor is filled in, with zeros
-    where it has no link.
+    Counts over `source_rows`: one row per release and task before the only shuffle. Every configured
+    competitor is filled in from that row, with zeros where it has no link.
     """
-    target, name = sql_text(companies.target.company), slug(companies.target.company)
-    domains = links.groupBy(*LINK_GRAIN).agg(
-        F.expr("collect_set(target_company) as companies"),
-        F.expr(f"bool_or(target_company = {target}) as with_target"),
-    )
-    counts = (
-        domains.selectExpr("graph_release_id", "with_target", "explode(companies) as target_company")
-        .groupBy("graph_release_id", "target_company")
-        .agg(F.expr("count(*) as domains"), F.expr("count_if(with_target) as shared"))
-    )
-    rivals = sql_list(c.company for c in companies.competitors)
-    found = f"if(target_company in ({rivals}), struct(target_company, struct(domains, shared)), null)"
-    releases = counts.groupBy("graph_release_id").agg(
-        F.expr(f"coalesce(max(if(target_company = {target}, domains, null)), 0) as own"),
-        F.expr(f"map_from_entries(collect_list({found})) as by_company"),
-    )
+    own, name = f"a_{slug(companies.target.company)}", slug(companies.target.company)
+    counts = [f"count_if({own} > 0) as own"]
+    for c in companies.competitors:
+        linked = f"a_{slug(c.company)} > 0"
+        counts += [
+            f"count_if({linked}) as d_{slug(c.company)}",
+            f"count_if({linked} and {own} > 0) as s_{slug(c.company)}",
+        ]
+    releases = sources.groupBy("graph_release_id").agg(*[F.expr(c) for c in counts])
     listed = ", ".join(
-        f"struct({sql_text(c.company)} as company, {sql_text(c.segment)} as segment)"
+        f"struct({sql_text(c.company)} as company, {sql_text(c.segment)} as segment, "
+        f"d_{slug(c.company)} as domains, s_{slug(c.company)} as shared)"
         for c in companies.competitors
     )
-    dense = releases.selectExpr(
-        "graph_release_id", "own", "by_company", f"inline(array({listed}))"
-    ).selectExpr(
-        "graph_release_id",
-        "company",
-        "segment",
-        "own",
-        "coalesce(by_company[company].domains, 0) as domains",
-        "coalesce(by_company[company].shared, 0) as shared",
-    )
-    return dense.selectExpr(
+    return releases.selectExpr("graph_release_id", "own", f"inline(array({listed}))").selectExpr(
         "graph_release_id",
         "company as competitor_company",
         "segment as competitor_segment",
@@ -212,14 +210,19 @@ def competitor_overlap(links: DataFrame, companies: CompanySet) -> DataFrame:
     )
 
 
+def competitor_overlap(links: DataFrame, companies: CompanySet) -> DataFrame:
+    return overlap_from(source_rows(links, companies), companies)
+
+
 def evidence_examples(staged_evidence: DataFrame, score: ScoreSettings) -> DataFrame:
     """Evidence counts and the best row of each linking domain, in one grouping.
 
     Best: names a category term, has a title, has an anchor; ties go to the smallest URLs, target
-    company, title and anchor. The best row is carried as the largest struct, which merges before
-    the shuffle, so a domain with a large part of all evidence costs no more than any other.
+    company, title and anchor. The best row is carried as the smallest struct, which merges before
+    the shuffle, so a domain with a large part of all evidence costs no more than any other. Its
+    evidence text is made again from its parts: carried along, it would double the struct.
     """
-    example = ("source_url", "target_url", "target_company", "page_title", "anchor_text", "evidence_text")
+    example = ("source_url", "target_url", "target_company", "page_title", "anchor_text")
     term = f"int(coalesce({any_word('evidence_text', score.category_words)}, false))"
     rows = staged_evidence.selectExpr("source_domain", *example, f"{term} as term")
     rank = f"struct(1 - term, page_title is null, anchor_text is null, {', '.join(example)})"
@@ -242,5 +245,6 @@ def evidence_examples(staged_evidence: DataFrame, score: ScoreSettings) -> DataF
             "has_example_url",
             "best.source_url as example_url",
             *[f"best.{c} as example_{c}" for c in example[1:]],
+            f"{evidence_text('best.')} as example_evidence_text",
         )
     )

@@ -72,8 +72,13 @@ def build_domain_edges(
     tracked = _registered(edges, "target_domain", rules).join(_owners(companies), "target_domain")
     named = _registered(tracked, "source_domain", rules)
     order, high = bucket_order("source_domain_rank_bucket"), sql_list(high_authority_buckets)
-    merged = named.groupBy(*LINK_KEY).agg(
-        F.expr("sum(bigint(edge_weight)) as edge_weight"),
+    # Numbers per link and bucket first, in the hash aggregate; the text minimum, which sorts, sees
+    # the few rows that are left of a link.
+    per_bucket = named.groupBy(*LINK_KEY, "source_domain_rank_bucket").agg(
+        F.expr("sum(bigint(edge_weight)) as edge_weight")
+    )
+    merged = per_bucket.groupBy(*LINK_KEY).agg(
+        F.expr("sum(edge_weight) as edge_weight"),
         F.expr(f"min({order}) as best"),
         F.expr(f"min(if({order} is null, source_domain_rank_bucket, null)) as other_bucket"),
         F.expr(f"bool_or(coalesce(source_domain_rank_bucket in ({high}), false)) as high"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkharbor.config import CompanySet, ScoreSettings, any_word, sql_list, sql_text
-from linkharbor.operators.intermediate import competitor_overlap
+from linkharbor.config import CompanySet, ScoreSettings, any_word, slug, sql_list, sql_text
+from linkharbor.operators.intermediate import competitor_overlap, source_rows
 from linkharbor.operators.staging import sorted_names
 
 SIGNALS = (
@@ -75,7 +75,7 @@ def segment_signal(companies: CompanySet, score: ScoreSettings) -> str:
         (any_segment(*score.side_segments), 0.5),
         (any_segment(*score.far_segments), 0.25),
     )
-    return "coalesce(" + ", ".join(f"if({test}, {value}D, null)" for test, value in steps) + ", 0D)"
+    return "case " + " ".join(f"when {test} then {value}D" for test, value in steps) + " else 0D end"
 
 
 def category_signal(score: ScoreSettings) -> str:
@@ -130,23 +130,24 @@ def opportunity_score(score: ScoreSettings) -> str:
 
 
 def opportunity_tier(score: ScoreSettings, value: str = "opportunity_score") -> str:
-    steps = [f"if({value} >= {lowest}D, {sql_text(name)}, null)" for name, lowest in score.tiers]
-    return f"coalesce({', '.join(steps)}, {sql_text(score.lowest_tier)})"
+    steps = " ".join(f"when {value} >= {lowest}D then {sql_text(name)}" for name, lowest in score.tiers)
+    return f"case {steps} else {sql_text(score.lowest_tier)} end"
 
 
 def recommended_action(score: ScoreSettings) -> str:
     """What to do about a domain, by the first kind of page its example text points at."""
     text = "example_evidence_text"
-    steps = (
+    steps = (  # fixed values: the names of the actions
         (any_word(text, score.comparison_words), "Create comparison content"),
         (any_word(text, score.partner_words), "Partner/integration outreach"),
         (any_word(text, score.community_words), "Community/content outreach"),
         ("(source_high_authority_flag and evidence_record_count = 0)", "Validate with SEO tool"),
     )
-    return "coalesce(" + ", ".join(f"if({t}, {sql_text(a)}, null)" for t, a in steps) + ", 'Review manually')"
+    return "case " + " ".join(f"when {t} then {sql_text(a)}" for t, a in steps) + " else 'Review manually' end"
 
 
 def score_explanation() -> str:
+    # The wording of the explanation.
     return (
         "format_string('Links to %d competitor(s): %s. Rank bucket: %s. WAT evidence rows: %d.', "
         "competitor_count, coalesce(linked_competitors, 'none'), coalesce(best_rank_bucket, 'unknown'), "
@@ -193,36 +194,31 @@ def backlink_opportunities(
     return score_opportunities(enrich_opportunities(chosen, examples), companies, score)
 
 
-def company_summary(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+def summary_from(sources: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
     """Footprint and strength of every configured company in every release, zeros included.
 
-    Distinct domains are counted by grouping to (release, company, domain) first, which spreads a
-    company that holds most links over all tasks. The counts of a release then fit one row: the
-    largest value of each measure and a lookup by company, from which the dense result is read.
+    Sums over `source_rows`: one row per release and task before the only shuffle, however many links
+    a company has. The dense result and the largest value of each measure are read off that row.
     """
-    per_domain = links.groupBy("graph_release_id", "target_company", "source_domain").agg(
-        F.expr("bool_or(source_high_authority_flag) as high"),
-        F.expr("sum(total_edge_weight) as weight"),
-    )
-    counts = per_domain.groupBy("graph_release_id", "target_company").agg(
-        F.expr("count(source_domain) as domains"),
-        F.expr("count(if(high, source_domain, null)) as high"),
-        F.expr("coalesce(sum(weight), 0) as weight"),
-    )
-    known = f"target_company in ({sql_list(c.company for c in companies.companies)})"
     measures = ("domains", "high", "weight")
-    found = f"if({known}, struct(target_company, struct({', '.join(measures)})), null)"
-    releases = counts.groupBy("graph_release_id").agg(
-        *[F.expr(f"max(if({known}, {m}, null)) as most_{m}") for m in measures],
-        F.expr(f"map_from_entries(collect_list({found})) as by_company"),
-    )
+    sums = []
+    for c in companies.companies:
+        name = slug(c.company)
+        sums += [
+            f"count_if(a_{name} > 0 and source_domain is not null) as domains_{name}",
+            f"count_if(h_{name} and source_domain is not null) as high_{name}",
+            f"coalesce(sum(w_{name}), 0) as weight_{name}",
+        ]
+    releases = sources.groupBy("graph_release_id").agg(*[F.expr(x) for x in sums])
+    names = [slug(c.company) for c in companies.companies]
+    most = [f"array_max(array({', '.join(f'{m}_{n}' for n in names)})) as most_{m}" for m in measures]
     listed = ", ".join(
-        f"struct({sql_text(c.company)} as company, {sql_text(c.role)} as role, {sql_text(c.segment)} as segment)"
+        f"struct({sql_text(c.company)} as company, {sql_text(c.role)} as role, {sql_text(c.segment)} as segment, "
+        + ", ".join(f"{m}_{slug(c.company)} as {m}" for m in measures)
+        + ")"
         for c in companies.companies
     )
-    dense = releases.selectExpr("*", f"inline(array({listed}))").selectExpr(
-        "*", *[f"coalesce(by_company[company].{m}, 0) as {m}" for m in measures]
-    )
+    dense = releases.selectExpr("graph_release_id", *most, f"inline(array({listed}))")
     shares = dense.selectExpr(
         "*", *[f"coalesce(double({m}) / nullif(most_{m}, 0), 0D) as share_{m}" for m in measures]
     )
@@ -242,6 +238,10 @@ def company_summary(links: DataFrame, companies: CompanySet, score: ScoreSetting
     )
 
 
+def company_summary(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+    return summary_from(source_rows(links, companies), companies, score)
+
+
 def overlap_report(overlap: DataFrame) -> DataFrame:
     return overlap.withColumn("jaccard_overlap", F.round("jaccard_overlap", 4))
 
@@ -251,9 +251,11 @@ def competitor_overlap_report(links: DataFrame, companies: CompanySet) -> DataFr
 
 
 def enrichment_candidates(opportunities: DataFrame, limit: int) -> DataFrame:
-    """The best-scored domains whose pages are worth reading next."""
+    """The best-scored domains of each release whose pages are worth reading next."""
+    best_first = Window.partitionBy("graph_release_id").orderBy(F.desc("opportunity_score"), "opportunity_domain")
     return (
         opportunities.select("graph_release_id", "opportunity_domain", "opportunity_score")
-        .orderBy(F.desc("opportunity_score"), "opportunity_domain", "graph_release_id")
-        .limit(limit)
+        .withColumn("place", F.row_number().over(best_first))
+        .filter(F.col("place") <= limit)
+        .drop("place")
     )

@@ -137,12 +137,14 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Che
     """One row per check with the number of failures: (table_name, check_name, failures).
 
     All row checks of a table share one pass over it; uniqueness and references need a grouping
-    each.
+    each. A table that has checks but was not given is an error.
     """
+    parents = {c.parent for cs in checks.values() for c in cs if isinstance(c, References)}
+    absent = sorted((set(checks) | parents) - set(tables))
+    if absent:
+        raise ValueError(f"tables to check are missing: {', '.join(absent)}")
     reports: list[DataFrame] = []
     for table, table_checks in checks.items():
-        if table not in tables:
-            continue
         df = tables[table]
         by_row = [c for c in table_checks if not isinstance(c, Unique | References)]
         if by_row:

@@ -9,7 +9,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -49,11 +50,13 @@ def append_raw(df: DataFrame, path: str, partition: str = RELEASE) -> int:
 def replace_release(df: DataFrame, path: str, release: str, partition: str = RELEASE) -> int:
     """Put the rows in place of what the table holds for that release; others stay untouched.
 
-    The new files are complete before the old ones go. A release without any row ends up empty.
+    The new files are complete before the old ones go. Rows of another release, or of none, stop the
+    write before it changes anything; an input without any row empties the release.
     """
     if not re.fullmatch(r"[A-Za-z0-9._-]+", release):
         raise ValueError(f"unsupported release name {release!r}")
-    mine = df.filter(F.col(partition) == release)
+    problem = f"raise_error(concat('a row of release ', coalesce({partition}, 'null'), ' is not of {release}'))"
+    mine = df.filter(f"if({partition} <=> '{release}', true, {problem})")
 
     def swap(rows: DataFrame) -> None:
         (
@@ -70,9 +73,9 @@ def replace_release(df: DataFrame, path: str, release: str, partition: str = REL
     return written
 
 
-def read_raw(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A raw table with its full schema; a table nothing was written to yet reads as empty."""
-    if not path_exists(spark, path):
+def read_raw(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
+    """A raw table with its full schema. Only with `missing_ok` does a missing table read as empty."""
+    if missing_ok and not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -100,34 +103,66 @@ class Stage:
     rows: int
     frame: DataFrame
     reused: bool
+    facts: dict[str, int]
 
 
 class StageFolder:
-    """Stage tables of one release and configuration, kept across runs.
+    """Stage tables of one release, configuration and set of inputs, kept across runs.
 
-    A stage is its data plus a one-row manifest written last. When the manifest is there, the
-    stage is complete and is read instead of built; a changed configuration has another folder.
+    A stage is its data plus a one-row manifest written last. When the manifest is there, the stage is
+    complete and is read instead of built. The folder is named by the configuration and by the input
+    files, so changed inputs have another one; a manifest also names the build of the stages it was
+    made from, so a stage is built again once an earlier one was.
     """
 
-    def __init__(self, spark: SparkSession, root: str, release: str, config: str) -> None:
-        key = hashlib.sha256(config.encode("utf-8")).hexdigest()[:16]
+    def __init__(
+        self, spark: SparkSession, root: str, release: str, config: str, inputs: Iterable[DataFrame] = ()
+    ) -> None:
+        listed = [config, *[line for df in inputs for line in input_listing(df)]]
+        key = hashlib.sha256("\n".join(listed).encode("utf-8")).hexdigest()[:16]
         self.spark = spark
         self.path = f"{root.rstrip('/')}/{release}/{key}"
+        self.made_from = ""
+        self.asked: dict[str, str] = {}
 
-    def stage(self, name: str, build: Callable[[], DataFrame]) -> Stage:
+    def stage(self, name: str, build: Callable[[], DataFrame | tuple[DataFrame, Callable[[], dict[str, int]]]]) -> Stage:
+        """`build` gives the frame, and may add a function that tells facts seen while it was written."""
         data, manifest = f"{self.path}/{name}/data", f"{self.path}/{name}/manifest"
         known = self._manifest(manifest)
-        if known is not None:
+        made_from = self.asked.setdefault(name, self.made_from)
+        if known is not None and known["made_from"] == made_from:
+            self.made_from = known["build"]
             schema = T.StructType.fromJson(json.loads(known["schema"]))
-            return Stage(name, known["rows"], self.spark.read.schema(schema).parquet(data), True)
+            frame = self.spark.read.schema(schema).parquet(data)
+            return Stage(name, known["rows"], frame, True, json.loads(known["facts"]))
         built = build()
-        rows = write_table(built, data)
+        frame, tell = built if isinstance(built, tuple) else (built, dict)
+        rows, facts, mark = write_table(frame, data), tell(), uuid.uuid4().hex
         self.spark.range(1).select(
-            F.lit(rows).cast("bigint").alias("rows"), F.lit(built.schema.json()).alias("schema")
+            F.lit(rows).cast("bigint").alias("rows"),
+            F.lit(frame.schema.json()).alias("schema"),
+            F.lit(json.dumps(facts)).alias("facts"),
+            F.lit(mark).alias("build"),
+            F.lit(made_from).alias("made_from"),
         ).coalesce(1).write.mode("overwrite").parquet(manifest)
-        return Stage(name, rows, self.spark.read.schema(built.schema).parquet(data), False)
+        self.made_from = mark
+        return Stage(name, rows, self.spark.read.schema(frame.schema).parquet(data), False, facts)
 
     def _manifest(self, path: str):
         if not path_exists(self.spark, path):
             return None
-        return self.spark.read.schema("rows bigint, schema string").parquet(path).first()
+        columns = "rows bigint, schema string, facts string, build string, made_from string"
+        return self.spark.read.schema(columns).parquet(path).first()
+
+
+def input_listing(df: DataFrame) -> list[str]:
+    """Path, size and time of every file a frame reads; files that are replaced change it."""
+    files = df.inputFiles()
+    spark = df.sparkSession
+    conf, listed = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        for status in path.getFileSystem(conf).listStatus(path):
+            if status.isFile():
+                listed.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return sorted(listed)

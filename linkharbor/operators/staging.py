@@ -82,9 +82,14 @@ def stage_domain_ranks(raw_ranks: DataFrame, entity_type: str | None = None) ->
 
 def stage_link_evidence(raw_evidence: DataFrame) -> DataFrame:
     """Lower-case names plus one lower-case text to search: URLs, title and anchor."""
-    columns = ("source_url", "target_url", "page_title", "anchor_text")
-    words = ", ".join(f"coalesce({c}, '')" for c in columns)
     lowered = {c: F.lower(c) for c in ("source_domain", "source_host", "target_domain")}
     return raw_evidence.withColumns(
-        lowered | {"evidence_text": F.expr(f"lower(concat_ws(' ', {words}))")}
+        lowered | {"evidence_text": F.expr(evidence_text())}
     )
+
+
+def evidence_text(prefix: str = "") -> str:
+    """The text of a link to search in."""
+    columns = ("source_url", "target_url", "page_title", "anchor_text")
+    words = ", ".join(f"coalesce({prefix}{c}, '')" for c in columns)
+    return f"lower(concat_ws(' ', {words}))"

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from linkharbor.config import Settings
 from linkharbor.operators import intermediate, marts, quality, sinks, staging
+from linkharbor.session import materialize
 
 RELEASED = "graph_release_id"
 
@@ -51,16 +53,10 @@ def links_plan(staged: dict[str, DataFrame], settings: Settings) -> DataFrame:
     )
 
 
-def opportunities_plan(
-    staged: dict[str, DataFrame], settings: Settings, configured: bool = False
-) -> DataFrame:
-    """The opportunity mart from staged tables, without writing anything in between.
-
-    Say `configured` when the edges were loaded with the same companies.
-    """
-    matrix = intermediate.company_matrix(
-        links_plan(staged, settings), settings.companies, settings.score, configured
-    )
+def opportunities_plan(staged: dict[str, DataFrame], settings: Settings) -> DataFrame:
+    """The opportunity mart from staged tables; only the links, which are read twice, are written."""
+    links = materialize(links_plan(staged, settings), "links")
+    matrix = intermediate.company_matrix(links, settings.companies, settings.score)
     examples = intermediate.evidence_examples(staged["stg_wat_link_evidence"], settings.score)
     return marts.backlink_opportunities(matrix, examples, settings.companies, settings.score)
 
@@ -70,7 +66,8 @@ def write_marts(
 ) -> dict[str, int]:
     """Write intermediate tables and marts, each read back before it is used again.
 
-    Four tables build on the links table; it is computed once. Returns the rows of every table.
+    The links are shuffled once more, to one row of numbers per linking domain; matrix, overlap and
+    summary are read off these rows. Returns the rows of every table.
     """
     companies, score = settings.companies, settings.score
     counts: dict[str, int] = {}
@@ -91,13 +88,14 @@ def write_marts(
             staged["stg_domain_edges"], rollup, settings.flag_from_rank
         ),
     )
+    sources = materialize(intermediate.source_rows(links, companies), "source-rows")
     matrix = table(
         "int_referring_domain_company_matrix",
-        intermediate.company_matrix(
-            links, companies, score, intermediate.as_configured(links, companies)
+        intermediate.matrix_from(
+            sources, intermediate.strangers(links, companies, score), companies, score
         ),
     )
-    overlap = table("int_competitor_overlap", intermediate.competitor_overlap(links, companies))
+    overlap = table("int_competitor_overlap", intermediate.overlap_from(sources, companies))
     examples = table(
         "int_opportunity_evidence_examples",
         intermediate.evidence_examples(staged["stg_wat_link_evidence"], score),
@@ -108,13 +106,24 @@ def write_marts(
         "fct_backlink_opportunities",
         marts.backlink_opportunities(matrix, examples, companies, score),
     )
-    table("mart_company_backlink_summary", marts.company_summary(links, companies, score))
+    table("mart_company_backlink_summary", marts.summary_from(sources, companies, score))
     table("mart_competitor_overlap", marts.overlap_report(overlap))
     return counts
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in WRITTEN}
+    return {name: read_mart(spark, root, name) for name in WRITTEN}
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A mart as written: the release in the folder names is text, whatever it looks like."""
+    found = spark.read.parquet(f"{root}/{name}")
+    if RELEASED not in found.columns:
+        return found
+    schema = T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name == RELEASED else f for f in found.schema.fields]
+    )
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
 def quality_report(tables: dict[str, DataFrame], settings: Settings) -> DataFrame:

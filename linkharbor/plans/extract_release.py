@@ -6,9 +6,11 @@ a restarted job goes on from the last complete stage instead of reading the edge
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from linkharbor.config import CompanySet
 from linkharbor.operators import extract
@@ -38,16 +40,19 @@ def extract_release(
     ranks: DataFrame,
     companies: CompanySet,
     root: str | None = None,
-    max_edges: int | None = None,
-    max_matches: int | None = None,
 ) -> Extraction:
     """`vertices`, `edges` and `ranks` are the good rows of the scans, best from Parquet copies.
 
-    The edge count is taken from the file footers when `edges` is a Parquet table; over text it
-    would cost a second read of the largest input.
+    Edges are read once: they are counted below the join that cuts them, and the number is kept with
+    the stage. Over pruned buckets it counts the edges of the buckets read.
     """
-    config = repr((sorted(companies.domains), max_edges, max_matches))
-    folder = StageFolder(spark, root or f"{shared_folder(spark)}/extract", release, config)
+    folder = StageFolder(
+        spark,
+        root or f"{shared_folder(spark)}/extract",
+        release,
+        repr(sorted(companies.domains)),
+        (vertices, edges, ranks),
+    )
     domains = companies.frame(spark).select("domain").distinct()
 
     targets = folder.stage(
@@ -56,15 +61,17 @@ def extract_release(
     extract.require_all_targets(targets.frame, domains)
     # The stage is written, so its size is a footer count: broadcast below the bound only.
     small_targets = broadcast_if_small(targets.frame)
-    kept = folder.stage(
-        "filtered_edges",
-        lambda: extract.edges_to_targets(edges, small_targets, max_edges, max_matches),
-    )
+
+    def cut() -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+        seen = Observation()
+        counted = edges.observe(seen, F.count(F.lit(1)).alias("scanned_edges"))
+        return extract.edges_to_targets(counted, small_targets), lambda: dict(seen.get)
+
+    kept = folder.stage("filtered_edges", cut)
     sources = folder.stage("source_vertices", lambda: extract.source_vertices(vertices, kept.frame))
     found = folder.stage("domain_ranks", lambda: extract.source_ranks(ranks, sources.frame))
     named = folder.stage(
         "graph_edges", lambda: extract.graph_edges(kept.frame, sources.frame, found.frame)
     )
-    scanned = edges.count() if max_edges is None else edges.limit(max_edges).count()
     stages = {s.name: s for s in (targets, kept, sources, found, named)}
-    return Extraction(stages, scanned)
+    return Extraction(stages, kept.facts["scanned_edges"])

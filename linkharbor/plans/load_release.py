@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkharbor.config import Settings
 from linkharbor.functions.suffixes import SuffixRules
 from linkharbor.operators import load, sinks, validate
+from linkharbor.session import materialize
 
 EDGES, RANKS, EVIDENCE = "raw_domain_edges", "raw_domain_ranks", "raw_link_evidence"
 
@@ -67,6 +68,8 @@ def load_delivered(
     checked = validate.validate_edge_inputs(
         graph_edges.withColumn("graph_release_id", F.lit(release)), rules
     )
+    if not strict:
+        checked = validate.Checked(materialize(checked.rows, "checked"))  # read for both halves
     edges = load.build_domain_edges(
         checked.strict() if strict else checked.valid,
         settings.companies.frame(spark),
@@ -96,5 +99,6 @@ def _append(
 ) -> int:
     if strict:
         return sinks.append_raw(checked.strict(), f"{root}/{table}", partition)
+    checked = validate.Checked(materialize(checked.rows, "checked"))
     sinks.append_raw(checked.rejected, f"{root}/{table}_rejected", partition)
     return sinks.append_raw(checked.valid, f"{root}/{table}", partition)

@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkharbor.config import CompanySet, load_mapping
+from linkharbor.functions.suffixes import SuffixRules, resolved_companies
+
+
+def load_companies(spark: SparkSession, path: str, rules: SuffixRules) -> CompanySet:
+    """The configured companies of a file, their domains resolved to registered domains."""
+    return resolved_companies(spark, load_mapping(path)["companies"], rules)
+
 
 def read_companies_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(

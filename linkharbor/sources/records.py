@@ -5,13 +5,17 @@ All columns are read as text and converted by explicit rules, so no second pass
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkharbor.config import sql_list, sql_text
 from linkharbor.functions.text import clean_text, optional_number, parse_bool
 
+# The column names of the delivered files.
 EDGE_COLUMNS = ("source_domain", "target_domain", "edge_weight", "source_domain_rank_bucket")
 RANK_COLUMNS = (
     "rank_entity_type",
@@ -46,37 +50,117 @@ OPTIONAL_EVIDENCE_TEXT = (
     "page_language",
     "content_type",
 )
+# A file without one of these is refused; the others may be missing.
+REQUIRED_EDGE = ("source_domain", "target_domain")
+REQUIRED_RANK = ("rank_entity_type", "domain_or_host")
+REQUIRED_EVIDENCE = (
+    "wat_file_path",
+    "source_url",
+    "source_domain",
+    "source_host",
+    "target_url",
+    "target_domain",
+    "target_company",
+)
 ENTITY_TYPES = ("domain", "host")
+BAD_RECORD = "bad_record"
+
+
+@dataclass(frozen=True)
+class Records:
+    """Well-formed records as text and, kept apart, those with too few or too many fields."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...],
+    required: tuple[str, ...] = (),
+    multiline: bool = False,
+    strict: bool = True,
+) -> Records:
+    """Columns are found by header name in any order; an optional column that is missing reads as null.
+
+    Files of one folder may differ in their headers: they are read in groups of equal header, each
+    group in one scan. A header without a required column is an error, and so, with `strict`, is a
+    record whose number of fields is not that of its header. `multiline` allows line breaks inside
+    quotes, at the price of one task per file.
+    """
+    rows, rejected = [], []
+    for header, files in _files_by_header(spark, path).items():
+        missing = [c for c in required if c not in header]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in {files[0]}")
+        if len(set(header)) < len(header):
+            raise ValueError(f"a column name is repeated in {files[0]}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BAD_RECORD)])
+        read = (
+            _csv(spark)
+            .option("multiLine", multiline)
+            .option("enforceSchema", False)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_RECORD)
+            .option("columnPruning", False)  # else a broken record goes unseen when few columns are asked for
+            .schema(schema)
+            .csv(files)
+        )
+        # Names a column of the file: Spark will not read the marks of broken records alone.
+        seen = f"length(coalesce(`{header[0]}`, '')) >= 0"
+        if strict:
+            problem = f"raise_error(concat('record does not fit its header: ', {BAD_RECORD}))"
+            read = read.filter(f"if({BAD_RECORD} is null, {seen}, {problem})")
+        good = read.filter(f"{BAD_RECORD} is null and {seen}")
+        rows.append(good.select(*[F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns]))
+        rejected.append(read.filter(f"{BAD_RECORD} is not null and {seen}").select(BAD_RECORD))
+    return Records(_union(spark, rows, columns), _union(spark, rejected, (BAD_RECORD,)))
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...], multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...],
+    required: tuple[str, ...] = (),
+    multiline: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
-    """Columns are found by header name in any order; a missing optional column reads as null.
+    return scan_csv(spark, path, columns, required, multiline, strict).rows
 
-    `multiline` allows line breaks inside quotes, at the price of one task per file.
-    """
-    header = spark.read.option("header", True).csv(path, inferSchema=False)
-    missing = [c for c in columns if c not in header.columns]
-    if not header.columns:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
-    rows = (
+
+def _csv(spark: SparkSession) -> DataFrameReader:
+    return (
         spark.read.option("header", True)
-        .option("multiLine", multiline)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .schema(schema)
-        .csv(path)
-    )
-    return rows.select(
-        *[F.lit(None).cast("string").alias(c) if c in missing else F.col(c) for c in columns]
     )
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files. One line is read of each file; a file without any line is left out."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(r["file"] for r in lines.collect()):
+        header = tuple(_csv(spark).csv(file, inferSchema=False).columns)
+        found.setdefault(header, []).append(file)
+    return found
+
+
+def _union(spark: SparkSession, parts: list[DataFrame], columns: tuple[str, ...]) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evidence_to_parquet(spark: SparkSession, path: str, out: str, multiline: bool = True) -> None:
+    """One-off conversion of delivered evidence: a CSV file is one task each time, its copy is many."""
+    read_text_csv(spark, path, EVIDENCE_COLUMNS, REQUIRED_EVIDENCE, multiline).write.mode("overwrite").parquet(out)
+
+
 def read_graph_edges(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    return typed_graph_edges(read_text_csv(spark, path, EDGE_COLUMNS), strict)
+    return typed_graph_edges(read_text_csv(spark, path, EDGE_COLUMNS, REQUIRED_EDGE, strict=strict), strict)
 
 
 def typed_graph_edges(text: DataFrame, strict: bool = True) -> DataFrame:
@@ -91,13 +175,14 @@ def typed_graph_edges(text: DataFrame, strict: bool = True) -> DataFrame:
 def read_domain_ranks(
     spark: SparkSession, path: str, graph_release_id: str, strict: bool = True
 ) -> DataFrame:
-    return typed_domain_ranks(read_text_csv(spark, path, RANK_COLUMNS), graph_release_id, strict)
+    text = read_text_csv(spark, path, RANK_COLUMNS, REQUIRED_RANK, strict=strict)
+    return typed_domain_ranks(text, graph_release_id, strict)
 
 
 def typed_domain_ranks(text: DataFrame, graph_release_id: str, strict: bool = True) -> DataFrame:
     kind = "rank_entity_type"
     if strict:
-        problem = f"concat('rank_entity_type must be domain or host, got ', coalesce({kind}, 'null'))"
+        problem = f"concat('a rank is of a domain or of a host, not of ', coalesce({kind}, 'null'))"
         kind = f"if({kind} in ({sql_list(ENTITY_TYPES)}), {kind}, raise_error({problem}))"
     return text.selectExpr(
         f"{sql_text(graph_release_id)} as graph_release_id",
@@ -115,8 +200,12 @@ def typed_domain_ranks(text: DataFrame, graph_release_id: str, strict: bool = Tr
     )
 
 
-def read_evidence(spark: SparkSession, path: str, crawl_id: str, strict: bool = True) -> DataFrame:
-    return typed_evidence(read_text_csv(spark, path, EVIDENCE_COLUMNS, multiline=True), crawl_id, strict)
+def read_evidence(
+    spark: SparkSession, path: str, crawl_id: str, strict: bool = True, multiline: bool = True
+) -> DataFrame:
+    """Without line breaks inside quotes, say `multiline=False`: files are then split over tasks."""
+    text = read_text_csv(spark, path, EVIDENCE_COLUMNS, REQUIRED_EVIDENCE, multiline, strict)
+    return typed_evidence(text, crawl_id, strict)
 
 
 def typed_evidence(text: DataFrame, crawl_id: str, strict: bool = True) -> DataFrame:
@@ -132,7 +221,7 @@ def typed_evidence(text: DataFrame, crawl_id: str, strict: bool = True) -> DataF
 
 def read_loose_edges(spark: SparkSession, path: str) -> DataFrame:
     """The loader's view of an edge file: names in lower case, a bad or missing weight counts 1."""
-    return loose_edges(read_text_csv(spark, path, EDGE_COLUMNS))
+    return loose_edges(read_text_csv(spark, path, EDGE_COLUMNS, REQUIRED_EDGE))
 
 
 def loose_edges(text: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from linkharbor.config import CompanySet, ReleaseSettings, Settings  # noqa: E402
 from linkharbor.functions.suffixes import rules_from_list  # noqa: E402
-from linkharbor.session import build_session  # noqa: E402
+from linkharbor.session import build_session, delete_run_folders  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,12 +25,16 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    delete_run_folders(session)
     session.stop()
 
 
+SUFFIXES = ("com", "org", "net", "io", "co", "tech", "uk", "co.uk", "jp", "*.kawasaki.jp", "!city.kawasaki.jp", "*.ck", "!www.ck")
+
+
 @pytest.fixture(scope="session")
 def rules(spark):
-    return rules_from_list(spark)
+    return rules_from_list(spark, SUFFIXES)
 
 
 @pytest.fixture(scope="session")

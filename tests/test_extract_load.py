@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import dataclasses
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ HIGH = ("top_10k", "top_100k")
 
 TWO = CompanySet.from_items(
     [
-        {"company": "Own", "role": "target", "segment": "target", "domains": ["own.co"]},
-        {"company": "Far", "role": "competitor", "segment": "enterprise_incumbent", "domains": ["far.com"]},
+        {"company": "Lakes", "role": "target", "segment": "target", "domains": ["lakes.org"]},
+        {"company": "River", "role": "competitor", "segment": "enterprise_incumbent", "domains": ["river.io", "river.co.uk"]},
     ]
 )
 
@@ -29,21 +30,28 @@ def loaded(spark):
 
 @pytest.fixture
 def graph(spark, tmp_path):
+    """Three tracked nodes, four linkers: one without rank, one that links to two tracked nodes, one
+    that has no vertex, and one whose rank comes twice."""
     vertices = write_lines(
         tmp_path / "vertices.txt",
-        "1\tco.own\t7",
-        "2\tcom.far\t120",
-        "10\tcom.example\t2",
-        "11\ttech.acme.blog\t1",
-        "13\tcom.other\t1",
+        "500\torg.lakes\t44",
+        "501\tio.river\t3",
+        "502\tuk.co.river\t3",
+        "7\tnet.delta\t1",
+        "8\tnet.coast.north\t6",
+        "9\tnet.harbour\t2",
+        "10\tnet.silent\t2",
+    )
+    edges = write_lines(
+        tmp_path / "edges.txt", "7\t500", "7\t502", "8\t501", "9\t501", "9\t10", "10\t9", "77\t500", "500\t501"
     )
-    edges = write_lines(tmp_path / "edges.txt", "10\t1", "11\t2", "12\t999", "99\t1", "13\t2")
     ranks = write_lines(
         tmp_path / "ranks.txt",
-        "#harmonicc_pos\t#harmonicc_val\t#pr_pos\t#pr_val\t#host_rev\t#n_hosts",
-        "50\t200.5\t60\t0.3\tcom.example\t2",
-        "200000\t10.5\t300000\t0.01\ttech.acme.blog\t1",
-        "7\t1.0\t7\t0.01\tcom.unlinked\t1",
+        "#harmonicc_pos\t#harmonicc_val\t#pr_pos\t#pr_val\t#host_rev\t#n_hosts",  # fixed value: the file's first line
+        "100001\t5.5\t12\t0.5\tnet.delta\t1",
+        "10000\t9.25\t13\t0.25\tnet.coast.north\t6",
+        "2000000\t0.5\t14\t0.125\tnet.coast.north\t6",
+        "1\t99.0\t1\t0.75\tnet.silent\t2",
     )
     return (
         webgraph.scan_vertices(spark, vertices).rows,
@@ -52,27 +60,65 @@ def graph(spark, tmp_path):
     )
 
 
+NAMED = [
+    ("delta.net", "lakes.org", 1, "top_1m"),
+    ("delta.net", "river.co.uk", 1, "top_1m"),
+    ("harbour.net", "river.io", 1, None),
+    ("lakes.org", "river.io", 1, None),
+    ("north.coast.net", "river.io", 1, "top_10k"),
+]
+
+
 def test_extract_release(spark, graph, tmp_path):
     root = str(tmp_path / "stages")
     found = extract_release(spark, "rel-1", *graph, TWO, root=root)
     assert found.counts() == {
-        "scanned_edges": 5,
-        "target_vertices": 2,
-        "filtered_edges": 4,
-        "source_vertices": 3,
-        "domain_ranks": 2,
-        "graph_edges": 3,
+        "scanned_edges": 8,
+        "target_vertices": 3,
+        "filtered_edges": 6,
+        "source_vertices": 4,
+        "domain_ranks": 3,
+        "graph_edges": 5,
     }
-    assert rows(found.frame("graph_edges")) == [
-        ("blog.acme.tech", "far.com", 1, "top_1m"),
-        ("example.com", "own.co", 1, "top_10k"),
-        ("other.com", "far.com", 1, None),
-    ]
+    assert rows(found.frame("graph_edges")) == NAMED
     assert not any(s.reused for s in found.stages.values())
     again = extract_release(spark, "rel-1", *graph, TWO, root=root)
     assert all(s.reused for s in again.stages.values())
     assert again.counts() == found.counts()
-    assert rows(again.frame("graph_edges")) == rows(found.frame("graph_edges"))
+    assert rows(again.frame("graph_edges")) == NAMED
+
+
+def test_changed_inputs_do_not_reuse_stages(spark, graph, tmp_path):
+    root = str(tmp_path / "stages")
+    extract_release(spark, "rel-1", *graph, TWO, root=root)
+    with (tmp_path / "edges.txt").open("a") as file:
+        file.write("10\t500\n")
+    vertices, _, ranks = graph
+    edges = webgraph.scan_edges(spark, str(tmp_path / "edges.txt")).rows
+    more = extract_release(spark, "rel-1", vertices, edges, ranks, TWO, root=root)
+    assert not any(s.reused for s in more.stages.values())
+    assert more.counts()["graph_edges"] == 6
+
+
+def test_a_rebuilt_stage_invalidates_the_later_ones(spark, tmp_path):
+    def run(second):
+        folder = sinks.StageFolder(spark, str(tmp_path), "rel", "config")
+        one = folder.stage("one", lambda: spark.range(2).toDF("n"))
+        return folder, one, folder.stage("two", lambda: spark.range(second).toDF("n"))
+
+    folder, _, _ = run(3)
+    assert [s.reused for s in run(4)[1:]] == [True, True]
+    shutil.rmtree(f"{folder.path}/one/manifest")
+    _, one, two = run(4)
+    assert (one.reused, two.reused, two.rows) == (False, False, 4)
+
+
+def test_stored_edges_give_the_same(spark, graph, tmp_path):
+    vertices, edges, _ = graph
+    extract.store_edges(edges, str(tmp_path / "stored"))
+    targets = extract.target_vertices(vertices, TWO.frame(spark))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    assert rows(extract.edges_to_targets(stored, targets)) == rows(extract.edges_to_targets(edges, targets))
 
 
 def test_a_changed_configuration_does_not_reuse_stages(spark, graph, tmp_path):
@@ -81,7 +127,7 @@ def test_a_changed_configuration_does_not_reuse_stages(spark, graph, tmp_path):
     only_own = CompanySet(TWO.companies[:1])
     other = extract_release(spark, "rel-1", *graph, only_own, root=root)
     assert not any(s.reused for s in other.stages.values())
-    assert other.stages["filtered_edges"].rows == 2
+    assert other.stages["filtered_edges"].rows == 2  # one linker has no vertex
 
 
 def test_a_stage_without_manifest_is_built_again(spark, tmp_path):
@@ -93,29 +139,21 @@ def test_a_stage_without_manifest_is_built_again(spark, tmp_path):
 
 
 def test_missing_targets_stop_the_extraction(spark, graph, tmp_path):
-    wanted = CompanySet((*TWO.companies, dataclasses.replace(TWO.companies[1], company="X", domains=("x.com",))))
-    with pytest.raises(ValueError, match=r"missing from the vertices: \['x.com'\]"):
-        extract_release(spark, "rel-1", *graph, wanted, root=str(tmp_path / "s"))
-
-
-def test_trial_limits(spark, graph):
-    vertices, edges, _ = graph
-    targets = extract.target_vertices(vertices, TWO.frame(spark))
-    assert extract.edges_to_targets(edges, targets).count() == 4
-    assert extract.edges_to_targets(edges, targets, max_matches=1).count() == 1
-    assert extract.edges_to_targets(edges, targets, max_edges=2).count() <= 2
+    """All of them are named, however many."""
+    names = [f"gone{n:02d}.org" for n in range(30)]
+    gone = dataclasses.replace(TWO.companies[1], company="Gone", domains=tuple(reversed(names)))
+    with pytest.raises(ValueError, match="30 target domains missing from the vertices") as error:
+        extract_release(spark, "rel-1", *graph, CompanySet((*TWO.companies, gone)), root=str(tmp_path / "s"))
+    assert str(names) in str(error.value)
 
 
 def test_edge_inputs_drop_unknown_ends(spark, graph):
     vertices, edges, _ = graph
     targets = extract.target_vertices(vertices, TWO.frame(spark))
     kept = extract.edges_to_targets(edges, targets)
+    assert kept.count() == 6
     named = extract.edge_inputs(kept, extract.source_vertices(vertices, kept), targets)
-    assert rows(named) == [
-        ("blog.acme.tech", "far.com", 1),
-        ("example.com", "own.co", 1),
-        ("other.com", "far.com", 1),
-    ]
+    assert rows(named) == [r[:3] for r in NAMED]
 
 
 def delivered(spark, *rows):
@@ -129,37 +167,40 @@ def delivered(spark, *rows):
 def test_build_domain_edges(spark, companies, rules, loaded):
     edges = delivered(
         spark,
-        ("https://example.com/post-1", "https://www.own.co/", 2, "top_100k"),
-        ("example.com", "own.co", 3, "top_10k"),
-        ("ignored.com", "not-tracked.com", 1, None),
-        ("a.com", "near.com", None, "odd"),
-        ("a.com", "near.com", None, None),
-        ("b.com", "near.com", None, "odd"),
-        ("b.com", "www.near.com", 4, "long_tail"),
-        ("localhost", "near.com", 4, "long_tail"),
+        ("ftp://north.harbour.net:21/", "shop.side.com", 10, "long_tail"),
+        ("HARBOUR.net", "side.com", None, "top_1m"),
+        ("harbour.net.", "www.side.com", 7, None),
+        ("harbour.net", "far.com", 1, "top_100k"),
+        ("river.io", "near.io", None, "novel"),
+        ("river.io", "near.io", None, "newer"),
+        ("delta.net", "near.com", None, "novel"),
+        ("delta.net", "https://near.com/#x", 4, "long_tail"),
+        ("delta.net", "lakes.org", 900, "top_10k"),
+        ("intranet", "near.com", 8, "top_10k"),
     )
     found = load.build_domain_edges(edges, companies.frame(spark), rules, HIGH, loaded, ordered=True)
     assert [tuple(r)[1:8] for r in found.collect()] == [
-        ("a.com", "near.com", "Near", "direct_modern_bi", None, "odd", False),
-        ("b.com", "near.com", "Near", "direct_modern_bi", 4, "long_tail", False),
-        ("example.com", "own.co", "Own", "target", 5, "top_10k", True),
+        ("delta.net", "near.com", "Near", "direct_modern_bi", 4, "long_tail", False),
+        ("harbour.net", "far.com", "Far", "enterprise_incumbent", 1, "top_100k", True),
+        ("harbour.net", "side.com", "Side One", "direct_modern_bi", 17, "top_1m", False),
+        ("river.io", "near.io", "Near", "direct_modern_bi", None, "newer", False),
     ]
 
 
 def test_load_graph_edges(spark, companies, loaded):
     edges = delivered(
         spark,
-        ("Blog.A.com", "Near.com", None, "top_1m"),
-        ("blog.a.com", "near.com", 3, "odd"),
-        ("blog.a.com", "near.io", 1, "top_100k"),
-        ("a.com", "own.co", 1, None),
-        ("a.com", "not-tracked.com", 1, "top_10k"),
+        ("North.River.io", "SIDE.com", None, "long_tail"),
+        ("north.river.io", "side.com", 6, "novel"),
+        ("north.river.io", "far.com", 2, "top_10k"),
+        ("river.io", "near.io", 1, None),
+        ("river.io", "lakes.org", 1, "top_10k"),
     )
     found = load.load_graph_edges(edges, companies.frame(spark), HIGH, loaded)
     assert [r[1:8] for r in rows(found)] == [
-        ("a.com", "own.co", "Own", "target", 1, None, False),
-        ("blog.a.com", "near.com", "Near", "direct_modern_bi", 4, "top_1m", False),
-        ("blog.a.com", "near.io", "Near", "direct_modern_bi", 1, "top_100k", True),
+        ("north.river.io", "far.com", "Far", "enterprise_incumbent", 2, "top_10k", True),
+        ("north.river.io", "side.com", "Side One", "direct_modern_bi", 7, "long_tail", False),
+        ("river.io", "near.io", "Near", "direct_modern_bi", 1, None, False),
     ]
 
 
@@ -172,7 +213,9 @@ def test_replace_release_keeps_the_others(spark, tmp_path):
             sinks.RAW_RANKS,
         )
 
-    assert rows(sinks.read_raw(spark, path, sinks.RAW_RANKS)) == []
+    assert rows(sinks.read_raw(spark, path, sinks.RAW_RANKS, missing_ok=True)) == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sinks.read_raw(spark, path, sinks.RAW_RANKS).count()
     assert sinks.append_raw(ranks("2026", 1, 2), path) == 2
     assert sinks.append_raw(ranks("b", 3), path) == 1
     assert sinks.append_raw(ranks("b").limit(0), path) == 0
@@ -188,6 +231,15 @@ def test_replace_release_keeps_the_others(spark, tmp_path):
     assert held() == [("b", 3)]
     with pytest.raises(ValueError, match="unsupported release"):
         sinks.replace_release(ranks("x", 1), path, "../x")
+    # rows of another release, or of none, change nothing
+    for stray in (ranks("b", 4), ranks("b", 4).withColumn("graph_release_id", F.lit(None).cast("string"))):
+        for handed in (stray, ranks("b", 5).unionByName(stray)):
+            with pytest.raises(Exception, match="is not of c"):
+                sinks.replace_release(handed, path, "c")
+    sinks.append_raw(ranks("c", 8), path)
+    with pytest.raises(Exception, match="a row of release b is not of c"):
+        sinks.replace_release(ranks("b", 4), path, "c")
+    assert held() == [("b", 3), ("c", 8)]
 
 
 def test_load_extracted(spark, graph, tmp_path, settings, loaded):
@@ -198,12 +250,14 @@ def test_load_extracted(spark, graph, tmp_path, settings, loaded):
         counts = load_extracted(
             spark, found.frame("graph_edges"), found.frame("domain_ranks"), loading, root, loaded
         )
-        assert (counts.domain_edges, counts.domain_ranks) == (3, 2)
+        assert (counts.domain_edges, counts.domain_ranks) == (5, 3)
     edges = sinks.read_raw(spark, f"{root}/{EDGES}", sinks.RAW_EDGES)
-    assert rows(edges.select("source_domain", "target_company", "source_high_authority_flag")) == [
-        ("blog.acme.tech", "Far", False),
-        ("example.com", "Own", True),
-        ("other.com", "Far", False),
+    assert rows(edges.select("source_domain", "target_domain", "target_company", "source_high_authority_flag")) == [
+        ("delta.net", "lakes.org", "Lakes", False),
+        ("delta.net", "river.co.uk", "River", False),
+        ("harbour.net", "river.io", "River", False),
+        ("lakes.org", "river.io", "River", False),
+        ("north.coast.net", "river.io", "River", True),
     ]
 
 
@@ -213,23 +267,27 @@ def evidence_rows(spark, tmp_path, *lines):
 
 
 GOOD = (
-    "f.wat.gz,record-1,https://blog.acme.tech/post,acme.tech,BLOG.ACME.TECH,https://www.own.co/,own.co,Own, Own ,"
-    "noopener nofollow,false,Example,en,200,text/html"
+    "p3.gz,,http://Tides.delta.net:8080/chart?d=1,delta.net,tides.DELTA.net,https://side.com/prices,SIDE.com,Side One,"
+    " tide prices ,ugc NOFOLLOW,no,Tide charts,pt,301,text/html"
 )
-MISMATCH = GOOD.replace(",acme.tech,", ",example.com,")
-BAD_STATUS = GOOD.replace(",200,", ",99,")
-RELATIVE = GOOD.replace("https://blog.acme.tech/post", "/post")
+MISMATCH = GOOD.replace(",delta.net,", ",coast.net,")
+BAD_STATUS = GOOD.replace(",301,", ",600,")
+RELATIVE = GOOD.replace("http://Tides.delta.net:8080/chart?d=1", "chart?d=1")
 
 
 def test_load_delivered_end_to_end(spark, settings, rules, tmp_path, loaded):
     edges = delivered(
         spark,
-        ("https://example.com/a", "https://www.own.co/", 2, "top_100k"),
-        ("example.com", "own.co", 3, "top_10k"),
-        ("irrelevant.com", "not-tracked.com", 1, None),
+        ("tides.delta.net", "http://www.side.com", 11, "top_1m"),
+        ("DELTA.NET", "side.com", 4, None),
+        ("delta.net", "near.io", 1, "top_100k"),
+        ("delta.net", "lakes.org", 1, "top_10k"),
     ).drop("graph_release_id")
     ranks = spark.createDataFrame(
-        [("rel-1", "domain", "https://Example.com/x", 100, 0.5, 0.2, "top_100k")],
+        [
+            ("rel-1", "domain", "ftp://tides.Delta.net", 431, 2.5, 0.75, "top_10k"),
+            ("rel-1", "host", "tides.Delta.net:99", None, None, None, None),
+        ],
         "graph_release_id string, rank_entity_type string, domain_or_host string, rank_position int, "
         "harmonic_centrality double, pagerank double, rank_bucket string",
     )
@@ -237,20 +295,21 @@ def test_load_delivered_end_to_end(spark, settings, rules, tmp_path, loaded):
     counts = load_delivered(
         spark, edges, settings, rules, root, loaded, ranks, evidence_rows(spark, tmp_path, GOOD)
     )
-    assert counts == type(counts)(1, 1, 1)
+    assert counts == type(counts)(2, 2, 1)
     loaded = sinks.read_raw(spark, f"{root}/{EDGES}", sinks.RAW_EDGES)
     assert rows(loaded.select("source_domain", "target_domain", "edge_weight", "source_domain_rank_bucket")) == [
-        ("example.com", "own.co", 5, "top_10k")
+        ("delta.net", "near.io", 1, "top_100k"),
+        ("delta.net", "side.com", 15, "top_1m"),
     ]
     assert rows(
-        sinks.read_raw(spark, f"{root}/{RANKS}", sinks.RAW_RANKS).select("domain_or_host", "rank_bucket")
-    ) == [("example.com", "top_100k")]
+        sinks.read_raw(spark, f"{root}/{RANKS}", sinks.RAW_RANKS).select("domain_or_host", "rank_position")
+    ) == [("delta.net", 431), ("tides.delta.net", None)]
     seen = sinks.read_raw(spark, f"{root}/{EVIDENCE}", sinks.RAW_EVIDENCE).first()
-    assert (seen["source_host"], seen["anchor_text"], seen["is_nofollow"]) == ("blog.acme.tech", "Own", True)
+    assert (seen["source_host"], seen["anchor_text"], seen["is_nofollow"]) == ("tides.delta.net", "tide prices", True)
 
 
 def test_delivered_records_stop_or_go_to_the_rejected_table(spark, settings, rules, tmp_path, loaded):
-    edges = delivered(spark, ("a.com", "own.co", 1, None), ("localhost", "own.co", -1, None)).drop(
+    edges = delivered(spark, ("coast.net", "near.io", 2, None), ("intranet", "near.io", -2, None)).drop(
         "graph_release_id"
     )
     with pytest.raises(Exception, match="record breaks: source_domain, edge_weight"):
@@ -260,7 +319,7 @@ def test_delivered_records_stop_or_go_to_the_rejected_table(spark, settings, rul
     assert counts.domain_edges == 1
     rejected = spark.read.parquet(f"{root}/{EDGES}_rejected")
     assert rows(rejected.select("source_domain", "failed_rules")) == [
-        ("localhost", ["source_domain", "edge_weight"])
+        ("intranet", ["source_domain", "edge_weight"])
     ]
 
 
@@ -277,16 +336,16 @@ def test_validate_evidence(spark, rules, tmp_path):
 def test_validate_ranks(spark, rules):
     df = spark.createDataFrame(
         [
-            ("r", "host", "https://blog.acme.tech/posts", 1, 0.0, 0.0, "ok"),
-            ("r", "domain", "https://www.far.com/x", None, None, None, "ok"),
-            ("", "page", "far.com", 0, -1.0, -0.5, "all"),
-            ("r", "domain", "localhost", 1, 0.0, 0.0, "name"),
+            ("r", "host", "ws://A.Coast.net:7", 12, 0.0, 3.5, "ok"),
+            ("r", "domain", "a.b.coast.net", None, None, None, "ok"),
+            ("", "zone", "coast.net", -3, -2.5, -0.25, "all"),
+            ("r", "domain", "intranet", 2, 0.0, 0.0, "name"),
         ],
         "graph_release_id string, rank_entity_type string, domain_or_host string, rank_position int, "
         "harmonic_centrality double, pagerank double, rank_bucket string",
     )
     checked = validate.validate_ranks(df, rules)
-    assert rows(checked.valid.select("domain_or_host")) == [("blog.acme.tech",), ("far.com",)]
+    assert rows(checked.valid.select("domain_or_host")) == [("a.coast.net",), ("coast.net",)]
     assert {r["rank_bucket"]: r["failed_rules"] for r in checked.rejected.collect()} == {
         "all": ["graph_release_id", "rank_entity_type", "rank_position", "harmonic_centrality", "pagerank"],
         "name": ["domain_or_host"],
@@ -319,10 +378,10 @@ def test_validate_companies(spark, rules):
 
 
 def test_company_for_domain(spark, companies, rules):
-    names = spark.createDataFrame([("https://www.near.io/products",), ("x.com",), ("",)], "n string")
+    names = spark.createDataFrame([("http://docs.near.io:81/a",), ("lakes.org",), (" ",)], "n string")
     found = validate.company_for_domain(names, "n", companies.frame(spark), rules)
     assert {r["n"]: r["target_company"] for r in found.collect()} == {
-        "https://www.near.io/products": "Near",
-        "x.com": None,
-        "": None,
+        "http://docs.near.io:81/a": "Near",
+        "lakes.org": None,
+        " ": None,
     }

@@ -13,6 +13,7 @@ from linkharbor.operators import intermediate, marts, quality, staging
 from linkharbor.plans.build_marts import (
     opportunities_plan,
     quality_report,
+    read_mart,
     read_marts,
     staged_tables,
     write_marts,
@@ -178,20 +179,31 @@ def test_matrix(links, companies, settings):
         assert row["source_high_authority_flag"] == any(r["source_high_authority_flag"] for r in rs)
 
 
-def test_matrix_of_configured_companies_is_the_same(spark, links, companies, settings):
-    assert intermediate.as_configured(links, companies)
-    collected = intermediate.company_matrix(links, companies, settings.score)
-    counted = intermediate.company_matrix(links, companies, settings.score, configured=True)
-    assert counted.schema == collected.schema or counted.columns == collected.columns
-    assert rows(counted) == rows(collected)
-    twice = links.union(links)  # a list names a company as often as it is linked
-    assert rows(intermediate.company_matrix(twice, companies, settings.score, configured=True)) == rows(
-        intermediate.company_matrix(twice, companies, settings.score)
+def test_matrix_of_a_changed_configuration(spark, links, companies, settings):
+    """Companies that are no longer configured, or moved to another segment, are counted and listed."""
+    changed = links.withColumns(
+        {
+            "target_company": F.expr("if(target_company = 'Far', 'Gone', target_company)"),
+            "target_segment": F.expr("if(target_company = 'Near', 'semantic_layer_adjacent', target_segment)"),
+        }
     )
-    stranger = links.withColumn("target_company", F.lit("Gone"))
-    assert not intermediate.as_configured(links.unionByName(stranger.limit(1)), companies)
-    moved = links.withColumn("target_segment", F.lit(None).cast("string"))
-    assert not intermediate.as_configured(links.unionByName(moved.limit(1)), companies)
+    groups = defaultdict(list)
+    for r in changed.collect():
+        groups[(r["graph_release_id"], r["source_domain"])].append(r)
+    found = intermediate.company_matrix(changed, companies, settings.score).collect()
+    assert len(found) == len(groups)
+    for row in found:
+        rs = groups[(row["graph_release_id"], row["source_domain"])]
+        rivals = [r for r in rs if r["target_company"] != "Own"]
+        assert row["competitor_count"] == len(rivals)
+        assert row["links_to_far"] is False
+        assert row["links_to_near"] == any(r["target_company"] == "Near" for r in rs)
+        assert row["semantic_layer_competitor_count"] == sum(r["target_segment"] == "semantic_layer_adjacent" for r in rs)
+        assert row["incumbent_competitor_count"] == sum(r["target_segment"] == "enterprise_incumbent" for r in rs)
+        assert row["linked_competitors"] == (", ".join(sorted(r["target_company"] for r in rivals)) or None)
+        assert row["competitor_segments"] == (", ".join(sorted({r["target_segment"] for r in rivals})) or None)
+    twice = intermediate.company_matrix(links.union(links), companies, settings.score)
+    assert {r["competitor_count"] % 2 for r in twice.collect()} == {0}  # listed as often as linked
 
 
 def test_overlap_and_summary(spark, links, companies, settings):
@@ -312,6 +324,13 @@ def test_opportunities_written_and_lazy_agree(
     rivals_only = matrix.filter("not links_to_own").count()
     assert counts["fct_backlink_opportunities"] == rivals_only
     assert len(lazy.columns) == 34
+    # release names are text, also those that look like numbers
+    numbered = lazy.limit(3).withColumn("graph_release_id", F.lit("007"))
+    numbered.write.partitionBy("graph_release_id").parquet(f"{root}/numbered")
+    assert {r[0] for r in read_mart(spark, root, "numbered").select("graph_release_id").collect()} == {"007"}
+    # a table that was not given does not count as checked
+    with pytest.raises(ValueError, match="tables to check are missing: .*fct_backlinks"):
+        quality_report({"dim_companies": tables["dim_companies"]}, settings)
     # every check holds on these tables and fails on spoiled copies
     named = {"raw_domain_edges": raw_edges, "raw_domain_ranks": raw_ranks} | staged | tables
     report = {(r["table_name"], r["check_name"]): r["failures"] for r in quality_report(named, settings).collect()}
@@ -361,3 +380,13 @@ def test_company_dimension(spark, companies):
         ("Own", "target", "target", "own.co"),
         ("Side One", "competitor", "direct_modern_bi", "side.com"),
     ]
+
+
+def test_enrichment_candidates_are_the_best_of_each_release(spark):
+    scores = spark.createDataFrame(
+        [(r, f"d{n}.net", float(n % 4)) for r in ("a", "b") for n in range(8 if r == "a" else 2)],
+        "graph_release_id string, opportunity_domain string, opportunity_score double",
+    )
+    assert rows(marts.enrichment_candidates(scores, 3)) == [
+        ("a", "d2.net", 2.0), ("a", "d3.net", 3.0), ("a", "d7.net", 3.0), ("b", "d0.net", 0.0), ("b", "d1.net", 1.0),
+    ]

@@ -6,9 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__
-from linkharbor.catalog.inputs import Inputs
-from linkharbor.operators import extract, staging
+from linkharbor.catalog.inputs import COMPANIES, Inputs
+from linkharbor.catalog.queries import QUERIES
+from linkharbor.config import ScoreSettings
+from linkharbor.operators import extract, intermediate, marts, staging
 from linkharbor.session import broadcast_if_small, materialize, shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,14 +29,14 @@ def plan_of(spark):
 
 LAZY = [
     k
-    for k in __spark_entry__.queries()
+    for k in QUERIES
     if not k.startswith(("scan_", "sink_", "load_counts", "load_raw", "checkpoint", "dq_suite"))
 ]
 
 
 @pytest.mark.parametrize("key", LAZY)
 def test_no_cross_join_no_python_no_unpartitioned_window(spark, plan_of, key):
-    plan = plan_of(__spark_entry__.queries()[key](spark, FOLDER))
+    plan = plan_of(QUERIES[key](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert operator not in plan, operator
     if "Window " in plan:
@@ -65,7 +66,7 @@ def test_a_side_above_the_bound_is_not_broadcast(spark, plan_of):
 
 def test_links_are_shuffled_twice_and_never_again(spark, plan_of):
     """By link, to merge copies; by release and source, for the rank join and the matrix."""
-    plan = plan_of(__spark_entry__.queries()["int_matrix"](spark, FOLDER))
+    plan = plan_of(QUERIES["int_referring_domain_company"](spark, FOLDER))
     after_load = [
         line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "l_partkey" not in line and "p_partkey" not in line
     ]
@@ -73,21 +74,51 @@ def test_links_are_shuffled_twice_and_never_again(spark, plan_of):
     assert plan.count("REPARTITION_BY_COL") == 1
 
 
+def test_matrix_overlap_and_summary_read_one_row_of_numbers_per_domain(spark, plan_of):
+    links = materialize(QUERIES["int_referring_domain_company"](spark, FOLDER), "links")
+    sources = plan_of(intermediate.source_rows(links, COMPANIES))
+    assert "SortAggregate" not in sources and "ObjectHashAggregate" not in sources
+    assert sources.count("Exchange") == 1
+    rows = materialize(intermediate.source_rows(links, COMPANIES), "sources")
+    for df in (intermediate.overlap_from(rows, COMPANIES), marts.summary_from(rows, COMPANIES, ScoreSettings())):
+        plan = plan_of(df)
+        assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+
+
+def test_few_buckets_of_the_stored_edges_are_read(spark, tmp_path):
+    i = Inputs(spark, FOLDER)
+    extract.store_edges(i.edges, str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    targets = broadcast_if_small(materialize(extract.target_vertices(i.named_vertices, i.company_frame), "targets"))
+    found = extract.edges_to_targets(stored, targets)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(target_bucket" in plan.replace(" ", "")
+    assert found.count() == extract.edges_to_targets(i.edges, targets).count()
+
+
+def test_delivered_links_merge_as_numbers_first(spark, plan_of):
+    plan = plan_of(QUERIES["build_domain_edges"](spark, FOLDER))
+    lowest = [line for line in plan.split("\n") if "Aggregate(" in line][-1]
+    assert "HashAggregate" in lowest and "source_domain_rank_bucket" in lowest
+
+
 def test_copies_of_a_rank_are_dropped_before_the_shuffle(spark, plan_of):
     plan = plan_of(staging.stage_domain_ranks(Inputs(spark, FOLDER).raw_ranks))
     assert plan.count("WindowGroupLimit") == 2
 
 
 def test_overlap_and_summary_need_no_self_join(spark, plan_of):
-    overlap = plan_of(__spark_entry__.queries()["competitor_overlap"](spark, FOLDER))
-    assert overlap.count("FileScan") == 2  # line items and parts, each once
-    summary = plan_of(__spark_entry__.queries()["company_summary"](spark, FOLDER))
-    assert summary.count("FileScan") == 3
+    for key in ("competitor_overlap", "company_summary"):
+        plan = plan_of(QUERIES[key](spark, FOLDER))
+        assert plan.count("FileScan") == 4, key  # line items, orders, and parts for buckets and ranks, each once
 
 
-def test_rule_filters_reach_the_scan(spark, plan_of):
-    plan = plan_of(Inputs(spark, FOLDER).site_ranks)
-    assert re.search(r"PushedFilters: \[.*Not\(EqualTo\(p_type,SMALL\)\)", plan)
+def test_filters_reach_the_scan(spark, plan_of):
+    i = Inputs(spark, FOLDER)
+    plan = plan_of(i.ranks.filter("rank_entity_type = 'host'"))
+    assert "FileScan" in plan and "p_type" in plan
+    plan = plan_of(i.graph_edges.filter("graph_release_id = 'rel-a' and edge_weight = 3"))
+    assert re.search(r"PushedFilters: \[.*l_linenumber", plan)
 
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):

@@ -57,6 +57,11 @@ def published_links(spark):
         "target_company",
         "n < high as source_high_authority_flag",
         "1L as total_edge_weight",
+        "'s' as target_segment",
+        "string(null) as source_domain_rank_bucket",
+        "int(null) as source_domain_rank_position",
+        "double(null) as source_domain_harmonic_centrality",
+        "double(null) as source_domain_pagerank",
     )
 
 
