@@ -18,13 +18,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from linkharbor.llm.common import batch_of, id_and_text, remainder, small_batches, staged, texts_of
+from linkharbor.llm.shingles import SHINGLE, WordHashes, mixed, shingle_hashes
 
 # The lexicon is learned from at most this many labelled rows of each class, chosen by a hash of their id.
 SAMPLE_PER_CLASS = 10_000
 SHORTEST, LONGEST = 4, 12  # letters of a word beginning
 MIN_SHARE = 0.004  # of the toxic training rows that a beginning must occur in
+LEAST_ODDS = 3.0  # log odds of a lexicon term, at least
 CHANCE = 0.01  # expected number of beginnings that pass by chance
 THRESHOLD = 0.7
 _BIN = 0.05
@@ -39,6 +42,7 @@ _words = re.compile(r"[^\W\d_]+").findall
 
 _DF = pa.schema([("prefix", pa.string()), ("df", pa.int64())])
 _NEAR = pa.schema([("phrase", pa.string()), ("term", pa.string()), ("toxic", pa.int64()), ("harmless", pa.int64())])
+_MARKS = pa.schema([("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())])
 _RAW = pa.schema([("doc_id", pa.int64()), ("x", pa.float64())])
 
 
@@ -113,8 +117,8 @@ def learn(
 ) -> Lexicon:
     """Lexicon from the labelled documents given. Without both classes it is empty and scores are 0.5 or less."""
     chosen = F.broadcast(_sample(labels, id_col, label_col, per_class))  # at most 2 x per_class rows
-    train = staged(id_and_text(documents, id_col, text_col).join(chosen, "id"), "toxicity-sample")
-    small_batches(train)
+    train = small_batches(staged(id_and_text(documents, id_col, text_col).join(chosen, "id"), "toxicity-sample"))
+    train = staged(_without_copies(train), "toxicity-rows")
     sizes = {r["y"]: r["n"] for r in train.groupBy((F.col("toxic") >= 1).alias("y")).agg(F.count("*").alias("n")).collect()}
     toxic_rows, other_rows = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic_rows or not other_rows:
@@ -139,6 +143,29 @@ def learn(
     return Lexicon(terms, exceptions, slope, intercept)
 
 
+def _without_copies(train: DataFrame) -> DataFrame:
+    """One row of each group of copies, or every word of a text that is often copied would be evidence.
+
+    Near copies share the smallest of their shingle hashes, under one of three mixes, almost surely.
+    """
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            marks = []
+            for text in batch.column("text").to_pylist():
+                words = hashes.of(text)
+                found = shingle_hashes(words, min(SHINGLE, max(len(words), 1)))
+                marks.append([int(mixed(found + np.uint64(m)).min()) >> 1 if len(found) else 0 for m in range(3)])
+            yield batch_of(_MARKS, [batch.column("id"), *zip(*marks)] if marks else [[]] * 4)
+
+    kept = train.mapInArrow(run, "id long, a long, b long, c long")
+    for mark in "abc":
+        order = W.partitionBy(mark).orderBy("id")
+        kept = kept.withColumn("n", F.row_number().over(order)).where("n = 1").drop("n")
+    return train.join(F.broadcast(kept.select("id")), "id")  # no more rows than the sample
+
+
 def _frequencies(rows: DataFrame, among: frozenset[str] | None) -> DataFrame:
     """Number of texts each word beginning occurs in; counted per task first."""
 
@@ -166,7 +193,7 @@ def choose_terms(hits: dict[str, int], misses: dict[str, int], toxic_rows: int,
         p = n / (n + m)
         odds = math.log((n + 0.5) / (toxic_rows + 1)) - math.log((m + 0.5) / (other_rows + 1))
         evidence = n * math.log(p / share) + (m * math.log((1 - p) / (1 - share)) if m else 0)
-        if p > share and odds >= 2 and evidence >= need:
+        if p > share and odds >= LEAST_ODDS and evidence >= need:
             passed[prefix] = odds
     # A beginning that is nearly always followed by the same letter stands for the longer one.
     longer = Counter()
