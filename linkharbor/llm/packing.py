@@ -44,7 +44,12 @@ def shortest_pack_first(histogram: dict[int, int], limit: int = LIMIT) -> list[t
         waiting = histogram[length]
         while waiting:
             if not free or -free[0] < length:
-                put(limit - length, (length,), waiting)
+                # New packs: each is the shortest until it is full, so it takes as many as it holds.
+                each = limit // length
+                if waiting >= each:
+                    put(limit - each * length, (length,) * each, waiting // each)
+                if waiting % each:
+                    put(limit - waiting % each * length, (length,) * (waiting % each), 1)
                 break
             left = -free[0]
             pattern, count = room[left].pop()
