@@ -7,7 +7,8 @@ fingerprint of a typed frame is taken once from its schema; JSON records of mixe
 fingerprinted one by one.
 
 Template: a turn is `<turn:ROLE>` newline TEXT `</turn>` newline. Inside role and text a backslash is
-written as backslash s and `<` as backslash l, so no text can hold a marker, and back it goes exactly.
+written as backslash s and `<` as backslash l, inside a role also `>` as backslash g, so neither can hold
+a marker, and back it goes exactly.
 """
 
 from __future__ import annotations
@@ -167,13 +168,21 @@ def unescaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\l"), F.lit("<")), F.lit("\\s"), F.lit("\\"))
 
 
+def escaped_role(role: Column) -> Column:
+    return F.replace(escaped(role), F.lit(">"), F.lit("\\g"))
+
+
+def unescaped_role(role: Column) -> Column:
+    return unescaped(F.replace(role, F.lit("\\g"), F.lit(">")))
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """Per turn its formatted piece and the span of it that is trained on.
 
     Columns conv_id, ord, piece, loss_start (0-based, code points), loss_length. The formatted
     conversation is its pieces in the order (ord, piece): a long one is never gathered to be formatted.
     """
-    opening = F.concat(F.lit(TURN_OPEN), escaped(F.col("role")), F.lit(ROLE_END))
+    opening = F.concat(F.lit(TURN_OPEN), escaped_role(F.col("role")), F.lit(ROLE_END))
     text = escaped(F.col("text"))
     return turns.select(
         "conv_id",
@@ -193,7 +202,7 @@ def read_turns(pieces: DataFrame) -> DataFrame:
     return pieces.select(
         "conv_id",
         "ord",
-        unescaped(F.substring(piece, F.lit(open_chars + 1), role_end - open_chars - 1)).alias("role"),
+        unescaped_role(F.substring(piece, F.lit(open_chars + 1), role_end - open_chars - 1)).alias("role"),
         unescaped(
             F.substring(
                 piece,

@@ -139,7 +139,7 @@ ORACLES: dict[str, str] = {
                sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
                cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
                sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-               cast(sum(16 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) as bigint) as formatted_chars
+               cast(sum(16 + length(replace({_ESCAPED.format('role')}, '>', '\\g')) + length({_ESCAPED.format('text')})) as bigint) as formatted_chars
         from t group by conv_id
     """,
 }
