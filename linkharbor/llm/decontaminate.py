@@ -52,7 +52,8 @@ def window_size(item_words: int) -> int:
 
 
 def stride(size: int) -> int:
-    return max(1, size // 2)
+    """Words between the windows of a document; the shortest items have no more than one window."""
+    return 1 if size == SIZES[0] else size // 2
 
 
 def fingerprints(shingles: np.ndarray, size: int, starts: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
