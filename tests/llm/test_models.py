@@ -122,8 +122,8 @@ def test_exceptions_take_the_weight_back():
 
 def test_phrases_of_harmless_texts_are_exceptions(spark):
     rows, labels = toxic_corpus()
-    rows += [(2000 + i, f"{prose(5000 + i, 30)} grumpwort soup {prose(6000 + i, 30)}") for i in range(12)]
-    labels += [(2000 + i, 0) for i in range(12)]
+    rows += [(2000 + i, f"{prose(5000 + i, 30)} grumpwort soup {prose(6000 + i, 30)}") for i in range(3)]
+    labels += [(2000 + i, 0) for i in range(3)]
     lexicon = toxicity.learn(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert lexicon.exceptions == {"grumpwort soup": -lexicon.terms["grumpwort"]}
 
