@@ -49,14 +49,22 @@ def _check(data: bytes) -> int:
     return xxhash.xxh64_intdigest(data) & 0xFFFFFFFF
 
 
+def _located(uri: str):
+    """File system and path; Hadoop's names of an object store are those pyarrow knows."""
+    from pyarrow import fs
+
+    for theirs, ours in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        uri = uri.replace(theirs, ours, 1) if uri.startswith(theirs) else uri
+    return fs.FileSystem.from_uri(uri)
+
+
 class TokenWriter:
     """Appends documents' ids to one file."""
 
     def __init__(self, uri: str):
         import zstandard
-        from pyarrow import fs
 
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = _located(uri)
         self.out = system.open_output_stream(path, compression=None)  # the name must not choose one
         self.pack = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True).compress
         self.table: list[tuple[int, int, int]] = []
@@ -91,9 +99,8 @@ class TokenReader:
 
     def __init__(self, uri: str):
         import zstandard
-        from pyarrow import fs
 
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = _located(uri)
         self.file = system.open_input_file(path)
         self.unpack = zstandard.ZstdDecompressor().decompress
         size = self.file.size()
