@@ -202,8 +202,8 @@ def find_leaks(
     found = None
     for items in item_blocks(benchmark, item_col, text_col, block_words):
         part = rows.mapInArrow(_searcher(items), "doc_id long, item_id long, similarity double, start_word long")
-        if found is not None or len(items.ids) >= block_words:
-            part = staged(part, "leaks")  # many blocks: one is in flight at a time
+        if found is not None:
+            part = staged(part, "leaks")  # no more than two blocks are held at a time
         found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.selectExpr(

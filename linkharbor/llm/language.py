@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from linkharbor.llm.common import batch_of, id_and_text, remainder, small_batches, texts_of
+from linkharbor.llm.common import batch_of, remainder, small_batches, staged, texts_of
 
 UNKNOWN = "und"
 FEATURES = 1 << 16
 # The weights are fitted on at most this many rows of each language, chosen by a hash of their id.
 SAMPLE_PER_LANGUAGE = 1000
+# A column with more labels than fit into so many rows is not one of languages.
+MOST_SAMPLED = 200_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.1
 # Characters that are counted at a time; a longer text is counted in parts that overlap by an n-gram.
@@ -125,8 +127,10 @@ def learn(
     idf = _document_frequencies(rows.select("id", "text"))
     order = W.partitionBy("lang").orderBy(F.xxhash64("id"), F.col("id"))
     chosen = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    # At most per_language rows of each language.
-    sample = rows.join(F.broadcast(chosen.select("id").distinct()), "id").select("id", "text", "lang")
+    chosen = staged(chosen.select("id").distinct(), "language-sample")
+    if chosen.count() > MOST_SAMPLED:
+        raise ValueError(f"more than {MOST_SAMPLED} rows to fit on: is {lang_col!r} a column of languages?")
+    sample = rows.join(F.broadcast(chosen), "id").select("id", "text", "lang")
 
     def run(batches):
         for batch in batches:
