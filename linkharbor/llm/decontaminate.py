@@ -1,11 +1,10 @@
-"""Benchmark decontamination: SimHash over item-sized windows, verified by weighted shingles.
-
-Both sides are cut into windows of as many words as suits an item: of lengths in steps of about a
-third, the largest that still fits whole into any stretch that an item within the similarity bound must
-share with its copy. A window's fingerprint is the SimHash of its five-word shingles. Items are
-fingerprinted at every word, documents at every half window. Four 16-bit blocks index the items'
-fingerprints: two that differ in up to three bits agree in one block, so all within the radius are
-found. What is found is verified by the weight of the item's shingles, each counted as often as it
+"""Benchmark decontamination: SimHash over windows sized by the item, verified by weighted shingles.
+
+Both sides are cut into windows at every word, of as many words as suits an item: the largest length
+that fits whole into the longest piece that any stretch within the similarity bound must share with the
+item, however its edits are spread. A window's fingerprint is the SimHash of its five-word shingles.
+Four 16-bit blocks index the items' fingerprints: two that differ in up to three bits agree in one
+block, so all within the radius are found. What is found is verified by the weight of the item's shingles, each counted as often as it
 occurs, that the stretch of the document holds.
 
 The benchmark goes to the tasks in blocks of a bounded number of words; the documents are read once
@@ -14,6 +13,7 @@ for each block, and never shuffled.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,31 +33,36 @@ BLOCKS = 4
 BLOCK_WORDS = 1_000_000
 # Words whose bit sums are held at a time.
 CHUNK = 1 << 14
-SIZES = (5, 6, 8, 11, 15, 20, 27, 36, 48, 64, 85, 113, 151, 201, 268, 357, 476, 635, 847, 1129)
+# Words of a window: odd numbers of shingles, so that no bit of a fingerprint is a tie.
+SIZES = (5, 7, 9)
 
 _LEAKS = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int64())]
 )
 
 
-def window_size(item_words: int) -> int:
-    """Words of a window for an item of so many words.
+def window_size(words: np.ndarray) -> int:
+    """Words of a window for an item, no more than the longest piece that any of its copies must keep.
 
-    A copy that keeps 0.8 of the shingles of a short item can only differ near its ends; in a longer one
-    it may also differ within, and then keeps about half of it in one piece. A window and a half fit into
-    what it keeps.
+    A verified stretch has half as many words again as the item and keeps SIMILARITY of its shingles.
+    Where two pieces of the item meet in it, the shingles across are none of the item's: four, or fewer
+    by the words that the item itself repeats in a row. That bounds the number of the pieces.
     """
-    whole = item_words // 2 if item_words < 29 else (item_words + 1) // 3
-    return max([s for s in SIZES if s <= whole], default=SIZES[0])
-
-
-def stride(size: int) -> int:
-    """Words between the windows of a document; the shortest items have no more than one window."""
-    return 1 if size == SIZES[0] else size // 2
+    shingles = len(words) - SHINGLE + 1
+    kept = math.ceil(SIMILARITY * shingles - 1e-9)
+    held = len(words) + 2 * (len(words) // 4) - SHINGLE + 1
+    across = SHINGLE - 1
+    while across and len(np.unique(grams := shingle_hashes(words, SHINGLE - across))) < len(grams):
+        across -= 1
+    pieces = 1 + (held - kept) // across if across else kept
+    clean = -(-kept // pieces) + SHINGLE - 1
+    return max(s for s in SIZES if s <= clean)
 
 
 def fingerprints(shingles: np.ndarray, size: int, starts: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """SimHash of the windows of `size` words at the given starts. `sums` may be shared between sizes."""
+    if size == SHINGLE:
+        return shingles[starts]  # the majority of one
     sums = bit_sums(shingles) if sums is None else sums
     held = size - SHINGLE + 1
     ones = sums[starts + held] - sums[starts]
@@ -119,7 +124,7 @@ class Items:
         marks: dict[int, list[np.ndarray]] = {}
         for i, shingles in enumerate(self.shingles):
             if len(shingles):
-                size = window_size(len(self.words[i]))
+                size = window_size(self.words[i])
                 starts = np.arange(len(self.words[i]) - size + 1)
                 owner.setdefault(size, []).append(np.stack([np.full(len(starts), i), starts], 1))
                 marks.setdefault(size, []).append(fingerprints(shingles, size, starts))
@@ -146,12 +151,10 @@ class Items:
             part = shingles[at : at + CHUNK + longest]
             sums = bit_sums(part)
             for size in self.sizes:
-                # Starts are counted from the text's own first word, so chunks and batches change nothing.
                 last = min(len(part) - (size - SHINGLE + 1), CHUNK - 1)
                 starts = np.arange(at, at + last + 1)
                 text = np.searchsorted(begins, starts, "right") - 1
-                fits = (starts - begins[text]) % stride(size) == 0
-                fits &= starts + size <= begins[text + 1]
+                fits = starts + size <= begins[text + 1]
                 starts, text = starts[fits], text[fits]
                 who, mark = self.index[size].within(fingerprints(part, size, starts - at, sums))
                 found = self.owner[size][mark]

@@ -64,6 +64,50 @@ def test_every_leak_and_nothing_else(spark):
     assert (14, 204) in got and (2059, 59) in got and (2036, 36) in got
 
 
+def spread(words, places, edit):
+    """The words with an edit at that many evenly spread places."""
+    out, before = [], 0
+    for k in range(places):
+        at = (k + 1) * len(words) // (places + 1)
+        out += [*words[before:at], *edit(words, at, k)]
+        before = at + (edit is replaced)
+    return " ".join(out + words[before:])
+
+
+def replaced(words, at, k):
+    return [f"other{k}"]
+
+
+def inserted(words, at, k):
+    return [f"other{k}"]
+
+
+def doubled(words, at, k):  # the copy says the last word twice: three shingles less
+    return [words[at - 1]]
+
+
+def test_edits_spread_evenly_up_to_the_bound(spark):
+    items, docs, wanted = [], [], set()
+    for n in (29, 45, 54, 59, 79, 100, 104, 110, 150, 200, 300, 400):
+        words = prose(n, n).split(" ")
+        items.append((n, " ".join(words), 9))
+        lost = (n - 4) // 5
+        for e, (edit, cost) in enumerate(((replaced, 5), (inserted, 4), (doubled, 4))):
+            doc = 10 * n + e
+            docs.append((doc, f"{prose(n + 1, 31)} {spread(words, lost // cost, edit)} {prose(n + 2, 17)}"))
+            wanted.add((doc, n))
+    assert wanted <= set(by_hand(docs, items))
+    assert set(leaks(frame(spark, docs), spark.createDataFrame(items, ITEMS))) >= wanted
+
+
+def test_windows_of_items_that_repeat_words():
+    words = np.arange(1, 201, dtype=np.uint64)
+    assert de.window_size(words) == 9
+    assert de.window_size(np.concatenate([words, words[50:51]])) == 7
+    assert de.window_size(np.concatenate([words, words[50:54]])) == 5
+    assert [de.window_size(words[:n]) for n in range(5, 10)] == [5, 5, 7, 5, 5]  # of 7 words, all must be there
+
+
 def test_blocks_of_items_and_empty_tables(spark):
     docs, items = cases()
     few = [d for d in docs if d[0] in (14, 2036, 59, 4002)]
