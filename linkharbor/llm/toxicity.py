@@ -37,7 +37,8 @@ _LOOKALIKES = dict(zip("аеорсухіѕјԁһкмтвнαορντικυ", "ae
 _LEET = dict(zip("013457@$", "oieastas"))
 _TABLE = str.maketrans(_LOOKALIKES | {chr(0xFF41 + i): chr(97 + i) for i in range(26)})
 _foreign = re.compile("[Ͱ-ԯａ-ｚ]").search
-_leet = re.compile(r"(?<=[a-zà-ž])[013457@$](?=[a-zà-ž])|\b[013457@$](?=[a-zà-ž]{2})")
+_SIGNS = str.maketrans(_LEET)
+_leet = re.compile(r"(?<=[a-zà-ž])[013457@$]+|[013457@$]+(?=[a-zà-ž])")  # each run that touches a letter
 _words = re.compile(r"[^\W\d_]+").findall
 
 _DF = pa.schema([("prefix", pa.string()), ("df", pa.int64())])
@@ -50,7 +51,7 @@ def fold(text: str) -> str:
     text = text.lower()
     if _foreign(text):
         text = text.translate(_TABLE)
-    return _leet.sub(lambda m: _LEET[m.group()], text)
+    return _leet.sub(lambda m: m.group().translate(_SIGNS), text)
 
 
 def _beginnings(words: set[str]) -> set[str]:

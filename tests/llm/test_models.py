@@ -111,6 +111,16 @@ def test_the_lexicon_is_what_marks_toxic_texts(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_every_run_of_signs_that_touches_a_letter_is_folded():
+    told = {"$hit": "shit", "@ss": "ass", "a55hole": "asshole", "h00k": "hook", "id10t": "idiot", "loser5": "losers", "5h1t": "shit"}
+    for text, plain in told.items():
+        assert toxicity.fold(f"a {text.upper()}.") == f"a {plain}."
+    kept = "in 2010, at 3:45 or 100 $ and $500 @ 7"
+    assert toxicity.fold(kept) == kept
+    lexicon = toxicity.Lexicon({"idiot": 5.0}, {}, 4.0, -6.0)
+    assert lexicon.raw(toxicity.fold("you ID10T"), lexicon.automaton()) > 0
+
+
 def test_exceptions_take_the_weight_back():
     lexicon = toxicity.Lexicon({"clown": 5.0}, {"clown fish": -5.0}, 4.0, -6.0)
     machine = lexicon.automaton()
