@@ -18,16 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from linkharbor.llm.common import batch_of, id_and_text, remainder, small_batches, staged, texts_of
-from linkharbor.llm.shingles import SHINGLE, WordHashes, mixed, shingle_hashes
+from linkharbor.llm.near_dedup import _shingle_rows, similarities, text_shingles
+from linkharbor.llm.shingles import WordHashes, mixed
 
 # The lexicon is learned from at most this many labelled rows of each class, chosen by a hash of their id.
 SAMPLE_PER_CLASS = 10_000
 SHORTEST, LONGEST = 4, 12  # letters of a word beginning
 MIN_SHARE = 0.004  # of the toxic training rows that a beginning must occur in
 LEAST_ODDS = 3.0  # log odds of a lexicon term, at least
+COPY = 0.8  # Jaccard similarity of the shingles of a training row and its copy
 CHANCE = 0.01  # expected number of beginnings that pass by chance
 THRESHOLD = 0.7
 _BIN = 0.05
@@ -43,7 +44,7 @@ _words = re.compile(r"[^\W\d_]+").findall
 
 _DF = pa.schema([("prefix", pa.string()), ("df", pa.int64())])
 _NEAR = pa.schema([("phrase", pa.string()), ("term", pa.string()), ("toxic", pa.int64()), ("harmless", pa.int64())])
-_MARKS = pa.schema([("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())])
+_MARKS = pa.schema([("id", pa.int64()), ("toxic", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())])
 _RAW = pa.schema([("doc_id", pa.int64()), ("x", pa.float64())])
 
 
@@ -145,9 +146,10 @@ def learn(
 
 
 def _without_copies(train: DataFrame) -> DataFrame:
-    """One row of each group of copies, or every word of a text that is often copied would be evidence.
+    """One row of each group of copies of a label, or every word of a text that is often copied would be evidence.
 
-    Near copies share the smallest of their shingle hashes, under one of three mixes, almost surely.
+    Near copies share the smallest of their shingle hashes, under one of three mixes, almost surely. A row
+    goes only if it is COPY alike, by its shingles, to the first row of its label that shares one.
     """
 
     def run(batches):
@@ -155,16 +157,31 @@ def _without_copies(train: DataFrame) -> DataFrame:
         for batch in batches:
             marks = []
             for text in batch.column("text").to_pylist():
-                words = hashes.of(text)
-                found = shingle_hashes(words, min(SHINGLE, max(len(words), 1)))
+                found = text_shingles(hashes.of(text))
                 marks.append([int(mixed(found + np.uint64(m)).min()) >> 1 if len(found) else 0 for m in range(3)])
-            yield batch_of(_MARKS, [batch.column("id"), *zip(*marks)] if marks else [[]] * 4)
-
-    kept = train.mapInArrow(run, "id long, a long, b long, c long")
-    for mark in "abc":
-        order = W.partitionBy(mark).orderBy("id")
-        kept = kept.withColumn("n", F.row_number().over(order)).where("n = 1").drop("n")
-    return train.join(F.broadcast(kept.select("id")), "id")  # no more rows than the sample
+            yield batch_of(_MARKS, [batch.column("id"), batch.column("toxic"), *zip(*marks)] if marks else [[]] * 5)
+
+    marked = staged(train.mapInArrow(run, "id long, toxic int, a long, b long, c long"), "toxicity-marks")
+    same = "toxic", "mix", "mark"
+    marks = marked.select("id", "toxic", F.posexplode(F.array("a", "b", "c")).alias("mix", "mark"))
+    pairs = (
+        marks.join(marks.groupBy(*same).agg(F.min("id").alias("other")), list(same))
+        .where("id <> other")
+        .select(F.col("id").alias("node"), "other", (F.col("mark") == 0).alias("empty"))
+        .distinct()
+    )
+    pairs = staged(pairs, "toxicity-pairs")
+    shingles = staged(train.select("id", "text").mapInArrow(_shingle_rows, "id long, shingles binary"), "toxicity-shingles")
+    # Of rows that share an id, all must be copies.
+    copies = (
+        similarities(pairs.where("not empty").select("node", "other"), shingles)
+        .groupBy("node", "other")
+        .agg(F.min("similarity").alias("similarity"))
+        .where(F.col("similarity") >= COPY)
+        .select("node")
+    )
+    gone = copies.union(pairs.where("empty").select("node")).distinct()
+    return train.join(F.broadcast(gone), F.col("id") == F.col("node"), "left_anti")  # no more rows than the sample
 
 
 def _frequencies(rows: DataFrame, among: frozenset[str] | None) -> DataFrame:

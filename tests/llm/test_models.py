@@ -138,6 +138,16 @@ def test_phrases_of_harmless_texts_are_exceptions(spark):
     assert lexicon.exceptions == {"grumpwort soup": -lexicon.terms["grumpwort"]}
 
 
+def test_only_copies_of_one_label_leave_the_sample(spark):
+    shared, text = prose(1, 40), prose(2, 90)
+    rows = [(i, f"{shared} {prose(100 + i, 60)}", i % 2) for i in range(30)]  # a shared passage is no copy
+    rows += [(100, text, 0), (101, f"{text} grumpwort", 1), (102, f"{text} and more", 0), (103, text.upper(), 1)]
+    rows += [(200, "", 0), (201, "?!", 0), (202, "", 1), (300, prose(3, 50), 1), (300, prose(4, 50), 1)]
+    train = spark.createDataFrame(rows, "id long, text string, toxic int").repartition(3)
+    kept = sorted(r["id"] for r in toxicity._without_copies(train).collect())
+    assert kept == [*range(30), 100, 101, 200, 202, 300, 300]
+
+
 def test_no_labels(spark):
     rows, _ = toxic_corpus(20)
     none = spark.createDataFrame([], "doc_id long, toxic int")
