@@ -10,10 +10,11 @@ trigger there can reach: REACH bytes before it and LENGTH after it. The dictiona
 entry with its first place; the parse is the list of all places.
 
 Corpus order. Strings that trigger with different grams differ, so only entries of one gram need
-ordering. A place that is not its entry's first repeats the whole entry. First places of a gram with
-several entries are compared suffix by suffix: for each distance to the trigger, the hashes of their
-strings are sorted, and all but the first place of equal ones repeat. Work and memory follow the number
-of distinct entries, not of their repetitions.
+comparing. A place that is not its entry's first repeats the whole entry. For first places of a gram
+with several entries, 64-bit hashes replace the suffix arrays of dictionary and parse: for each distance
+to the trigger, the hashes of their strings are sorted, and all but the first place of equal ones repeat.
+The bytes themselves are not compared. Work and memory follow the number of distinct entries, not of
+their repetitions.
 
 Skew. Entries are merged within each task before they are shuffled, so a passage in a third of all
 texts sends one row per task. A gram with more than CROWD different surroundings (what one task holds at a time), such as the last
