@@ -232,10 +232,12 @@ def drop_leaked(
 ) -> DataFrame:
     """The rows, with all their columns, that hold no item; no shuffle."""
     small_batches(documents)
-    kept = documents
+    kept = None
     for items in item_blocks(benchmark, item_col, "text", BLOCK_WORDS):
-        kept = kept.mapInArrow(_keeper(items, text_col), documents.schema)
-    return kept
+        if kept is not None:
+            kept = staged(kept, "kept")  # no more than two blocks are held at a time
+        kept = (documents if kept is None else kept).mapInArrow(_keeper(items, text_col), documents.schema)
+    return documents if kept is None else kept
 
 
 def _keeper(items: Items, text_col: str):

@@ -126,6 +126,18 @@ def test_kept_rows_have_their_columns(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d[0] for d in docs} - leaked - {4000}
 
 
+def test_a_task_holds_one_block_of_items(spark, monkeypatch):
+    docs, items = cases()
+    documents, benchmark = frame(spark, [d for d in docs if d[0] != 4000]), spark.createDataFrame(items, ITEMS)
+    want = sorted(r["doc_id"] or 0 for r in de.drop_leaked(documents, benchmark).collect())
+    monkeypatch.setattr(de, "BLOCK_WORDS", 150)
+    assert len(list(de.item_blocks(benchmark, "item_id", "text", 150))) > 2
+    kept = de.drop_leaked(documents, benchmark)
+    assert kept.columns == documents.columns
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == want
+
+
 def test_all_fingerprints_within_the_radius_are_found():
     make = np.random.default_rng(5)
     marks = make.integers(0, 2**63, 400, dtype=np.uint64)
