@@ -17,6 +17,7 @@ from linkharbor.llm import (
     near_dedup,
     packing,
     parse_dedup,
+    structure_repair,
     token_count,
     token_files,
     toxicity,
@@ -96,6 +97,34 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the damage that op12 repairs, dealt by conversation and turn."""
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    kind = F.crc32(key.cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit(" ")).alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.coalesce("role", F.lit(" ")))
+    copies = F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where("kind != 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies)).drop("col")
+
+
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = structure_repair.repair(damaged(conversations))
+    found = fixed.report.alias("r").join(
+        structure_repair.text_digests(fixed.rows).alias("d"), F.expr("r.conv_id <=> d.conv_id"), "left"
+    )
+    found = found.select("r.*", "repaired_sha256").alias("f")
+    every = conversations.select(F.col("conv_id").cast("long")).distinct().alias("c")
+    numbers = [F.coalesce(f"f.{n}", F.lit(0)).alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.expr("c.conv_id <=> f.conv_id"), "left").select(
+        "c.conv_id",
+        *numbers,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -113,6 +142,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_near_dedup,
         op10_toxicity,
+        op12_structure_repair,
         pipeline,
     )
 }
@@ -142,4 +172,79 @@ ORACLES: dict[str, str] = {
                cast(sum(16 + length(replace({_ESCAPED.format('role')}, '>', '\\g')) + length({_ESCAPED.format('text')})) as bigint) as formatted_chars
         from t group by conv_id
     """,
+    "op12_structure_repair": r"""
+        with recursive
+        rows as materialized (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                   coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+            from conversations
+        ),
+        crc as (  -- crc32 by its definition, one bit of the key's bytes at a time
+            select key, 0 as i, 4294967295::bigint as c from (select distinct key from rows)
+            union all
+            select key, i + 1, case when b & 1 = 1 then xor(b >> 1, 3988292384::bigint) else b >> 1 end
+            from (
+                select key, i, case when i % 8 = 0 then xor(c, ascii(substr(key, i // 8 + 1, 1))::bigint) else c end as b
+                from crc where i < 8 * length(key)
+            )
+        ),
+        kinds as materialized (select key, xor(c, 4294967295::bigint) % 20 as kind from crc where i = 8 * length(key)),
+        damaged as materialized (
+            select conv_id, turn, copy, case when kind = 4 then 'user' else role end as role,
+                   case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+            from rows join kinds using (key), unnest(case when kind = 3 then [1, 2] else [1] end) as u (copy)
+            where kind != 0
+        ),
+        placed as materialized (
+            select *, row_number() over w as n, lag(role) over w as before, count(*) over (partition by conv_id) as n_rows,
+                   row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as later,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as last
+            from damaged window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)
+        ),
+        faults as materialized (
+            select *, case when last = '' then 'blank' when later then 'duplicate' when last not in ('.', '!', '?') then 'truncated' else '' end as fault
+            from placed
+        ),
+        steps (st, initial, edit, went, price, added) as (
+            values (0, 's', 'K', 1, 0, ''), (0, 'u', 'K', 2, 0, ''), (1, 'u', 'K', 2, 0, ''), (2, 'a', 'K', 3, 0, ''), (3, 'u', 'K', 2, 0, ''),
+                   (0, '*', 'R', 2, 3, 'user'), (1, '*', 'R', 2, 3, 'user'), (2, '*', 'R', 3, 3, 'assistant'), (3, '*', 'R', 2, 3, 'user'),
+                   (0, '*', 'D', 0, 4, ''), (1, '*', 'D', 1, 4, ''), (2, '*', 'D', 2, 4, ''), (3, '*', 'D', 3, 4, '')
+        ),
+        inserts (st, went, price, edit, added) as (
+            values (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+                   (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']), (3, 2, 3, 'I', ['user:']),
+                   (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:']),
+                   (2, 2, 6, 'II', ['assistant:', 'user:']), (3, 3, 6, 'II', ['user:', 'assistant:'])
+        ),
+        ways as (
+            select distinct conv_id, 0::bigint as n, 0 as st, {'cost': 0, 'audit': '', 'texts': []::varchar[]} as best from faults
+            union all
+            select conv_id, n, st, min(best) from (
+                select f.conv_id, f.n, s.went as st,
+                       {'cost': w.best.cost + i.price + s.price + case when s.edit != 'D' and f.fault = 'truncated' then 3 else 0 end,
+                        'audit': w.best.audit || i.edit || s.edit,
+                        'texts': w.best.texts || i.added || case s.edit when 'D' then [] when 'K' then [f.role || ':' || f.text] else [s.added || ':' || f.text] end} as best
+                from ways w join faults f on f.conv_id is not distinct from w.conv_id and f.n = w.n + 1
+                join inserts i on i.st = w.st
+                join steps s on s.st = i.went and s.initial in ('*', left(f.role, 1)) and (s.edit = 'D' or f.fault not in ('blank', 'duplicate'))
+            ) group by all
+        ),
+        ends as (
+            select w.conv_id, min({'cost': w.best.cost + i.price, 'audit': w.best.audit || i.edit, 'texts': w.best.texts || i.added}) as best
+            from ways w join (select distinct conv_id, n_rows from faults) c on c.conv_id is not distinct from w.conv_id and c.n_rows = w.n
+            join inserts i on i.st = w.st where i.went in (0, 3) group by w.conv_id
+        ),
+        counts as (
+            select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+                   count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+                   count(*) filter (n > 1 and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au')) as illegal
+            from faults group by conv_id
+        )
+        select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+               coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0)::bigint as cost,
+               coalesce(best.audit, '') as audit, sha256(coalesce(array_to_string(best.texts, chr(10)), '')) as repaired_sha256
+        from (select distinct conv_id from conversations) c
+        left join counts on counts.conv_id is not distinct from c.conv_id
+        left join ends on ends.conv_id is not distinct from c.conv_id
+    """,
 }

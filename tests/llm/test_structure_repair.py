@@ -1,0 +1,161 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+
+import pytest
+
+from linkharbor.llm import structure_repair as sr
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def expected(rows):
+    """Report and repaired rows of one conversation of (turn, role, text), by plain dynamic programming on strings."""
+    rows = [(t, " " if r is None else r, " " if x is None else x) for t, r, x in rows]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+    seen, faults = set(), []
+    for _, role, text in rows:
+        plain = text.strip(BLANKS)
+        fault = "" if plain and plain[-1] in ".!?" else "truncated"
+        fault = "blank" if not plain else "duplicate" if (role, text) in seen else fault
+        seen.add((role, text))
+        faults.append(fault)
+    goes = {"": "u", "s": "u", "u": "a", "a": "u"}
+    names = {"u": "user", "a": "assistant"}
+    best = {"": (0, "", ())}
+
+    def offer(into, state, way):
+        if state not in into or way < into[state]:
+            into[state] = way
+
+    def inserted(ways):
+        for _ in range(3):
+            for state, (cost, audit, out) in list(ways.items()):
+                offer(ways, goes[state], (cost + 3, audit + "I", (*out, (names[goes[state]], ""))))
+        return ways
+
+    for (_, role, text), fault in zip(rows, faults):
+        after = {}
+        for state, (cost, audit, out) in inserted(best).items():
+            offer(after, state, (cost + 4, audit + "D", out))
+            if fault in ("blank", "duplicate"):
+                continue
+            stay = 3 * (fault == "truncated")
+            if role[:1] == goes[state] or (state == "" and role[:1] == "s"):
+                offer(after, role[:1], (cost + stay, audit + "K", (*out, (role, text))))
+            offer(after, goes[state], (cost + stay + 3, audit + "R", (*out, (names[goes[state]], text))))
+        best = after
+    cost, audit, out = min(way for state, way in inserted(best).items() if state in ("", "a"))
+    turns = [t for t, _, _ in rows if t is not None]
+    return {
+        "cost": cost,
+        "audit": audit,
+        "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+        "illegal": sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:])),
+        **{name: faults.count(name) for name in ("blank", "duplicate", "truncated")},
+    }, list(out)
+
+
+def every_repair(kinds):
+    """(cost, audit) by trying all edit lists with up to two insertions before each row."""
+    found = []
+    for words in itertools.product(("D", "K", "R", "ID", "IK", "IR", "IID", "IIK", "IIR"), repeat=len(kinds)):
+        for end in ("", "I", "II"):
+            state, cost, system = "", 0, 0
+            for word, (initial, fault) in zip(words, kinds):
+                for letter in word:
+                    if letter == "D":
+                        cost += 4
+                        continue
+                    if letter != "I" and fault in (sr.BLANK, sr.DUPLICATE):
+                        break
+                    want = "a" if state == "u" else "u"
+                    if letter == "K" and initial != want and not (initial == "s" and state == ""):
+                        break
+                    state = initial if letter == "K" else want
+                    cost += {"I": 3, "R": 3, "K": 0}[letter] + 3 * (letter != "I" and fault == sr.CUT_OFF)
+                else:
+                    continue
+                break
+            else:
+                for _ in end:
+                    state, cost = ("a" if state == "u" else "u"), cost + 3
+                if state in ("", "a"):
+                    found.append((cost, "".join(words) + end))
+    return min(found)
+
+
+def audit_of(kinds, cuts=()):
+    bounds = [0, *cuts, len(kinds)]
+    parts = [kinds[a:b] for a, b in zip(bounds, bounds[1:])]
+    matrix, rows = sr.product([(sr.segment_matrix(p), len(p)) for p in parts])
+    cost, digits = sr.cheapest(matrix, rows)
+    return cost, "".join(map(sr._letters, sr._groups(digits, rows + 1)))
+
+
+def test_all_edit_lists():
+    make = random.Random(3)
+    for n in (1, 2, 3, 4):
+        for _ in range(40 if n < 4 else 6):
+            kinds = [(make.choice(("s", "u", "a", "")), make.randrange(4)) for _ in range(n)]
+            assert audit_of(kinds) == every_repair(kinds), kinds
+
+
+def test_cut_anywhere():
+    make = random.Random(4)
+    kinds = [(make.choice(("s", "u", "a", "")), make.choice((0, 0, 0, 1, 2, 3))) for _ in range(60)]
+    whole = audit_of(kinds)
+    for _ in range(20):
+        cuts = sorted(make.sample(range(1, 60), make.randint(1, 9)))
+        assert audit_of(kinds, cuts) == whole
+
+
+def conversations():
+    make = random.Random(5)
+    texts = ["Yes.", "No!", "why", "", " \n", None, "a. b ", "Ünde .", "last one?", "cut, off", "x" * 200_000 + "."]
+    roles = ["user", "assistant", "system", "user", "assistant", "", None, "tool", "usher"]
+    rows = []
+    for conv in range(60):
+        for turn in range(make.randint(1, 12)):
+            row = (conv, make.choice((turn, turn, turn, None, turn // 2)), make.choice(roles), make.choice(texts))
+            rows += [row] * make.choice((1, 1, 1, 2))
+    rows += [(None, 1, "user", "Hi."), (None, 2, "assistant", "Ho."), (None, 2, "assistant", "Ho.")]
+    rows += [(-5, -1500 - i, ("assistant", "user")[i % 2], f"n {i}.") for i in range(2000)]  # several blocks, negative
+    rows += [(900, None, ("user", "assistant")[i % 2], f"n {i}.") for i in range(1500)]  # one block, two segments
+    rows += [(901, i, "assistant", "same.") for i in range(1500)]  # a hot text
+    return rows
+
+
+def test_spark(spark):
+    rows = conversations()
+    df = spark.createDataFrame(
+        [(*r, "x", 1, 2.0) for r in rows], "conv_id long, turn long, role string, text string, block string, part int, edits double"
+    ).repartition(5)
+    fixed = sr.repair(df)
+    reports = {r["conv_id"]: r.asDict() for r in fixed.report.collect()}
+    repaired = {}
+    for r in fixed.rows.orderBy("conv_id", "block", "part", "place").collect():
+        repaired.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    digests = {r["conv_id"]: r["repaired_sha256"] for r in sr.text_digests(fixed.rows).collect()}
+    groups = {}
+    for conv, *row in rows:
+        groups.setdefault(conv, []).append(tuple(row))
+    assert reports.keys() == groups.keys()
+    for conv, own in groups.items():
+        report, out = expected(own)
+        assert {k: reports[conv][k] for k in report} == report, conv
+        assert repaired.get(conv, []) == out
+        if out:
+            assert digests[conv] == hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+
+
+def test_empty(spark):
+    fixed = sr.repair(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
+    assert fixed.report.count() == fixed.rows.count() == sr.text_digests(fixed.rows).count() == 0
+
+
+@pytest.mark.parametrize("initial", ["s", "u", "a", ""])
+def test_one_row(initial):
+    assert audit_of([(initial, sr.NO_FAULT)]) == every_repair([(initial, sr.NO_FAULT)])
