@@ -17,6 +17,7 @@ from linkharbor.llm import (
     near_dedup,
     packing,
     parse_dedup,
+    ranked_search,
     structure_repair,
     token_count,
     token_files,
@@ -125,6 +126,11 @@ def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = ranked_search.build_index(_table(spark, folder, "documents"))
+    return ranked_search.search(index, _table(spark, folder, "benchmark"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -143,6 +149,7 @@ QUERIES: dict[str, Query] = {
         op9_near_dedup,
         op10_toxicity,
         op12_structure_repair,
+        op13_ranked_search,
         pipeline,
     )
 }
@@ -247,4 +254,35 @@ ORACLES: dict[str, str] = {
         left join counts on counts.conv_id is not distinct from c.conv_id
         left join ends on ends.conv_id is not distinct from c.conv_id
     """,
+    "op13_ranked_search": r"""
+        with terms as materialized (
+            select doc_id, n_row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from (select doc_id, text, row_number() over () as n_row from documents)
+        ),
+        tf as materialized (select n_row, any_value(doc_id) as doc_id, term, count(*) as tf from terms group by n_row, term),
+        docs as materialized (select n_row, count(*) as n from terms group by n_row),
+        total as (select count(*) as docs, sum(n)::bigint as terms from docs),
+        asked as materialized (
+            select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ),
+        weights as materialized (
+            select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)))::bigint as w
+            from (select term, count(*) as df from tf where term in (select term from asked) group by term), total
+        ),
+        impacts as materialized (
+            select n_row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * total.docs) // total.terms))) as impact
+            from tf join weights using (term) join docs using (n_row), total
+        ),
+        scores as (
+            select item_id, n_row, any_value(doc_id) as doc_id, sum(impact)::bigint as score
+            from asked join impacts using (term) group by item_id, n_row
+        ),
+        ranked as (
+            select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank from scores where score > 0
+        )
+        select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+    """,
 }
