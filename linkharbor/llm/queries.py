@@ -14,6 +14,7 @@ from linkharbor.llm import (
     content_dedup,
     decontaminate,
     language,
+    mixing,
     near_dedup,
     packing,
     parse_dedup,
@@ -24,6 +25,7 @@ from linkharbor.llm import (
     toxicity,
 )
 from linkharbor.llm.common import remainder
+from linkharbor.session import broadcast_if_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +100,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    mixed = mixing.mix(documents, F.array("source"), mixing.words(F.col("text")), lambda place, _: 1 + place % 3)
+    sources = spark.createDataFrame(
+        [(s.source, s.size, s.target) for s in mixed.sources], "source string, source_size long, target double"
+    )
+    taken = mixed.documents.withColumn("own", F.col("sources")[0])
+    return taken.join(broadcast_if_small(sources), F.expr("own <=> source")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """The rows with the damage that op12 repairs, dealt by conversation and turn."""
     key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
@@ -148,6 +162,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_near_dedup,
         op10_toxicity,
+        op11_mixing,
         op12_structure_repair,
         op13_ranked_search,
         pipeline,

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import itertools
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkharbor.llm import mixing
+from linkharbor.llm.queries import op11_mixing
+
+
+def filled(sizes, weights, total):
+    """Targets by pouring a little at a time."""
+    out, step = [0.0] * len(sizes), total / 20_000
+    for _ in range(20_000):
+        open_ones = [i for i in range(len(sizes)) if out[i] < 3 * sizes[i]]
+        for i in open_ones:
+            out[i] += step * weights[i] / sum(weights[j] for j in open_ones)
+    return out
+
+
+def test_targets():
+    make = random.Random(1)
+    for _ in range(15):
+        sizes = [make.choice((0, 5, 100, 1000, 20_000)) for _ in range(make.randint(1, 7))]
+        weights = [1 + i % 3 for i in range(len(sizes))]
+        got = mixing.targets(sizes, weights, sum(sizes))
+        assert sum(got) == pytest.approx(sum(sizes))
+        assert all(t <= 3 * s for t, s in zip(got, sizes))
+        assert got == pytest.approx(filled(sizes, weights, sum(sizes)), abs=0.01 * sum(sizes) + 1)
+        assert sum(mixing.quotas(got)) == sum(sizes)
+    assert mixing.targets([], [], 0) == []
+    assert mixing.in_order(["b", None, "é", "B", "", "😀", "�"]) == ["", "B", "b", "é", "�", "😀", None]
+
+
+def best_by_trial(patterns, asked):
+    """(words routed, cost) of the best of all whole flows."""
+    pairs = [(p, s) for p, (own, _) in enumerate(patterns) for s in own]
+    best = (0, 0)
+    for flow in itertools.product(*(range(min(3 * patterns[p][1], asked[s]) + 1) for p, s in pairs)):
+        used, got = [0] * len(patterns), dict.fromkeys(asked, 0)
+        for (p, s), n in zip(pairs, flow):
+            used[p] += n
+            got[s] += n
+        if all(u <= 3 * n for u, (_, n) in zip(used, patterns)) and all(got[s] <= asked[s] for s in asked):
+            cost = sum(mixing.REPEAT_COSTS[min(i // n, 2)] for u, (_, n) in zip(used, patterns) for i in range(u))
+            best = min(best, (-sum(used), cost))
+    return -best[0], best[1]
+
+
+def test_flow_is_cheapest():
+    make = random.Random(2)
+    for _ in range(25):
+        sources = ["a", "b", None][: make.randint(1, 3)]
+        sets = [c for k in range(len(sources) + 1) for c in itertools.combinations(sources, k)]
+        patterns = [(own, make.randint(1, 2)) for own in make.sample(sets, min(len(sets), 3))]
+        asked = {s: make.randint(0, 4) for s in sources}
+        given = mixing.route(patterns, asked)
+        assert all(sum(g.get(s, 0) for g in given) <= asked[s] for s in sources)
+        used = [sum(g.values()) for g in given]
+        cost = sum(mixing.REPEAT_COSTS[i // n] for u, (_, n) in zip(used, patterns) for i in range(u))
+        assert (sum(used), cost) == best_by_trial(patterns, asked)
+
+
+def test_overlapping(spark):
+    make = random.Random(3)
+    names = ["web", "books", "code", None]
+    rows = []
+    for i in range(4000):
+        own = make.sample(names, make.choice((1, 1, 2, 3))) if i % 50 else []
+        rows.append((i, own, make.randint(1, 60), 1, "x", 0.5))
+    rows += [(5000, ["rare"], 3, 1, "x", 0.5), (None, None, 9, 1, "x", 0.5)]
+    df = spark.createDataFrame(rows, "doc_id long, own array<string>, n long, row long, pattern string, taken double")
+    mixed = mixing.mix(df, F.col("own"), F.col("n"), lambda place, source: 5 if source == "code" else 1)
+    taken = mixed.documents.collect()
+    assert len(taken) == len(rows)
+    assert all(r["taken"] % r["size"] == 0 and r["taken"] <= 3 * r["size"] for r in taken)
+    assert all(r["taken"] == 0 for r in taken if not r["sources"])
+    assert [s.source for s in mixed.sources] == ["books", "code", "rare", "web", None]
+    total = sum(r["size"] for r in taken)
+    assert sum(s.target for s in mixed.sources) == pytest.approx(total)
+    assert [s.target for s in mixed.sources if s.source == "rare"] == [9.0]
+    assert all(s.routed == s.quota for s in mixed.sources)
+    assert abs(sum(r["taken"] for r in taken) - sum(s.routed for s in mixed.sources)) < 30
+    again = mixing.mix(df.repartition(7), F.col("own"), F.col("n"), lambda place, source: 5 if source == "code" else 1)
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["taken"])
+    assert sorted(map(key, again.documents.collect())) == sorted(map(key, taken))
+
+
+def test_query(spark, tmp_path):
+    """A hot source, nulls, repeated rows and long texts, against targets by hand."""
+    make = random.Random(4)
+    rows = []
+    for i in range(3000):
+        source = make.choice(("s0", "s0", "s0", "s1", "s10", "s2", None))
+        rows.append((i, " ".join(["w"] * make.choice((1, 5, 30, 30, 80))) + "\t\n", source))
+    rows += [(9000, "a b" * 70_000, "s1"), (1, rows[1][1], rows[1][2]), (None, "x", "s2"), (9001, None, "s2"), (9002, " ", "z")]
+    rows += [(9003, "one two　three", "tiny")]
+    spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, source string, size int, own string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    found = op11_mixing(spark, str(tmp_path)).collect()
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    order = ["s0", "s1", "s10", "s2", "tiny", "z", None]
+    total = sum(sizes.values())
+    wanted = dict(zip(order, mixing.targets([sizes[s] for s in order], [1, 2, 3, 1, 2, 3, 1], total)))
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["size"], r["source_size"], r["target"]) for r in found) == sorted(
+        (d is None, d, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), sizes[s], wanted[s]) for d, t, s in rows
+    )
+    by_size = {sizes[s]: 0 for s in order}
+    for r in found:
+        assert r["taken"] <= 3 * r["size"]
+        by_size[r["source_size"]] += r["taken"]
+    for s in order:
+        assert by_size[sizes[s]] == pytest.approx(wanted[s], abs=10), s  # a short document
+
+
+def test_empty(spark):
+    none = spark.createDataFrame([], "doc_id long, own array<string>, n long")
+    mixed = mixing.mix(none, F.col("own"), F.col("n"), lambda *_: 1)
+    assert mixed.sources == [] and mixed.documents.count() == 0
