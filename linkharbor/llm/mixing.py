@@ -222,47 +222,64 @@ def mix(
     asked = dict(zip(names, quotas(wanted)))
     given = route(patterns, asked)
     routed = {s: sum(g.get(s, 0) for g in given) for s in names}
-    plan = []
-    for r, g in zip(rows, given):
-        times, rest = divmod(sum(g.values()), max(r["size"], 1))
-        # The smaller side is drawn, so that there are documents left of all sizes to fill a gap with.
-        left_out = rest > r["size"] - rest > 0
-        plan.append((r["pattern"], times, r["size"] - rest if left_out else rest, left_out))
+    plan = _plan(sized, {r["pattern"]: sum(g.values()) for r, g in zip(rows, given)})
     taken = _select(sized, plan)
     report = [SourcePlan(s, sizes[s], t, asked[s], routed[s]) for s, t in zip(names, wanted)]
     return Mix(taken.select("doc_id", "size", "sources", "taken"), report)
 
 
-def _select(sized: DataFrame, plan: list[tuple[str, int, int, bool]]) -> DataFrame:
+def _plan(sized: DataFrame, words: dict[str, int]) -> list[tuple[str, int, int, int, bool]]:
+    """For each pattern: longest document to take, whole repetitions, rest to draw, whether the rest is left out."""
+    spark = sized.sparkSession
+    asked = spark.createDataFrame(list(words.items()), "pattern string, words long")
+    fits = F.col("size") <= F.col("words")
+    rows = (
+        sized.join(F.broadcast(asked) if len(words) <= MAX_BROADCAST_PATTERNS else asked, "pattern")
+        .groupBy("pattern")
+        .agg(F.sum(F.when(fits, F.col("size"))).alias("fitting"), F.min(F.when(~fits, F.col("size"))).alias("longer"))
+        .collect()
+    )
+    plan = []
+    for pattern, fitting, longer in rows:
+        fitting, wanted, limit = fitting or 0, words[pattern], words[pattern]
+        # Documents longer than all that is wanted are passed over, but for the shortest if that comes nearer.
+        if longer and abs(fitting + longer - wanted) < wanted - REPEATS * fitting:
+            fitting, limit = fitting + longer, longer
+        times, rest = divmod(min(wanted, REPEATS * fitting), max(fitting, 1))
+        # The smaller side is drawn, so that there are documents left of all sizes to fill a gap with.
+        left_out = rest > fitting - rest > 0
+        plan.append((pattern, limit, times, fitting - rest if left_out else rest, left_out))
+    return plan
+
+
+def _select(sized: DataFrame, plan: list[tuple[str, int, int, int, bool]]) -> DataFrame:
     """Adds `taken`: the whole repetitions of the pattern, and one more for the documents drawn, or for all others."""
     spark = sized.sparkSession
 
     def small(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if len(plan) <= MAX_BROADCAST_PATTERNS else df
 
-    plans = spark.createDataFrame(plan, "pattern string, times long, rest long, left_out boolean")
+    plans = spark.createDataFrame(plan, "pattern string, limit long, times long, rest long, left_out boolean")
     bucket = F.shiftrightunsigned(F.col("draw"), 64 - int(math.log2(BUCKETS)))
-    drawn = sized.withColumn("bucket", bucket)
+    drawn = sized.withColumn("bucket", bucket).join(small(plans), "pattern")
+    drawn = drawn.withColumn("words", F.when(F.col("size") <= F.col("limit"), F.col("size")).otherwise(0))
     # The bucket in which the rest ends, and what the buckets before it hold.
-    sums = drawn.groupBy("pattern", "bucket").agg(F.sum("size").alias("n")).join(small(plans), "pattern")
     until = F.sum("n").over(W.partitionBy("pattern").orderBy("bucket"))
     edges = staged(
-        plans.join(
-            sums.withColumn("until", until)
-            .where("until > rest")
-            .groupBy("pattern")
-            .agg(F.min("bucket").alias("edge"), F.min(F.col("until") - F.col("n")).alias("before")),
-            "pattern",
-            "left",
-        ),
+        drawn.groupBy("pattern", "bucket", "rest")
+        .agg(F.sum("words").alias("n"))
+        .withColumn("until", until)
+        .where("until > rest")
+        .groupBy("pattern", "rest")
+        .agg(F.min("bucket").alias("edge"), F.min(F.col("until") - F.col("n")).alias("before")),
         "mix-edges",
     )
-    placed = drawn.join(small(edges), "pattern")
+    placed = drawn.join(small(edges.drop("rest")), "pattern", "left")
     # Only one bucket a pattern is ordered.
-    running = F.sum("size").over(W.partitionBy("pattern").orderBy("draw", "doc_id", "size", "row"))
+    running = F.sum("words").over(W.partitionBy("pattern").orderBy("draw", "doc_id", "size", "row"))
     within = placed.where("bucket = edge").withColumn("fits", F.col("before") + running <= F.col("rest"))
-    chosen = staged(within.where("fits").select("pattern", "row", "size"), "mix-edge-rows")
-    filled = chosen.groupBy("pattern").agg(F.sum("size").alias("more"))
+    chosen = staged(within.where("fits").select("pattern", "row", "words"), "mix-edge-rows")
+    filled = chosen.groupBy("pattern").agg(F.sum("words").alias("more"))
     gaps = staged(
         edges.join(filled, "pattern", "left").selectExpr("pattern", "edge", "rest - before - coalesce(more, 0) as gap").where("gap > 0"),
         "mix-gaps",
@@ -270,14 +287,14 @@ def _select(sized: DataFrame, plan: list[tuple[str, int, int, bool]]) -> DataFra
     # One document of each size that may help; there are at most twice as many as the longest document has words.
     spare = (
         drawn.join(small(gaps), "pattern")
-        .where("bucket >= edge and size > 0 and size < 2 * gap")
+        .where("bucket >= edge and words > 0 and words < 2 * gap")
         .join(chosen.select("pattern", "row"), ["pattern", "row"], "left_anti")
-        .groupBy("pattern", "size", "gap")
+        .groupBy("pattern", "words", "gap")
         .agg(F.min(F.struct("draw", "doc_id", "row")).alias("first"))
-        .select("pattern", "size", "gap", F.col("first.row").alias("row"))
+        .select("pattern", "words", "gap", F.col("first.row").alias("row"))
     )
     extra = staged(
-        spare.groupBy("pattern").applyInPandas(_largest_first, "pattern string, row long").unionByName(chosen.drop("size")),
+        spare.groupBy("pattern").applyInPandas(_largest_first, "pattern string, row long").unionByName(chosen.drop("words")),
         "mix-extra",
     )
     before_edge = F.col("bucket") < F.coalesce("edge", F.lit(BUCKETS))
@@ -285,15 +302,15 @@ def _select(sized: DataFrame, plan: list[tuple[str, int, int, bool]]) -> DataFra
     return (
         placed.join(extra.withColumn("picked", F.lit(True)), ["pattern", "row"], "left")
         .withColumn("one_more", drawn_rows != F.col("left_out"))
-        .withColumn("taken", F.col("size") * (F.col("times") + F.col("one_more").cast("long")))
+        .withColumn("taken", F.col("words") * (F.col("times") + F.col("one_more").cast("long")))
     )
 
 
 def _largest_first(rows: pd.DataFrame) -> pd.DataFrame:
     """Fills the gap with documents of falling size, and with one that does not fit if that comes nearer."""
-    rows = rows.sort_values("size", ascending=False)
+    rows = rows.sort_values("words", ascending=False)
     gap, picked, over = int(rows["gap"].iloc[0]), [], []
-    for i, size in enumerate(rows["size"].tolist()):
+    for i, size in enumerate(rows["words"].tolist()):
         if size <= gap:
             gap -= size
             picked.append(i)
