@@ -19,6 +19,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _SHIFTS[2])
 
 
+# The low bits of a word's hash hold its number of letters and digits, up to 63.
+LETTER_BITS = np.uint64(63)
+
+
 class WordHashes(dict):
     """Blank-separated word -> hash of its letters and digits in lower case; 0 if it has none."""
 
@@ -28,7 +32,7 @@ class WordHashes(dict):
         import xxhash
 
         plain = word if word.isalnum() else "".join(filter(str.isalnum, word))
-        value = (xxhash.xxh3_64_intdigest(plain) or 1) if plain else 0
+        value = (xxhash.xxh3_64_intdigest(plain) & ~63 | min(len(plain), 63)) if plain else 0
         self[word] = value
         return value
 
@@ -47,3 +51,9 @@ def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     for j in range(1, size):
         total = total * _STEP + words[j : j + n]
     return mixed(total)
+
+
+def shingle_letters(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Letters and digits in each run of `size` words."""
+    sums = np.concatenate([[0], np.cumsum((words & LETTER_BITS).astype(np.int64))])
+    return sums[size:] - sums[:-size] if len(words) >= size else sums[:0]

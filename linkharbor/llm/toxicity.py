@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkharbor.llm.common import batch_of, id_and_text, remainder, small_batches, staged, texts_of
-from linkharbor.llm.near_dedup import _shingle_rows, similarities, text_shingles
+from linkharbor.llm.near_dedup import _shingle_rows, similarities, weighted
 from linkharbor.llm.shingles import WordHashes, mixed
 
 # The lexicon is learned from at most this many labelled rows of each class, chosen by a hash of their id.
@@ -157,7 +157,7 @@ def _without_copies(train: DataFrame) -> DataFrame:
         for batch in batches:
             marks = []
             for text in batch.column("text").to_pylist():
-                found = text_shingles(hashes.of(text))
+                found = weighted(hashes.of(text))["shingle"]
                 marks.append([int(mixed(found + np.uint64(m)).min()) >> 1 if len(found) else 0 for m in range(3)])
             yield batch_of(_MARKS, [batch.column("id"), batch.column("toxic"), *zip(*marks)] if marks else [[]] * 5)
 
