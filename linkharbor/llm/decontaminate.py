@@ -1,11 +1,17 @@
 """Benchmark decontamination: SimHash over windows sized by the item, verified by weighted shingles.
 
-Both sides are cut into windows at every word, of as many words as suits an item: the largest length
-that fits whole into the longest piece that any stretch within the similarity bound must share with the
-item, however its edits are spread. A window's fingerprint is the SimHash of its five-word shingles.
+Both sides are cut into windows at every word; a window's fingerprint is the SimHash of its five-word
+shingles, the majority of each bit, counted for all windows of a length at once on whole 64-bit words.
 Four 16-bit blocks index the items' fingerprints: two that differ in up to three bits agree in one
-block, so all within the radius are found. What is found is verified by the weight of the item's shingles, each counted as often as it
-occurs, that the stretch of the document holds.
+block, so all within the radius are found. An item has windows of two lengths:
+
+- as long as the item, but for what is above the next of 8, 12, 16, 24, 32, ... shingles;
+- the largest of 5, 7 and 9 words that fits whole into the longest piece that any stretch within the
+  similarity bound must share with the item, however its edits are spread.
+
+What is found is verified by the weight of the item's shingles, each counted as often as it occurs, that
+the stretch of the document holds, first round each hit, then from the first hit of the item to the
+last. Items of under five words have no shingle; they match where the document has their words in a row.
 
 The benchmark goes to the tasks in blocks of a bounded number of words; the documents are read once
 for each block, and never shuffled.
@@ -14,7 +20,6 @@ for each block, and never shuffled.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,10 +36,12 @@ RADIUS = 3
 BLOCKS = 4
 # Words of benchmark items that are sent to the tasks at a time.
 BLOCK_WORDS = 1_000_000
-# Words whose bit sums are held at a time.
+# Words whose fingerprints are made at a time.
 CHUNK = 1 << 14
-# Words of a window: odd numbers of shingles, so that no bit of a fingerprint is a tie.
+# Words of a short window: odd numbers of shingles, so that no bit of a fingerprint is a tie.
 SIZES = (5, 7, 9)
+# Shingles of the shortest window that is sized by the item as a whole.
+LEAST_LONG = 8
 
 _LEAKS = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int64())]
@@ -59,22 +66,63 @@ def window_size(words: np.ndarray) -> int:
     return max(s for s in SIZES if s <= clean)
 
 
-def fingerprints(shingles: np.ndarray, size: int, starts: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
-    """SimHash of the windows of `size` words at the given starts. `sums` may be shared between sizes."""
-    if size == SHINGLE:
-        return shingles[starts]  # the majority of one
-    sums = bit_sums(shingles) if sums is None else sums
-    held = size - SHINGLE + 1
-    ones = sums[starts + held] - sums[starts]
-    return np.packbits(ones * 2 > held, axis=1, bitorder="little").view("<u8").ravel()
-
-
-def bit_sums(shingles: np.ndarray) -> np.ndarray:
-    """Running count of each of the 64 bits, with a row of zeros first."""
-    bits = np.unpackbits(shingles.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    sums = np.zeros((len(shingles) + 1, 64), dtype=np.int32)
-    np.cumsum(bits, axis=0, dtype=np.int32, out=sums[1:])
-    return sums
+def long_window(shingles: int) -> int:
+    """Shingles of the window for the whole of an item: two leading binary digits, the rest zeros; 0 for a short item."""
+    if shingles < LEAST_LONG:
+        return 0
+    step = 1 << shingles.bit_length() - 2
+    return shingles // step * step
+
+
+def _added(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Sum of two counters of all 64 bits, kept as binary digits: one array a digit, lowest first."""
+    n = len(b[0])
+    zero, carry, out = np.zeros(n, np.uint64), np.zeros(n, np.uint64), []
+    for i in range(max(len(a), len(b))):
+        x, y = (a[i][:n] if i < len(a) else zero), (b[i] if i < len(b) else zero)
+        both = x ^ y
+        out.append(both ^ carry)
+        carry = (x & y) | (both & carry)
+    return [*out, carry]
+
+
+def _above(counter: list[np.ndarray], bound: int) -> np.ndarray:
+    """The bits whose count is above the bound."""
+    above = np.zeros_like(counter[0])
+    equal = ~above
+    for i in range(len(counter) - 1, -1, -1):
+        if not bound >> i & 1:
+            above |= equal & counter[i]
+            equal &= ~counter[i]
+        else:
+            equal &= counter[i]
+    return above
+
+
+def window_prints(shingles: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
+    """SimHash of the windows of each of the sizes, in shingles of at most two binary ones, at every start.
+
+    A bit is set if more than half of the window's shingles have it. Counters of 1, 2, 4, ... shingles come
+    of adding those of half the length; a window of two ones is one more addition.
+    """
+    out, counter, held = {}, [shingles], {}
+    for k in range(max(sizes, default=0).bit_length()):
+        step = 1 << k
+        if k:
+            if len(counter[0]) <= step // 2:
+                break
+            counter = _added(counter, [digit[step // 2 :] for digit in counter])
+        held[step] = counter
+    for size in sizes:
+        high = 1 << size.bit_length() - 1
+        if len(shingles) < size:
+            out[size] = np.empty(0, np.uint64)
+            continue
+        total = held[high]
+        if size - high:
+            total = _added(total, [digit[high:] for digit in held[size - high]])
+        out[size] = _above([digit[: len(shingles) - size + 1] for digit in total], size // 2)
+    return out
 
 
 class BlockIndex:
@@ -119,57 +167,79 @@ class Items:
 
     def __post_init__(self) -> None:
         self.shingles = [shingle_hashes(w) for w in self.words]
-        self.weights = [Counter(s.tolist()) for s in self.shingles]
+        self.weights = [np.unique(s, return_counts=True) for s in self.shingles]
         owner: dict[int, list[np.ndarray]] = {}
         marks: dict[int, list[np.ndarray]] = {}
+        self.short: dict[int, dict[int, list[int]]] = {}
         for i, shingles in enumerate(self.shingles):
             if len(shingles):
-                size = window_size(self.words[i])
-                starts = np.arange(len(self.words[i]) - size + 1)
-                owner.setdefault(size, []).append(np.stack([np.full(len(starts), i), starts], 1))
-                marks.setdefault(size, []).append(fingerprints(shingles, size, starts))
+                sizes = {window_size(self.words[i]) - SHINGLE + 1, long_window(len(shingles))} - {0}
+                for size, found in window_prints(shingles, sorted(sizes)).items():
+                    owner.setdefault(size, []).append(np.stack([np.full(len(found), i), np.arange(len(found))], 1))
+                    marks.setdefault(size, []).append(found)
+            elif n := len(self.words[i]):
+                own = self.short.setdefault(n, {})
+                own.setdefault(int(shingle_hashes(self.words[i], n)[0]), []).append(i)
         self.sizes = sorted(marks)
         self.owner = {s: np.concatenate(owner[s]) for s in self.sizes}
         self.index = {s: BlockIndex(np.concatenate(marks[s])) for s in self.sizes}
+        self.short_marks = {n: np.array(sorted(own), np.uint64) for n, own in self.short.items()}
 
     def similarity(self, item: int, shingles: np.ndarray) -> float:
         """Share of the weight of the item's shingles that is in the stretch."""
-        wanted = self.weights[item]
-        have = Counter(s for s in shingles.tolist() if s in wanted)
-        return sum((have & wanted).values()) / sum(wanted.values())
+        wanted, counts = self.weights[item]
+        at = np.minimum(np.searchsorted(wanted, shingles), len(wanted) - 1)
+        have = np.bincount(at[wanted[at] == shingles], minlength=len(wanted))
+        return int(np.minimum(have, counts).sum()) / int(counts.sum())
+
+    def hits(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Rows (text, item, word of the text at which the item would begin), sorted, each once."""
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        shingles = shingle_hashes(np.concatenate(texts))
+        longest = self.sizes[-1]
+        sizes = [s for s in self.sizes if s + SHINGLE - 1 <= max(map(len, texts))]
+        chunk, found = max(CHUNK, 2 * longest), [np.empty((0, 3), np.int64)]
+        for at in range(0, len(shingles), chunk):
+            prints = window_prints(shingles[at : at + chunk + longest - 1], sizes)
+            for size in sizes:
+                starts = np.arange(at, at + min(len(prints[size]), chunk))
+                text = np.searchsorted(begins, starts, "right") - 1
+                fits = starts + size + SHINGLE - 1 <= begins[text + 1]
+                who, mark = self.index[size].within(prints[size][: len(starts)][fits])
+                if len(who):
+                    item, inner = self.owner[size][mark].T
+                    text, starts = text[fits][who], starts[fits][who]
+                    found.append(np.stack([text, item, starts - begins[text] - inner], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def leaks(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, float, int]]:
         """(text, item, similarity, first word) of the best stretch of each leaked item."""
+        for n, own in self.short.items():
+            for t, words in enumerate(texts):
+                grams = shingle_hashes(words, n)
+                here, first = np.unique(grams[np.isin(grams, self.short_marks[n])], return_index=True)
+                where = np.flatnonzero(np.isin(grams, self.short_marks[n]))
+                for gram, at in zip(here.tolist(), where[first].tolist() if len(here) else []):
+                    yield from ((t, i, 1.0, at) for i in own[gram])
         if not self.sizes or not texts:
             return
-        longest = self.sizes[-1]
-        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        words = np.concatenate(texts)
-        shingles = shingle_hashes(words)
-        asked: set[tuple[int, int, int]] = set()
-        for at in range(0, len(shingles), CHUNK):
-            part = shingles[at : at + CHUNK + longest]
-            sums = bit_sums(part)
-            for size in self.sizes:
-                last = min(len(part) - (size - SHINGLE + 1), CHUNK - 1)
-                starts = np.arange(at, at + last + 1)
-                text = np.searchsorted(begins, starts, "right") - 1
-                fits = starts + size <= begins[text + 1]
-                starts, text = starts[fits], text[fits]
-                who, mark = self.index[size].within(fingerprints(part, size, starts - at, sums))
-                found = self.owner[size][mark]
-                first = starts[who] - begins[text[who]] - found[:, 1]
-                asked.update(zip(text[who].tolist(), found[:, 0].tolist(), first.tolist()))
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        for text, item, first in sorted(asked):
+        grouped: dict[tuple[int, int], list[int]] = {}
+        for text, item, first in self.hits(texts).tolist():
+            grouped.setdefault((text, item), []).append(first)
+        for (text, item), firsts in grouped.items():
             n = len(self.words[item])
-            start = max(first - n // 4, 0)
-            stretch = texts[text][start : max(first, 0) + n + n // 4]
-            similar = self.similarity(item, shingle_hashes(stretch))
-            if similar >= SIMILARITY and similar > best.get((text, item), (0.0, 0))[0]:
-                best[text, item] = (similar, max(first, 0))
-        for (text, item), (similar, first) in best.items():
-            yield text, item, similar, first
+            margin = n // 4
+            best, where = 0.0, 0
+            for first in firsts:
+                similar = self.similarity(item, shingle_hashes(texts[text][max(first - margin, 0) : max(first, 0) + n + margin]))
+                if similar > best:
+                    best, where = similar, max(first, 0)
+            if best < SIMILARITY and len(firsts) > 1:
+                # A copy that is drawn out by other words between its parts.
+                where = max(firsts[0], 0)
+                best = self.similarity(item, shingle_hashes(texts[text][max(firsts[0] - margin, 0) : max(firsts[-1], 0) + n + margin]))
+            if best >= SIMILARITY:
+                yield text, item, best, where
 
 
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[Items]:
@@ -198,8 +268,9 @@ def find_leaks(
 ) -> DataFrame:
     """doc_id, item_id, similarity, start_word for each item that a document holds, at its best stretch.
 
-    Case and everything but letters and digits is ignored. Items and texts of fewer than five words have
-    no shingle and match nothing; null and empty texts likewise. Rows with one id are searched one by one.
+    Case and everything but letters and digits is ignored. Null and empty texts hold nothing, null and empty
+    items are not held. Rows with one id, or none, are searched one by one; so are repeated items. Empty
+    tables give no rows; columns other than those named are not looked at.
     """
     rows = small_batches(id_and_text(documents, id_col, text_col))
     found = None
@@ -230,7 +301,10 @@ def _searcher(items: Items):
 def drop_leaked(
     documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
-    """The rows, with all their columns, that hold no item; no shuffle."""
+    """The rows, with all their columns, whatever their names, that hold no item; no shuffle.
+
+    Null and empty texts stay, as do rows without an id; repeated rows stay or go together.
+    """
     small_batches(documents)
     kept = None
     for items in item_blocks(benchmark, item_col, "text", BLOCK_WORDS):

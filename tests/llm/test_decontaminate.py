@@ -150,6 +150,47 @@ def test_all_fingerprints_within_the_radius_are_found():
     assert set(zip(left.tolist(), right.tolist())) == want and len(want) > 100
 
 
+def test_prints_are_majorities():
+    make = np.random.default_rng(6)
+    shingles = make.integers(0, 2**64, 300, dtype=np.uint64)
+    sizes = [1, 3, 5, 8, 12, 16, 24, 32, 48, 96, 256, 384]
+    for size, prints in de.window_prints(shingles, sizes).items():
+        assert len(prints) == max(300 - size + 1, 0)
+        for start in range(0, len(prints), 17):
+            bits = np.unpackbits(shingles[start : start + size].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            want = np.packbits(bits.sum(axis=0) * 2 > size, bitorder="little").view(np.uint64)[0]
+            assert prints[start] == want, (size, start)
+    assert [de.long_window(n) for n in (1, 7, 8, 11, 12, 15, 16, 23, 25, 50, 100)] == [0, 0, 8, 8, 12, 12, 16, 16, 24, 48, 96]
+
+
+def test_items_are_indexed_by_windows_of_their_size():
+    words = np.random.default_rng(7).integers(1, 2**63, 60, dtype=np.uint64)
+    items = de.Items([1], [words])
+    assert items.sizes == [5, 48]
+    # An unedited copy is found by the long windows alone.
+    alone = de.Items([1], [words])
+    alone.sizes = [48]
+    text = np.concatenate([words[:7], words, words[:5]])
+    assert [found[:3] for found in alone.leaks([text])] == [(0, 0, 1.0)]
+
+
+def test_items_of_few_words(spark):
+    items = [(1, "Zyx", 9), (2, "two words.", 9), (3, "and, then three", 9), (4, "one two three four", 9), (5, None, 9)]
+    docs = [(1, "a zyx b ZYX"), (2, "two, (words) and then three"), (3, "zy x two w ords"), (4, "One two three... four"), (5, "one two three"), (6, "zyx")]
+    benchmark = spark.createDataFrame(items, ITEMS)
+    assert leaks(frame(spark, docs), benchmark) == {(1, 1): 1.0, (2, 2): 1.0, (2, 3): 1.0, (4, 4): 1.0, (6, 1): 1.0}
+    assert {r["doc_id"] for r in de.drop_leaked(frame(spark, docs), benchmark).collect()} == {3, 5}
+
+
+def test_copies_drawn_out_by_other_words(spark):
+    words = prose(40, 80).split(" ")
+    drawn = []
+    for part in range(4):  # 12 of the 76 shingles are lost
+        drawn += [*words[20 * part : 20 * part + 20], *prose(60 + part, 70).split(" ")]
+    docs = [(1, " ".join(drawn)), (2, " ".join(drawn[:200])), (3, prose(41, 400))]
+    assert leaks(frame(spark, docs), spark.createDataFrame([(7, " ".join(words), 9)], ITEMS)) == {(1, 7): 64 / 76}
+
+
 def test_registered(spark):
     assert QUERIES["op1_decontamination"](spark, "/root/testdata/sf0.001").columns == [
         "doc_id", "item_id", "similarity", "start_word",
