@@ -416,6 +416,10 @@ with n as (
 select * exclude (pos, other), ifnull({BUCKET_AT.format('pos')}, other) as source_domain_rank_bucket, {LOADED} as loaded_at from g"""
 
 
+# Views that several others read: worked out once, and never mixed into the join order of what reads them.
+MATERIALIZED = ("targets", "kept_edges", "linking", "linking_ranks")
+
+
 def oracle(sql: str) -> str:
     """The statement with every view it names, directly or through others, put in front."""
     needed: dict[str, None] = {}
@@ -430,5 +434,6 @@ def oracle(sql: str) -> str:
     body = sql.strip()
     if not needed:
         return body
-    views = "with " + ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in needed)
+    kind = {n: "as materialized" if n in MATERIALIZED else "as" for n in needed}
+    views = "with " + ",\n".join(f"{n} {kind[n]} ({VIEWS[n].strip()})" for n in needed)
     return f"{views},\n{body.removeprefix('with ')}" if body.startswith("with ") else f"{views}\n{body}"

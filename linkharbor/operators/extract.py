@@ -6,7 +6,9 @@ few rows, so it is filtered by a map-side join and only the kept edges are ever
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkharbor.functions.hosts import reverse_labels
@@ -43,14 +45,49 @@ def bucket_of(node_id: str) -> str:
     return f"pmod(xxhash64({node_id}), {EDGE_BUCKETS})"
 
 
+@dataclass(frozen=True)
+class StoredEdges:
+    """Edges by target bucket, and the number of rows in each bucket."""
+
+    rows: DataFrame
+    rows_per_bucket: DataFrame
+
+    def scanned(self, targets: DataFrame) -> int:
+        """Edges in the buckets of the targets: those that a pruned scan reads."""
+        asked = targets.select(F.expr(f"int({bucket_of('node_id')})").alias(BUCKET)).distinct()
+        found = self.rows_per_bucket.join(asked, BUCKET, "left_semi").agg(F.sum("n")).first()
+        return int(found[0] or 0)
+
+
 def store_edges(edges: DataFrame, path: str) -> None:
     """One-off conversion of the edge list to Parquet, a folder for each bucket of target ids.
 
-    A hot target fills its bucket with many files: rows are spread by their source as well.
+    A hot target fills its bucket with many files: rows are spread by their source as well. The number of
+    rows per bucket goes to a table beside it, read off the footers of the files just written.
     """
     stored = edges.withColumn(BUCKET, F.expr(f"int({bucket_of('target_node_id')})"))
     spread = F.expr(f"pmod(xxhash64(source_node_id), {FILES_PER_BUCKET})")
     stored.repartition(BUCKET, spread).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    back = edges.sparkSession.read.schema(stored.schema).parquet(path)
+    _bucket_rows(back).coalesce(1).write.mode("overwrite").parquet(_statistics(path))
+
+
+def stored_edges(spark: SparkSession, path: str) -> StoredEdges:
+    """What `store_edges` wrote."""
+    return StoredEdges(spark.read.parquet(path), spark.read.parquet(_statistics(path)))
+
+
+def with_statistics(edges: DataFrame) -> StoredEdges | None:
+    """Edges by target bucket without their table of rows: no column is read to count them."""
+    return StoredEdges(edges, _bucket_rows(edges)) if BUCKET in edges.columns else None
+
+
+def _bucket_rows(edges: DataFrame) -> DataFrame:
+    return edges.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _statistics(path: str) -> str:
+    return f"{path.rstrip('/')}-rows"
 
 
 def edges_to_targets(edges: DataFrame, targets: DataFrame) -> DataFrame:

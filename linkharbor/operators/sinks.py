@@ -13,10 +13,13 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkharbor.operators import snapshots
+from linkharbor.operators.snapshots import counted_write
+
 RELEASE, CRAWL = "graph_release_id", "crawl_id"
 
 RAW_EDGES = (
@@ -36,47 +39,43 @@ RAW_EVIDENCE = (
 )
 
 
-def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return int(seen.get["rows"])
-
-
-def append_raw(df: DataFrame, path: str, partition: str = RELEASE) -> int:
-    """Append rows to a raw table, one folder per release or crawl; returns the rows written."""
-    return counted_write(df, lambda d: d.write.mode("append").partitionBy(partition).parquet(path))
+def append_raw(df: DataFrame, path: str, partition: str = RELEASE, load_id: str | None = None) -> int:
+    """Append rows to a raw table; returns the rows written. A load that names itself is added once."""
+    done = snapshots.committed_rows(df.sparkSession, path, load_id)
+    if done is not None:
+        return done
+    return snapshots.commit(df.sparkSession, snapshots.prepare(df, path, partition, load_id))
 
 
 def replace_release(df: DataFrame, path: str, release: str, partition: str = RELEASE) -> int:
     """Put the rows in place of what the table holds for that release; others stay untouched.
 
-    The new files are complete before the old ones go. Rows of another release, or of none, stop the
-    write before it changes anything; an input without any row empties the release.
+    Readers see the old rows until the new ones are complete, and never both. Rows of another release, or
+    of none, stop the write before it changes anything; an input without any row empties the release.
     """
+    return snapshots.commit(df.sparkSession, prepare_release(df, path, release, partition), [release])
+
+
+def prepare_release(df: DataFrame, path: str, release: str, partition: str = RELEASE) -> snapshots.Prepared:
     if not re.fullmatch(r"[A-Za-z0-9._-]+", release):
         raise ValueError(f"unsupported release name {release!r}")
     problem = f"raise_error(concat('a row of release ', coalesce({partition}, 'null'), ' is not of {release}'))"
-    mine = df.filter(f"if({partition} <=> '{release}', true, {problem})")
-
-    def swap(rows: DataFrame) -> None:
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(path)
-        )
+    return snapshots.prepare(df.filter(f"if({partition} <=> '{release}', true, {problem})"), path, partition)
 
-    written = counted_write(mine, swap)
-    if written == 0:
-        empty = df.sparkSession.createDataFrame([], mine.drop(partition).schema)
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={release}")
-    return written
 
+def read_raw(
+    spark: SparkSession, path: str, schema: str, missing_ok: bool = False, partition: str | None = None
+) -> DataFrame:
+    """A raw table with its full schema, as last committed. Only with `missing_ok` does a missing table read as empty.
 
-def read_raw(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
-    """A raw table with its full schema. Only with `missing_ok` does a missing table read as empty."""
+    Its partition is the last column of the schema, if it is not said otherwise.
+    """
+    empty = spark.createDataFrame([], schema)
+    found = snapshots.read(spark, path, schema, partition or empty.columns[-1])
+    if found is not None:
+        return found
     if missing_ok and not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty
     return spark.read.schema(schema).parquet(path)
 
 

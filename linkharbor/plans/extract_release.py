@@ -36,16 +36,19 @@ def extract_release(
     spark: SparkSession,
     release: str,
     vertices: DataFrame,
-    edges: DataFrame,
+    edges: DataFrame | extract.StoredEdges,
     ranks: DataFrame,
     companies: CompanySet,
     root: str | None = None,
 ) -> Extraction:
     """`vertices`, `edges` and `ranks` are the good rows of the scans, best from Parquet copies.
 
-    Edges are read once: they are counted below the join that cuts them, and the number is kept with
-    the stage. Over pruned buckets it counts the edges of the buckets read.
+    Edges stored by target bucket are pruned to the targets' buckets, and their number is that of these
+    buckets, taken from the table of rows beside them. An observing node would stop the pruning, so only
+    other edges, which are read whole, are counted below the join that cuts them.
     """
+    by_bucket = edges if isinstance(edges, extract.StoredEdges) else extract.with_statistics(edges)
+    edges = by_bucket.rows if by_bucket else edges
     folder = StageFolder(
         spark,
         root or f"{shared_folder(spark)}/extract",
@@ -63,6 +66,9 @@ def extract_release(
     small_targets = broadcast_if_small(targets.frame)
 
     def cut() -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+        if by_bucket:
+            kept = extract.edges_to_targets(edges, small_targets)
+            return kept, lambda: {"scanned_edges": by_bucket.scanned(targets.frame)}
         seen = Observation()
         counted = edges.observe(seen, F.count(F.lit(1)).alias("scanned_edges"))
         return extract.edges_to_targets(counted, small_targets), lambda: dict(seen.get)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linkharbor.config import Settings
 from linkharbor.functions.suffixes import SuffixRules
-from linkharbor.operators import load, sinks, validate
+from linkharbor.operators import load, sinks, snapshots, validate
 from linkharbor.session import materialize
 
 EDGES, RANKS, EVIDENCE = "raw_domain_edges", "raw_domain_ranks", "raw_link_evidence"
@@ -41,11 +42,12 @@ def load_extracted(
     ranks = load.load_domain_ranks(
         domain_ranks.withColumn("graph_release_id", F.lit(release)), loaded_at
     )
-    return LoadCounts(
-        sinks.replace_release(edges, f"{root}/{EDGES}", release),
-        sinks.replace_release(ranks, f"{root}/{RANKS}", release),
-        0,
-    )
+    # Both are complete before either is seen.
+    prepared = [
+        sinks.prepare_release(edges, f"{root}/{EDGES}", release),
+        sinks.prepare_release(ranks, f"{root}/{RANKS}", release),
+    ]
+    return LoadCounts(*[snapshots.commit(spark, p, [release]) for p in prepared], 0)
 
 
 def load_delivered(
@@ -58,47 +60,49 @@ def load_delivered(
     domain_ranks: DataFrame | None = None,
     link_evidence: DataFrame | None = None,
     strict: bool = True,
+    load_id: str | None = None,
 ) -> LoadCounts:
     """Validate and append delivered records; ranks and evidence are optional.
 
-    With `strict` the first bad record stops the load. Otherwise valid records are appended and
-    the rejected ones go, with the rules they break, to a `_rejected` table next to the raw one.
+    With `strict` the first bad record stops the load, and no table has changed. Otherwise valid records
+    are appended and the rejected ones go, with the rules they break, to a `_rejected` table next to the
+    raw one. All tables are written before any is committed. A load with an id is added once: run again,
+    it adds what a run that was broken off between two commits has not, and tells the same counts.
     """
     release = settings.release.graph_release_id
-    checked = validate.validate_edge_inputs(
-        graph_edges.withColumn("graph_release_id", F.lit(release)), rules
-    )
-    if not strict:
-        checked = validate.Checked(materialize(checked.rows, "checked"))  # read for both halves
-    edges = load.build_domain_edges(
-        checked.strict() if strict else checked.valid,
-        settings.companies.frame(spark),
-        None,
-        settings.release.high_authority_buckets,
-        loaded_at,
-    )
-    edge_rows = sinks.append_raw(edges, f"{root}/{EDGES}")
-    if not strict:
-        sinks.append_raw(checked.rejected, f"{root}/{EDGES}_rejected")
-    rank_rows = evidence_rows = 0
-    if domain_ranks is not None:
-        stamped = domain_ranks.withColumn("loaded_at", loaded_at)
-        rank_rows = _append(
-            validate.validate_ranks(stamped, rules), root, RANKS, sinks.RELEASE, strict
+    parts: list[tuple[str, str, Callable[[], validate.Checked], Callable[[DataFrame], DataFrame]]] = [
+        (
+            EDGES,
+            sinks.RELEASE,
+            lambda: validate.validate_edge_inputs(graph_edges.withColumn("graph_release_id", F.lit(release)), rules),
+            lambda rows: load.build_domain_edges(
+                rows, settings.companies.frame(spark), None, settings.release.high_authority_buckets, loaded_at
+            ),
         )
+    ]
+    if domain_ranks is not None:
+        stamped_ranks = domain_ranks.withColumn("loaded_at", loaded_at)
+        parts.append((RANKS, sinks.RELEASE, lambda: validate.validate_ranks(stamped_ranks, rules), lambda rows: rows))
     if link_evidence is not None:
         stamped = link_evidence.withColumn("extracted_at", loaded_at)
-        evidence_rows = _append(
-            validate.validate_evidence(stamped, rules), root, EVIDENCE, sinks.CRAWL, strict
-        )
-    return LoadCounts(edge_rows, rank_rows, evidence_rows)
-
+        parts.append((EVIDENCE, sinks.CRAWL, lambda: validate.validate_evidence(stamped, rules), lambda rows: rows))
 
-def _append(
-    checked: validate.Checked, root: str, table: str, partition: str, strict: bool
-) -> int:
-    if strict:
-        return sinks.append_raw(checked.strict(), f"{root}/{table}", partition)
-    checked = validate.Checked(materialize(checked.rows, "checked"))
-    sinks.append_raw(checked.rejected, f"{root}/{table}_rejected", partition)
-    return sinks.append_raw(checked.valid, f"{root}/{table}", partition)
+    counts, prepared = dict.fromkeys((EDGES, RANKS, EVIDENCE), 0), []
+    for table, partition, check, build in parts:
+        path = f"{root}/{table}"
+        # The rejected rows are committed before the valid ones, whose commit says that both are done.
+        done = snapshots.committed_rows(spark, path, load_id)
+        if done is not None:
+            counts[table] = done
+            continue
+        checked = check()
+        if not strict:
+            checked = validate.Checked(materialize(checked.rows, "checked"))  # read for both halves
+            prepared.append((None, snapshots.prepare(checked.rejected, f"{path}_rejected", partition, load_id)))
+        rows = checked.strict() if strict else checked.valid
+        prepared.append((table, snapshots.prepare(build(rows), path, partition, load_id)))
+    for table, written in prepared:
+        rows_of = snapshots.commit(spark, written)
+        if table:
+            counts[table] = rows_of
+    return LoadCounts(counts[EDGES], counts[RANKS], counts[EVIDENCE])

@@ -5,9 +5,11 @@ All columns are read as text and converted by explicit rules, so no second pass
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,7 @@ REQUIRED_EVIDENCE = (
 )
 ENTITY_TYPES = ("domain", "host")
 BAD_RECORD = "bad_record"
+HEADER_LINES = 1000
 
 
 @dataclass(frozen=True)
@@ -94,7 +97,7 @@ def scan_csv(
         missing = [c for c in required if c not in header]
         if missing:
             raise ValueError(f"no column {', '.join(missing)} in {files[0]}")
-        if len(set(header)) < len(header):
+        if len({name.lower() for name in header}) < len(header):
             raise ValueError(f"a column name is repeated in {files[0]}")
         schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BAD_RECORD)])
         read = (
@@ -139,15 +142,41 @@ def _csv(spark: SparkSession) -> DataFrameReader:
 
 
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files. One line is read of each file; a file without any line is left out."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    """Header -> files. A file without any line is left out.
+
+    One job with one task per file: it is handed HEADER_LINES lines at a time and stops after the batch
+    with the header, so a long file is not read on. A session of its own keeps these settings from the caller's.
+    """
+    session = spark.newSession()
+    for key, value in {
+        "spark.sql.files.openCostInBytes": str(1 << 40),  # so that no two files share a task
+        "spark.sql.files.maxPartitionBytes": str(1 << 40),
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(HEADER_LINES),
+    }.items():
+        session.conf.set(key, value)
+    lines = session.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
     found: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(r["file"] for r in lines.collect()):
-        header = tuple(_csv(spark).csv(file, inferSchema=False).columns)
-        found.setdefault(header, []).append(file)
+    for row in lines.mapInArrow(_first_lines, "file string, header string").orderBy("file").collect():
+        names = next(csv.reader([row["header"]]))
+        header = tuple(name or f"_c{i}" for i, name in enumerate(names))
+        found.setdefault(header, []).append(row["file"])
     return found
 
 
+def _first_lines(batches):
+    """The first line of a file that is not blank. A short last batch is the file's end: the worker is then kept."""
+    found = False
+    for batch in batches:
+        for row in range(0 if found else batch.num_rows):
+            if batch.column("value")[row].as_py().strip():
+                found = True
+                yield pa.RecordBatch.from_arrays(batch.slice(row, 1).columns, names=["file", "header"])
+                break
+        if found and batch.num_rows == HEADER_LINES:
+            return
+
+
 def _union(spark: SparkSession, parts: list[DataFrame], columns: tuple[str, ...]) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows, write_lines
 from linkharbor.config import CompanySet, ReleaseSettings
-from linkharbor.operators import extract, load, sinks, validate
+from linkharbor.operators import extract, load, sinks, snapshots, validate
 from linkharbor.plans.extract_release import extract_release
 from linkharbor.plans.load_release import EDGES, EVIDENCE, RANKS, load_delivered, load_extracted
 from linkharbor.sources import records, webgraph
@@ -261,6 +261,35 @@ def test_load_extracted(spark, graph, tmp_path, settings, loaded):
     ]
 
 
+def test_a_replacement_that_is_broken_off_is_not_seen(spark, tmp_path):
+    path = str(tmp_path / "raw")
+
+    def ranks(release, *positions):
+        return spark.createDataFrame(
+            [("domain", f"d{p}.com", p, 1.0, 1.0, "top_10k", None, release) for p in positions], sinks.RAW_RANKS
+        )
+
+    def held():
+        return rows(sinks.read_raw(spark, path, sinks.RAW_RANKS).select("graph_release_id", "rank_position"))
+
+    sinks.append_raw(ranks("a", 1, 2).unionByName(ranks("b", 3)), path)
+    before = sinks.read_raw(spark, path, sinks.RAW_RANKS)
+    written = sinks.prepare_release(ranks("a", 7), path, "a")  # the job stops here
+    assert held() == [("a", 1), ("a", 2), ("b", 3)]
+    # two writers prepared at the same time: both commits count, in turn
+    other = sinks.prepare_release(ranks("b", 8), path, "b")
+    assert snapshots.commit(spark, written, ["a"]) == snapshots.commit(spark, other, ["b"]) == 1
+    assert held() == [("a", 7), ("b", 8)]
+    assert before.count() == 3  # a reader keeps what it has found
+    sinks.prepare_release(ranks("b", 9), path, "b")
+    assert snapshots.vacuum(spark, path) == 2  # the first write and the one never committed
+    assert held() == [("a", 7), ("b", 8)]
+    assert not snapshots._create(spark, path, snapshots.Snapshot(1))  # a number is given once
+    nothing = spark.createDataFrame([("domain", "x.com", 1, 1.0, 1.0, "b", None, None)], sinks.RAW_RANKS)
+    sinks.append_raw(nothing, path)
+    assert held() == [("a", 7), ("b", 8), (None, 1)]
+
+
 def evidence_rows(spark, tmp_path, *lines):
     path = write_lines(tmp_path / "evidence.csv", ",".join(records.EVIDENCE_COLUMNS), *lines)
     return records.read_evidence(spark, path, "crawl-1")
@@ -308,6 +337,49 @@ def test_load_delivered_end_to_end(spark, settings, rules, tmp_path, loaded):
     assert (seen["source_host"], seen["anchor_text"], seen["is_nofollow"]) == ("tides.delta.net", "tide prices", True)
 
 
+def test_a_load_is_checked_whole_and_added_once(spark, settings, rules, tmp_path, loaded, monkeypatch):
+    edges = delivered(spark, ("coast.net", "near.io", 2, None), ("intranet", "near.io", 1, None)).drop("graph_release_id")
+    ranks = spark.createDataFrame(
+        [("rel-1", "domain", "coast.net", 0, 2.5, 0.75, "top_10k"), ("rel-1", "domain", "delta.net", 5, 2.5, 0.75, "top_10k")],
+        "graph_release_id string, rank_entity_type string, domain_or_host string, rank_position int, "
+        "harmonic_centrality double, pagerank double, rank_bucket string",
+    )
+    good = edges.where("source_domain = 'coast.net'")
+    root = str(tmp_path / "strict")
+    with pytest.raises(Exception, match="record breaks"):
+        load_delivered(spark, good, settings, rules, root, loaded, ranks, load_id="one")
+    assert snapshots.current(spark, f"{root}/{EDGES}") is None  # the ranks were bad, so no edge was added
+    fine = ranks.where("rank_position > 0")
+    for _ in range(2):
+        assert load_delivered(spark, good, settings, rules, root, loaded, fine, load_id="one").domain_edges == 1
+        assert sinks.read_raw(spark, f"{root}/{EDGES}", sinks.RAW_EDGES).count() == 1
+        assert sinks.read_raw(spark, f"{root}/{RANKS}", sinks.RAW_RANKS).count() == 1
+    assert load_delivered(spark, good, settings, rules, root, loaded, fine, load_id="two").domain_ranks == 1
+    assert sinks.read_raw(spark, f"{root}/{EDGES}", sinks.RAW_EDGES).count() == 2
+
+    # Broken off between two commits, then run again: nothing is doubled, nothing is missing.
+    root, whole, left = str(tmp_path / "loose"), snapshots.commit, [3]
+
+    def until(*args):
+        if not left[0]:
+            raise RuntimeError("lost driver")
+        left[0] -= 1
+        return whole(*args)
+
+    monkeypatch.setattr(snapshots, "commit", until)
+    with pytest.raises(RuntimeError, match="lost driver"):
+        load_delivered(spark, edges, settings, rules, root, loaded, ranks, strict=False, load_id="one")
+    monkeypatch.setattr(snapshots, "commit", whole)
+    for _ in range(2):
+        counts = load_delivered(spark, edges, settings, rules, root, loaded, ranks, strict=False, load_id="one")
+        assert (counts.domain_edges, counts.domain_ranks) == (1, 1)
+        assert sinks.read_raw(spark, f"{root}/{EDGES}", sinks.RAW_EDGES).count() == 1
+        assert sinks.read_raw(spark, f"{root}/{RANKS}", sinks.RAW_RANKS).count() == 1
+        for table in (EDGES, RANKS):
+            rejected = sinks.read_raw(spark, f"{root}/{table}_rejected", "failed_rules array<string>, graph_release_id string")
+            assert rejected.count() == 1
+
+
 def test_delivered_records_stop_or_go_to_the_rejected_table(spark, settings, rules, tmp_path, loaded):
     edges = delivered(spark, ("coast.net", "near.io", 2, None), ("intranet", "near.io", -2, None)).drop(
         "graph_release_id"

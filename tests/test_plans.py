@@ -8,8 +8,9 @@ import pytest
 
 from linkharbor.catalog.inputs import COMPANIES, Inputs
 from linkharbor.catalog.queries import QUERIES
-from linkharbor.config import ScoreSettings
+from linkharbor.config import CompanySet, ScoreSettings
 from linkharbor.operators import extract, intermediate, marts, staging
+from linkharbor.plans.extract_release import extract_release
 from linkharbor.session import broadcast_if_small, materialize, shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
@@ -96,6 +97,33 @@ def test_few_buckets_of_the_stored_edges_are_read(spark, tmp_path):
     assert found.count() == extract.edges_to_targets(i.edges, targets).count()
 
 
+def test_an_extraction_prunes_and_counts(spark, tmp_path, monkeypatch):
+    i = Inputs(spark, FOLDER)
+    extract.store_edges(i.edges, str(tmp_path / "stored"))
+    stored = extract.stored_edges(spark, str(tmp_path / "stored"))
+    plans, cut = [], extract.edges_to_targets
+
+    def watched(edges, targets):
+        plans.append(cut(edges, targets))
+        return plans[-1]
+
+    monkeypatch.setattr(extract, "edges_to_targets", watched)
+    few = CompanySet.from_items(
+        [
+            {"company": "One", "role": "target", "segment": "target", "domains": ["brand1.com"]},
+            {"company": "Two", "role": "competitor", "segment": "x", "domains": ["brand2.com"]},
+        ]
+    )
+    for n, edges in enumerate((stored, stored.rows)):
+        found = extract_release(spark, "r", i.named_vertices, edges, i.named_ranks, few, root=str(tmp_path / f"run{n}"))
+        plan = plans[-1]._jdf.queryExecution().executedPlan().toString().replace(" ", "")
+        assert "dynamicpruningexpression(target_bucket" in plan
+        assert "CollectMetrics" not in plan
+        read = stored.rows.where(f"{extract.BUCKET} in (select int({extract.bucket_of('x')}) from values (1L), (2L) t(x))").count()
+        assert found.scanned_edges == read < i.edges.count()
+        assert found.counts()["filtered_edges"] == i.edges.where("target_node_id in (1, 2)").count()
+
+
 def test_delivered_links_merge_as_numbers_first(spark, plan_of):
     plan = plan_of(QUERIES["build_domain_edges"](spark, FOLDER))
     lowest = [line for line in plan.split("\n") if "Aggregate(" in line][-1]
