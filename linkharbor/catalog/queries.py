@@ -648,10 +648,10 @@ def _(i: Inputs) -> DataFrame:
     return load.load_domain_ranks(i.rank_text, i.loaded_at)
 
 
-def _delivered(i: Inputs) -> str:
-    """Both releases loaded one after the other, the evidence of the crawl with the first."""
+def _delivered(i: Inputs, evidence: bool = False) -> str:
+    """Both releases loaded one after the other, or the first with the evidence of the crawl."""
     root = new_run_folder(i.spark, "raw-delivered")
-    for release in RELEASES:
+    for release in RELEASES[:1] if evidence else RELEASES:
         of_release = F.col("graph_release_id") == release
         load_delivered(
             i.spark,
@@ -661,8 +661,9 @@ def _delivered(i: Inputs) -> str:
             root,
             i.loaded_at,
             domain_ranks=i.delivered_ranks.filter(of_release),
-            link_evidence=i.delivered_evidence if release == RELEASES[0] else None,
+            link_evidence=i.delivered_evidence if evidence else None,
             strict=False,
+            load_id=f"delivery-{release}",
         )
     return root
 
@@ -684,19 +685,24 @@ def _(i: Inputs) -> DataFrame:
     return sinks.read_raw(i.spark, f"{_delivered(i)}/{RANKS}", sinks.RAW_RANKS)
 
 
+def _blank_is_null(column: str) -> str:
+    return f"nullif(trim({column}, {WS}), '') as {column}"
+
+
 @query(
     "load_raw_evidence",
     f"""
-select crawl_id, {_url('source_url')} as source_url, lower(source_host) as source_host, target_url, target_domain, target_company,
-       nullif(trim(anchor_text, {WS}), '') as anchor_text, http_status, {LOADED} as extracted_at
+select wat_file_path, {_blank_is_null('warc_record_id')}, {_url('source_url')} as source_url, lower(source_domain) as source_domain,
+       lower(source_host) as source_host, target_url, target_domain, target_company, {_blank_is_null('anchor_text')},
+       {_blank_is_null('rel')},
+       ifnull(is_nofollow, false) or list_contains(string_split(translate(lower(ifnull(rel, '')), {WS}, repeat(' ', 29)), ' '), 'nofollow')
+         as is_nofollow,
+       {_blank_is_null('page_title')}, {_blank_is_null('page_language')}, http_status, {_blank_is_null('content_type')},
+       {LOADED} as extracted_at, crawl_id
 from fx_delivered_wat where page_language not in ('es', 'de') and http_status <> 99""",
 )
 def _(i: Inputs) -> DataFrame:
-    rows = sinks.read_raw(i.spark, f"{_delivered(i)}/{EVIDENCE}", sinks.RAW_EVIDENCE)
-    return rows.select(
-        "crawl_id", "source_url", "source_host", "target_url", "target_domain", "target_company", "anchor_text",
-        "http_status", "extracted_at",
-    )
+    return sinks.read_raw(i.spark, f"{_delivered(i, evidence=True)}/{EVIDENCE}", sinks.RAW_EVIDENCE)
 
 
 # --- G. staging ----------------------------------------------------------------------------------
@@ -746,7 +752,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 def _matrix(i: Inputs) -> DataFrame:
-    return intermediate.company_matrix(materialize(_links(i), "links"), i.companies, i.score)
+    return intermediate.company_matrix(_links(i), i.companies, i.score)
 
 
 @query("int_matrix", "select * from matrix")

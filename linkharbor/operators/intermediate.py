@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkharbor.config import Company, CompanySet, ScoreSettings, any_word, slug, sql_list, sql_text
 from linkharbor.functions.ranks import best_bucket, bucket_name, bucket_order
 from linkharbor.operators.staging import evidence_text
+from linkharbor.session import materialize
 
 LINK_GRAIN = ("graph_release_id", "source_domain")
 
@@ -90,7 +91,7 @@ def source_rows(links: DataFrame, companies: CompanySet) -> DataFrame:
     """One row per release and linking domain, with numbers only: matrix, overlap and summary read it.
 
     Per configured company: links in its segment (n_), in any (a_), whether one has high authority (h_)
-    and their weight (w_). Numbers stay in the generated hash aggregate, and a group merges map-side.
+    and their weight (w_); x_links counts the links to all others. Numbers stay in the generated hash aggregate, and a group merges map-side.
     """
     aggregates = []
     for c in companies.companies:
@@ -102,6 +103,7 @@ def source_rows(links: DataFrame, companies: CompanySet) -> DataFrame:
             f"sum(if({is_it}, total_edge_weight, null)) as w_{name}",
         ]
     aggregates += [
+        f"count_if(not {_configured(companies)}) as x_links",
         "sum(total_edge_weight) as total_edge_weight",
         f"{best_bucket('source_domain_rank_bucket')} as best_rank_bucket",
         "bool_or(source_high_authority_flag) as source_high_authority_flag",
@@ -115,7 +117,8 @@ def source_rows(links: DataFrame, companies: CompanySet) -> DataFrame:
 def strangers(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
     """Per release and linking domain, its links to companies that are not, or no longer, configured.
 
-    None when edges were loaded with the same configuration. Only these links gather names.
+    None when edges were loaded with the same configuration. Only these links gather names. Read the
+    links again for them only where `source_rows` has counted any: see `has_strangers`.
     """
     rival = f"target_company <> {sql_text(companies.target.company)}"
     aggregates = [
@@ -130,8 +133,13 @@ def strangers(links: DataFrame, companies: CompanySet, score: ScoreSettings) ->
     return others.groupBy(*LINK_GRAIN).agg(*[F.expr(a) for a in aggregates])
 
 
-def matrix_from(sources: DataFrame, others: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
-    """The matrix from `source_rows` and `strangers` of the same links.
+def has_strangers(sources: DataFrame) -> bool:
+    """Whether written `source_rows` count links to companies that are not configured."""
+    return not sources.where("x_links > 0").isEmpty()
+
+
+def matrix_from(sources: DataFrame, others: DataFrame | None, companies: CompanySet, score: ScoreSettings) -> DataFrame:
+    """The matrix from `source_rows` and `strangers` of the same links; None where there are no strangers.
 
     The link columns come from the configured companies, so the schema is known before the data. A
     company is listed as often as it is linked, whether it is configured or not.
@@ -156,9 +164,14 @@ def matrix_from(sources: DataFrame, others: DataFrame, companies: CompanySet, sc
     if not segments:
         found = "coalesce(x_segments, array())"
     values["competitor_segments"] = f"nullif(array_join(array_sort({found}), ', '), '')"
-    here, there = sources.alias("s"), others.alias("x")
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"x.{c}")) for c in LINK_GRAIN]
-    return here.join(there, same, "left").selectExpr(
+    if others is None:
+        none = {"x_names": "cast(array() as array<string>)", "x_segments": "cast(array() as array<string>)"}
+        none |= {name: "0L" for name in ("x_count", *[f"x_{name}" for _, name in score.segment_columns])}
+        joined = sources.withColumns({name: F.expr(value) for name, value in none.items()}).alias("s")
+    else:
+        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"x.{c}")) for c in LINK_GRAIN]
+        joined = sources.alias("s").join(others.alias("x"), same, "left")
+    return joined.selectExpr(
         *[f"s.{c}" for c in LINK_GRAIN],
         *[f"a_{slug(c.company)} > 0 as {companies.link_column(c.company)}" for c in companies.companies],
         *[f"{value} as {name}" for name, value in values.items()],
@@ -172,8 +185,10 @@ def matrix_from(sources: DataFrame, others: DataFrame, companies: CompanySet, sc
 
 
 def company_matrix(links: DataFrame, companies: CompanySet, score: ScoreSettings) -> DataFrame:
-    """One row per release and linking domain. `links` is read twice: give it a written table."""
-    return matrix_from(source_rows(links, companies), strangers(links, companies, score), companies, score)
+    """One row per release and linking domain. The rows of numbers are written; links are read again only for strangers."""
+    sources = materialize(source_rows(links, companies), "source-rows")
+    others = strangers(links, companies, score) if has_strangers(sources) else None
+    return matrix_from(sources, others, companies, score)
 
 
 def overlap_from(sources: DataFrame, companies: CompanySet) -> DataFrame:

@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from linkharbor.operators import intermediate, marts, quality, staging
+from linkharbor.operators import intermediate, marts, quality, sinks, staging
 from linkharbor.plans.build_marts import (
     opportunities_plan,
     quality_report,
+    raw_marks,
     read_mart,
     read_marts,
     staged_tables,
@@ -361,6 +362,50 @@ def test_opportunities_written_and_lazy_agree(
     }
 
 
+def test_only_changed_releases_are_built(spark, raw_edges, raw_ranks, no_evidence, settings, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "marts")
+    paths = [f"{raw}/edges", f"{raw}/ranks", f"{raw}/evidence"]
+    for release in ("r1", "r2"):
+        sinks.append_raw(raw_edges.withColumn("graph_release_id", F.lit(release)), paths[0])
+        sinks.append_raw(raw_ranks.withColumn("graph_release_id", F.lit(release)), paths[1])
+    sinks.append_raw(no_evidence, paths[2], sinks.CRAWL)
+
+    def build():
+        tables = [sinks.read_raw(spark, p, s) for p, s in zip(paths, (sinks.RAW_EDGES, sinks.RAW_RANKS, sinks.RAW_EVIDENCE))]
+        staged = staged_tables(settings.companies.frame(spark), *tables)
+        return write_marts(spark, staged, settings, root, raw_marks(spark, paths, settings))
+
+    def files(release):
+        found = {}
+        for name in ("fct_backlinks", "fct_backlink_opportunities", "mart_company_backlink_summary"):
+            df = read_mart(spark, root, name).where(F.col("graph_release_id") == release)
+            found[name] = {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+        return found
+
+    first = build()
+    assert first["fct_backlinks"] > 0 and build() == {}  # nothing has changed
+    before = files("r1"), files("r2")
+    weights = {r: t.where(F.col("graph_release_id") == r).agg(F.sum("total_edge_weight")).first()[0]
+               for t in [read_mart(spark, root, "fct_backlinks")] for r in ("r1", "r2")}
+    heavier = raw_edges.withColumn("graph_release_id", F.lit("r2")).withColumn(
+        "edge_weight", F.coalesce("edge_weight", F.lit(1)) * 3
+    )
+    sinks.replace_release(heavier, paths[0], "r2")
+    second = build()
+    assert second["fct_backlinks"] * 2 == first["fct_backlinks"]
+    assert files("r1") == before[0]
+    assert all(not (files("r2")[n] & before[1][n]) for n in before[1])
+    facts = read_mart(spark, root, "fct_backlinks")
+    assert facts.count() == first["fct_backlinks"]
+    now = {r["graph_release_id"]: r["w"] for r in facts.groupBy("graph_release_id").agg(F.sum("total_edge_weight").alias("w")).collect()}
+    assert now == {"r1": weights["r1"], "r2": 3 * weights["r2"]}
+    # a release that is emptied goes from the marts
+    sinks.replace_release(heavier.limit(0), paths[0], "r2")
+    sinks.replace_release(raw_ranks.limit(0), paths[1], "r2")
+    build()
+    assert {r[0] for r in read_mart(spark, root, "fct_backlinks").select("graph_release_id").distinct().collect()} == {"r1"}
+
+
 def test_single_checks(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, 2), (None, 2)], "k string, v int")
     parent = spark.createDataFrame([("a",)], "id string")
