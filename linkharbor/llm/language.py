@@ -19,16 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from linkharbor.llm.common import batch_of, remainder, small_batches, staged, texts_of
+from linkharbor.session import broadcast_if_small
 
 UNKNOWN = "und"
 FEATURES = 1 << 16
 # The weights are fitted on at most this many rows of each language, chosen by a hash of their id.
 SAMPLE_PER_LANGUAGE = 1000
-# A column with more labels than fit into so many rows is not one of languages.
+# In all at most this many rows: where there are so many languages, fewer of each. A column with more
+# labels than that is not one of languages.
 MOST_SAMPLED = 200_000
+# So many times the rows wanted are drawn by a threshold on the hash before any are ranked.
+SPARE = 1.5
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.1
-# Characters that are counted at a time; a longer text is counted in parts that overlap by an n-gram.
+# Characters that are counted at a time.
 PART = 1 << 20
 
 _has_letter = re.compile(r"[^\W\d_]").search
@@ -50,25 +54,30 @@ def _letter_table() -> np.ndarray:
 _LETTERS: list[np.ndarray] = []
 
 
-def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, counts) of the hashed n-grams of a whole text, blanks squeezed."""
+def ngram_counts(text: str, part: int = PART) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, counts) of the hashed n-grams of a whole text, blanks squeezed.
+
+    A long text is counted in parts; each goes on from the last two characters of the one before, and
+    counts the n-grams that end in it, so that the parts add up to the whole.
+    """
     if not _LETTERS:
         _LETTERS.append(_letter_table())
-    total = None
-    for at in range(0, max(len(text), 1), PART):
-        part = text[max(at - 2, 0) : at + PART]
-        codes = np.frombuffer(f" {part} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    total, last = np.zeros(FEATURES, np.int64), np.empty(0, np.uint64)
+    for at in range(0, max(len(text), 1), part):
+        piece = (" " if not at else "") + text[at : at + part] + (" " if at + part >= len(text) else "")
+        codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4")
         codes = np.where(codes < 1 << 16, _LETTERS[0][np.minimum(codes, (1 << 16) - 1)], codes)
         kept = np.ones(len(codes), dtype=bool)
         kept[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
-        c = codes[kept].astype(np.uint64)
+        kept[0] = codes[0] != 32 or not len(last) or last[-1] != 32
+        c = np.concatenate([last, codes[kept].astype(np.uint64)])
         grams = [c]
         for _ in range(2):
-            last = grams[-1]
-            grams.append(last[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[len(c) - len(last) + 1 :])
-        hashed = np.concatenate([_mix(g + np.uint64(n)) for n, g in enumerate(grams)])
-        found = np.bincount((hashed >> np.uint64(48)).astype(np.int64), minlength=FEATURES)
-        total = found if total is None else total + found
+            shorter = grams[-1]
+            grams.append(shorter[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[len(c) - len(shorter) + 1 :])
+        hashed = np.concatenate([_mix(g[max(len(last) - n, 0) :] + np.uint64(n)) for n, g in enumerate(grams)])
+        total += np.bincount((hashed >> np.uint64(48)).astype(np.int64), minlength=FEATURES)
+        last = c[-2:]
     buckets = np.flatnonzero(total)
     return buckets, total[buckets]
 
@@ -125,11 +134,17 @@ def learn(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("text is not null and lang is not null")
     idf = _document_frequencies(rows.select("id", "text"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), F.col("id"))
-    chosen = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_SAMPLED + 1).collect()}
+    if len(counts) > MOST_SAMPLED:
+        raise ValueError(f"more than {MOST_SAMPLED} labels: is {lang_col!r} a column of languages?")
+    wanted = min(per_language, MOST_SAMPLED // max(len(counts), 1))
+    # Few rows of any language pass its threshold, whatever the number of rows or tasks, and are then ranked.
+    bounds = [(g, int(2**64 * min(1.0, (SPARE * wanted + 100) / n)) - 2**63) for g, n in counts.items()]
+    bounds = rows.sparkSession.createDataFrame([(g, min(b, 2**63 - 1)) for g, b in bounds], "lang string, bound long")
+    drawn = rows.select("id", "lang").withColumn("draw", F.xxhash64("id")).join(broadcast_if_small(bounds), "lang")
+    order = W.partitionBy("lang").orderBy("draw", "id")
+    chosen = drawn.where("draw <= bound").withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted)
     chosen = staged(chosen.select("id").distinct(), "language-sample")
-    if chosen.count() > MOST_SAMPLED:
-        raise ValueError(f"more than {MOST_SAMPLED} rows to fit on: is {lang_col!r} a column of languages?")
     sample = rows.join(F.broadcast(chosen), "id").select("id", "text", "lang")
 
     def run(batches):
@@ -229,7 +244,10 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(df: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose language is known with at least this score; no shuffle."""
+    """The rows, with all their columns, whatever their names, whose language is known with at least this score.
+
+    No shuffle. Null and empty texts go; ids are not looked at, and repeated rows stay or go together.
+    """
 
     def run(batches):
         for batch in batches:

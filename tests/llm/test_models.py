@@ -60,6 +60,57 @@ def test_a_long_text_counts_the_same_in_parts(monkeypatch):
     assert near <= 12 * (len(text) / 997)  # the part borders count a few n-grams more
 
 
+def test_parts_of_a_long_text_add_up_to_the_whole():
+    for text in (prose(3, 4000, "abcdé") + " 日本 x", "  a  b\n\n", "", "x", "?!", "ab" * 30 + "   " * 20 + "𝔞b"):
+        whole = language.ngram_counts(text, 1 << 30)
+        for part in (1, 2, 3, 7, 997):
+            if part < 900 and len(text) > 5000:
+                continue
+            found = language.ngram_counts(text, part)
+            assert np.array_equal(found[0], whole[0]) and np.array_equal(found[1], whole[1])
+
+
+def test_a_plain_follow_the_regularised_leader():
+    """Ten features and two classes, row by row and weight by weight."""
+    make = np.random.default_rng(4)
+    idf = np.zeros(language.FEATURES)
+    idf[:10] = make.uniform(0.5, 2, 10)
+    rows = []
+    for i in range(60):
+        buckets = np.sort(make.choice(10, 4, replace=False))
+        rows.append(("ab"[int(buckets[0] > 1)], False, buckets, make.integers(1, 5, 4)))
+    model = language.fit(rows, idf)
+    z, n, zb, nb = [[0.0, 0.0] for _ in range(10)], [[0.0, 0.0] for _ in range(10)], [0.0, 0.0], [0.0, 0.0]
+
+    def weight(z, n, l1):
+        size = abs(z) - l1
+        return 0.0 if size <= 0 else -(size if z > 0 else -size) / ((language.BETA + n**0.5) / language.ALPHA + language.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(language.EPOCHS):
+        for i in order.permutation(60):
+            label, _, buckets, counts = rows[i]
+            x = [float(np.log1p(c) * idf[b]) for b, c in zip(buckets, counts)]
+            length = sum(v * v for v in x) ** 0.5
+            x = [v / length for v in x]
+            logit = [sum(v * weight(z[b][k], n[b][k], language.L1) for b, v in zip(buckets, x)) + weight(zb[k], nb[k], 0) for k in (0, 1)]
+            top = [np.exp(v - max(logit)) for v in logit]
+            for k in (0, 1):
+                error = top[k] / sum(top) - (label == "ab"[k])
+                for table_z, table_n, v, l1 in [(z[b], n[b], v, language.L1) for b, v in zip(buckets, x)] + [(zb, nb, 1.0, 0)]:
+                    g = v * error
+                    table_z[k] += g - ((table_n[k] + g * g) ** 0.5 - table_n[k] ** 0.5) / language.ALPHA * weight(table_z[k], table_n[k], l1)
+                    table_n[k] += g * g
+    want = [[weight(z[b][k], n[b][k], language.L1) for k in (0, 1)] for b in range(10)]
+    assert np.allclose(model.weights[:10], want, atol=1e-6) and np.any(model.weights)
+    assert np.allclose(model.bias, [weight(zb[k], nb[k], 0) for k in (0, 1)])
+
+
+def test_the_sample_is_of_every_language(spark):
+    df = frame(spark, [(i, f"text {i}", "aa" if i % 50 else "bb") for i in range(4000)] + [(None, "no id", "cc")])
+    assert language.learn(df, per_language=100).languages == ("aa", "bb")  # a row is drawn by its id
+
+
 def test_identified_rows_keep_their_columns(spark):
     df = frame(spark, corpus())
     kept = language.keep_identified(df, language.learn(df), 0.4)
@@ -121,6 +172,52 @@ def test_every_run_of_signs_that_touches_a_letter_is_folded():
     assert lexicon.raw(toxicity.fold("you ID10T"), lexicon.automaton()) > 0
 
 
+def test_other_disguises_are_folded():
+    told = {
+        "sh!t": "shit", "8itch": "bitch", "ıdiot": "idiot", "i\u0336d\u0336iot": "idiot", "𝓲𝓭𝓲𝓸𝓽": "idiot", "id\u200biot": "idiot", "i.d.i.o.t": "idiot",
+        "ｉｄｉｏｔ": "idiot", "іdіоt": "idiot", "İDIOT": "idiot", "win10": "win10 winio", "covid19": "covid19", "u.s.a": "u.s.a", "wow!": "wow!",
+    }
+    for text, plain in told.items():
+        assert toxicity.fold(f"a {text} b") == f"a {plain} b", text
+
+
+def by_every_place(text, lexicon):
+    """Weight per thousand words, each pattern tried at each place of the folded text."""
+    folded, total = toxicity.fold(text), 0.0
+    for pattern, weight in [*lexicon.terms.items(), *lexicon.exceptions.items()]:
+        for at in range(len(folded)):
+            if not folded.startswith(pattern, at) or (at and folded[at - 1].isalpha()):
+                continue
+            after = folded[at + len(pattern) : at + len(pattern) + 1]
+            if after.isalpha() and (weight < 0 or len(pattern) < toxicity.SHORTEST):
+                continue
+            total += weight
+    return np.log1p(1000 * max(total, 0.0) / (folded.count(" ") + 50))
+
+
+def test_every_term_at_every_place():
+    make = np.random.default_rng(8)
+    lexicon = toxicity.Lexicon({"clow": 4.0, "clown": 1.5, "ass": 3.0, "idio": 5.0}, {"clown fish": -5.5, "ass mule": -3.0})
+    machine = lexicon.automaton()
+    pieces = ["clown", "clowns", "cl0wn", "ass", "assess", "bass", "@ss", "idiot", "i.d.i.o.t", "fish", "fishes", "mule", "x", "id10t", "Clown fish"]
+    for _ in range(300):
+        text = "".join(p + make.choice([" ", ", ", "", ".\n"]) for p in make.choice(pieces, make.integers(0, 12)))
+        assert abs(lexicon.raw(toxicity.fold(text), machine) - by_every_place(text, lexicon)) < 1e-9, text
+
+
+def test_accents_are_another_reading():
+    lexicon = toxicity.Lexicon({"idio": 3.0, "été": 2.0}, {})
+    one = lexicon.raw("idiot", lexicon.automaton())
+    assert lexicon.raw(toxicity.fold("ÍDÏOT"), lexicon.automaton()) == lexicon.raw("idioté", lexicon.automaton()) == one
+    assert lexicon.raw("ete", lexicon.automaton()) == 0 < lexicon.raw("été", lexicon.automaton())
+
+
+def test_short_words_count_as_whole_words():
+    assert toxicity._beginnings({"ass", "oxen", "a"}) == {"ass", "oxen"}
+    lexicon = toxicity.Lexicon({"ass": 3.0}, {})
+    assert lexicon.raw("an ass.", lexicon.automaton()) > 0 == lexicon.raw("assess a bass", lexicon.automaton())
+
+
 def test_exceptions_take_the_weight_back():
     lexicon = toxicity.Lexicon({"clown": 5.0}, {"clown fish": -5.0}, 4.0, -6.0)
     machine = lexicon.automaton()
