@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from linkharbor.llm.shingles import WordHashes, mixed
 
 # The lexicon is learned from at most this many labelled rows of each class, chosen by a hash of their id.
 SAMPLE_PER_CLASS = 10_000
-SHORTEST, LONGEST = 4, 12  # letters of a word beginning
+SHORTEST, LONGEST = 4, 12  # letters of a word beginning; shorter words are terms as a whole
 MIN_SHARE = 0.004  # of the toxic training rows that a beginning must occur in
 LEAST_ODDS = 3.0  # log odds of a lexicon term, at least
 COPY = 0.8  # Jaccard similarity of the shingles of a training row and its copy
@@ -33,14 +34,20 @@ CHANCE = 0.01  # expected number of beginnings that pass by chance
 THRESHOLD = 0.7
 _BIN = 0.05
 
-# Letters that look like Latin ones, and digits and signs read as letters.
-_LOOKALIKES = dict(zip("аеорсухіѕјԁһкмтвнαορντικυ", "aeopcyxisjdhkmtbhaopvtiku"))
+# Letters that look like Latin ones beyond what Unicode says of them, and digits and signs read as letters.
+_LOOKALIKES = dict(zip("аеорсухіѕјԁһкмтвнαορντικυıɑɡⅼᴀᴇɪᴏᴜʟɴʀᴛ", "aeopcyxisjdhkmtbhaopvtikuiaglaeioulnrt"))
 _LEET = dict(zip("013457@$", "oieastas"))
-_TABLE = str.maketrans(_LOOKALIKES | {chr(0xFF41 + i): chr(97 + i) for i in range(26)})
-_foreign = re.compile("[Ͱ-ԯａ-ｚ]").search
+_TABLE = str.maketrans(_LOOKALIKES)
+_foreign = re.compile("[ıɐ-ʯͰ-ԯᴀ-ᶿⅰ-ⅿ]").search
+_hidden = re.compile("[\u00ad\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u200b-\u200f\u2060-\u2064\u20d0-\u20ff\ufe00-\ufe0f\ufeff]+")
 _SIGNS = str.maketrans(_LEET)
+_spelled = re.compile(r"(?<![^\W_])[a-z](?:([.\-_*])[a-z])(?:\1[a-z]){2,}(?![^\W_])")  # four letters or more, one by one
+_numbered = re.compile(r"(?<![^\W_])([a-z]+)(\d{2,})(?![^\W_])")
 _leet = re.compile(r"(?<=[a-zà-ž])[013457@$]+|[013457@$]+(?=[a-zà-ž])")  # each run that touches a letter
+_bang = re.compile(r"(?<=[a-z])!(?=[a-z])")
+_eight = re.compile(r"(?<![^\W_])8(?=[a-z])")
 _words = re.compile(r"[^\W\d_]+").findall
+_accented = re.compile("[a-zà-ž]*[à-ž][a-zà-ž]*").findall
 
 _DF = pa.schema([("prefix", pa.string()), ("df", pa.int64())])
 _NEAR = pa.schema([("phrase", pa.string()), ("term", pa.string()), ("toxic", pa.int64()), ("harmless", pa.int64())])
@@ -49,14 +56,33 @@ _RAW = pa.schema([("doc_id", pa.int64()), ("x", pa.float64())])
 
 
 def fold(text: str) -> str:
-    text = text.lower()
-    if _foreign(text):
-        text = text.translate(_TABLE)
-    return _leet.sub(lambda m: m.group().translate(_SIGNS), text)
+    """Lower case without hidden characters, and with disguised letters as plain ones.
+
+    A word with a number of two or more digits at its end is kept, beside its other reading if it has one.
+    """
+    if text.isascii():
+        text = text.lower()
+    else:
+        text = _hidden.sub("", unicodedata.normalize("NFKC", text).lower())
+        if _foreign(text):
+            text = text.translate(_TABLE)
+    text = _spelled.sub(lambda m: m.group().replace(m[1], ""), text)
+    kept: list[str] = []
+
+    def number(m: re.Match) -> str:
+        read = m[2].translate(_SIGNS)
+        kept.append(f"{m.group()} {m[1]}{read}" if read.isalpha() else m.group())
+        return "\0"
+
+    text = _numbered.sub(number, text)
+    text = _leet.sub(lambda m: m.group().translate(_SIGNS), _bang.sub("i", _eight.sub("b", text)))
+    return re.sub("\0", lambda _: kept.pop(0), text) if kept else text
 
 
 def _beginnings(words: set[str]) -> set[str]:
-    return {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    """Beginnings of words; a word shorter than those counts as a whole."""
+    short = {w for w in words if 1 < len(w) < SHORTEST}
+    return short | {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
 
 
 @dataclass(frozen=True)
@@ -87,9 +113,16 @@ class Lexicon:
             start = end - length + 1
             if start and folded[start - 1].isalpha():
                 continue
-            if weight < 0 and end + 1 < len(folded) and folded[end + 1].isalpha():
-                continue  # an exception phrase ends with a whole word
+            if (weight < 0 or length < SHORTEST) and end + 1 < len(folded) and folded[end + 1].isalpha():
+                continue  # an exception phrase ends with a whole word, a short term is one
             total += weight
+        for word in _accented(folded):
+            # Accents tell words apart, so they are kept; terms that appear without them count as well.
+            plain = "".join(unicodedata.normalize("NFD", c)[0] for c in word)
+            for end, (length, weight) in automaton.iter(plain):
+                whole = length >= SHORTEST or length == len(plain)
+                if end + 1 == length and weight > 0 and whole and word[:length] != plain[:length]:
+                    total += weight
         return math.log1p(1000 * max(total, 0.0) / (folded.count(" ") + 50))
 
     def probability(self, x):
@@ -217,7 +250,7 @@ def choose_terms(hits: dict[str, int], misses: dict[str, int], toxic_rows: int,
     longer = Counter()
     for prefix in passed:
         longer[prefix[:-1]] = max(longer[prefix[:-1]], hits[prefix])
-    closed = {p: w for p, w in passed.items() if longer[p] < 0.95 * hits[p]}
+    closed = {p: w for p, w in passed.items() if len(p) < SHORTEST or longer[p] < 0.95 * hits[p]}
     return {p: w for p, w in closed.items() if not any(p[:n] in closed for n in range(SHORTEST, len(p)))}
 
 
@@ -230,7 +263,7 @@ def _exceptions(train: DataFrame, terms: dict[str, float]) -> dict[str, float]:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 words, phrases = _words(fold(text)), set()
                 for i, word in enumerate(words):
-                    term = next((word[:n] for n in range(SHORTEST, len(word) + 1) if word[:n] in terms), None)
+                    term = next((word[:n] for n in (len(word), *range(SHORTEST, len(word))) if word[:n] in terms), None)
                     if term and i:
                         phrases.add((f"{words[i - 1]} {word}", term))
                     if term and i + 1 < len(words):
