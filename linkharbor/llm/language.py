@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from linkharbor.llm.common import batch_of, remainder, small_batches, staged, texts_of
-from linkharbor.session import broadcast_if_small
 
 UNKNOWN = "und"
 FEATURES = 1 << 16
@@ -139,9 +138,10 @@ def learn(
         raise ValueError(f"more than {MOST_SAMPLED} labels: is {lang_col!r} a column of languages?")
     wanted = min(per_language, MOST_SAMPLED // max(len(counts), 1))
     # Few rows of any language pass its threshold, whatever the number of rows or tasks, and are then ranked.
+    # The thresholds are as many as the labels, MOST_SAMPLED at most.
     bounds = [(g, int(2**64 * min(1.0, (SPARE * wanted + 100) / n)) - 2**63) for g, n in counts.items()]
     bounds = rows.sparkSession.createDataFrame([(g, min(b, 2**63 - 1)) for g, b in bounds], "lang string, bound long")
-    drawn = rows.select("id", "lang").withColumn("draw", F.xxhash64("id")).join(broadcast_if_small(bounds), "lang")
+    drawn = rows.select("id", "lang").withColumn("draw", F.xxhash64("id")).join(F.broadcast(bounds), "lang")
     order = W.partitionBy("lang").orderBy("draw", "id")
     chosen = drawn.where("draw <= bound").withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted)
     chosen = staged(chosen.select("id").distinct(), "language-sample")

@@ -25,7 +25,6 @@ from linkharbor.llm import (
     toxicity,
 )
 from linkharbor.llm.common import remainder
-from linkharbor.session import broadcast_if_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,7 +106,8 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
         [(s.source, s.size, s.target) for s in mixed.sources], "source string, source_size long, target double"
     )
     taken = mixed.documents.withColumn("own", F.col("sources")[0])
-    return taken.join(broadcast_if_small(sources), F.expr("own <=> source")).select(
+    # As many rows as the recipe has sources.
+    return taken.join(F.broadcast(sources), F.expr("own <=> source")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 

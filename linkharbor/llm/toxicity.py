@@ -43,11 +43,15 @@ _hidden = re.compile("[\u00ad\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u200b-\u200
 _SIGNS = str.maketrans(_LEET)
 _spelled = re.compile(r"(?<![^\W_])[a-z](?:([.\-_*])[a-z])(?:\1[a-z]){2,}(?![^\W_])")  # four letters or more, one by one
 _numbered = re.compile(r"(?<![^\W_])([a-z]+)(\d{2,})(?![^\W_])")
+# Most texts have nothing to fold, which these tell at a fraction of the cost.
+_may_be_spelled = re.compile(r"[.\-_*][a-z][.\-_*]").search
+_sign = re.compile(r"[0-9@$!]").search
 _leet = re.compile(r"(?<=[a-zà-ž])[013457@$]+|[013457@$]+(?=[a-zà-ž])")  # each run that touches a letter
 _bang = re.compile(r"(?<=[a-z])!(?=[a-z])")
 _eight = re.compile(r"(?<![^\W_])8(?=[a-z])")
 _words = re.compile(r"[^\W\d_]+").findall
-_accented = re.compile("[a-zà-ž]*[à-ž][a-zà-ž]*").findall
+_ACCENTED = range(ord("à"), ord("ž") + 1)
+_PLAIN = np.array([ord(unicodedata.normalize("NFD", chr(cp))[0]) for cp in _ACCENTED], dtype="<u4")
 
 _DF = pa.schema([("prefix", pa.string()), ("df", pa.int64())])
 _NEAR = pa.schema([("phrase", pa.string()), ("term", pa.string()), ("toxic", pa.int64()), ("harmless", pa.int64())])
@@ -66,7 +70,10 @@ def fold(text: str) -> str:
         text = _hidden.sub("", unicodedata.normalize("NFKC", text).lower())
         if _foreign(text):
             text = text.translate(_TABLE)
-    text = _spelled.sub(lambda m: m.group().replace(m[1], ""), text)
+    if _may_be_spelled(text):
+        text = _spelled.sub(lambda m: m.group().replace(m[1], ""), text)
+    if not _sign(text):
+        return text
     kept: list[str] = []
 
     def number(m: re.Match) -> str:
@@ -79,6 +86,14 @@ def fold(text: str) -> str:
     return re.sub("\0", lambda _: kept.pop(0), text) if kept else text
 
 
+def without_accents(text: str) -> str:
+    """Latin letters without their accents, place by place."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").copy()
+    accented = (codes >= _ACCENTED.start) & (codes < _ACCENTED.stop)
+    codes[accented] = _PLAIN[codes[accented] - _ACCENTED.start]
+    return codes.tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def _beginnings(words: set[str]) -> set[str]:
     """Beginnings of words; a word shorter than those counts as a whole."""
     short = {w for w in words if 1 < len(w) < SHORTEST}
@@ -108,22 +123,26 @@ class Lexicon:
         """log(1 + weight per thousand words), never below 0."""
         if not len(automaton) or not folded:
             return 0.0
+        total = self._weight(folded, automaton)
+        if not folded.isascii():
+            # Accents tell words apart, so they are kept; terms that appear without them count as well.
+            total += self._weight(without_accents(folded), automaton, folded)
+        return math.log1p(1000 * max(total, 0.0) / (folded.count(" ") + 50))
+
+    @staticmethod
+    def _weight(folded: str, automaton, seen: str | None = None) -> float:
+        """Sum of the weights of all matches; given another reading of equal length, of the terms new to it."""
         total = 0.0
         for end, (length, weight) in automaton.iter(folded):
             start = end - length + 1
             if start and folded[start - 1].isalpha():
                 continue
+            if seen is not None and (weight < 0 or seen[start : end + 1] == folded[start : end + 1]):
+                continue
             if (weight < 0 or length < SHORTEST) and end + 1 < len(folded) and folded[end + 1].isalpha():
                 continue  # an exception phrase ends with a whole word, a short term is one
             total += weight
-        for word in _accented(folded):
-            # Accents tell words apart, so they are kept; terms that appear without them count as well.
-            plain = "".join(unicodedata.normalize("NFD", c)[0] for c in word)
-            for end, (length, weight) in automaton.iter(plain):
-                whole = length >= SHORTEST or length == len(plain)
-                if end + 1 == length and weight > 0 and whole and word[:length] != plain[:length]:
-                    total += weight
-        return math.log1p(1000 * max(total, 0.0) / (folded.count(" ") + 50))
+        return total
 
     def probability(self, x):
         return 1 / (1 + np.exp(-(self.slope * x + self.intercept)))
