@@ -47,6 +47,58 @@ def test_unknown_and_broken_records_are_told(spark):
     assert found == {1: False, 2: False, 3: False, 4: False, 5: False, 6: True}
 
 
+def known(spark, *records):
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "conv_id long, record string")
+    return [r["known"] for r in chat.turns_of_records(df, "conv_id", "record").dropDuplicates(["conv_id"]).orderBy("conv_id").collect()]
+
+
+def test_fields_of_other_names_and_any_depth_are_ignored(spark):
+    pair = {"prompt": "p", "response": "r"}
+    talk = [{"role": "user", "content": "q", "meta": {"tags": [{"deep": [1, "a", {"x": None}]}], "a, b: c": {}}}]
+    assert known(
+        spark, pair | {"my-id": 1}, pair | {"id": 1}, pair | {"x`y": {"prompt": []}, "": 2}, pair | {"n": [[{"response": 1}]]},
+        {"messages": talk, "source": {"url": "u", "parts": [{"n": 1}]}}, {"turn": 3, "role": "user", "text": "t"},
+    ) == [True] * 6
+
+
+def test_fields_of_two_layouts_or_another_shape_are_unknown(spark):
+    pair, talk = {"prompt": "p", "response": "r"}, [{"role": "user", "content": "q"}]
+    assert known(
+        spark, pair | {"messages": talk}, pair | {"messages": []}, pair | {"input": "x"}, {"prompt": ["p"], "response": "r"},
+        {"messages": {"role": "user", "content": "q"}}, {"messages": [talk]}, {"messages[].role": "user", "messages[].content": "q"},
+    ) == [False] * 7
+
+
+def test_paths_of_a_record_and_of_its_typed_form_have_one_fingerprint(spark):
+    for m in chat.MAPPINGS:
+        record: dict = {"other": [{"x-y": 1}]}
+        for path in m.paths:
+            top, _, below = path.partition("[].")
+            record[top] = [record.get(top, [{}])[0] | {below: "1"}] if below else "1"
+        df = spark.createDataFrame([(1, json.dumps(record))], "conv_id long, record string")
+        mark = df.select(chat.record_fingerprint(df["record"])).first()[0]
+        typed = spark.read.json(df.select("record").rdd.map(lambda r: r[0]))
+        assert mark == m.fingerprint == chat.mapping_of_frame(typed, "conv_id").fingerprint
+
+
+def test_typed_frames_of_other_layouts(spark):
+    rows = [(1, [("human", "q", 1), ("gpt", None, 2)], "x"), (2, [], "x"), (3, None, "x")]
+    df = spark.createDataFrame(rows, "conv_id long, conversations array<struct<`from`: string, value: string, w: int>>, record string")
+    assert sorted(tuple(r) for r in chat.turns_of_rows(df).collect()) == [(1, 0, "user", "q"), (1, 1, "assistant", "")]
+    table = spark.createDataFrame([(1, 0, "user", "a", "p")], "conv_id long, turn long, role string, text string, prompt string")
+    assert [tuple(r) for r in chat.turns_of_rows(table).collect()] == [(1, 0, "user", "a")]
+    both = spark.createDataFrame([(1, "a", "b", "c")], "conv_id long, prompt string, response string, completion string")
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.turns_of_rows(both)
+
+
+def test_a_very_long_text(spark):
+    text = "a<b\\" * 400_000
+    df = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    found = chat.conversation_digests(chat.read_turns(chat.format_turns(chat.turns_of_rows(df)))).first()
+    assert (found["loss_chars"], found["loss_sha256"]) == (len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
 def test_rows_with_nulls_ties_and_more_columns(spark):
     rows = [(1, 0, None, None, "x"), (1, 1, "user", "b", "x"), (1, 1, "user", "a", "x"), (1, None, "assistant", "z", "x"), (None, 2, "assistant", "y", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, ord string")
