@@ -1,8 +1,10 @@
-"""Registered domains under public-suffix rules, by map-side joins with a small rule table.
+"""Registered domains under public-suffix rules, by one map-side join with a small rule table.
 
-One left broadcast join per suffix length looks the last 1, 2, ... labels of a host up; the longest
-rule wins and an exception rule beats a wildcard. No row is exploded, no host is sent anywhere, and
-the broadcast table is the same for every lookup, so Spark builds it once and reuses it.
+The table has a row per top label. It holds the rules below that label, of every length, as a hash
+table: an array of small maps, in which a suffix is found by its checksum. A host meets the row of its
+top label in one broadcast join and looks its last 1, 2, ... labels up there; the longest rule wins and
+an exception rule beats a wildcard. No row is exploded, no host is sent anywhere, and the broadcast
+table is the same for every lookup, so Spark builds it once and reuses it.
 """
 
 from __future__ import annotations
@@ -20,42 +22,61 @@ from linkharbor.functions.hosts import host_or_empty
 from linkharbor.session import MAX_BROADCAST_ROWS, materialize
 
 RULE, WILDCARD, EXCEPTION = 1, 2, 4
+# Rules in one map of the hash table, on average: maps are searched entry by entry.
+MAP_RULES = 2
 
 
 @dataclass(frozen=True)
 class SuffixRules:
-    """Rule table (suffix, labels, kinds) with its size and the kinds found at each length.
+    """Rule table (top, buckets) with the number of rules and the kinds found at each length.
 
-    `kinds` is a bit set per suffix: a rule itself, a wildcard below it, an exception.
+    `buckets` maps suffixes to kinds, a bit set: a rule itself, a wildcard below it, an exception.
     """
 
     table: DataFrame
     rows: int
     kinds_of_length: dict[int, int]
 
-    def of_length(self, labels: int) -> DataFrame:
-        rules = self.table.filter(f"labels = {labels}").select("suffix", "kinds")
-        return F.broadcast(rules) if self.rows <= MAX_BROADCAST_ROWS else rules
+    def lookup(self) -> DataFrame:
+        side = self.table.selectExpr("top as __top", "buckets as __buckets")
+        return F.broadcast(side) if self.rows <= MAX_BROADCAST_ROWS else side
+
+
+def _bucket(suffix: str, buckets: str) -> str:
+    return f"int(crc32(cast({suffix} as binary)) % {buckets})"
+
+
+def _as_buckets(by_top: DataFrame) -> DataFrame:
+    """From rows (top, rules: array<struct<suffix,kinds>>). Runs once a rule list, not once a host."""
+    n = f"int(1 + size(rules) div {MAP_RULES})"
+    return by_top.selectExpr(
+        "top",
+        f"transform(sequence(0, {n} - 1), "
+        f"b -> map_from_entries(filter(rules, r -> {_bucket('r.suffix', n)} = b))) as buckets",
+    )
 
 
 def rules_from_list(spark: SparkSession, rules: Iterable[str]) -> SuffixRules:
+    """A short list as a local relation; the published list is read by `rules_from_file`."""
     kinds: dict[str, int] = {}
     for rule in rules:
         kind = EXCEPTION if rule.startswith("!") else WILDCARD if rule.startswith("*.") else RULE
         suffix = rule.removeprefix("!").removeprefix("*.")
         kinds[suffix] = kinds.get(suffix, 0) | kind
-    rows = [(suffix, len(suffix.split(".")), kind) for suffix, kind in kinds.items()]
-    schema = T.StructType(
-        [
-            T.StructField("suffix", T.StringType()),
-            T.StructField("labels", T.IntegerType()),
-            T.StructField("kinds", T.IntegerType()),
-        ]
-    )
+    by_top: dict[str, list[tuple[str, int]]] = {}
     of_length: dict[int, int] = {}
-    for _, labels, kind in rows:
-        of_length[labels] = of_length.get(labels, 0) | kind
-    return SuffixRules(literal_rows(spark, rows, schema), len(rows), of_length)
+    for suffix, kind in kinds.items():
+        labels = suffix.split(".")
+        by_top.setdefault(labels[-1], []).append((suffix, kind))
+        of_length[len(labels)] = of_length.get(len(labels), 0) | kind
+    schema = T.StructType([T.StructField("top", T.StringType()), T.StructField("listed", T.StringType())])
+    rows = [(top, " ".join(f"{suffix}={kind}" for suffix, kind in found)) for top, found in by_top.items()]
+    listed = literal_rows(spark, rows, schema).selectExpr(
+        "top",
+        "transform(split(listed, ' '), r -> struct(substring_index(r, '=', 1) as suffix, "
+        "int(substring_index(r, '=', -1)) as kinds)) as rules",
+    )
+    return SuffixRules(_as_buckets(listed), len(kinds), of_length)
 
 
 def rules_from_file(spark: SparkSession, path: str) -> SuffixRules:
@@ -82,7 +103,14 @@ def rules_from_file(spark: SparkSession, path: str) -> SuffixRules:
     table = materialize(table.coalesce(1), "suffix-rules")
     facts = table.groupBy("labels").agg(F.expr("bit_or(kinds) as kinds"), F.expr("count(*) as n"))
     lengths = facts.collect()
-    return SuffixRules(table, sum(r["n"] for r in lengths), {r["labels"]: r["kinds"] for r in lengths})
+    by_top = table.groupBy(F.expr("substring_index(suffix, '.', -1) as top")).agg(
+        F.expr("collect_list(struct(suffix, kinds)) as rules")
+    )
+    return SuffixRules(
+        materialize(_as_buckets(by_top).coalesce(1), "suffix-buckets"),
+        sum(r["n"] for r in lengths),
+        {r["labels"]: r["kinds"] for r in lengths},
+    )
 
 
 def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules) -> DataFrame:
@@ -99,19 +127,20 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
     for stop in "。．｡":
         cleaned = f"replace({cleaned}, '{stop}', '.')"
     cleaned = f"get(transform(array({value}), v -> trim(trailing '.' from {cleaned})), 0)"
-    plain = r"^[a-z0-9_-]+(\.[a-z0-9_-]+)*$"
+    plain = r"^[a-z0-9_-]++(?:\.[a-z0-9_-]++)*+$"
     out = df.withColumn(host, F.expr(f"if(rlike({value}, r'{plain}'), {value}, {cleaned})"))
-    lengths, exceptions = ["0", "0"], []
-    for n, found in sorted(rules.kinds_of_length.items()):
+    out = out.join(rules.lookup(), F.expr(f"substring_index({host}, '.', -1) = __top"), "left")
+    found, lengths, exceptions = [], ["0", "0"], []
+    for n, have in sorted(rules.kinds_of_length.items()):
         kinds, tail = f"__{output}_kinds{n}", f"substring_index({host}, '.', -{n})"
-        side = rules.of_length(n).selectExpr("suffix as __suffix", f"kinds as {kinds}")
-        out = out.join(side, F.expr(f"{tail} = __suffix"), "left").drop("__suffix")
-        if found & RULE:
+        found.append(f"try_element_at(get(__buckets, {_bucket(tail, 'size(__buckets)')}), {tail}) as {kinds}")
+        if have & RULE:
             lengths.append(f"if({kinds} & {RULE} <> 0, {n}, 0)")
-        if found & WILDCARD:
+        if have & WILDCARD:
             lengths.append(f"if({kinds} & {WILDCARD} <> 0 and {host} <> {tail}, {n + 1}, 0)")
-        if found & EXCEPTION:
+        if have & EXCEPTION:
             exceptions.append(f"if({kinds} & {EXCEPTION} <> 0, {n - 1}, null)")
+    out = out.selectExpr(*[f"`{c}`" for c in df.columns], host, *found)
     longest = f"coalesce({', '.join([*exceptions, f'greatest({", ".join(lengths)})'])})"
     out = out.select(*df.columns, host, F.expr(longest).alias(length))
     # One label more than the suffix; a host that is the suffix itself has no such label.
@@ -127,8 +156,9 @@ def _with_ascii_form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Hosts occur in both spellings, so every non-ASCII rule is listed in both."""
     for batch in batches:
         yield batch
-        extra = [_to_ascii(r) for r in batch["rule"] if not r.isascii()]
-        yield pd.DataFrame({"rule": [r for r in extra if r]})
+        extra = [r for r in map(_to_ascii, batch["rule"][~batch["rule"].map(str.isascii)]) if r]
+        if extra:  # an empty frame has no type that Arrow could take for text
+            yield pd.DataFrame({"rule": extra})
 
 
 def _to_ascii(rule: str) -> str | None:

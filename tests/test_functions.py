@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+from dataclasses import replace
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -111,6 +112,19 @@ def test_registered_domain(spark, rules):
     assert {r["v"]: r["d"] for r in found} == cases
 
 
+def test_many_rules_below_one_label(spark):
+    names = [f"n{n}.x{n % 7}.zz" for n in range(600)] + [f"x{n}.zz" for n in range(0, 7, 2)] + ["zz", "*.x1.zz", "!n1.x1.zz"]
+    rules = suffixes.rules_from_list(spark, [n for n in names if n != "n1.x1.zz"])
+    cases = {f"a.b.n{n}.x{n % 7}.zz": f"b.n{n}.x{n % 7}.zz" for n in range(600) if n != 1}
+    cases |= {"a.n1.x1.zz": "n1.x1.zz", "c.b.a.new.x1.zz": "a.new.x1.zz", "b.a.new.x2.zz": "new.x2.zz", "a.new.x4.zz": "new.x4.zz"}
+    cases |= {"b.a.new.x3.zz": "x3.zz", "x2.zz": None, "zz": None, "a.yy": None}
+    df = spark.createDataFrame([(v,) for v in cases], "v string")
+    assert {r["v"]: r["d"] for r in suffixes.registered_domain(df, "v", "d", rules).collect()} == cases
+    # A rule list beyond the bound of a broadcast is joined by shuffle.
+    beyond = replace(rules, rows=suffixes.MAX_BROADCAST_ROWS + 1)
+    assert {r["v"]: r["d"] for r in suffixes.registered_domain(df, "v", "d", beyond).collect()} == cases
+
+
 def test_rules_from_file_reads_the_icann_part(spark, tmp_path):
     path = write_lines(
         tmp_path / "list.dat",

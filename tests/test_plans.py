@@ -6,12 +6,16 @@ import re
 
 import pytest
 
+from conftest import write_lines
 from linkharbor.catalog.inputs import COMPANIES, Inputs
 from linkharbor.catalog.queries import QUERIES
 from linkharbor.config import CompanySet, ScoreSettings
+from linkharbor.functions.suffixes import rules_from_file
 from linkharbor.operators import extract, intermediate, marts, staging
+from linkharbor.operators.validate import validate_evidence
 from linkharbor.plans.extract_release import extract_release
 from linkharbor.session import broadcast_if_small, materialize, shared_folder
+from linkharbor.sources.records import OPTIONAL_EVIDENCE_TEXT
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -151,3 +155,18 @@ def test_filters_reach_the_scan(spark, plan_of):
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_one_rule_table_serves_all_names_of_a_record(spark, plan_of, tmp_path):
+    listed = write_lines(tmp_path / "list.dat", "com", "co.uk", "*.ck", "!www.ck", "a.b.c.zz")
+    rules = rules_from_file(spark, listed)
+    df = spark.read.parquet(f"{FOLDER}/nation.parquet").selectExpr(
+        "'c' as crawl_id", "'f' as wat_file_path", "n_name as source_url", "string(n_nationkey) as target_url", "n_name as source_host",
+        "n_name as source_domain", "string(n_nationkey) as target_domain", "'t' as target_company", "200 as http_status",
+        "false as is_nofollow", "'' as rel", *[f"'' as {c}" for c in OPTIONAL_EVIDENCE_TEXT if c != "rel"],
+    )
+    plan = plan_of(validate_evidence(df, rules).rows)
+    assert plan.count("BroadcastHashJoin") == 4  # one a name, whatever the lengths of the rules
+    assert plan.count("- BroadcastExchange") == 1
+    assert plan.count("ReusedExchange") == 3
+    assert "Exchange hashpartitioning" not in plan
