@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from linkharbor.session import materialize
 
-# Rows an Arrow batch may hold: long texts come one batch at a time to a Python worker.
+# An Arrow batch ends at so many rows or bytes, whichever comes first: a Python worker holds one batch at a time.
 BATCH_ROWS = 256
+BATCH_BYTES = 64 << 20
 
 
 def remainder(id_col: Column, n: int) -> Column:
@@ -25,8 +26,9 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Bound the rows handed to Python at once, whatever the session had."""
+    """Bound the rows and bytes handed to Python at once, whatever the session had."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 

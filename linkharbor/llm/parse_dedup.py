@@ -10,15 +10,16 @@ trigger there can reach: REACH bytes before it and LENGTH after it. The dictiona
 entry with its first place; the parse is the list of all places.
 
 Corpus order. Strings that trigger with different grams differ, so only entries of one gram need
-comparing. A place that is not its entry's first repeats the whole entry. For first places of a gram
-with several entries, 64-bit hashes replace the suffix arrays of dictionary and parse: for each distance
-to the trigger, the hashes of their strings are sorted, and all but the first place of equal ones repeat.
-The bytes themselves are not compared. Work and memory follow the number of distinct entries, not of
-their repetitions.
+comparing. A place that is not its entry's first repeats the whole entry; entries agree by two 64-bit
+hashes (gram and surroundings). For first places of a gram with several entries, hashes replace the suffix
+arrays of dictionary and parse: for each distance to the trigger, the hashes of their strings are sorted,
+and of equal ones all but the first place are compared with it byte by byte; equal bytes repeat. Work and
+memory follow the number of distinct entries, not of their repetitions.
 
 Skew. Entries are merged within each task before they are shuffled, so a passage in a third of all
 texts sends one row per task. A gram with more than CROWD different surroundings (what one task holds at a time), such as the last
-bytes of that passage, is spread by the hashes of its strings instead, with a merge in each task.
+bytes of that passage, is spread by the hashes of its strings instead. The strings of one gram do not meet
+there, so these hashes have 128 bits.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ _AROUND = pa.schema(
     [("gram", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("before", pa.int64()), ("bytes", pa.binary()), ("crowded", pa.bool_())]
 )
 _SPANS = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
-_WINDOWS = pa.schema([("string", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
+_WINDOWS = pa.schema([("string", pa.int64()), ("check", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
 _RESULT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -238,22 +239,52 @@ class _Strings:
 
     def __init__(self, before: np.ndarray, around: list[bytes]):
         n, width = len(around), REACH + LENGTH
-        block = np.zeros((n, width), dtype=np.uint8)
+        self.block = block = np.zeros((n, width), dtype=np.uint8)
         self.before, self.after = before, np.array([len(a) for a in around], dtype=np.int64) - before
         flat = np.frombuffer(b"".join(around), np.uint8)
         row = np.repeat(np.arange(n), self.before + self.after)
         begins = np.cumsum(self.before + self.after) - (self.before + self.after)
         column = np.arange(len(flat)) - begins[row] + REACH - self.before[row]
         block[row, column] = flat
-        powers, _ = _powers(1, width + 1)
-        self.sums = np.zeros((n, width + 1), dtype=np.uint64)
-        np.cumsum(_LETTERS[1][block] * powers[None, :width], axis=1, out=self.sums[:, 1:])
+        self.sums: dict[int, np.ndarray] = {}
 
-    def at(self, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    def at(self, distance: int, which: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """(rows that have the string, their hashes) of strings that start so many bytes before the trigger."""
         rows = np.flatnonzero((self.before >= distance) & (self.after >= LENGTH - distance))
         start = REACH - distance
-        return rows, mixed(self.sums[rows, start + LENGTH] - self.sums[rows, start])
+        if which not in self.sums:
+            n, width = self.block.shape
+            powers, _ = _powers(which, width + 1)
+            sums = self.sums[which] = np.zeros((n, width + 1), dtype=np.uint64)
+            np.cumsum(_LETTERS[which][self.block] * powers[None, :width], axis=1, out=sums[:, 1:])
+        sums = self.sums[which]
+        return rows, mixed(sums[rows, start + LENGTH] - sums[rows, start])
+
+    def repeated(self, distance: int, salt: np.ndarray) -> np.ndarray:
+        """Rows whose string so many bytes before the trigger an earlier row of the same salt has too."""
+        rows, hashed = self.at(distance)
+        hashed = hashed ^ salt[rows]
+        order = np.argsort(hashed, kind="stable")  # rows of equal hash stay in their order
+        ranked, sorted_hash = rows[order], hashed[order]
+        again = np.zeros(len(rows), dtype=bool)
+        again[1:] = sorted_hash[1:] == sorted_hash[:-1]
+        head = np.maximum.accumulate(np.where(again, 0, np.arange(len(rows))))
+        later, first = ranked[again], ranked[head[again]]
+        start = REACH - distance
+        strings = self.block[:, start : start + LENGTH]
+        differ = (salt[later] != salt[first]) | (strings[later] != strings[first]).any(axis=1)
+        if not differ.any():
+            return later
+        # Different strings of one hash: the rows concerned are told apart by their bytes.
+        mixed_up = np.isin(hashed, sorted_hash[again][differ])
+        seen: set[tuple[int, bytes]] = set()
+        found = [r for r in later.tolist() if r not in set(rows[mixed_up].tolist())]
+        for r in rows[mixed_up].tolist():
+            key = (int(salt[r]), strings[r].tobytes())
+            if key in seen:
+                found.append(r)
+            seen.add(key)
+        return np.array(sorted(found), dtype=np.int64)
 
 
 def _compare(batches):
@@ -278,12 +309,7 @@ def _repeats(table: pa.Table) -> pa.RecordBatch:
     salt = mixed(gram.view(np.uint64))
     least, most = np.full(len(gram), LENGTH), np.full(len(gram), -1)
     for distance in range(REACH + 1):
-        rows, hashed = strings.at(distance)
-        hashed = hashed ^ salt[rows]
-        order = np.argsort(hashed, kind="stable")  # rows of equal hash stay in corpus order
-        again = np.zeros(len(rows), dtype=bool)
-        again[order[1:]] = hashed[order[1:]] == hashed[order[:-1]]
-        repeated = rows[again]
+        repeated = strings.repeated(distance, salt)  # rows are in corpus order
         least[repeated] = np.minimum(least[repeated], distance)
         most[repeated] = np.maximum(most[repeated], distance)
     # Strings at two distances overlap, so what they cover is one span.
@@ -292,7 +318,7 @@ def _repeats(table: pa.Table) -> pa.RecordBatch:
 
 
 def _explode(batches):
-    """The strings of crowded triggers; of equal ones in a task only the first goes on."""
+    """The strings of crowded triggers under two hashes."""
     for batch in batches:
         doc, at = batch.column("doc").to_numpy(), batch.column("at").to_numpy()
         gram = mixed(batch.column("gram").to_numpy().view(np.uint64))
@@ -300,7 +326,8 @@ def _explode(batches):
         for distance in range(REACH + 1):
             rows, hashed = strings.at(distance)
             string = mixed(hashed ^ gram[rows] ^ np.uint64(distance)).view(np.int64)
-            yield batch_of(_WINDOWS, [string, doc[rows], at[rows] - distance])
+            check = strings.at(distance, 0)[1].view(np.int64)
+            yield batch_of(_WINDOWS, [string, check, doc[rows], at[rows] - distance])
 
 
 def _remove(batches):
@@ -365,11 +392,11 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         "compared",
     )
     strings = staged(
-        around.where("crowded").mapInArrow(_explode, "string long, doc long, at long"), "strings"
+        around.where("crowded").mapInArrow(_explode, "string long, check long, doc long, at long"), "strings"
     )
-    first = strings.groupBy("string").agg(F.min(F.struct("doc", "at")).alias("first"))
+    first = strings.groupBy("string", "check").agg(F.min(F.struct("doc", "at")).alias("first"))
     crowded = (
-        strings.join(first, "string")
+        strings.join(first, ["string", "check"])
         .where(F.struct("doc", "at") != F.col("first"))
         .selectExpr("doc", "at as start", f"at + {LENGTH} as end")
     )

@@ -60,6 +60,25 @@ def test_crowded_grams_give_the_same(spark, monkeypatch):
     assert removed(frame(spark, rows, 5)) == by_hand(rows)
 
 
+def test_strings_of_one_hash_are_told_apart_by_their_bytes(spark, monkeypatch):
+    """A hash of three values for strings: nearly all collide, and the result stays exact."""
+    whole = parse_dedup._Strings.at
+
+    def weak(self, distance, which=1):
+        rows, hashed = whole(self, distance, which)
+        return rows, hashed % np.uint64(3)
+
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(97, 99, parse_dedup.LENGTH + 20).astype(np.uint8).tobytes() for _ in range(40)]
+    around = [texts[n % 23] for n in range(60)]
+    strings = parse_dedup._Strings(np.full(60, 30), around)
+    salt = (np.arange(60) % 2).astype(np.uint64)
+    expected = [strings.repeated(d, salt).tolist() for d in range(31)]
+    monkeypatch.setattr(parse_dedup._Strings, "at", weak)
+    assert [sorted(strings.repeated(d, salt).tolist()) for d in range(31)] == [sorted(e) for e in expected]
+    assert any(expected)
+
+
 def test_a_text_longer_than_a_part(spark):
     long = prose(5, 130_000)
     assert len(long.encode()) > parse_dedup.CHUNK
