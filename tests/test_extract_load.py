@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import dataclasses
+import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +102,37 @@ def test_changed_inputs_do_not_reuse_stages(spark, graph, tmp_path):
     assert more.counts()["graph_edges"] == 6
 
 
+def test_input_marks_follow_the_files_that_are_read(spark, tmp_path):
+    folder = tmp_path / "odd name%20"
+    folder.mkdir()
+    for name in ("a b[1].txt", "c{d}.txt", "100%.txt", "q?.txt"):
+        (folder / name).write_text("1\n")
+
+    whole = lambda: sinks.input_mark(spark.read.text(str(folder)))
+    first = whole()
+    assert first.startswith("4 8 ") and whole() == first
+    beside = tmp_path / "beside.txt"
+    beside.write_text("2\n")  # a file that the frame does not read
+    assert whole() == first
+    (folder / "q?.txt").write_text("2\n")
+    stat = (folder / "q?.txt").stat()
+    os.utime(folder / "q?.txt", (stat.st_atime, stat.st_mtime + 5))
+    replaced = whole()
+    assert replaced != first and replaced.startswith("4 8 ")
+    (folder / "q?.txt").unlink()
+    assert whole() not in (first, replaced)
+    assert sinks.input_mark(spark.range(3)) == ""
+
+
+def test_marks_of_many_files_take_one_listing(spark, tmp_path):
+    for n in range(10_000):
+        (tmp_path / f"part-{n}").write_text(str(n))
+    df = spark.read.text(str(tmp_path))
+    started = time.perf_counter()
+    assert sinks.input_mark(df).startswith("10000 ")
+    assert time.perf_counter() - started < 60
+
+
 def test_a_rebuilt_stage_invalidates_the_later_ones(spark, tmp_path):
     def run(second):
         folder = sinks.StageFolder(spark, str(tmp_path), "rel", "config")
