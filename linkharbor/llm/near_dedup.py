@@ -12,7 +12,10 @@
 4. The nodes of buckets that then hold several classes are banded anew, by longer bands. There each node
    is verified against one member, the hub, of every other class of its bucket, unless the sketches of
    the registers rule the pair out. Nodes of one class are not compared again, whatever their number.
-5. Links of a similarity of 0.8 or more, found by label propagation with pointer jumps, are the classes.
+5. What hubs leave open is tried in full: of buckets that hold several classes besides their hub, every
+   pair of nodes of different classes is verified. Those nodes are dealt into blocks, each two blocks that
+   share a bucket meet once in a task, and one matrix product gives the common weight of all their pairs.
+6. Links of a similarity of 0.8 or more, found by label propagation with pointer jumps, are the classes.
 """
 
 from __future__ import annotations
@@ -38,6 +41,10 @@ MOST_APART = 185
 # Long bands: as many registers as their four bits fill a long. A pair at 0.8 shares one with probability
 # 0.90 (at 0.82 0.97, at 0.85 0.996), if it has not been found by the hubs of the short bands before.
 LONG_BANDS, LONG_ROWS = 64, 64 // SKETCH_BITS
+# Texts of a block, and bytes of their shingles; a class of as many texts has blocks of its own.
+BLOCK_NODES, BLOCK_BYTES = 512, 4 << 20
+BLOCK_BATCH_BYTES = 8 << 20
+_COLUMNS = 2048  # shingles that a matrix holds at once
 _LONG_REGISTERS = np.argsort(np.random.default_rng(9).random((LONG_BANDS, REGISTERS)), axis=1)[:, :LONG_ROWS]
 
 _SIGNED = pa.schema(
@@ -186,6 +193,66 @@ def similarities(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     )
 
 
+def common_weights(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Weight of the common shingles of each two arrays made by `weighted`, one row for each of `a`."""
+    out = np.zeros((len(a), len(b)))
+    held = np.intersect1d(np.concatenate(a)["shingle"], np.concatenate(b)["shingle"])
+    sides = []
+    for arrays in (a, b):
+        every = np.concatenate(arrays)
+        row = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
+        at = np.searchsorted(held, every["shingle"])
+        shared = np.flatnonzero(held[np.minimum(at, len(held) - 1)] == every["shingle"]) if len(held) else np.empty(0, np.int64)
+        shared = shared[np.argsort(at[shared], kind="stable")]
+        sides.append((len(arrays), row[shared], at[shared], every["weight"][shared].astype(np.float64)))
+    for start in range(0, len(held), _COLUMNS):
+        width = min(_COLUMNS, len(held) - start)
+        weights, present = (np.zeros((n, width)) for n in (len(a), len(b)))
+        for matrix, (_, row, at, weight), valued in ((weights, sides[0], True), (present, sides[1], False)):
+            low, high = np.searchsorted(at, [start, start + width])
+            matrix[row[low:high], at[low:high] - start] = weight[low:high] if valued else 1
+        out += weights @ present.T
+    return out
+
+
+def joining_pairs(a: list[np.ndarray], b: list[np.ndarray], labels_a: np.ndarray, labels_b: np.ndarray) -> list[tuple[int, int]]:
+    """Places (in `a`, in `b`) of links between different labels, as many as join all labels that links join."""
+    both = common_weights(a, b)
+    weight_a, weight_b = (np.array([x["weight"].sum(dtype=np.float64) for x in arrays]) for arrays in (a, b))
+    total = np.maximum(weight_a[:, None] + weight_b[None, :] - both, 1e-300)
+    close = (both / total >= SIMILARITY - 1e-9) & (labels_a[:, None] != labels_b[None, :])
+    top: dict[int, int] = {}
+
+    def end(label: int) -> int:
+        while label in top:
+            top[label] = label = top.get(top[label], top[label])
+        return label
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(close))):
+        x, y = end(int(labels_a[i])), end(int(labels_b[j]))
+        if x != y:
+            top[x] = y
+            out.append((i, j))
+    return out
+
+
+_JOINING = pa.schema([("node", pa.int64()), ("other", pa.int64())])
+
+
+def _joining(batches):
+    def side(nodes):
+        ids, labels = (np.array([x[k] for x in nodes], np.int64) for k in ("node", "label"))
+        return ids, labels, [np.frombuffer(x["shingles"], _WEIGHTED) for x in nodes]
+
+    for batch in batches:
+        for a, b in zip(batch.column("a"), batch.column("b")):
+            ids_a, labels_a, texts_a = side(a.as_py())
+            ids_b, labels_b, texts_b = side(b.as_py())
+            pairs = joining_pairs(texts_a, texts_b, labels_a, labels_b)
+            yield batch_of(_JOINING, [[int(ids_a[i]) for i, _ in pairs], [int(ids_b[j]) for _, j in pairs]])
+
+
 def with_hubs(buckets: DataFrame) -> DataFrame:
     """(band, node, other): members of the buckets that hold several, with the hub of the bucket.
 
@@ -264,6 +331,55 @@ def _further_pairs(shared: DataFrame, labels: DataFrame, signed: DataFrame, veri
     )
 
 
+def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, node, label, crowd, size) of buckets that hold several classes besides their hub, which has met all of them.
+
+    crowd is the hub, size the number of nodes.
+    """
+    members = shared.where("node <> other").join(labels, "node", "left")
+    placed = members.select("band", "node", F.coalesce("label", "node").alias("label"), F.col("other").alias("crowd")).distinct()
+    several = placed.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return placed.join(several.where("low < high").select("band", "size"), "band")
+
+
+def _rest(opened: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Links (node, other) that join all classes of `opened` which a pair of one bucket joins; every pair is tried.
+
+    Nodes are dealt into blocks by the hub of their largest bucket, a class of many nodes apart from the
+    others. Two blocks meet if a bucket has nodes of both, but not those of one class.
+    """
+    spark = opened.sparkSession
+    homes = opened.groupBy("node").agg(F.min("label").alias("label"), F.max(F.struct("size", "crowd")).alias("home"))
+    homes = homes.select("node", "label", F.col("home.crowd").alias("crowd"))
+    classes = homes.groupBy("crowd", "label").agg((F.count("*") >= BLOCK_NODES).alias("large"))
+    named = homes.join(classes, ["crowd", "label"]).select("node", "label", "crowd", F.when(F.col("large"), F.col("label")).alias("alone"))
+    held = staged(shingles.withColumnRenamed("id", "node").join(named, "node"), "open-nodes")
+    number = F.greatest(F.count("*") / BLOCK_NODES, F.sum(F.length("shingles")) / BLOCK_BYTES)
+    numbers = held.groupBy("crowd", "alone").agg(F.ceil(number).alias("blocks"))
+    block = F.xxhash64("crowd", "alone", F.pmod(F.xxhash64("node"), "blocks"))
+    numbered = numbers.select(F.col("crowd").alias("of"), F.col("alone").alias("only"), "blocks")
+    dealt = held.join(numbered, (F.col("crowd") == F.col("of")) & F.col("alone").eqNullSafe(F.col("only")))
+    dealt = staged(dealt.select("node", "label", "alone", "shingles", block.alias("block")), "dealt-nodes")
+    blocks = dealt.groupBy("block").agg(F.collect_list(F.struct("node", "label", "shingles")).alias("nodes"))
+    blocks = staged(blocks, "blocks")
+
+    places = opened.select("band", "node").join(dealt.select("node", "block", "alone").distinct(), "node")
+    places = staged(places.groupBy("band", "block", "alone").agg(F.count("*").alias("n")), "block-buckets")
+    left, right = (places.select("band", F.col("block").alias(k), F.col("alone").alias(f"{k}_alone"), F.col("n").alias(f"{k}_n")) for k in "xy")
+    one = (F.col("x") == F.col("y")) & (F.col("x_n") < 2)
+    same = F.coalesce(F.col("x_alone") == F.col("y_alone"), F.lit(False))
+    meetings = staged(left.join(right, "band").where((F.col("x") <= F.col("y")) & ~one & ~same).select("x", "y").distinct(), "meetings")
+    met = meetings.join(blocks.select(F.col("block").alias("x"), F.col("nodes").alias("a")), "x")
+    met = met.join(blocks.select(F.col("block").alias("y"), F.col("nodes").alias("b")), "y").select("a", "b")
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(BLOCK_BATCH_BYTES))
+    try:
+        return staged(met.mapInArrow(_joining, "node long, other long"), "rest")
+    finally:
+        spark.conf.set(size, before)
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id (the smallest id of the class) of every row.
 
@@ -297,7 +413,12 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     further = staged(_further_pairs(shared, labels, first, verified), "further")
     more = staged(similarities(further, shingles), "verified-further")
-    final = classes_of(links.union(more.where(close).select("node", "other")))
+    links = links.union(more.where(close).select("node", "other"))
+    final = classes_of(links)
+
+    opened = staged(_open_buckets(shared, final), "open-buckets")
+    if not opened.isEmpty():
+        final = classes_of(links.union(_rest(opened, shingles)))
 
     known = members.join(final, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))
     alone = signed.where("doc_id is null or size(bands) = 0").select("doc_id", F.col("doc_id").alias("class_id"))

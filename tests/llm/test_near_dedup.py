@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from cases import frame, prose, shingle_set, word_list
+from pyspark.sql import functions as F
 
 from linkharbor.llm import near_dedup
 from linkharbor.llm.queries import QUERIES
@@ -150,6 +151,44 @@ def test_a_crowd_round_one_text(spark):
     assert all(found[d] == d for d, _ in rows if d not in linked)
 
 
+def test_no_link_of_a_bucket_is_left_to_chance(spark, monkeypatch):
+    """Copies too far from their base, each with a near copy of its own, all in one bucket with one hub, and no long band."""
+    base = prose(430, 150)
+    rows = [(0, base)]
+    for g in range(150):
+        far = changed(base, 6000 + g, 4 + g % 3)
+        rows += [(2 * g + 1, far), (2 * g + 2, changed(far, 8000 + g, 3))]
+    links = linked_pairs(dict(rows))
+    hubs = near_dedup.with_hubs
+    monkeypatch.setattr(near_dedup, "with_hubs", lambda buckets: hubs(buckets.select(F.lit(1).alias("band"), "node").distinct()))
+    monkeypatch.setattr(near_dedup, "MOST_APART", -1)
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 40, raising=False)
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(frame(spark, rows)).collect()}
+    assert [p for p in links if found[p[0]] != found[p[1]]] == []
+    linked = {d for p in links for d in p}
+    assert all(found[d] == d for d, _ in rows if d not in linked)
+
+
+def test_block_products_agree_with_single_pairs(monkeypatch):
+    monkeypatch.setattr(near_dedup, "_COLUMNS", 7)
+    base, hashes = prose(440, 120), near_dedup.WordHashes()
+    texts = [near_dedup.weighted(hashes.of(changed(base, 20 + n, 1 + n % 6))) for n in range(24)]
+    texts += [near_dedup.weighted(hashes.of(prose(441, 60))), texts[0][:0]]
+    a, b = texts[:15], texts[11:]
+    both = near_dedup.common_weights(a, b)
+    weight = np.array([[np.intersect1d(x["shingle"], y["shingle"]).size and x["weight"][np.isin(x["shingle"], y["shingle"])].sum(dtype=float) for y in b] for x in a])
+    assert np.allclose(both, weight)
+    labels_a, labels_b = np.arange(15), np.arange(11, 11 + len(b))
+    pairs = near_dedup.joining_pairs(a, b, labels_a, labels_b)
+    every = [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if i != j + 11 and near_dedup.weighted_jaccard(x, y) >= 0.8]
+    assert every and set(pairs) <= set(every) and len(pairs) < len(texts)
+    top = dict(zip(range(len(texts)), range(len(texts))))
+    for i, j in pairs:
+        old, new = top[i], top[j + 11]
+        top = {k: new if v == old else v for k, v in top.items()}
+    assert all(top[i] == top[j + 11] for i, j in every)
+
+
 def test_long_bands_agree_with_the_registers():
     make = np.random.default_rng(2)
     signatures = make.integers(0, 2**63, (6, near_dedup.REGISTERS), dtype=np.uint64)
