@@ -30,6 +30,9 @@ from linkharbor.session import new_run_folder
 
 FRAME_IDS = 1 << 16
 LEVEL = 1
+# Texts are encoded together until they have so many letters or rows.
+TEXT_LETTERS = 8 << 20
+TEXT_ROWS = 1 << 16
 
 # Fixed values of the seekable layout.
 _SKIPPABLE, _SEEKABLE, _HAS_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -140,6 +143,21 @@ def _reader(uri: str) -> TokenReader:
     return TokenReader(uri)
 
 
+def _gathered(batches):
+    """(ids, texts) across batches: many texts at once repeat more of their words."""
+    docs, texts, size = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            docs.append(doc)
+            texts.append(text)
+            size += len(text)
+            if size >= TEXT_LETTERS or len(docs) >= TEXT_ROWS:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def write_token_files(
     df: DataFrame, path: str, end_id: int, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -155,19 +173,18 @@ def write_token_files(
     end = struct.pack("<I", end_id)
 
     def run(batches):
-        encode, writer, uri = encoder(path).ids, None, ""
+        encode, writer, uri = encoder(path).ids_of_texts, None, ""
         part = TaskContext.get().partitionId()
-        for batch in batches:
+        for docs, texts in _gathered(batches):
             if writer is None:
                 uri = f"{folder}/tokens-{part:06d}-{uuid.uuid4().hex}.zst"
                 writer = TokenWriter(uri)
             found = [], []
-            for text in batch.column(1).to_pylist():
-                ids = encode(text) + end
-                found[0].append(writer.append(ids))
-                found[1].append(len(ids) // 4)
-            n = batch.num_rows
-            yield batch_of(_MANIFEST, [[uri] * n, [part] * n, batch.column(0), *found])
+            for ids in encode(texts):
+                found[0].append(writer.append(ids + end))
+                found[1].append(len(ids) // 4 + 1)
+            n = len(docs)
+            yield batch_of(_MANIFEST, [[uri] * n, [part] * n, docs, *found])
         if writer is not None:
             writer.close()
 

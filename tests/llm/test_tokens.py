@@ -14,7 +14,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from linkharbor.llm import packing, token_count, token_files
+from linkharbor.llm import packing, pieces, token_count, token_files
 from linkharbor.llm.pieces import Encoder
 from linkharbor.llm.queries import QUERIES
 
@@ -43,6 +43,45 @@ def test_ids_are_those_of_the_library(text):
         assert list(array("I", encoder.ids(text))) == library_ids(path, text)
 
 
+@settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(EDGE, PLAIN, st.text(max_size=30)), max_size=8), st.integers(1, 12))
+def test_ids_of_many_texts_are_those_of_the_library(texts, entries):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "TABLE_ENTRIES", entries)
+        patch.setattr(pieces, "TABLE_IDS", 4 * entries)
+        patch.setattr(pieces, "BLOCK_WORDS", 3)
+        patch.setattr(pieces, "COLUMN_LETTERS", 0)
+        for path, encoder in ENCODERS.items():
+            found = [list(array("I", ids)) for ids in encoder.ids_of_texts(texts)]
+            assert found == [library_ids(path, text) for text in texts]
+            assert len(encoder.table.words) <= entries and len(encoder.table.ids) <= 4 * entries
+
+
+@pytest.mark.parametrize("letters", [0, 1 << 20])
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_odd_texts_at_once(path, letters, monkeypatch):
+    monkeypatch.setattr(pieces, "COLUMN_LETTERS", letters)
+    texts = [t or "" for t in TEXTS] + ["a, b. c., d.. .e ., x9, 9. été, é. '. 's, it's. ab\n, ab.\n c", ", .", "one", " a,"]
+    encoder = Encoder(path)
+    for _ in range(2):  # the second time from the table
+        assert [list(array("I", ids)) for ids in encoder.ids_of_texts(texts)] == [library_ids(path, t) for t in texts]
+    assert encoder.ids_of_texts([]) == [] and encoder.ids_of_texts([""]) == [b""]
+
+
+def test_frequent_words_outlast_a_flood_of_others(monkeypatch):
+    monkeypatch.setattr(pieces, "TABLE_ENTRIES", 100)
+    monkeypatch.setattr(pieces, "COLUMN_LETTERS", 0)
+    encoder, asked = Encoder(BYTES), []
+    inner = encoder.table.encode
+    monkeypatch.setattr(encoder.table, "encode", lambda words: asked.extend(words.to_pylist()) or inner(words))
+    for i in range(50):
+        rare = [f"rare{i}x{j}" for j in range(40)]
+        encoder.ids_of_texts([f"the often, {w} often." for w in rare])
+    assert asked.count("often") == 1  # with a stop or comma behind it or not
+    assert len(asked) == len(set(asked)) == 50 * 40 + 3
+    assert len(encoder.table.words) <= 100
+
+
 @settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.one_of(EDGE, PLAIN, st.text(max_size=30)))
 def test_counts_are_those_of_the_library(text):
@@ -73,6 +112,19 @@ def test_files_give_every_document_back(spark, tmp_path):
     assert token_files.read_token_files(empty).count() == 0
 
 
+def test_files_of_texts_looked_up_by_the_column(spark, tmp_path):
+    texts = [prose(i, 500) for i in range(50)] + [t or "" for t in TEXTS]
+    encoded = {t: [*library_ids(BYTES, t), 0] for t in texts}
+    rows = [(i, texts[i * 7 % len(texts)]) for i in range(6000)]
+    assert sum(len(t) for _, t in rows) > 9 * pieces.COLUMN_LETTERS  # more than one a task
+    manifest = token_files.write_token_files(frame(spark, rows), BYTES, 0, str(tmp_path / "out"))
+    at = 0
+    for row, (doc, text) in zip(sorted(token_files.read_token_files(manifest).collect()), rows, strict=True):
+        ids = encoded[text]
+        assert tuple(row) == (doc, at, len(ids), crc(ids))
+        at += len(ids)
+
+
 def test_a_reader_opens_only_the_frames_it_needs_and_sees_damage(tmp_path):
     import zstandard
 
