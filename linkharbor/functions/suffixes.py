@@ -3,8 +3,9 @@
 The table has a row per top label. It holds the rules below that label, of every length, as a hash
 table: an array of small maps, in which a suffix is found by its checksum. A host meets the row of its
 top label in one broadcast join and looks its last 1, 2, ... labels up there; the longest rule wins and
-an exception rule beats a wildcard. No row is exploded, no host is sent anywhere, and the broadcast
-table is the same for every lookup, so Spark builds it once and reuses it.
+an exception rule beats a wildcard. A top label that is itself the only rule needs no lookup. No row is
+multiplied, no host is sent anywhere, and the broadcast table is the same for every lookup, so Spark
+builds it once and reuses it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkharbor.config import CompanySet, literal_rows
-from linkharbor.functions.hosts import host_or_empty
+from linkharbor.functions.hosts import host_or_empty, simple_host_or_empty
 from linkharbor.session import MAX_BROADCAST_ROWS, materialize
 
 RULE, WILDCARD, EXCEPTION = 1, 2, 4
@@ -28,9 +29,10 @@ MAP_RULES = 2
 
 @dataclass(frozen=True)
 class SuffixRules:
-    """Rule table (top, buckets) with the number of rules and the kinds found at each length.
+    """Rule table (top, alone, buckets) with the number of rules and the kinds found at each length.
 
     `buckets` maps suffixes to kinds, a bit set: a rule itself, a wildcard below it, an exception.
+    It is null where the top label is `alone`: a rule with none below it, as most are.
     """
 
     table: DataFrame
@@ -38,7 +40,7 @@ class SuffixRules:
     kinds_of_length: dict[int, int]
 
     def lookup(self) -> DataFrame:
-        side = self.table.selectExpr("top as __top", "buckets as __buckets")
+        side = self.table.selectExpr("top as __top", "alone as __alone", "buckets as __buckets")
         return F.broadcast(side) if self.rows <= MAX_BROADCAST_ROWS else side
 
 
@@ -49,10 +51,12 @@ def _bucket(suffix: str, buckets: str) -> str:
 def _as_buckets(by_top: DataFrame) -> DataFrame:
     """From rows (top, rules: array<struct<suffix,kinds>>). Runs once a rule list, not once a host."""
     n = f"int(1 + size(rules) div {MAP_RULES})"
+    alone = f"(size(rules) = 1 and rules[0].suffix = top and rules[0].kinds = {RULE})"
     return by_top.selectExpr(
         "top",
-        f"transform(sequence(0, {n} - 1), "
-        f"b -> map_from_entries(filter(rules, r -> {_bucket('r.suffix', n)} = b))) as buckets",
+        f"{alone} as alone",
+        f"if({alone}, null, transform(sequence(0, {n} - 1), "
+        f"b -> map_from_entries(filter(rules, r -> {_bucket('r.suffix', n)} = b)))) as buckets",
     )
 
 
@@ -118,30 +122,32 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
 
     Addresses and names under no known suffix get null, and so do the suffixes themselves.
     """
-    host, length = f"__{output}_host", f"__{output}_length"
-    # A name that is a plain lower-case host already, the usual case, needs no cleaning. The rest
-    # goes through a lambda: its long expression is then called from the generated code instead of
-    # being written out in it, which keeps the stage's loop short enough for the JVM to compile.
+    simple, host, length = f"__{output}_simple", f"__{output}_host", f"__{output}_length"
+    # One regular expression finds the host of the usual name or URL. The rest goes through a lambda: its
+    # long expression is then called from the generated code instead of being written out in it, which
+    # keeps the stage's loop short enough for the JVM to compile.
     # Ideographic full stops separate labels too; trailing dots mean nothing.
     cleaned = host_or_empty("v")
     for stop in "。．｡":
         cleaned = f"replace({cleaned}, '{stop}', '.')"
     cleaned = f"get(transform(array({value}), v -> trim(trailing '.' from {cleaned})), 0)"
-    plain = r"^[a-z0-9_-]++(?:\.[a-z0-9_-]++)*+$"
-    out = df.withColumn(host, F.expr(f"if(rlike({value}, r'{plain}'), {value}, {cleaned})"))
+    out = df.withColumn(simple, F.expr(simple_host_or_empty(value)))
+    out = out.withColumn(host, F.expr(f"if({simple} <> '', {simple}, {cleaned})"))
     out = out.join(rules.lookup(), F.expr(f"substring_index({host}, '.', -1) = __top"), "left")
     found, lengths, exceptions = [], ["0", "0"], []
     for n, have in sorted(rules.kinds_of_length.items()):
         kinds, tail = f"__{output}_kinds{n}", f"substring_index({host}, '.', -{n})"
-        found.append(f"try_element_at(get(__buckets, {_bucket(tail, 'size(__buckets)')}), {tail}) as {kinds}")
+        kind = f"try_element_at(get(__buckets, {_bucket(tail, 'size(__buckets)')}), {tail})"
+        found.append(f"if(__buckets is null, null, {kind}) as {kinds}")
         if have & RULE:
             lengths.append(f"if({kinds} & {RULE} <> 0, {n}, 0)")
         if have & WILDCARD:
             lengths.append(f"if({kinds} & {WILDCARD} <> 0 and {host} <> {tail}, {n + 1}, 0)")
         if have & EXCEPTION:
             exceptions.append(f"if({kinds} & {EXCEPTION} <> 0, {n - 1}, null)")
-    out = out.selectExpr(*[f"`{c}`" for c in df.columns], host, *found)
+    out = out.selectExpr(*[f"`{c}`" for c in df.columns], host, "__alone", *found)
     longest = f"coalesce({', '.join([*exceptions, f'greatest({", ".join(lengths)})'])})"
+    longest = f"if(__alone, 1, {longest})"
     out = out.select(*df.columns, host, F.expr(longest).alias(length))
     # One label more than the suffix; a host that is the suffix itself has no such label.
     name = f"substring_index({host}, '.', -1 - {length})"
@@ -149,7 +155,9 @@ def registered_domain(df: DataFrame, value: str, output: str, rules: SuffixRules
         f"if({length} > 0 and {host} <> substring_index({host}, '.', -{length}) "
         f"and not startswith({name}, '.'), {name}, null)"
     )
-    return out.select(*df.columns, F.expr(resolved).alias(output))
+    # An array of one, exploded, adds no row. It stops a filter on the name, such as a join puts on its key,
+    # from being pushed down as the whole expression, with every lookup written out at each of its uses.
+    return out.select(*df.columns, F.explode(F.array(F.expr(resolved))).alias(output))
 
 
 def _with_ascii_form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -69,6 +69,17 @@ def test_normalize_host(spark, value, host):
     assert column(spark, [value], hosts.normalize_host("v")) == [host]
 
 
+def test_simple_hosts_are_those_of_the_full_rule(spark):
+    before = ("", " \t", "\n", "http://", "HTTPS://", "a+b://", "a_b://", "1x://", "u@", "ftp://u:p@", "//", "[")
+    names = ("lakes.org", "WWW.My_shop.delta.net", "10.0.0.1", "intranet", "a..b", ".org", "lakes。org", "\u212aelp.org", "caf\xe9.org", "")
+    after = ("", ".", ":", ":80", ":8x", ":80@b.org", "@b.org", "/", "/x y", "/x\ty", "?n=http://b.org", "?n=:", "://b", "#f", " ", "/ \r\n", "\n", "\x85", "\u2028x", "/\u2028://", "]")
+    values = ["".join(v) for v in itertools.product(before, names, after)] + [None]
+    simple, full = (column(spark, values, f("v")) for f in (hosts.simple_host_or_empty, hosts.host_or_empty))
+    assert [(v, s) for v, s, f in zip(values, simple, full) if s not in ("", f)] == []
+    usual = ("http://lakes.org", "HTTPS://WWW.My_shop.delta.net:80", " \tlakes.org/x y", "10.0.0.1#f", "\nlakes.org\n", "intranet/")
+    assert all(simple[values.index(v)] for v in usual)
+
+
 def test_absolute_url(spark):
     values = ["\tftp://lakes.org:21?x\n", "../up", "lakes.org", "mailto:me@lakes.org", "http:///x", "HTTP://A"]
     expected = ["ftp://lakes.org:21?x", None, None, None, None, "HTTP://A"]
@@ -112,6 +123,23 @@ def test_registered_domain(spark, rules):
     assert {r["v"]: r["d"] for r in found} == cases
 
 
+def test_line_break_after_a_plain_name(spark, rules):
+    df = spark.createDataFrame([(f"a.lakes.org{end}",) for end in ("", "\n", "\r\n", "\x85", "\u2028")], "v string")
+    assert {r["d"] for r in suffixes.registered_domain(df, "v", "d", rules).collect()} == {"lakes.org"}
+
+
+def test_a_label_alone_needs_no_lookup(spark):
+    rules = suffixes.rules_from_list(spark, ["com", "*.ck", "uk", "co.uk", "x.zz", "!only.not"])
+    assert {r["top"]: r["alone"] for r in rules.table.collect()} == {
+        "com": True, "ck": False, "uk": False, "zz": False, "not": False,
+    }
+    assert {r["top"] for r in rules.table.where("buckets is null").collect()} == {"com"}
+    cases = {"a.b.com": "b.com", "com": None, "b.a.ck": "b.a.ck", "a.ck": None, "a.b.uk": "b.uk", "a.b.co.uk": "b.co.uk"}
+    cases |= {"b.x.zz": "b.x.zz", "b.zz": None, "zz": None, "a.only.not": "only.not", "a.none": None}
+    df = spark.createDataFrame([(v,) for v in cases], "v string")
+    assert {r["v"]: r["d"] for r in suffixes.registered_domain(df, "v", "d", rules).collect()} == cases
+
+
 def test_many_rules_below_one_label(spark):
     names = [f"n{n}.x{n % 7}.zz" for n in range(600)] + [f"x{n}.zz" for n in range(0, 7, 2)] + ["zz", "*.x1.zz", "!n1.x1.zz"]
     rules = suffixes.rules_from_list(spark, [n for n in names if n != "n1.x1.zz"])

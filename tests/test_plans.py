@@ -11,7 +11,7 @@ from linkharbor.catalog.inputs import COMPANIES, Inputs
 from linkharbor.catalog.queries import QUERIES
 from linkharbor.config import CompanySet, ScoreSettings
 from linkharbor.functions.suffixes import rules_from_file
-from linkharbor.operators import extract, intermediate, marts, staging
+from linkharbor.operators import extract, intermediate, load, marts, staging
 from linkharbor.operators.validate import validate_evidence
 from linkharbor.plans.extract_release import extract_release
 from linkharbor.session import broadcast_if_small, materialize, shared_folder
@@ -134,6 +134,26 @@ def test_delivered_links_merge_as_numbers_first(spark, plan_of):
     assert "HashAggregate" in lowest and "source_domain_rank_bucket" in lowest
 
 
+def longest_method(df) -> int:
+    """Bytes of the longest method generated for a plan."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.length()))
+
+
+# Fixed value: a longer method stays interpreted by the JVM.
+LONGEST_COMPILED = 8000
+
+
+def test_names_of_delivered_links_resolve_in_loops_that_are_compiled(spark, plan_of, tmp_path):
+    i = Inputs(spark, FOLDER)
+    listed = write_lines(tmp_path / "list.dat", "com", "co.uk", "*.ck", "!www.ck", "x.c.zz", "a.b.c.zz", "*.f.a.b.c.zz")
+    for rules in (i.rules, rules_from_file(spark, listed)):
+        built = load.build_domain_edges(i.delivered_edges, i.company_frame, rules, ("top_10k",), i.loaded_at)
+        assert longest_method(built) < LONGEST_COMPILED
+        # One lookup a length and name, however often the name is filtered, joined and grouped by.
+        assert plan_of(built).count("crc32(") == 2 * len(rules.kinds_of_length)
+
+
 def test_copies_of_a_rank_are_dropped_before_the_shuffle(spark, plan_of):
     plan = plan_of(staging.stage_domain_ranks(Inputs(spark, FOLDER).raw_ranks))
     assert plan.count("WindowGroupLimit") == 2
